@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bpe
+from folio.llm import bpe, host_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": bpe.query,
+    "op10_host_quality": host_quality.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_host_quality": host_quality.SQL}
