@@ -39,40 +39,82 @@ def line_key(line: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
-    """``doc_id, h1, h2, pos``: every line whose key is long enough, by a 128-bit hash of the key."""
-    lines = docs.select("doc_id", F.posexplode(lines_of(F.col("text").cast("string"))).alias("pos", "line")).filter(F.length("line") >= min_chars)
-    keyed = lines.select("doc_id", "pos", line_key(F.col("line")).alias("key")).filter(F.length("key") >= min_chars)
-    return keyed.select("doc_id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2"))
+    """``doc_id, version, h1, h2, pos``: every line whose key is long enough, by a 128-bit hash of the key."""
+    text = F.col("text").cast("string")
+    lines = docs.select("doc_id", F.xxhash64(text).alias("version"), F.posexplode(lines_of(text)).alias("pos", "line"))
+    keyed = lines.filter(F.length(F.btrim("line", F.lit(BLANKS))) >= min_chars).withColumn("key", line_key(F.col("line")))
+    return keyed.select("doc_id", "version", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"), "pos")
 
 
 def frequent_keys(holders: DataFrame, min_docs: int) -> DataFrame:
     """Keys held by ``min_docs`` documents or more, with the document that keeps them."""
-    keys = holders.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    docs = holders.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one")) if "version" in holders.columns else holders
+    keys = docs.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
     return keys.filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
 
 
-def run_lengths(dropped: Column) -> Column:
-    """Sorted dropped positions as alternating lengths: kept, dropped, kept, ..., the last kept run left out."""
-    gaps = F.transform(dropped, lambda p, i: p - F.when(i == 0, -1).otherwise(dropped[i - 1]) - 1)
-    return F.flatten(F.transform(gaps, lambda g: F.array(g.cast("int"), F.lit(1))))
+def kept_runs(dropped: Column) -> Column:
+    """Sorted dropped positions as the run-length code of the lines kept: ``start, length``, the last run open."""
+
+    def run(i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(dropped, i - 1))
+        return F.struct((before + 1).alias("start"), (F.coalesce(F.get(dropped, i), F.lit(2**31 - 1)) - before - 1).alias("length"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), F.size(dropped)), run), lambda r: r["length"] > 0)
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``doc_id, drops``: run-length keep bitmaps of the documents that lose lines."""
-    found = occurrences(docs, min_chars)
-    holders = found.groupBy("h1", "h2", "doc_id").agg(F.collect_list("pos").alias("positions"))
-    holders = shared.materialise(holders.repartitionByRange(F.col("h1"), F.col("h2"), F.col("doc_id")).sortWithinPartitions("h1", "h2", "doc_id"))
+    """``doc_id, version, runs``: run-length keep bitmaps of the documents that lose lines."""
+    folded = occurrences(docs, min_chars).groupBy("h1", "h2", "doc_id", "version").agg(F.collect_set("pos").alias("positions"))
+    ranged = folded.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id")
+    holders = shared.materialise(ranged)
     keys = shared.materialise(frequent_keys(holders, min_docs))
     hit = holders.join(shared.checked_broadcast(keys), ["h1", "h2"]).filter(F.col("doc_id") < F.col("keeper"))
-    by_doc = hit.groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("dropped"))
-    return by_doc.select("doc_id", run_lengths(F.col("dropped")).alias("drops"))
-
-
-def apply_bitmap(lines: Column, drops: Column) -> Column:
-    """The kept lines, joined by newlines; a null bitmap keeps all."""
-    half = F.size(drops) / 2
-    ends = F.transform(drops, lambda d, i: d)  # kept and dropped lengths in turn
-    starts = F.aggregate(ends, F.array(F.lit(0)), lambda acc, d: F.concat(acc, F.array(F.element_at(acc, -1) + d)))
-    del half
-    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size(drops), F.lit(2)), lambda i: F.slice(lines, starts[i] + 1, F.coalesce(F.get(drops, i), F.size(lines)))))
-    return F.array_join(F.when(drops.isNull(), lines).otherwise(kept), "\n")
+    by_doc = hit.groupBy("doc_id", "version").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("dropped"))
+    return by_doc.select("doc_id", "version", kept_runs(F.col("dropped")).alias("runs"))
+
+
+def apply_bitmap(lines: Column, runs: Column) -> Column:
+    """The lines that the bitmap keeps; a null bitmap keeps all."""
+    cut = lambda x: F.flatten(F.transform(runs, lambda r: F.slice(x, r["start"] + 1, r["length"])))
+    return F.when(runs.isNull(), lines).otherwise(shared.let(lines, cut))
+
+
+def with_bitmaps(docs: DataFrame, **limits: int) -> DataFrame:
+    """The rows of ``docs`` with ``_lines`` and ``_kept``, both arrays of lines."""
+    text = F.col("text").cast("string")
+    bitmaps = keep_bitmaps(docs, **limits).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "runs")
+    # text is moved once and never sorted: the bitmaps are the build side
+    joined = docs.join(bitmaps.hint("shuffle_hash"), (F.col("doc_id") == F.col("_id")) & (F.xxhash64(text) == F.col("_version")), "left")
+    cut = joined.withColumn("_lines", lines_of(text)).withColumn("_kept", apply_bitmap(F.col("_lines"), F.col("runs")))
+    return cut.drop("_id", "_version", "runs")
+
+
+def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
+    """``docs`` with the lines that stay as ``text``; all other columns and all rows are kept."""
+    return with_bitmaps(docs, **limits).withColumn("text", F.array_join("_kept", "\n")).drop("_lines", "_kept")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = with_bitmaps(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    lines, kept = F.size("_lines").cast("long"), F.size("_kept").cast("long")
+    return cut.select("doc_id", lines.alias("n_lines"), (lines - kept).alias("n_dropped"), F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+), k AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), f AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), m AS (
+  SELECT k.doc_id, pos, line, f.keeper IS NOT NULL AND k.doc_id < f.keeper AS gone FROM k LEFT JOIN f ON k.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bpe, host_quality
+from folio.llm import bpe, host_quality, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_line_dedup": line_dedup.query,
     "op7_bpe": bpe.query,
     "op10_host_quality": host_quality.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_host_quality": host_quality.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_dedup": line_dedup.SQL,
+    "op10_host_quality": host_quality.SQL,
+}

@@ -38,6 +38,11 @@ def checked_broadcast(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, also where ``body`` uses it in further lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
