@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bpe, host_quality, line_dedup
+from folio.llm import bpe, decontaminate, host_quality, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": line_dedup.query,
     "op7_bpe": bpe.query,
+    "op8_decontaminate": decontaminate.query,
     "op10_host_quality": host_quality.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": line_dedup.SQL,
+    "op8_decontaminate": decontaminate.SQL,
     "op10_host_quality": host_quality.SQL,
 }
