@@ -52,3 +52,16 @@ def ascii_lower(text: Column) -> Column:
     """A-Z to lower case and nothing else; pure ASCII takes the faster built-in."""
     upper = "".join(map(chr, range(65, 91)))
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
+def sampled(rows: DataFrame, key: str, per_class: dict, column: str, most: int) -> DataFrame:
+    """About ``most`` rows of each class, picked by the hash of ``key``; ``per_class`` holds the classes' counts.
+
+    The same rows come out whatever the partitions are; a class with fewer rows is kept whole.
+    """
+    scale = 1 << 20
+    share = F.lit(None).cast("long")
+    for value, n in per_class.items():
+        share = F.when(F.col(column) == F.lit(value), F.lit(min(scale, int(scale * most / max(n, 1)) + 1))).otherwise(share)
+    picked = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(scale)) < share
+    return rows.filter(picked)

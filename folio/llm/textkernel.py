@@ -113,18 +113,28 @@ class Words:
     row: np.ndarray
     hash: np.ndarray
     first: np.ndarray  # of each row: its first word, and the number of words at the end
+    hasher: RangeHasher  # of the block's bytes, lower-cased if that was asked for
 
     def per_row(self) -> np.ndarray:
         return np.diff(self.first)
 
 
+class RangeHasher:
+    """64-bit hashes of byte ranges ``[start, end)``; equal bytes hash alike."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        n = len(data)
+        up, self._down = _POWERS.get(n + 1)
+        self._total = np.zeros(n + 1, dtype=_U)
+        np.cumsum((data.astype(_U) + _U(1)) * up[:n], out=self._total[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        total = self._total
+        return mix((total[end] - total[start]) * self._down[start] + (end - start).astype(_U) * _U(0xD6E8FEB86659FD93))
+
+
 def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte ranges ``[start, end)``; equal bytes hash alike."""
-    n = len(data)
-    up, down = _POWERS.get(n + 1)
-    total = np.zeros(n + 1, dtype=_U)
-    np.cumsum((data.astype(_U) + _U(1)) * up[:n], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U) * _U(0xD6E8FEB86659FD93))
+    return RangeHasher(data)(start, end)
 
 
 def words(block: Block, separators: np.ndarray = SPACE, lower: bool = True) -> Words:
@@ -142,7 +152,8 @@ def words(block: Block, separators: np.ndarray = SPACE, lower: bool = True) -> W
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, block.offsets)
     row = np.repeat(np.arange(block.rows), np.diff(first))
-    return Words(start, end, row, range_hash(data, start, end), first)
+    hasher = RangeHasher(data)
+    return Words(start, end, row, hasher(start, end), first, hasher)
 
 
 def gram_hash(hashes: np.ndarray, k: int) -> np.ndarray:
