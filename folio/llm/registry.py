@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bpe, decontaminate, host_quality, line_dedup, toxicity
+from folio.llm import bpe, decontaminate, host_quality, language, line_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
     "op5_line_dedup": line_dedup.query,
     "op7_bpe": bpe.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_language": language.query,
     "op10_host_quality": host_quality.query,
 }
 
