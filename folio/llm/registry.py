@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bpe, decontaminate, host_quality, language, line_dedup, toxicity
+from folio.llm import bpe, decontaminate, host_quality, language, line_dedup, near_dup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
+    "op4_near_dup": near_dup.query,
     "op5_line_dedup": line_dedup.query,
     "op7_bpe": bpe.query,
     "op8_decontaminate": decontaminate.query,
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_near_dup": near_dup.SQL,
     "op5_line_dedup": line_dedup.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op10_host_quality": host_quality.SQL,
