@@ -2,7 +2,7 @@
 
 For every prefix of a piece exactly one token can end the encoding of that
 prefix.  ``PrefixTable`` stores that last token per prefix, found by trying the
-tokens that end there, longest first, against the last token of what remains:
+tokens that end there, shortest first, against the last token of what remains:
 a sequence of tokens is an encoding exactly when every two neighbours are one.
 So appending only adds entries, and after an edit the table is filled from the
 edit on until it runs in step with the old one again.
@@ -17,15 +17,22 @@ repeated rows are encoded each; further columns of the input are not looked at.
 from __future__ import annotations
 
 import base64
+import contextlib
+import gc
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries of each of the two generations of a worker's cache of pieces.
-CACHE_PIECES = 200_000
+#: Entries of each of the two generations of a worker's cache.
+CACHE_ENTRIES = 300_000
+#: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
+PREFIXES = (12, 9, 6)
+#: White_Space of Unicode, as patterns of tokenizers understand it.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Vocabulary:
@@ -38,11 +45,11 @@ class Vocabulary:
             self.bytes_of[rank] = token
         # a token that its own bytes do not encode to can never appear
         self.usable = {t: r for t, r in ranks.items() if len(t) == 1 or self.merged(t) == [t]}
-        self.longest = [0] * 256
-        for t in self.usable:
-            self.longest[t[-1]] = max(self.longest[t[-1]], len(t))
-        self.reach = max(self.longest, default=0)
-        self._pairs: dict[int, bool] = {}
+        # every ending of a token, with the token's id or -1 where the ending is no token itself
+        self.endings: dict[bytes, int] = {t[i:]: -1 for t in self.usable for i in range(1, len(t))}
+        self.endings.update(self.usable)
+        self.reach = max(map(len, self.usable), default=0)
+        self.pairs: dict[int, bool] = {}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -71,15 +78,64 @@ class Vocabulary:
     def neighbours(self, left: int, right: int) -> bool:
         """Whether these two tokens are the encoding of their joined bytes."""
         key = left << 32 | right
-        known = self._pairs.get(key)
+        known = self.pairs.get(key)
         if known is None:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
+            if len(self.pairs) > 1_000_000:
+                self.pairs.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
-            known = self._pairs[key] = self.merged(a + b) == [a, b]
+            known = self.pairs[key] = self.merged(a + b) == [a, b]
         return known
 
 
+def fill(v: Vocabulary, data: bytes, last: list[int], in_step: tuple[list[int], int, int] | None = None) -> None:
+    """Extend ``last``, the last tokens of the prefixes of ``data``, to all of them.
+
+    ``in_step`` holds an older table, the shift of its positions and the position
+    after an edit; once ``reach`` entries in a row beyond it equal the old ones,
+    all later entries do too and are taken over.
+    """
+    endings, pairs, neighbours, add = v.endings.get, v.pairs.get, v.neighbours, last.append
+    same = 0
+    for i in range(len(last), len(data) + 1):
+        found = -1
+        for j in range(i - 1, -1, -1):
+            token = endings(data[j:i])
+            if token is None:
+                break
+            if token < 0:
+                continue
+            if j:
+                left = last[j]
+                if left < 0:
+                    continue
+                fits = pairs(left << 32 | token)
+                if not (neighbours(left, token) if fits is None else fits):
+                    continue
+            found = token
+            break
+        add(found)
+        if in_step:
+            old, shift, after = in_step
+            # the token must lie behind the edit, not only end there
+            inside = i - len(v.bytes_of[found]) >= after if found >= 0 else i > after + v.reach
+            same = same + 1 if inside and old[i - shift] == found else 0
+            if same >= v.reach:
+                last.extend(old[i - shift + 1 :])
+                return
+
+
+def walk_back(v: Vocabulary, last: list[int]) -> list[int]:
+    """The tokens of the whole piece, from its table."""
+    out, at, bytes_of = [], len(last) - 1, v.bytes_of
+    while at:
+        token = last[at]
+        if token < 0:
+            raise ValueError("the vocabulary lacks a byte of this text")
+        out.append(token)
+        at -= len(bytes_of[token])
+    return out[::-1]
+
+
 class PrefixTable:
     """The bytes of one piece and the last token of each of their prefixes."""
 
@@ -88,96 +144,89 @@ class PrefixTable:
         if data:
             self.append(data)
 
-    def _fill(self, start: int, stop_in_step: tuple[list[int], int, int] | None = None) -> None:
-        """Extend ``last`` from prefix ``start + 1`` on.
-
-        ``stop_in_step`` holds an older table, the shift of its positions and
-        the position after the edit; once ``reach`` entries in a row beyond it
-        equal the old ones, all later entries do too and are taken over.
-        """
-        v, data, last = self.vocabulary, self.data, self.last
-        usable, longest, bytes_of, neighbours = v.usable, v.longest, v.bytes_of, v.neighbours
-        same = 0
-        for i in range(start + 1, len(data) + 1):
-            found = -1
-            for j in range(max(0, i - longest[data[i - 1]]), i):
-                token = usable.get(data[j:i])
-                if token is not None and (j == 0 or (last[j] >= 0 and neighbours(last[j], token))):
-                    found = token
-                    break
-            last.append(found)
-            if stop_in_step:
-                old, shift, after = stop_in_step
-                # the token must lie behind the edit, not only end there
-                inside = i - len(bytes_of[found]) >= after if found >= 0 else i > after + v.reach
-                same = same + 1 if inside and old[i - shift] == found else 0
-                if same >= v.reach:
-                    last.extend(old[i - shift + 1 :])
-                    return
-
     def append(self, data: bytes) -> None:
-        start = len(self.data)
         self.data += data
-        self._fill(start)
+        fill(self.vocabulary, self.data, self.last)
 
     def replace(self, start: int, end: int, data: bytes) -> None:
         """Put ``data`` in the place of the bytes ``[start, end)``."""
         old, shift = self.last, len(data) - (end - start)
         self.data = self.data[:start] + data + self.data[end:]
         self.last = old[: start + 1]
-        self._fill(start, (old, shift, start + len(data)))
+        fill(self.vocabulary, self.data, self.last, (old, shift, start + len(data)))
 
     def tokens(self) -> list[int]:
-        out, at = [], len(self.data)
-        while at:
-            token = self.last[at]
-            if token < 0:
-                raise ValueError("the vocabulary lacks a byte of this text")
-            out.append(token)
-            at -= len(self.vocabulary.bytes_of[token])
-        return out[::-1]
+        return walk_back(self.vocabulary, self.last)
 
 
 class Encoder:
     """Texts to ids and back; keeps the encodings of recent pieces."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, cache: int = CACHE_PIECES) -> None:
+    def __init__(self, vocabulary: Vocabulary, pattern: str, cache: int = CACHE_ENTRIES) -> None:
         import regex
 
         self.vocabulary, self.cache = vocabulary, cache
         self.split = regex.compile(pattern).findall
+        # no piece of these patterns has white space behind other characters, so a text
+        # may be cut there first; the cheaper cut is what the cache is asked for
+        self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
+        self.begun: dict[bytes, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.recent: dict[str, tuple[str, int, bytes]] = {}
         self.older: dict[str, tuple[str, int, bytes]] = {}
 
     def ids_of_piece(self, piece: bytes) -> list[int]:
+        """Fill the table from the longest beginning whose entries are known, by exact appends."""
         whole = self.vocabulary.usable.get(piece)
-        return [whole] if whole is not None else PrefixTable(self.vocabulary, piece).tokens()
-
-    def piece(self, piece: str) -> tuple[str, int, bytes]:
+        if whole is not None:
+            return [whole]
+        n, last, start, begun = len(piece), [-1], 0, self.begun
+        for known in PREFIXES:
+            if known < n and (table := begun.get(piece[:known])) is not None:
+                last, start = table.copy(), known
+                break
+        fill(self.vocabulary, piece, last)
+        for known in PREFIXES:
+            if start < known < n:
+                if len(begun) >= self.cache:
+                    begun.clear()
+                begun[piece[:known]] = last[: known + 1]
+        return walk_back(self.vocabulary, last)
+
+    def unit(self, unit: str) -> tuple[str, int, bytes]:
         """Ids as decimal text, their number, and the bytes that they decode to."""
-        found = self.older.get(piece)
+        found = self.older.get(unit)
         if found is None:
-            ids = self.ids_of_piece(piece.encode())
+            # a space and ASCII letters are one piece
+            ids = self.ids_of_piece(unit.encode()) if unit[0] == " " and unit[1:].isalpha() and unit.isascii() else self.encode(unit)
             found = (",".join(map(str, ids)), len(ids), self.decode(ids))
-        if len(piece) <= 64:
+        if len(unit) <= 64:
             if len(self.recent) >= self.cache:
                 self.recent, self.older = {}, self.recent
-            self.recent[piece] = found
+            self.recent[unit] = found
         return found
 
     def encode(self, text: str) -> list[int]:
-        return [i for p in self.split(text) for i in self.ids_of_piece(p.encode())]
+        out, pieces = [], self.pieces
+        for p in self.split(text):
+            ids = pieces.get(p)
+            if ids is None:
+                ids = self.ids_of_piece(p.encode())
+                if len(p) <= 64:
+                    if len(pieces) >= self.cache:
+                        pieces.clear()
+                    pieces[p] = ids
+            out += ids
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         bytes_of = self.vocabulary.bytes_of
         return b"".join([bytes_of[i] for i in ids])
 
-    def digest_pieces(self, text: str) -> list[tuple[str, int, bytes]]:
-        out, piece = [], self.piece
-        for p in self.split(text):
-            known = self.recent.get(p)
-            out.append(known if known is not None else piece(p))
-        return out
+    def encode_units(self, text: str) -> list[tuple[str, int, bytes]]:
+        """The text in units, each with its ids as text, their number and what they decode to."""
+        known = self.recent.get
+        return [known(u) or self.unit(u) for u in self.units(text)]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -190,6 +239,18 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
+@contextlib.contextmanager
+def _uncollected() -> Iterator[None]:
+    """The caches are bounded and hold no cycles; walking them again and again finds nothing."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _texts(batch: pa.RecordBatch, rows: int = 64) -> Iterator[tuple[int, list[str | None]]]:
     column = batch.column("text")
     for i in range(0, len(column), rows):
@@ -203,7 +264,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         e = encoder(path, pattern)
         for batch in batches:
             for i, texts in _texts(batch):
-                ids = [[int(x) for s, _, _ in e.digest_pieces(t or "") for x in s.split(",")] for t in texts]
+                ids = [[int(x) for s, _, _ in e.encode_units(t or "") for x in s.split(",")] for t in texts]
                 yield pa.record_batch([batch.column("doc_id").slice(i, len(texts)), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "token_ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, token_ids array<int>")
@@ -227,14 +288,18 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         sha = lambda x: hashlib.sha256(x).hexdigest()
+        with _uncollected():
+            yield from digest(e, sha, batches)
+
+    def digest(e: Encoder, sha, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, ids, back = [], [], []
             for _, texts in _texts(batch):
                 for text in texts:
-                    pieces = e.digest_pieces(text or "")
-                    counts.append(sum([n for _, n, _ in pieces]))
-                    ids.append(sha(",".join([s for s, _, _ in pieces]).encode()))
-                    back.append(sha(b"".join([b for _, _, b in pieces])))
+                    units = e.encode_units(text or "")
+                    counts.append(sum([n for _, n, _ in units]))
+                    ids.append(sha(",".join([s for s, _, _ in units]).encode()))
+                    back.append(sha(b"".join([b for _, _, b in units])))
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
