@@ -14,8 +14,9 @@ A document's set holds its distinct runs of five words.  Steps:
 4. Nodes of a bucket outside the component of its first node are compared, by
    sketch, with all of the bucket that are in other components than they; again
    survivors are confirmed on full sets.  So any two nodes that share a bucket end
-   up compared or in one component, and no step emits all pairs of a group: rows
-   are a bucket's members times the lists of its outliers, packed by the hundred.
+   up compared or in one component, and no step emits all pairs of a group: pairs
+   are looked at inside a task, in groups of bounded size, and links come out only
+   where they join components.
 5. Components of all links, by contraction, are joined back.
 
 Two sets of similarity 0.75 share no bucket with probability (1-0.75^4)^32 = 5e-6.
@@ -43,8 +44,8 @@ PERMS = BANDS * ROWS
 THRESHOLD = (75, 100)
 #: XOR counts above this rule out a similarity of 0.75 (57 expected there, about 8.5 standard error).
 MAX_FLIPS = 104
-#: Outliers of a bucket in one list, about; members that meet one copy of the first text.
-LIST, FAN = 256, 200
+#: Outliers of a bucket in one group, about; its members in one; pairs of one copy of a text.
+LIST, SUB, FAN = 256, 4096, 200
 _U = np.uint64
 _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 1 << 63, PERMS, dtype=np.uint64)
@@ -156,41 +157,141 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return shared.materialise(rows.select("node", "b", "copy", "role", "text").mapInArrow(run, "a long, b long").distinct())
 
 
-def outlier_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Pairs of step 4, by sketch; ``members`` are ``key, node, first`` of buckets of three or more."""
+_MEMBER = ["key", "band", "part", "sub", "role", "node", "own", "n_shingles", "bands", *_SKETCH]
+_MEMBER_DDL = "key long, band int, part long, sub long, role int, node long, own long, n_shingles long, bands array<bigint>, " + ", ".join(f"{k} long" for k in _SKETCH)
+
+
+class _Outliers:
+    """The outliers of one group, which its members are compared with as they come by."""
+
+    def __init__(self) -> None:
+        self.columns: dict[str, np.ndarray] = {}
+        self.sets: list[np.ndarray] = []
+
+    def add(self, rows: dict[str, np.ndarray], sets: list[np.ndarray]) -> None:
+        self.columns = {c: np.concatenate([self.columns[c], v]) if self.columns else v for c, v in rows.items()}
+        self.sets += sets
+
+    def likely(self, m: dict[str, np.ndarray], band: int) -> tuple[np.ndarray, np.ndarray]:
+        """Indices of members and outliers that sizes and sketches leave, in the first band that they share."""
+        o, (low, high) = self.columns, THRESHOLD
+        if not o:
+            return np.zeros(0, int), np.zeros(0, int)
+        n, k = m["n_shingles"][:, None], o["n_shingles"][None, :]
+        ok = (high * np.minimum(n, k) >= low * np.maximum(n, k)) & (m["own"][:, None] != o["own"][None, :])
+        x, y = np.nonzero(ok)
+        differ = np.bitwise_count(m["sketch"][x] ^ o["sketch"][y]).sum(axis=1)
+        x, y = x[differ <= MAX_FLIPS], y[differ <= MAX_FLIPS]
+        first = (m["bands"][x] == o["bands"][y]).argmax(axis=1) == band
+        return x[first], y[first]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[tuple[tuple, int, dict[str, np.ndarray], list[np.ndarray], pa.RecordBatch]]:
+    """Runs of rows of one group and role, at most 512 at a time."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, 512):
+            batch = whole.slice(i, 512)
+            at = {c: np.asarray(batch.column(c)) for c in ("key", "band", "part", "sub", "role", "node", "own", "n_shingles")}
+            at["sketch"] = np.stack([np.asarray(batch.column(k)).view(np.uint64) for k in _SKETCH], axis=1)
+            at["bands"] = np.asarray(batch.column("bands").flatten()).reshape(-1, BANDS)
+            sets: list[np.ndarray] = []
+            for block in tk.blocks(batch.column("text")) if texts else ():
+                g, ends = tk.shingles(tk.words(block), block.rows)
+                sets += [g[ends[r] : ends[r + 1]] for r in range(block.rows)]
+            same = np.ones(batch.num_rows, dtype=bool)
+            for c in ("key", "part", "sub", "role"):
+                same[1:] &= at[c][1:] == at[c][:-1]
+            cuts = [0, *np.flatnonzero(~same), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a < b:
+                    yield (at["key"][a], at["part"][a], at["sub"][a]), int(at["role"][a]), {c: v[a:b] for c, v in at.items()}, sets[a:b], batch.slice(a, b - a)
+
+
+def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passes on the rows that have a likely partner in their group: no row twice."""
+    held, outliers, kept, used = None, _Outliers(), [], np.zeros(0, bool)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if kept and used.any():
+            table = pa.Table.from_batches(kept).filter(pa.array(used))
+            yield from table.combine_chunks().to_batches()
+
+    for group, role, rows, _, batch in _groups(batches, False):
+        if group != held:
+            yield from flush()
+            held, outliers, kept, used = group, _Outliers(), [], np.zeros(0, bool)
+        if role == 0:
+            outliers.add({c: rows[c] for c in ("own", "n_shingles", "sketch", "bands")}, [])
+            kept.append(batch)
+            used = np.concatenate([used, np.zeros(batch.num_rows, bool)])
+            continue
+        x, y = outliers.likely(rows, int(rows["band"][0]))
+        used[y] = True
+        mask = np.zeros(batch.num_rows, bool)
+        mask[x] = True
+        yield batch.filter(pa.array(mask))
+    yield from flush()
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join components within each group, confirmed on full sets."""
+    low, high = THRESHOLD
+    held, outliers, top = None, _Outliers(), {}
+
+    def root(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = x = top.get(up, up)
+        return x
+
+    for group, role, rows, sets, _ in _groups(batches, True):
+        if group != held:
+            held, outliers, top = group, _Outliers(), {}
+        if role == 0:
+            outliers.add({c: rows[c] for c in ("node", "own", "n_shingles", "sketch", "bands")}, [s.copy() for s in sets])
+            continue
+        found_a, found_b = [], []
+        for x, y in zip(*outliers.likely(rows, int(rows["band"][0])), strict=True):
+            p, q = root(int(rows["own"][x])), root(int(outliers.columns["own"][y]))
+            if p == q:
+                continue
+            small, large = sorted((sets[x], outliers.sets[y]), key=len)
+            where = np.minimum(np.searchsorted(large, small), len(large) - 1)
+            both = int((large[where] == small).sum())
+            if high * both >= low * (len(small) + len(large) - both):
+                top[max(p, q)] = min(p, q)
+                found_a.append(rows["node"][x])
+                found_b.append(outliers.columns["node"][y])
+        yield pa.record_batch([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+
+def outlier_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """Links of step 4; ``members`` are ``key, band, node, first`` of buckets of three or more.
+
+    A bucket's outliers are dealt to parts of about ``LIST``, its members to ``SUB``;
+    a group is one of each.  Sketches first leave the rows that have a likely
+    partner; only these get their text.  A pair is looked at in the first band that
+    its nodes share.
+    """
     named = labels.select("node", "component")
-    with_own = members.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("own"), "first")
+    with_own = members.join(named, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("own"), "first")
     marked = with_own.join(named.select(F.col("node").alias("first"), F.col("component").alias("of_first")), "first", "left")
-    marked = shared.materialise(marked.select("key", "node", "own", (F.col("own") != F.coalesce("of_first", "first")).alias("out")))
+    marked = shared.materialise(marked.select("key", "band", "node", "own", (F.col("own") != F.coalesce("of_first", "first")).alias("out")))
     counts = marked.groupBy("key").agg(F.count_if("out").alias("outliers"), F.count("*").alias("m")).filter("outliers > 0")
-    sketch = nodes.select("node", "n_shingles", *_SKETCH)
-    busy = marked.join(counts, "key").join(sketch, "node")
-    busy = shared.materialise(busy.select("key", "node", "own", "out", "n_shingles", *_SKETCH, F.pmod(F.xxhash64("node", F.lit(3)), F.ceil(F.col("outliers") / LIST)).alias("part")))
-    if busy.isEmpty():
+    parts, subs = F.ceil(F.col("outliers") / LIST), F.ceil(F.col("m") / SUB)
+    dealt = marked.join(counts, "key").select("key", "band", "node", "own", "out", parts.alias("parts"), subs.alias("subs"))
+    number = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    hashed = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(n))
+    lists = dealt.filter("out").select("key", "band", hashed(1, "parts").alias("part"), number("subs").alias("sub"), F.lit(0).alias("role"), "node", "own")
+    others = dealt.select("key", "band", number("parts").alias("part"), hashed(2, "subs").alias("sub"), F.lit(1).alias("role"), "node", "own")
+    rows = lists.unionAll(others).join(nodes.select("node", "n_shingles", "bands", *_SKETCH), "node").select(*_MEMBER)
+    order = ("key", "part", "sub")
+    active = shared.materialise(rows.repartition(*order).sortWithinPartitions(*order, "role").mapInArrow(_active, _MEMBER_DDL))
+    if active.isEmpty():
         return None
-    lists = busy.filter("out").groupBy("key", "part").agg(F.collect_list(F.struct("node", "own", "n_shingles", *_SKETCH)).alias("list")).drop("part")
-    met = busy.select("key", "node", "own", "n_shingles", *_SKETCH).join(lists, "key").drop("key")
-    low, high = THRESHOLD
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
-                lists = batch.column("list")
-                items, times = lists.flatten(), np.asarray(lists.value_lengths())
-                of = np.repeat(np.arange(batch.num_rows), times)
-                item = {c: np.asarray(items.field(c)) for c in ("node", "own", "n_shingles", *_SKETCH)}
-                mine = {c: np.asarray(batch.column(c))[of] for c in item}
-                small, large = np.minimum(item["n_shingles"], mine["n_shingles"]), np.maximum(item["n_shingles"], mine["n_shingles"])
-                ok = (item["own"] != mine["own"]) & (high * small >= low * large)
-                differ = np.zeros(len(of), np.int64)
-                for k in _SKETCH:
-                    differ += np.bitwise_count((item[k] ^ mine[k]).view(np.uint64))
-                ok &= differ <= MAX_FLIPS
-                a, b = mine["node"][ok], item["node"][ok]
-                yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-
-    return shared.materialise(met.mapInArrow(run, "a long, b long").distinct())
+    ids = shared.checked_broadcast(active.select("node").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(ids, "node", "left_semi")
+    found = active.join(texts, "node").repartition(*order).sortWithinPartitions(*order, "role").select(*_MEMBER, "text").mapInArrow(_linked, "a long, b long")
+    return shared.materialise(found.distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -198,17 +299,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stats = shared.materialise(measure(docs))
     full = stats.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = shared.materialise(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", *_SKETCH))))
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     first = buckets.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("m")).filter("m > 1")
-    members = shared.materialise(buckets.join(first, "key").select("key", "node", "first", "m"))
+    members = shared.materialise(buckets.join(first, "key").select("key", "band", "node", "first", "m"))
     pairs = members.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     likely = pairs.join(_named(nodes, "a"), "a").join(_named(nodes, "b"), "b").filter(possible(F.col("a_n"), F.col("b_n")) & (flips("a", "b") <= MAX_FLIPS))
     links = confirm(shared.materialise(likely.select("a", "b")), docs)
     labels = graph.components(links)
     empty = nodes.select("node", F.col("node").alias("component")).limit(0)
-    more = outlier_pairs(members.filter("m > 2").drop("m"), nodes, empty if labels is None else labels)
+    more = outlier_links(members.filter("m > 2").drop("m"), nodes, empty if labels is None else labels, docs)
     if more is not None and not more.isEmpty():
-        labels = graph.components(links.unionByName(confirm(more, docs)))
+        labels = graph.components(links.unionByName(more))
     same = nodes.select(F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node")
     joined = stats.select("doc_id", "n_shingles", "s1", "s2").join(same, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left")
     if labels is not None:
