@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bilinear, bpe, decontaminate, host_quality, language, line_dedup, near_dup, toxicity
+from folio.llm import bilinear, bpe, decontaminate, host_quality, language, line_dedup, near_dup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
     "op2_bilinear_lm": bilinear.query,
+    "op3_secrets": secrets.query,
     "op4_near_dup": near_dup.query,
     "op5_line_dedup": line_dedup.query,
     "op7_bpe": bpe.query,
