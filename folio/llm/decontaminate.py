@@ -133,9 +133,10 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any word of a benchmark window; all columns stay."""
-    bad = report(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
-    bad = shared.materialise(bad)
-    return docs.join(shared.checked_broadcast(bad), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_row")), "left_anti")
+    doc, row = shared.hidden("id"), shared.hidden("row")
+    bad = report(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
+    bad = shared.checked_broadcast(shared.materialise(bad))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(row)), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

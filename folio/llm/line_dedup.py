@@ -80,25 +80,29 @@ def apply_bitmap(lines: Column, runs: Column) -> Column:
     return F.when(runs.isNull(), lines).otherwise(shared.let(lines, cut))
 
 
+LINES, KEPT = shared.hidden("lines"), shared.hidden("kept")
+
+
 def with_bitmaps(docs: DataFrame, **limits: int) -> DataFrame:
-    """The rows of ``docs`` with ``_lines`` and ``_kept``, both arrays of lines."""
+    """The rows of ``docs`` with ``LINES`` and ``KEPT``, both arrays of lines."""
     text = F.col("text").cast("string")
-    bitmaps = keep_bitmaps(docs, **limits).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "runs")
+    doc, version, runs = (shared.hidden(x) for x in ("id", "version", "runs"))
+    bitmaps = keep_bitmaps(docs, **limits).toDF(doc, version, runs)
     # text is moved once and never sorted: the bitmaps are the build side
-    joined = docs.join(bitmaps.hint("shuffle_hash"), (F.col("doc_id") == F.col("_id")) & (F.xxhash64(text) == F.col("_version")), "left")
-    cut = joined.withColumn("_lines", lines_of(text)).withColumn("_kept", apply_bitmap(F.col("_lines"), F.col("runs")))
-    return cut.drop("_id", "_version", "runs")
+    joined = docs.join(bitmaps.hint("shuffle_hash"), (docs["doc_id"] == bitmaps[doc]) & (F.xxhash64(docs["text"].cast("string")) == bitmaps[version]), "left")
+    cut = joined.withColumn(LINES, lines_of(text)).withColumn(KEPT, apply_bitmap(F.col(LINES), F.col(runs)))
+    return cut.drop(doc, version, runs)
 
 
 def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     """``docs`` with the lines that stay as ``text``; all other columns and all rows are kept."""
-    return with_bitmaps(docs, **limits).withColumn("text", F.array_join("_kept", "\n")).drop("_lines", "_kept")
+    return with_bitmaps(docs, **limits).withColumn("text", F.array_join(KEPT, "\n")).drop(LINES, KEPT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = with_bitmaps(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    lines, kept = F.size("_lines").cast("long"), F.size("_kept").cast("long")
-    return cut.select("doc_id", lines.alias("n_lines"), (lines - kept).alias("n_dropped"), F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256"))
+    lines, kept = F.size(LINES).cast("long"), F.size(KEPT).cast("long")
+    return cut.select("doc_id", lines.alias("n_lines"), (lines - kept).alias("n_dropped"), F.sha2(F.array_join(KEPT, "\n"), 256).alias("kept_sha256"))
 
 
 SQL = r"""

@@ -320,8 +320,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is that of their group; all columns stay."""
-    gone = near_duplicates(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(shared.checked_broadcast(shared.materialise(gone)), F.col("doc_id") == F.col("_id"), "left_anti")
+    gone = near_duplicates(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias(shared.hidden("id"))).distinct()
+    return docs.join(shared.checked_broadcast(shared.materialise(gone)), F.col("doc_id") == F.col(shared.hidden("id")), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+def hidden(name: str) -> str:
+    """A column name that tables do not have, for columns that go again."""
+    return f"__folio_{name}"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; a temporary one only where the session names none, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

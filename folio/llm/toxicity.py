@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.llm import shared
 from folio.llm import textkernel as tk
@@ -133,19 +134,22 @@ def train(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] | None =
     return fit(pa.concat_arrays(table["text"].cast(pa.large_utf8()).chunks), table["toxic"].to_numpy())
 
 
-def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns named and ``score`` of every row."""
+def score(docs: DataFrame, model: Model, *keep: str, name: str = "score") -> DataFrame:
+    """The columns named and, as ``name``, the score of every row."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    keep = tuple(docs.columns[docs.columns.index(k)] for k in keep)
+    schema = T.StructType([*docs.select(*(F.col(f"`{k}`") for k in keep)).schema, T.StructField(name, T.DoubleType())])
+    text = keep.index("text") if "text" in keep else len(keep)
+    extra = [] if "text" in keep else [F.col("text").cast("string").alias(shared.hidden("text"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         for batch in batches:
-            scores = [score_block(m, b)[0] for b in tk.blocks(batch.column("_text"))]
+            scores = [score_block(m, b)[0] for b in tk.blocks(batch.column(text))]
             found = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
-            yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), found], names=[*keep, "score"])
+            yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), found], names=[*keep, name])
 
-    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, f"{schema}, score double")
+    return docs.select(*(F.col(f"`{k}`") for k in keep), *extra).mapInArrow(run, schema)
 
 
 def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
