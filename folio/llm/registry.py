@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bilinear, bpe, decontaminate, host_quality, language, line_dedup, near_dup, secrets, toxicity
+from folio.llm import bilinear, bpe, chat, decontaminate, host_quality, language, line_dedup, near_dup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": secrets.query,
     "op4_near_dup": near_dup.query,
     "op5_line_dedup": line_dedup.query,
+    "op6_chat": chat.query,
     "op7_bpe": bpe.query,
     "op8_decontaminate": decontaminate.query,
     "op9_language": language.query,
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_near_dup": near_dup.SQL,
     "op5_line_dedup": line_dedup.SQL,
+    "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op10_host_quality": host_quality.SQL,
 }
