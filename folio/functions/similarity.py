@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -34,7 +35,7 @@ def ngrams(c: Column, n: int = 3) -> Column:
     return F.when(last >= 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """100 times the matching-blocks ratio of the texts in lower case, cut; 0 if one is empty.
 

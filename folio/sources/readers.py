@@ -40,7 +40,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     header = lines.first()
     if header is None:
         raise ValueError("the manifest is empty")
-    names = [text.snake_case(h.strip().strip('"')) for h in re.split(r"\|", header[0].lstrip("﻿"))]
+    names = [text.snake_case(h.strip().strip('"')) for h in re.split(r"\|", header[0].lstrip("\ufeff"))]
     rows = lines.filter(F.trim("value") != "").filter(F.col("value") != header[0])
     cells = _cells(F.col("value"))
     parsed = rows.select(cells.alias("cells")).filter(F.size("cells") <= len(names))
