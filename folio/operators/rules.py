@@ -27,15 +27,16 @@ def _blank(value: Column) -> Column:
     return value.isNull() | (F.trim(value) == "")
 
 
-def _limit(value: Column, rule: object, name: str, word: str) -> Column | None:
+def _limit(value: Column, rule: object, name: str) -> Column | None:
+    """A length limit; blank ones are off, ones that are no number always complain."""
     if rule is None or rule == "":
         return None
     try:
         bound = int(str(rule))
     except ValueError:
         return F.lit(f"Invalid {name} configuration")
-    wrong = F.length(value) < bound if name == "MinLength" else F.length(value) > bound
-    return F.when(wrong, F.lit(f"Length {word} {name} '{bound}'"))
+    wrong, sign = (F.length(value) < bound, "<") if name == "MinLength" else (F.length(value) > bound, ">")
+    return F.when(wrong, F.concat(F.lit("Length '"), F.length(value).cast("string"), F.lit(f"' {sign} {name} '{bound}'")))
 
 
 def _pattern(value: Column, pattern: str | None) -> Column | None:
@@ -60,7 +61,7 @@ def _special(value: Column, rule: object) -> Column | None:
 def string_errors(value: Column, rule: FieldRule) -> Column:
     """Messages of the string rules."""
     v = F.trim(value)
-    checks = [_limit(v, rule.min_length, "MinLength", "below"), _limit(v, rule.max_length, "MaxLength", "above"), _pattern(v, rule.pattern), _special(v, rule.special)]
+    checks = [_limit(v, rule.min_length, "MinLength"), _limit(v, rule.max_length, "MaxLength"), _pattern(v, rule.pattern), _special(v, rule.special)]
     found = _messages(*(c for c in checks if c is not None)) if any(c is not None for c in checks) else F.array().cast("array<string>")
     return _unless_blank(value, rule, found)
 

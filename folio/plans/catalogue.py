@@ -1,10 +1,6 @@
-"""The registered queries over the test tables and the SQL that gives the same rows."""
+"""All registered queries over the test tables and the SQL that gives the same rows."""
 
-from __future__ import annotations
+from folio.plans import linkage, relational, scalar  # noqa: F401  they register their queries
+from folio.plans.registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
