@@ -34,7 +34,7 @@ from folio.llm import textkernel as tk
 BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7)
 #: Labelled documents of each class that a fit uses at most, about.
-PER_CLASS = {0: 2400, 1: 1600}
+PER_CLASS = {0: 2000, 1: 1200}
 THRESHOLD = 0.7
 _STOP = np.zeros(256, dtype=np.int64)
 _STOP[[10, 33, 46, 63]] = 1  # newline ! . ?
@@ -63,24 +63,28 @@ def sentence_features(block: tk.Block) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def fit(texts: pa.Array, labels: np.ndarray, steps: int = 120, rate: float = 0.5, penalty: float = 5e-4) -> Model:
     """Noisy-or likelihood of the document labels, climbed by proximal Adagrad with an L1 penalty."""
-    feats, sents, rows, n_sent = [], [], [], 0
+    found, rows, n_sent = [], [], 0
+    spread = np.zeros(BUCKETS, np.int32)
     for block in tk.blocks(texts):
-        f, s, r, _ = sentence_features(block)
-        feats.append(f)
-        sents.append(s + n_sent)
-        rows.append(r + block.first)
-        n_sent += len(r)
-    f, s, row = np.concatenate(feats), np.concatenate(sents), np.concatenate(rows)
-    pair = np.unique(s[:, None].repeat(f.shape[1], 1).ravel() * BUCKETS + f.ravel())
-    s, f = pair // BUCKETS, pair % BUCKETS
+        f, s, row, _ = sentence_features(block)
+        pair = np.unique((s[:, None] * BUCKETS + f).ravel())  # a feature counts once in a sentence
+        if len(pair):
+            spread += np.bincount(np.unique(row[pair // BUCKETS] * BUCKETS + pair % BUCKETS) % BUCKETS, minlength=BUCKETS).astype(np.int32)
+        found.append((n_sent, pair))
+        rows.append((row + block.first).astype(np.int32))
+        n_sent += len(row)
     # features of fewer than 3 documents tell nothing about others
-    spread = np.bincount(np.unique(row[s] * BUCKETS + f) % BUCKETS, minlength=BUCKETS)
     seen = np.flatnonzero(spread >= 3)
     seen = seen[seen != 0]
-    index = np.full(BUCKETS, -1)
+    index = np.full(BUCKETS, -1, np.int32)
     index[seen] = np.arange(len(seen))
-    keep = index[f] >= 0
-    s, f = s[keep], index[f[keep]]
+    s, f, row = [], [], np.concatenate(rows)
+    for first, pair in found:
+        column = index[pair % BUCKETS]
+        s.append((pair[column >= 0] // BUCKETS + first).astype(np.int32))
+        f.append(column[column >= 0])
+    del found
+    s, f = np.concatenate(s), np.concatenate(f)
     y = labels.astype(bool)
     least = penalty + 0.5 / len(y)  # about the pull of a document: what chance words have
     w, b = np.zeros(len(seen)), -7.0
