@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ WORDS = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
 
 
 def prose(seed: int, n: int) -> str:
-    return " ".join(WORDS[(seed * 37 + i * i * 7 + i * (seed + 3)) % len(WORDS)] for i in range(n))
+    return " ".join(random.Random(seed).choices(WORDS, k=n))
 
 
 @pytest.fixture(scope="session")
