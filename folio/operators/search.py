@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HITS = 210
@@ -17,6 +17,16 @@ def index(master: DataFrame) -> DataFrame:
     return words.groupBy("token", "id").agg(F.count("*").alias("tf"))
 
 
+def store_index(master: DataFrame, path: str, delta: bool = False) -> None:
+    """Writes the postings, or appends those of a delta."""
+    index(master).write.mode("append" if delta else "overwrite").parquet(path)
+
+
+def open_index(spark: SparkSession, path: str) -> DataFrame:
+    """Stored postings; a document that a delta indexes again counts once."""
+    return spark.read.parquet(path).groupBy("token", "id").agg(F.max("tf").alias("tf"))
+
+
 def weights(postings: DataFrame, n_docs: int) -> DataFrame:
     """Inverse document frequency of each token: 1 + ln(n / (df + 1))."""
     return postings.groupBy("token").agg((1.0 + F.log(F.lit(float(n_docs)) / (F.count("*") + 1.0))).alias("idf"))

@@ -82,3 +82,34 @@ def prompt(keys: list[str], text: Column) -> Column:
 def payloads(rows: DataFrame, *columns: str) -> DataFrame:
     """The bodies of writing calls, one JSON text each."""
     return rows.select(F.to_json(F.struct(*columns)).alias("payload"))
+
+
+def grayscale_turns(content: bytes) -> dict[str, bytes]:
+    """A grayscale copy of an image and its quarter turns, in the image's own format; needs an imaging library."""
+    try:
+        from PIL import Image
+    except ImportError as e:
+        raise RuntimeError("no imaging library is installed") from e
+    with Image.open(io.BytesIO(content)) as image:
+        gray, kind, out = image.convert("L"), image.format, {}
+        for turn in (0, 90, 180, 270):
+            made = io.BytesIO()
+            gray.rotate(-turn, expand=True).save(made, format=kind)
+            out[f"_rot{turn}" if turn else ""] = made.getvalue()
+    return out
+
+
+def derive_images(spark: SparkSession, path: str, derive: Callable[[bytes], dict[str, bytes]] = grayscale_turns) -> DataFrame:
+    """``path, content, error`` of what is derived from each file: its path with the variant before the ending."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                stem, dot, ending = name.rpartition(".")
+                try:
+                    made = derive(content)
+                    yield pd.DataFrame({"path": [f"{stem}{k}{dot}{ending}" for k in made], "content": list(made.values()), "error": [None] * len(made)})
+                except Exception as e:  # an image that cannot be read is that row's error
+                    yield pd.DataFrame({"path": [name], "content": [None], "error": [f"{type(e).__name__}: {e}"]})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, content binary, error string")

@@ -25,6 +25,12 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def table_columns(spark: SparkSession, name: str) -> tuple[list[str], list[str]]:
+    """Columns of a catalog table in their order, and those it is partitioned by."""
+    found = spark.catalog.listColumns(name)
+    return [c.name for c in found], [c.name for c in found if c.isPartition]
+
+
 def typed_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",") -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, sep=sep)
 

@@ -39,3 +39,8 @@ def csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 def preview(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
+
+
+def append_events(events: DataFrame, path: str) -> None:
+    """Appends telemetry; the folder can be read as a stream."""
+    events.write.mode("append").parquet(path)

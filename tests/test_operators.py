@@ -171,3 +171,53 @@ def test_event_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert q.exception() is None
+
+
+def test_stored_index_and_delta(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "ann meyer 555"), (2, "bob stone")], "id long, document string")
+    path = str(tmp_path / "index")
+    search.store_index(docs, path)
+    search.store_index(spark.createDataFrame([(3, "anna stone"), (2, "bob stone")], "id long, document string"), path, delta=True)
+    postings = search.open_index(spark, path)
+    queries = spark.createDataFrame([(7, "an. sto stone"), (8, "zzz qqq none")], "q_id long, query string")
+    got = [(r.q_id, r.id, r["rank"]) for r in search.top_hits(postings, search.query_tokens(queries), 3, 2).collect()]
+    assert sorted(got) == [(7, 2, 2), (7, 3, 1)]
+
+
+def test_rescoring_by_a_stored_model(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.dense([i / 10.0, 1 - i / 10.0]), float(i > 5)) for i in range(10)]
+    LogisticRegression().fit(spark.createDataFrame(rows, ["features", "label"])).write().overwrite().save(str(tmp_path / "m"))
+    got = matching.rescore(spark.createDataFrame([(0.9, 0.1), (0.1, 0.9)], "a double, b double"), ["a", "b"], str(tmp_path / "m"))
+    assert got.columns == ["a", "b", "model_score"] and [r.model_score > 0.5 for r in got.collect()] == [True, False]
+
+
+def test_weighted_score(spark):
+    df = spark.createDataFrame([("Ann", "ann", "1", "1"), ("Ann", None, "1", "2")], "l_name string, r_name string, l_phone string, r_phone string")
+    fields = {"name": (0.6, "sequence_matcher"), "phone": (0.4, "exact")}
+    assert [round(r[0], 6) for r in df.select(matching.weighted_score(fields)).collect()] == [1.0, 0.0]
+
+
+def test_derived_images_and_catalog_columns(spark, tmp_path):
+    (tmp_path / "a.png").write_bytes(b"good")
+    (tmp_path / "b.png").write_bytes(b"bad")
+
+    def derive(content):
+        if content == b"bad":
+            raise ValueError("no image")
+        return {"": b"0", "_rot90": b"1"}
+
+    got = sorted((r.path.rsplit("/")[-1], r.error) for r in adapters.derive_images(spark, str(tmp_path), derive).collect())
+    assert got == [("a.png", None), ("a_rot90.png", None), ("b.png", "ValueError: no image")]
+    spark.sql("CREATE TABLE IF NOT EXISTS folio_t (a STRING, b STRING) USING parquet PARTITIONED BY (b)")
+    assert readers.table_columns(spark, "folio_t") == (["a", "b"], ["b"])
+    spark.sql("DROP TABLE folio_t")
+
+
+def test_prompt_and_payloads(spark):
+    df = spark.createDataFrame([("x",), (None,)], "t string")
+    assert '["a", "a_s"]' in df.select(adapters.prompt(["a"], F.col("t"))).first()[0]
+    assert [r[0] for r in adapters.payloads(df, "t").collect()] == ['{"t":"x"}', "{}"]
+    assert readers.override_rows(spark, {"f.jpg": {"a": "1"}, "zip_key_prefix": "p"}, "t", "b").count() == 1
