@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text
@@ -36,12 +36,18 @@ def explode_fields(rows: DataFrame, column: str, fields: dict[str, str]) -> Data
 def grouped_text(rows: DataFrame, keys: list[str], order: str, value: str, most: int = 900) -> DataFrame:
     """Texts of each group joined in order, capped, and the group's first ``order`` value.
 
-    Only the cap's worth of each text is gathered, since nothing beyond it is kept.
+    Every text adds at least a separator, so only a group's first ``most`` texts, and
+    the cap's worth of each, can count: the rank limit runs before the shuffle too, and
+    no group of any size is gathered.
     """
-    piece = F.struct(F.col(order).alias("o"), F.left(F.col(value), F.lit(most)).alias("t"))
-    got = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.min(order).alias("first_path"))
-    joined = F.array_join(F.transform("pieces", lambda p: p["t"]), " ")
-    return got.select(*keys, text.capped(joined, most).alias("text"), "first_path")
+    ranked = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(order).alias("_o"), F.left(F.col(value), F.lit(most)).alias("_t"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_o", "_t"))
+    few = ranked.withColumn("_rank", rank).filter(F.col("_rank") <= most)
+    pieces = F.array_sort(F.collect_list(F.struct("_rank", "_t")))
+    joined = F.array_join(F.transform(pieces, lambda p: p["_t"]), " ")
+    texts = few.groupBy(*keys).agg(text.capped(joined, most).alias("text"))
+    first = rows.groupBy(*keys).agg(F.min(order).alias("first_path"))
+    return first.join(texts, keys, "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"), "first_path")
 
 
 def mapped(rows: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:

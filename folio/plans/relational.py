@@ -137,8 +137,9 @@ def union(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q53_distinct_lines", "SELECT conv_id, string_agg(role, ' ' ORDER BY first) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY conv_id, role) GROUP BY conv_id")
 def distinct_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])
-    return table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.array_distinct(lines), " ").alias("roles"))
+    once = table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.min("turn").alias("first"))
+    roles = F.transform(F.array_sort(F.collect_list(F.struct("first", "role"))), lambda x: x["role"])
+    return once.groupBy("conv_id").agg(F.array_join(roles, " ").alias("roles"))
 
 
 @query("q54_centroids", "SELECT l_orderkey, l_linenumber, round((l_quantity + l_tax + l_discount + l_quantity * 2) / 4, 4) AS x, round((l_tax * 3 + l_discount) / 4, 4) AS y FROM lineitem")
