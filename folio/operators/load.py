@@ -45,9 +45,11 @@ def grouped_text(rows: DataFrame, keys: list[str], order: str, value: str, most:
     few = ranked.withColumn("_rank", rank).filter(F.col("_rank") <= most)
     pieces = F.array_sort(F.collect_list(F.struct("_rank", "_t")))
     joined = F.array_join(F.transform(pieces, lambda p: p["_t"]), " ")
-    texts = few.groupBy(*keys).agg(text.capped(joined, most).alias("text"))
+    own = [f"_key{i}" for i in range(len(keys))]
+    texts = few.groupBy(*keys).agg(text.capped(joined, most).alias("text")).toDF(*own, "text")
     first = rows.groupBy(*keys).agg(F.min(order).alias("first_path"))
-    return first.join(texts, keys, "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"), "first_path")
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]
+    return first.join(texts, same, "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"), "first_path")
 
 
 def mapped(rows: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:

@@ -221,3 +221,9 @@ def test_prompt_and_payloads(spark):
     assert '["a", "a_s"]' in df.select(adapters.prompt(["a"], F.col("t"))).first()[0]
     assert [r[0] for r in adapters.payloads(df, "t").collect()] == ['{"t":"x"}', "{}"]
     assert readers.override_rows(spark, {"f.jpg": {"a": "1"}, "zip_key_prefix": "p"}, "t", "b").count() == 1
+
+
+def test_grouped_text(spark):
+    rows = [(None, 2, "b"), (None, 1, "a"), ("x", 1, None), ("y", 2, "long " * 300), ("y", 1, "first"), ("y", 1, "earlier")] + [("z", i, "w") for i in range(2000)]
+    got = {r.k: (r.text, r.first_path) for r in load.grouped_text(spark.createDataFrame(rows, "k string, o int, t string"), ["k"], "o", "t").collect()}
+    assert got == {None: ("a b", 1), "x": ("", 1), "y": (("earlier first " + "long " * 300)[:900], 1), "z": (("w " * 2000)[:900], 0)}
