@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.llm import textkernel as tk
+
 #: Entries of each of the two generations of a worker's cache.
 CACHE_ENTRIES = 300_000
 #: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
@@ -230,6 +232,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
+tk.KEPT.append(_ENCODERS)
 
 
 def encoder(path: str, pattern: str) -> Encoder:

@@ -8,6 +8,7 @@ partition.  Null texts count as empty.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -92,8 +93,20 @@ def column_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+#: Caches that an operator keeps in a worker process from task to task.
+KEPT: list[dict] = []
+
+
 def blocks(column: pa.Array, limit: int | None = None) -> Iterator[Block]:
-    """Cut a text column into blocks of whole rows."""
+    """Cut a text column into blocks of whole rows.
+
+    Worker processes serve one operator after the other; what another one has kept
+    in this process goes first, so that memory does not add up over a pipeline.
+    """
+    if any(KEPT):
+        for cache in KEPT:
+            cache.clear()
+        gc.collect()
     limit = limit or BLOCK_BYTES
     data, offsets = column_buffers(column)
     n, i = len(offsets) - 1, 0
