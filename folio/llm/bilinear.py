@@ -115,7 +115,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 unique, at, n = np.unique(h, return_index=True, return_counts=True)
                 yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(ending[at]), pa.array(n.astype(np.int64))], names=["hash", "ending", "c"])
 
-    return _texts(docs).mapInArrow(run, "hash long, ending long, c long").groupBy("hash", "ending").agg(F.sum("c").alias("c"))
+    return _texts(docs).transform(shared.arrow, run, "hash long, ending long, c long").groupBy("hash", "ending").agg(F.sum("c").alias("c"))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -156,7 +156,7 @@ def count_trigrams(docs: DataFrame, own: np.ndarray) -> DataFrame:
                 gram, n = np.unique(contexts(cls, row) * CLASSES + cls, return_counts=True)
                 yield pa.record_batch([pa.array(gram), pa.array(n.astype(np.int64))], names=["gram", "c"])
 
-    return _texts(docs).mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return _texts(docs).transform(shared.arrow, run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _onehot(index: np.ndarray, n: int) -> np.ndarray:
@@ -246,7 +246,7 @@ def score_parts(docs: DataFrame, v: Vocabulary, p: Parameters, held_out: Column)
                 sums = [total(logs), total(np.where(inner, logs, 0.0)), total(np.where(inner, log_slot[np.clip(cls - OWN, 0, SHARED - 1)], 0.0)), total(lm)]
                 yield pa.record_batch([here("doc_id"), here("held_out"), pa.array(total(None).astype(np.int64)), pa.array(total(known).astype(np.int64)), *(pa.array(s, pa.float64()) for s in sums), rest, rest_n], names=[x.split()[0] for x in _SCORED.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, _SCORED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, _SCORED)
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:

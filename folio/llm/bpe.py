@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.llm import shared
 from folio.llm import textkernel as tk
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 #: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
-PREFIXES = (12, 9, 6)
+PREFIXES = (12, 8)
 #: White_Space of Unicode, as patterns of tokenizers understand it.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -174,8 +175,11 @@ class Encoder:
         self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
         self.begun: dict[bytes, list[int]] = {}
         self.pieces: dict[str, list[int]] = {}
-        self.recent: dict[str, tuple[str, int, bytes]] = {}
-        self.older: dict[str, tuple[str, int, bytes]] = {}
+        # a unit's ids as decimal text; nearly always they decode to the unit itself, which
+        # is checked when they are worked out, and other bytes are held beside it
+        self.recent: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.unlike: dict[str, bytes] = {}
 
     def ids_of_piece(self, piece: bytes) -> list[int]:
         """Fill the table from the longest beginning whose entries are known, by exact appends."""
@@ -190,18 +194,21 @@ class Encoder:
         fill(self.vocabulary, piece, last)
         for known in PREFIXES:
             if start < known < n:
-                if len(begun) >= self.cache:
+                if len(begun) >= self.cache // 4:
                     begun.clear()
                 begun[piece[:known]] = last[: known + 1]
         return walk_back(self.vocabulary, last)
 
-    def unit(self, unit: str) -> tuple[str, int, bytes]:
-        """Ids as decimal text, their number, and the bytes that they decode to."""
+    def unit(self, unit: str) -> str:
+        """Ids as decimal text."""
         found = self.older.get(unit)
         if found is None:
+            raw = unit.encode()
             # a space and ASCII letters are one piece
-            ids = self.ids_of_piece(unit.encode()) if unit[0] == " " and unit[1:].isalpha() and unit.isascii() else self.encode(unit)
-            found = (",".join(map(str, ids)), len(ids), self.decode(ids))
+            ids = self.ids_of_piece(raw) if unit[0] == " " and unit[1:].isalpha() and unit.isascii() else self.encode(unit)
+            found = ",".join(map(str, ids))
+            if (decoded := self.decode(ids)) != raw:
+                self.unlike[unit] = decoded
         if len(unit) <= 64:
             if len(self.recent) >= self.cache:
                 self.recent, self.older = {}, self.recent
@@ -215,7 +222,7 @@ class Encoder:
             if ids is None:
                 ids = self.ids_of_piece(p.encode())
                 if len(p) <= 64:
-                    if len(pieces) >= self.cache:
+                    if len(pieces) >= self.cache // 4:
                         pieces.clear()
                     pieces[p] = ids
             out += ids
@@ -225,10 +232,13 @@ class Encoder:
         bytes_of = self.vocabulary.bytes_of
         return b"".join([bytes_of[i] for i in ids])
 
-    def encode_units(self, text: str) -> list[tuple[str, int, bytes]]:
-        """The text in units, each with its ids as text, their number and what they decode to."""
-        known = self.recent.get
-        return [known(u) or self.unit(u) for u in self.units(text)]
+    def encode_units(self, text: str) -> tuple[str, bytes]:
+        """The ids of a text as decimal text with commas, and the bytes that they decode to."""
+        known, units = self.recent.get, self.units(text)
+        ids = ",".join([known(u) or self.unit(u) for u in units])
+        if self.unlike and any(u in self.unlike for u in units):
+            return ids, b"".join([self.unlike.get(u) or u.encode() for u in units])
+        return ids, "".join(units).encode()
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -267,10 +277,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         e = encoder(path, pattern)
         for batch in batches:
             for i, texts in _texts(batch):
-                ids = [[int(x) for s, _, _ in e.encode_units(t or "") for x in s.split(",")] for t in texts]
+                ids = [[int(x) for x in e.encode_units(t or "")[0].split(",") if x] for t in texts]
                 yield pa.record_batch([batch.column("doc_id").slice(i, len(texts)), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "token_ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, token_ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, "doc_id long, token_ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -282,7 +292,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             texts = [e.decode(ids or []).decode("utf-8", "replace") for ids in batch.column("token_ids").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "token_ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "token_ids").transform(shared.arrow, run, "doc_id long, text string")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -299,13 +309,13 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             counts, ids, back = [], [], []
             for _, texts in _texts(batch):
                 for text in texts:
-                    units = e.encode_units(text or "")
-                    counts.append(sum([n for _, n, _ in units]))
-                    ids.append(sha(",".join([s for s, _, _ in units]).encode()))
-                    back.append(sha(b"".join([b for _, _, b in units])))
+                    found, decoded = e.encode_units(text or "")
+                    counts.append(found.count(",") + 1 if found else 0)
+                    ids.append(sha(found.encode()))
+                    back.append(sha(decoded))
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def default_vocabulary() -> tuple[str, str]:

@@ -96,7 +96,7 @@ def measures(docs: DataFrame, *keep: str) -> DataFrame:
             columns = [pa.array(np.concatenate([f[i] for f in found]) if found else np.zeros(0), pa.int64()) for i in range(5)]
             yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), *columns], names=[*keep, *names])
 
-    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").cast("string").alias("_text")).transform(shared.arrow, run, schema)
 
 
 def with_failures(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -158,7 +158,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 best[rows], score[rows] = predict_block(m, block)
             yield pa.record_batch([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, "doc_id long, lang_pred string, score double")
 
 
 def is_held_out(column: str = "doc_id"):

@@ -91,7 +91,7 @@ def measure(docs: DataFrame) -> DataFrame:
                 sketch = [pa.array(np.ascontiguousarray(x["sketch"][:, i]).view(np.int64)) for i in range(len(_SKETCH))]
                 yield pa.record_batch([batch.column("doc_id").slice(block.first, block.rows), pa.array(x["n"], pa.int64()), *longs, bands, *sketch], names=["doc_id", "n_shingles", "s1", "s2", "bands", *_SKETCH])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _STATS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, _STATS)
 
 
 def flips(left: str, right: str) -> Column:
@@ -154,7 +154,7 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                             break
             yield pa.record_batch([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
-    return shared.materialise(rows.select("node", "b", "copy", "role", "text").mapInArrow(run, "a long, b long").distinct())
+    return shared.materialise(rows.select("node", "b", "copy", "role", "text").transform(shared.arrow, run, "a long, b long").distinct())
 
 
 _MEMBER = ["key", "band", "part", "sub", "role", "node", "own", "n_shingles", "bands", *_SKETCH]
@@ -285,12 +285,12 @@ def outlier_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs:
     others = dealt.select("key", "band", number("parts").alias("part"), hashed(2, "subs").alias("sub"), F.lit(1).alias("role"), "node", "own")
     rows = lists.unionAll(others).join(nodes.select("node", "n_shingles", "bands", *_SKETCH), "node").select(*_MEMBER)
     order = ("key", "part", "sub")
-    active = shared.materialise(rows.repartition(*order).sortWithinPartitions(*order, "role").mapInArrow(_active, _MEMBER_DDL))
+    active = shared.materialise(rows.repartition(*order).sortWithinPartitions(*order, "role").transform(shared.arrow, _active, _MEMBER_DDL))
     if active.isEmpty():
         return None
     ids = shared.checked_broadcast(active.select("node").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(ids, "node", "left_semi")
-    found = active.join(texts, "node").repartition(*order).sortWithinPartitions(*order, "role").select(*_MEMBER, "text").mapInArrow(_linked, "a long, b long")
+    found = active.join(texts, "node").repartition(*order).sortWithinPartitions(*order, "role").select(*_MEMBER, "text").transform(shared.arrow, _linked, "a long, b long")
     return shared.materialise(found.distinct())
 
 

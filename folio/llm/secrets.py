@@ -295,7 +295,7 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
                 added_spans(field, block, rows)
                 yield pa.record_batch([batch.column("doc_id").slice(block.first, block.rows), *(pa.array(c, pa.int64()) for c in counts), pa.array(digest), pa.array([written(s) for s in rows], pa.string())], names=[x.split()[0] for x in _FOUND.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _FOUND)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, _FOUND)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

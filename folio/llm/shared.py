@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast up to this many rows of at most a few hundred bytes.
 BROADCAST_ROWS = 100_000
+#: Rows of an Arrow batch on its way to and from Python.
+ARROW_ROWS = 1000
 
 
 def hidden(name: str) -> str:
@@ -26,14 +30,48 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialised inside go at the end, so results must be written before it."""
+    made: list[str] = []
+    _SCRATCH.append(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(made)
+        for path in made:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and read them back: cuts lineage, survives lost executors."""
+    """Write the rows to the shared folder and read them back: cuts lineage, survives lost executors.
+
+    The table stays until the ``scratch`` around it ends, or else for whoever cleans the folder.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/folio-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``ARROW_ROWS`` rows.
+
+    The setting is the session's; it is only ever made smaller.  A batch is held on both
+    sides of the pipe, so documents of tens of kilobytes would else fill an executor.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= ARROW_ROWS:
+        conf.set(name, str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def checked_broadcast(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``bound`` rows, else as it is.
 

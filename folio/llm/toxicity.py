@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: Model, *keep: str, name: str = "score") -> Dat
             found = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
             yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), found], names=[*keep, name])
 
-    return docs.select(*(F.col(f"`{k}`") for k in keep), *extra).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{k}`") for k in keep), *extra).transform(shared.arrow, run, schema)
 
 
 def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -174,7 +174,7 @@ def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
                     scores.append(float(p[k]))
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sentences, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "sentence", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, sentence string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, "doc_id long, sentence string, score double")
 
 
 def is_held_out(column: str = "doc_id"):

@@ -15,7 +15,9 @@ REFERENCE = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=VOCABULARY
 
 
 def ids(text: str) -> list[int]:
-    return [int(i) for s, _, _ in ENCODER.encode_units(text) for i in s.split(",")]
+    found, decoded = ENCODER.encode_units(text)
+    assert decoded == text.encode()
+    return [int(i) for i in found.split(",") if i]
 
 
 @settings(max_examples=300, deadline=None)
