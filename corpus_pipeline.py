@@ -55,8 +55,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
         path = f"{folder}/{i}-{name}"
-        out.write.parquet(path)
+        with shared.scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
     return docs
