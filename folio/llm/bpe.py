@@ -31,7 +31,7 @@ from folio.llm import shared
 from folio.llm import textkernel as tk
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 250_000
 #: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
 PREFIXES = (12, 8)
 #: White_Space of Unicode, as patterns of tokenizers understand it.
@@ -48,9 +48,13 @@ class Vocabulary:
             self.bytes_of[rank] = token
         # a token that its own bytes do not encode to can never appear
         self.usable = {t: r for t, r in ranks.items() if len(t) == 1 or self.merged(t) == [t]}
-        # every ending of a token, with the token's id or -1 where the ending is no token itself
-        self.endings: dict[bytes, int] = {t[i:]: -1 for t in self.usable for i in range(1, len(t))}
-        self.endings.update(self.usable)
+        # tokens by their bytes from the last to the first; a token's id is under -1
+        self.from_end: dict[int, dict | int] = {}
+        for token, rank in self.usable.items():
+            node = self.from_end
+            for byte in reversed(token):
+                node = node.setdefault(byte, {})
+            node[-1] = rank
         self.reach = max(map(len, self.usable), default=0)
         self.pairs: dict[int, bool] = {}
 
@@ -97,15 +101,17 @@ def fill(v: Vocabulary, data: bytes, last: list[int], in_step: tuple[list[int],
     after an edit; once ``reach`` entries in a row beyond it equal the old ones,
     all later entries do too and are taken over.
     """
-    endings, pairs, neighbours, add = v.endings.get, v.pairs.get, v.neighbours, last.append
+    top, pairs, neighbours, add = v.from_end, v.pairs.get, v.neighbours, last.append
     same = 0
     for i in range(len(last), len(data) + 1):
-        found = -1
-        for j in range(i - 1, -1, -1):
-            token = endings(data[j:i])
-            if token is None:
+        found, node, j = -1, top, i
+        while j:
+            j -= 1
+            node = node.get(data[j])
+            if node is None:
                 break
-            if token < 0:
+            token = node.get(-1)
+            if token is None:
                 continue
             if j:
                 left = last[j]
@@ -194,7 +200,7 @@ class Encoder:
         fill(self.vocabulary, piece, last)
         for known in PREFIXES:
             if start < known < n:
-                if len(begun) >= self.cache // 4:
+                if len(begun) >= self.cache // 5:
                     begun.clear()
                 begun[piece[:known]] = last[: known + 1]
         return walk_back(self.vocabulary, last)
@@ -222,7 +228,7 @@ class Encoder:
             if ids is None:
                 ids = self.ids_of_piece(p.encode())
                 if len(p) <= 64:
-                    if len(pieces) >= self.cache // 4:
+                    if len(pieces) >= self.cache // 5:
                         pieces.clear()
                     pieces[p] = ids
             out += ids
