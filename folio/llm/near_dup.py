@@ -45,7 +45,7 @@ THRESHOLD = (75, 100)
 #: XOR counts above this rule out a similarity of 0.75 (57 expected there, about 8.5 standard error).
 MAX_FLIPS = 104
 #: Outliers of a bucket in one group, about; its members in one; pairs of one copy of a text.
-LIST, SUB, FAN = 256, 4096, 200
+LIST, SUB, FAN = 256, 1024, 64
 _U = np.uint64
 _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 1 << 63, PERMS, dtype=np.uint64)
@@ -276,7 +276,8 @@ def outlier_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs:
     with_own = members.join(named, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("own"), "first")
     marked = with_own.join(named.select(F.col("node").alias("first"), F.col("component").alias("of_first")), "first", "left")
     marked = shared.materialise(marked.select("key", "band", "node", "own", (F.col("own") != F.coalesce("of_first", "first")).alias("out")))
-    counts = marked.groupBy("key").agg(F.count_if("out").alias("outliers"), F.count("*").alias("m")).filter("outliers > 0")
+    # hot buckets: the members stay where they are while the counts come to them
+    counts = shared.checked_broadcast(shared.materialise(marked.groupBy("key").agg(F.count_if("out").alias("outliers"), F.count("*").alias("m")).filter("outliers > 0")))
     parts, subs = F.ceil(F.col("outliers") / LIST), F.ceil(F.col("m") / SUB)
     dealt = marked.join(counts, "key").select("key", "band", "node", "own", "out", parts.alias("parts"), subs.alias("subs"))
     number = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
