@@ -110,7 +110,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tk.blocks(batch.column("text"), 8 << 20):
+            for block in tk.blocks(batch.column("text"), 2 << 20):
                 h, ending, _ = tokens(block)
                 unique, at, n = np.unique(h, return_index=True, return_counts=True)
                 yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(ending[at]), pa.array(n.astype(np.int64))], names=["hash", "ending", "c"])
@@ -150,7 +150,7 @@ def count_trigrams(docs: DataFrame, own: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tk.blocks(batch.column("text"), 8 << 20):
+            for block in tk.blocks(batch.column("text"), 2 << 20):
                 h, ending, row = tokens(block)
                 cls = classes(shipped.value, h, ending)
                 gram, n = np.unique(contexts(cls, row) * CLASSES + cls, return_counts=True)
@@ -159,13 +159,14 @@ def count_trigrams(docs: DataFrame, own: np.ndarray) -> DataFrame:
     return _texts(docs).transform(shared.arrow, run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def _onehot(index: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros((len(index), n), np.float32)
-    out[np.arange(len(index)), index] = 1
-    return out
+def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows by their index."""
+    d = rows.shape[1]
+    flat = (index[:, None] * d + np.arange(d)).ravel()
+    return np.bincount(flat, rows.ravel(), minlength=n * d).reshape(n, d)
 
 
-def train(gram: np.ndarray, count: np.ndarray, d: int = 24, steps: int = 1500, batch: int = 4096, noise: int = 32, rate: float = 0.1) -> Parameters:
+def train(gram: np.ndarray, count: np.ndarray, d: int = 24, steps: int = 1000, batch: int = 4096, noise: int = 32, rate: float = 0.1) -> Parameters:
     """Noise-contrastive estimation with Adagrad on minibatches drawn by the counts."""
     rng = np.random.default_rng(11)
     S = CLASSES + 1
@@ -189,8 +190,8 @@ def train(gram: np.ndarray, count: np.ndarray, d: int = 24, steps: int = 1500, b
         fake = 1 / (1 + np.exp(-(q @ p.embed[drawn].T + p.bias[drawn] - log_kq[drawn])))
         gt, gf = (1 - true).astype(np.float32) / batch, -fake.astype(np.float32) / batch
         dq = gt[:, None] * ey + gf @ p.embed[drawn]
-        de = _onehot(y, S).T @ (gt[:, None] * q) + _onehot(drawn, S).T @ (gf.T @ q)
-        de += _onehot(x1, S).T @ (dq @ p.context[0].T) + _onehot(x2, S).T @ (dq @ p.context[1].T)
+        index = np.concatenate([y, drawn, x1, x2])
+        de = _summed(index, np.concatenate([gt[:, None] * q, gf.T @ q, dq @ p.context[0].T, dq @ p.context[1].T]), S)
         db = np.bincount(y, gt, minlength=CLASSES) + np.bincount(drawn, gf.sum(0), minlength=CLASSES)
         dc = np.stack([e1.T @ dq, e2.T @ dq])
         step_rate = rate * (1 - step / steps)
@@ -255,7 +256,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     counts = shared.materialise(count_words(training))
     v = vocabulary(counts)
     grams = count_trigrams(training, v.own).toArrow().sort_by("gram")
-    p = train(grams["gram"].to_numpy(), grams["c"].to_numpy())
+    with shared.one_blas_thread():
+        p = train(grams["gram"].to_numpy(), grams["c"].to_numpy())
     parts = shared.materialise(score_parts(docs, v, p, held_out).withColumn("uid", F.monotonically_increasing_id()))
     rest = parts.select("uid", F.explode(F.arrays_zip("rest", "rest_n")).alias("x")).select("uid", F.col("x.rest").alias("hash"), F.col("x.rest_n").alias("n"))
     met = rest.join(counts.select("hash", "c"), "hash", "left")

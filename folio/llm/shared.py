@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
+
+import numpy as np
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +90,31 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+@contextlib.contextmanager
+def one_blas_thread() -> Iterator[None]:
+    """Small matrix products one after the other: waiting for threads costs them ten times their work.
+
+    Does nothing where numpy's own OpenBLAS is not found.
+    """
+    folder = Path(np.__file__).resolve().parent.parent / "numpy.libs"
+    found = next(iter(folder.glob("*openblas*")), None) if folder.is_dir() else None
+    calls = None
+    if found:
+        library = ctypes.CDLL(str(found))
+        for name in ("scipy_openblas_{}_num_threads64_", "openblas_{}_num_threads64_", "openblas_{}_num_threads"):
+            if hasattr(library, name.format("set")):
+                calls = getattr(library, name.format("get")), getattr(library, name.format("set"))
+                break
+    before = calls[0]() if calls else 0
+    if calls:
+        calls[1](1)
+    try:
+        yield
+    finally:
+        if calls:
+            calls[1](before)
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
