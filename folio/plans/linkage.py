@@ -11,8 +11,13 @@ from folio.plans.registry import query
 from folio.plans.views import table
 
 
+def whole_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned whole texts of all documents."""
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), text.clean_text(F.col("text")).alias("key")).filter(F.length("key") >= 3)
+
+
 def keys(spark: SparkSession, d: str, remainder: int) -> DataFrame:
-    """Cleaned beginnings of English documents of even or odd id."""
+    """Cleaned beginnings of English documents of even or odd id: two sides for tests, no query takes them."""
     docs = table(spark, d, "documents").filter((F.col("lang") == "en") & (F.col("doc_id") % 2 == remainder))
     return docs.select(F.col("doc_id").alias("id"), F.trim(F.left(text.clean_text(F.col("text")), F.lit(60))).alias("key")).filter(F.length("key") >= 3)
 
@@ -36,19 +41,18 @@ def edit_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q44_ngrams", f"WITH {KEYS} SELECT id, n FROM n")
 def ngrams(spark: SparkSession, d: str) -> DataFrame:
-    both = keys(spark, d, 0).unionByName(keys(spark, d, 1))
-    return both.select("id", F.size(similarity.ngrams(F.col("key"))).cast("long").alias("n"))
+    return whole_keys(spark, d).select("id", F.size(similarity.ngrams(F.col("key"))).cast("long").alias("n"))
 
 
 @query("q45_gram_pairs", f"WITH {KEYS} SELECT l_id, r_id, round(distance, 6) AS distance FROM j")
 def gram_pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.gram_pairs(keys(spark, d, 0), keys(spark, d, 1))
+    found = matching.all_pairs(whole_keys(spark, d))
     return found.select("l_id", "r_id", F.round("distance", 6).alias("distance"))
 
 
 @query("q46_match_keys", f"WITH {KEYS} SELECT l_id AS ref_id, r_id AS transaction_id, l_key AS ref_value, r_key AS input_value, 'text' AS matched_on_field, round(1 - levenshtein(l_key, r_key) / greatest(length(l_key), length(r_key)), 6) AS score, round(distance, 6) AS distance FROM j WHERE 1 - levenshtein(l_key, r_key) / greatest(length(l_key), length(r_key)) >= 0.8")
 def match_keys(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.match_keys(keys(spark, d, 0), keys(spark, d, 1), "text")
+    found = matching.match_pairs(matching.all_pairs(whole_keys(spark, d)), "text")
     return found.withColumns({"score": F.round("score", 6), "distance": F.round("distance", 6)})
 
 
@@ -94,7 +98,7 @@ def person_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q49_lsh_pairs")
 def lsh_pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.lsh_pairs(keys(spark, d, 0), keys(spark, d, 1), tables=5)
+    found = matching.lsh_pairs(whole_keys(spark, d), whole_keys(spark, d), tables=5).filter("l_id < r_id")
     return found.select("l_id", "r_id", F.round("distance", 6).alias("distance"))
 
 
