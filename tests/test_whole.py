@@ -36,3 +36,11 @@ def test_linkage_takes_whole_texts_of_all_documents(spark, documents):
     assert {(r.l_id, r.r_id): r.distance for r in run("q45_gram_pairs")} == close
     assert {(r.ref_id, r.transaction_id) for r in run("q46_match_keys")} == {(2, 4), (7, 9)}
     assert {(2, 4), (7, 9)} <= {(r.l_id, r.r_id) for r in run("q49_lsh_pairs")} <= set(close)
+
+
+def test_column_matches_of_all_customers(spark, tmp_path):
+    spark.createDataFrame([(7,), (47,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(7,), (367,), (907,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    found = catalogue.QUERIES["q47_match_columns"](spark, str(tmp_path)).collect()
+    want = {(s, c, f) for s in (7, 47) for c in (7, 367, 907) for f in ("name", "title")}
+    assert {(r.ref_id, r.transaction_id, r.matched_on_field) for r in found} == want
