@@ -120,7 +120,7 @@ def _hits(spark: SparkSession, d: str, k: int) -> tuple[DataFrame, DataFrame]:
 
 @query("q50_search", f"WITH {_WORDS} SELECT q_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10")
 def search_top(spark: SparkSession, d: str) -> DataFrame:
-    return _hits(spark, d, 10)[0].select("q_id", "id", F.round("score", 6).alias("score"), "rank")
+    return _hits(spark, d, search.HITS)[0].select("q_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
 @query(
@@ -131,7 +131,7 @@ def search_top(spark: SparkSession, d: str) -> DataFrame:
     "SELECT s_suppkey AS q_id, CASE WHEN accept THEN id END AS id, CASE WHEN accept THEN 'Yes' ELSE 'No' END AS found, coalesce(confidence, 0) AS confidence FROM supplier LEFT JOIN c ON s_suppkey = q_id AND k = 1",
 )
 def ranked_decision(spark: SparkSession, d: str) -> DataFrame:
-    hits, queries = _hits(spark, d, 8)
+    hits, queries = _hits(spark, d, search.HITS)
     both = F.col("id") + F.col("q_id")
     outcome = search.hit_outcome(F.col("score"), (F.col("id") % 100) / 100.0, F.col("id") % 90, both % 11 == 0, both % 13 == 0)
     return search.decide(hits.withColumns(outcome), queries)

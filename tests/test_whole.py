@@ -44,3 +44,15 @@ def test_column_matches_of_all_customers(spark, tmp_path):
     found = catalogue.QUERIES["q47_match_columns"](spark, str(tmp_path)).collect()
     want = {(s, c, f) for s in (7, 47) for c in (7, 367, 907) for f in ("name", "title")}
     assert {(r.ref_id, r.transaction_id, r.matched_on_field) for r in found} == want
+
+
+def test_search_gives_and_decides_over_the_reference_limit(spark, tmp_path):
+    # equal scores, so ids rank; for supplier 0, part 26 is the first that accepts, beyond rank 10
+    ids = [(i, "red bolt", "Brand#0", "SMALL") for i in range(1, 301) if i % 11 and i % 13 or i == 26]
+    assert [i for i, *_ in ids].index(26) >= 10
+    spark.createDataFrame(ids, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(0,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    hits = catalogue.QUERIES["q50_search"](spark, str(tmp_path)).collect()
+    assert sorted(r["rank"] for r in hits) == list(range(1, 211))
+    (decision,) = catalogue.QUERIES["q51_ranked_decision"](spark, str(tmp_path)).collect()
+    assert (decision.q_id, decision.id, decision.found) == (0, 26, "Yes")
