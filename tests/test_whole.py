@@ -2,6 +2,7 @@
 
 import pytest
 
+from folio.operators import load
 from folio.plans import catalogue
 
 LONG = "the same sixty characters begin every text of this small table and then "
@@ -56,3 +57,21 @@ def test_search_gives_and_decides_over_the_reference_limit(spark, tmp_path):
     assert sorted(r["rank"] for r in hits) == list(range(1, 211))
     (decision,) = catalogue.QUERIES["q51_ranked_decision"](spark, str(tmp_path)).collect()
     assert (decision.q_id, decision.id, decision.found) == (0, 26, "Yes")
+
+
+def test_corrections_and_dimension_are_whole(spark, smallest):
+    documents = spark.read.parquet(f"{smallest}/documents.parquet").count()
+    corrected = catalogue.QUERIES["q11_reenter"](spark, smallest).collect()
+    assert len(corrected) == documents and all(r.corrected == "v" + r.image_path.rsplit("/")[-1][:-4] for r in corrected)
+    names = {r.n_nationkey: r.n_name for r in spark.read.parquet(f"{smallest}/nation.parquet").collect()}
+    nation = {r.c_custkey: r.c_nationkey for r in spark.read.parquet(f"{smallest}/customer.parquet").collect()}
+    assert {r.c_custkey: r.box for r in catalogue.QUERIES["q13_dimension"](spark, smallest).collect()} == {c: names[n] for c, n in nation.items()}
+
+
+def test_keys_without_a_partner(spark):
+    rows = spark.createDataFrame([("a", "t", "root/1.jpg"), ("a", "t", "root/2.jpg")], "batch_name string, transaction_id string, image_path string")
+    fixed = spark.createDataFrame([("a", "t", "2.jpg", "v2"), ("a", "u", "1.jpg", "v1")], "batch_name string, transaction_id string, image_filename string, corrected string")
+    assert [(r.image_path, r.corrected) for r in load.reenter(rows, fixed).collect()] == [("root/2.jpg", "v2")]
+    boxes = spark.createDataFrame([("a", "box a")], "k string, box string")
+    found = load.with_dimension(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"), boxes, "k").collect()
+    assert {(r.id, r.box) for r in found} == {(1, "box a"), (2, None)}
