@@ -1,21 +1,33 @@
 """Log-bilinear language model trained with noise-contrastive estimation.
 
-Tokens are the words of a text and one end.  The most frequent words are classes of
-their own; all others share classes by their last bytes, and the end has one.
-A class is predicted from the two before it: the score of class w is r_w . q + b_w
-with q = C_1 r_x + C_2 r_y.  Parameters are trained by telling corpus trigrams from
-noise drawn from the class frequencies, on the trigram counts of *all* training
-documents.  For scoring, products of all contexts' q with all r_w are normalised by
-their exact sums.  Within a shared class a word has its smoothed share of the
-class's corpus count, so the probabilities of all known words and one unknown word
-of each class sum to one.
-
-Counts cover every training document.  The table of the most frequent words (at
-most ``TABLE``) is broadcast; the other tokens of a document, rare by construction,
+Tokens are the words of a text and one end.  Words with enough training occurrences
+(``LEAST``; the ``OWN`` most frequent) are items of their own, each with an output
+vector r_w, a bias b_w and a context vector; all other words share items by their last
+bytes, and the end has one.  The vocabulary of own words so grows with the corpus up
+to ``OWN``.  The item w after the items x, y scores r_w . q + b_w with
+q = C_1 e_y + C_2 e_x; the classes that items are dealt to (by frequency, about the root of
+their number) score u_c . q + a_c.  Both are trained by telling corpus trigrams from noise
+drawn from the corpus frequencies.
+
+Training: the driver starts on a bounded, hash-picked sample of documents; from there
+each partition of *all* training documents trains a copy on all of its tokens, and the
+copies are averaged, each row weighted by how often a copy moved it.  Copies are added
+up in a tree, so the driver gets few of them.  A corpus of few tokens is passed over
+several times (``AIM``); from then on work grows with the corpus.
+
+Scoring: products of all contexts' q with the class vectors, and with the item vectors
+of the token's class, are normalised by their exact sums.  Within a shared item a word
+has its smoothed share of the item's corpus count, so the probabilities of all known
+words and one unknown word of each shared item sum to one.
+
+Counts cover every training document.  The table of the most frequent words (about
+``TABLE``) is sent to all tasks; the other tokens of a document, rare by construction,
 meet their counts in a shuffled join, so no key of it is hot.
 
 Defined results: a null or empty text is one end token; without training documents
-every token is unknown; rows that repeat a doc_id are scored each.
+every token is unknown; rows that repeat a doc_id are scored each; a text of any length
+is scored whole, a block of rows at a time; an empty table gives an empty result;
+columns other than ``doc_id`` and ``text`` are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,51 +43,83 @@ from pyspark.sql import functions as F
 from folio.llm import shared
 from folio.llm import textkernel as tk
 
-#: Words with a class of their own, classes shared by word endings, and the end's class.
-OWN, SHARED = 95, 32
-END_CLASS = OWN + SHARED
-CLASSES = END_CLASS + 1
-#: Class of the places before a text.
-START = CLASSES
-#: Most entries of the broadcast table of counts.
+#: Most words with vectors of their own, training occurrences that such a word needs, items shared by word endings.
+OWN, LEAST, SHARED = 8000, 30, 32
+#: Entries of the table of counts that is sent to all tasks, about.
 TABLE = 1 << 17
+#: Dimensions, tokens of a step, noise words and noise classes of a step.
+WIDTH, BATCH, NOISE, NOISE_CLASSES = 24, 4096, 32, 16
+#: Documents and bytes of the sample that training starts on, at most about; tokens that training sees at least.
+START_DOCS, START_BYTES, AIM = 2000, 8 << 20, 4_000_000
+RATE, LATE_RATE = 0.1, 0.04
+#: Tokens normalised at a time.
+CHUNK = 8192
 _U = np.uint64
 END = _U(0x1F83D9ABFB41BD6B)
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Counts of the frequent words by hash, own classes, and sums of the shared classes."""
+    """Counts of the frequent words by hash; items; corpus size."""
 
     hashes: np.ndarray  # sorted
     counts: np.ndarray
-    own: np.ndarray  # sorted hashes of the words with a class of their own
+    own: np.ndarray  # sorted hashes of the words with an item of their own
+    item_counts: np.ndarray  # training tokens of each item: own words, shared items, the end
+    slots: np.ndarray  # training tokens and types and one more, of each shared item
     tokens: int  # N
     types: int  # V
-    class_slots: np.ndarray  # N + V + 1 of each shared class
 
     @property
     def denominator(self) -> int:
         return self.tokens + self.types + 1
 
+    @property
+    def items(self) -> int:
+        return len(self.own) + SHARED + 1
 
-@dataclass(frozen=True)
+    @property
+    def end(self) -> int:
+        return len(self.own) + SHARED
+
+    @property
+    def start(self) -> int:
+        """The context of the places before a text."""
+        return self.items
+
+    def classes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Items in the order of their classes (the most frequent first), and where each class begins."""
+        order = np.lexsort((np.arange(self.items), -self.item_counts))
+        size = int(np.ceil(np.sqrt(self.items)))
+        return order, np.append(np.arange(0, self.items, size), self.items)
+
+
+@dataclass
 class Parameters:
-    embed: np.ndarray  # (CLASSES + 1) x d, the last for places before the text
-    bias: np.ndarray
-    context: np.ndarray  # 2 x d x d
+    """Vectors by row; ``words`` and ``class_vectors`` have their bias in the last column."""
+
+    context: np.ndarray  # (items + 1) x d
+    words: np.ndarray  # items x (d + 1)
+    class_vectors: np.ndarray  # classes x (d + 1)
+    mix: np.ndarray  # 2d x d: C_1 over C_2
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.context, self.words, self.class_vectors, self.mix]
+
+    def copy(self) -> Parameters:
+        return Parameters(*(p.copy() for p in self.parts()))
 
 
 def tokens(block: tk.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, ending class and row of every token; each row has its end last."""
+    """Hash, ending (-1 for the end) and row of every token; each row has its end last."""
     w = tk.words(block)
     n = len(w.start) + block.rows
     at = np.arange(len(w.start)) + w.row
     ends = w.first[1:] + np.arange(block.rows)
-    hashes, ending = np.empty(n, _U), np.full(n, -1, np.int64)
+    hashes, ending = np.empty(n, _U), np.full(n, -1, np.int8)
     hashes[at], hashes[ends] = w.hash, END
-    ending[at] = (w.hasher(np.maximum(w.end - 2, w.start), w.end) & _U(SHARED - 1)).astype(np.int64)
-    row = np.empty(n, np.int64)
+    ending[at] = (w.hasher(np.maximum(w.end - 2, w.start), w.end) & _U(SHARED - 1)).astype(np.int8)
+    row = np.empty(n, np.int32)
     row[at], row[ends] = w.row, np.arange(block.rows)
     return hashes, ending, row
 
@@ -83,22 +127,22 @@ def tokens(block: tk.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Index of each hash, or -1."""
     if not len(sorted_hashes):
-        return np.full(len(hashes), -1)
-    i = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
-    return np.where(sorted_hashes[i] == hashes, i, -1)
+        return np.full(len(hashes), -1, np.int32)
+    i = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1).astype(np.int32)
+    return np.where(sorted_hashes[i] == hashes, i, np.int32(-1))
 
 
-def classes(own: np.ndarray, hashes: np.ndarray, ending: np.ndarray) -> np.ndarray:
-    i = find(own, hashes)
-    return np.where(ending < 0, END_CLASS, np.where(i >= 0, i, OWN + ending))
+def items_of(v: Vocabulary, hashes: np.ndarray, ending: np.ndarray) -> np.ndarray:
+    i = find(v.own, hashes)
+    return np.where(ending < 0, np.int32(v.end), np.where(i >= 0, i, len(v.own) + ending.astype(np.int32)))
 
 
-def contexts(cls: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Index of the two classes before each token, the nearer one last."""
-    near, far = np.full(len(cls), START), np.full(len(cls), START)
-    near[1:] = np.where(row[1:] == row[:-1], cls[:-1], START)
-    far[2:] = np.where(row[2:] == row[:-2], cls[:-2], START)
-    return far * (CLASSES + 1) + near
+def contexts(v: Vocabulary, item: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The item before each token, and the one before that."""
+    near, far = np.full(len(item), v.start, np.int32), np.full(len(item), v.start, np.int32)
+    near[1:] = np.where(row[1:] == row[:-1], item[:-1], v.start)
+    far[2:] = np.where(row[2:] == row[:-2], item[:-2], v.start)
+    return near, far
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -110,110 +154,264 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tk.blocks(batch.column("text"), 2 << 20):
+            for block in tk.blocks(batch.column("text")):
                 h, ending, _ = tokens(block)
                 unique, at, n = np.unique(h, return_index=True, return_counts=True)
-                yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(ending[at]), pa.array(n.astype(np.int64))], names=["hash", "ending", "c"])
+                yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(ending[at]), pa.array(n.astype(np.int32))], names=["hash", "ending", "c"])
 
-    return _texts(docs).transform(shared.arrow, run, "hash long, ending long, c long").groupBy("hash", "ending").agg(F.sum("c").alias("c"))
+    return _texts(docs).transform(shared.arrow, run, "hash long, ending byte, c int").groupBy("hash", "ending").agg(F.sum("c").alias("c"))
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the materialised counts; what comes to the driver is bounded by ``TABLE``."""
-    total = counts.agg(F.sum("c"), F.count("*")).first()
-    level = F.floor(F.log2("c") * 8)
-    kept, least = 0, None
-    for step, n in sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("x")).count().collect()), reverse=True):
-        if kept + n > TABLE:
+def frequent(counts: DataFrame, most: int, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (sorted), endings and counts of about ``most`` words that are counted ``least`` times or more.
+
+    Whole levels of frequency, eight to an octave, and of the first that does not fit
+    the part that a hash picks: so it never comes out empty, and ties need no sort.
+    """
+    found = counts.filter((F.col("ending") >= 0) & (F.col("c") >= least)).withColumn("level", F.floor(F.log2("c") * 8))
+    kept, lowest, share = 0, None, 0
+    for level, n in sorted(((r[0], r[1]) for r in found.groupBy("level").count().collect()), reverse=True):
+        lowest, share = level, min(1 << 20, (most - kept) * (1 << 20) // n)
+        kept += n
+        if kept >= most:
             break
-        kept, least = kept + n, step
-    frequent = counts.filter(level >= least) if least is not None else counts.limit(0)
-    table = frequent.select("hash", "ending", "c").toArrow()
+    if lowest is None:
+        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    part = found.filter((F.col("level") > lowest) | ((F.col("level") == lowest) & (F.pmod(F.xxhash64("hash"), F.lit(1 << 20)) < share)))
+    table = part.select("hash", "ending", "c").toArrow()
     h, ending, c = (table[x].to_numpy() for x in ("hash", "ending", "c"))
-    h = h.view(_U)
-    order = np.argsort(h)
-    h, ending, c = h[order], ending[order], c[order]
-    words = np.flatnonzero(ending >= 0)
-    own = words[np.lexsort((h[words], -c[words]))[:OWN]]
-    own_hashes = np.sort(h[own])
-    slots = np.ones(SHARED)
+    order = np.argsort(h.view(_U))
+    return h.view(_U)[order], ending[order].astype(np.int64), c[order]
+
+
+def vocabulary(counts: DataFrame) -> Vocabulary:
+    """From the materialised counts; what comes to the driver is bounded by ``TABLE`` and ``OWN``."""
+    total = counts.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("ending") < 0, F.col("c")))).first()
+    hashes, _, c = frequent(counts, TABLE)
+    own, endings, own_c = frequent(counts, OWN, LEAST)
+    hashes, at = np.unique(np.concatenate([hashes, own]), return_index=True)  # own words are always in the table
+    c = np.concatenate([c, own_c])[at]
+    in_shared, slots = np.zeros(SHARED, np.int64), np.ones(SHARED, np.int64)
     for e, n, v in counts.filter("ending >= 0").groupBy("ending").agg(F.sum("c"), F.count("*")).collect():
+        in_shared[e] += n
         slots[e] += n + v
-    for i in own:
-        slots[ending[i]] -= c[i] + 1
-    return Vocabulary(h, c, own_hashes, int(total[0] or 0), int(total[1]), slots)
+    np.subtract.at(in_shared, endings, own_c)
+    np.subtract.at(slots, endings, own_c + 1)
+    return Vocabulary(hashes, c, own, np.concatenate([own_c, in_shared, [total[2] or 0]]).astype(np.int64), slots, int(total[0] or 0), int(total[1]))
+
+
+class Trainer:
+    """Noise-contrastive steps with Adagrad on one copy of the parameters."""
+
+    def __init__(self, v: Vocabulary, p: Parameters, squares: list[np.ndarray], seed: int, rate: float) -> None:
+        self.v, self.p, self.squares, self.rate = v, p, squares, rate
+        self.rng = np.random.default_rng(seed)
+        order, bounds = v.classes()
+        self.class_of = np.empty(v.items, np.int32)
+        self.class_of[order] = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        unigram = v.item_counts + 1.0
+        unigram /= unigram.sum()
+        of_classes = np.bincount(self.class_of, unigram)
+        self.levels = [(np.cumsum(q), np.log(q * k).astype(np.float32), k) for q, k in ((unigram, NOISE), (of_classes, NOISE_CLASSES))]
+        self.small = np.uint16 if v.items < 1 << 16 else np.int32
+        self.moved = [np.zeros(len(x)) for x in p.parts()]
+        self.steps = 0
+
+    def _move(self, which: int, index: np.ndarray, grads: np.ndarray) -> None:
+        """Adagrad on the rows that have a gradient; their gradients are summed first."""
+        order = np.argsort(index.astype(self.small), kind="stable")  # of 16 bits: sorted by counting
+        index = index[order]
+        at = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
+        rows, total = index[at], np.add.reduceat(grads[order], at, axis=0)
+        square = self.squares[which][rows] + total * total
+        self.squares[which][rows] = square
+        self.p.parts()[which][rows] += self.rate * total / np.sqrt(square)
+        self.moved[which][rows] += np.diff(np.append(at, len(index)))
+
+    def step(self, near: np.ndarray, far: np.ndarray, item: np.ndarray) -> None:
+        p, n = self.p, len(item)
+        both = np.concatenate([p.context[near], p.context[far]], axis=1)
+        q = both @ p.mix
+        dq = np.zeros_like(q)
+        for which, vectors, y, (ends, log_kq, k) in zip((1, 2), (p.words, p.class_vectors), (item, self.class_of[item]), self.levels, strict=True):
+            drawn = np.minimum(np.searchsorted(ends, self.rng.random(k)), len(ends) - 1)
+            mine, noise = vectors[y], vectors[drawn]
+            true = np.einsum("ij,ij->i", q, mine[:, :-1]) + mine[:, -1] - log_kq[y]
+            fake = q @ noise[:, :-1].T + (noise[:, -1] - log_kq[drawn])
+            gt = 1 / (1 + np.exp(np.minimum(true, 60))) / n
+            gf = -1 / (1 + np.exp(np.minimum(-fake, 60))) / n
+            dq += gt[:, None] * mine[:, :-1] + gf @ noise[:, :-1]
+            grads = np.empty((n + k, q.shape[1] + 1), np.float32)
+            np.multiply(q, gt[:, None], out=grads[:n, :-1])
+            grads[n:, :-1] = gf.T @ q
+            grads[:n, -1], grads[n:, -1] = gt, gf.sum(0)
+            self._move(which, np.concatenate([y, drawn]), grads)
+        back = dq @ p.mix.T
+        d = q.shape[1]
+        self._move(3, np.arange(2 * d), both.T @ dq)
+        self._move(0, np.concatenate([near, far]), np.concatenate([back[:, :d], back[:, d:]]))
+        self.steps += 1
+
+    def block(self, block: tk.Block) -> int:
+        """One pass over the tokens of a block, drawn without regard to their order; their number."""
+        h, ending, row = tokens(block)
+        item = items_of(self.v, h, ending)
+        near, far = contexts(self.v, item, row)
+        order = self.rng.permutation(len(item))
+        for i in range(0, len(order), BATCH):
+            at = order[i : i + BATCH]
+            self.step(near[at], far[at], item[at])
+        return len(item)
+
+
+def fresh(v: Vocabulary, d: int = WIDTH) -> tuple[Parameters, list[np.ndarray]]:
+    """Parameters before training, and Adagrad's sums: biases are log frequencies."""
+    rng = np.random.default_rng(11)
+    order, bounds = v.classes()
+    unigram = v.item_counts + 1.0
+    unigram /= unigram.sum()
+    small = lambda n, scale: (rng.standard_normal((n, d)) * scale).astype(np.float32)
+    biased = lambda x, b: np.concatenate([x, np.log(b)[:, None].astype(np.float32)], axis=1)
+    p = Parameters(small(v.items + 1, 0.1), biased(small(v.items, 0.1), unigram), biased(small(len(bounds) - 1, 0.1), np.add.reduceat(unigram[order], bounds[:-1])), np.concatenate([np.eye(d, dtype=np.float32), 0.5 * np.eye(d, dtype=np.float32)]))
+    return p, [np.full(x.shape, 1e-7, np.float32) for x in p.parts()]
+
+
+def start(docs: DataFrame, v: Vocabulary) -> tuple[Parameters, list[np.ndarray], int]:
+    """Parameters, Adagrad's sums and tokens seen, after training on a bounded sample of documents."""
+    p, squares = fresh(v)
+    texts = shared.sample_texts(docs, {None: START_DOCS}, START_BYTES)["text"].cast(pa.large_utf8())
+    trainer, seen = Trainer(v, p, squares, 3, RATE), 0
+    column = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.large_utf8())
+    with shared.one_blas_thread():
+        while len(column):
+            before = seen
+            for block in tk.blocks(column):
+                seen += trainer.block(block)
+            if seen >= AIM // 4 or seen + (seen - before) > AIM:
+                break
+    return p, squares, seen
 
 
-def count_trigrams(docs: DataFrame, own: np.ndarray) -> DataFrame:
-    """``gram, c``: counts of class trigrams of all rows; at most (CLASSES + 1)**3 rows."""
-    shipped = docs.sparkSession.sparkContext.broadcast(own)
+def _packed(moved: list[np.ndarray], parts: list[np.ndarray]) -> list[bytes]:
+    """The rows that moved, times how often: number, index, weights, values of each part."""
+    out = []
+    for n, x in zip(moved, parts, strict=True):
+        rows = np.flatnonzero(n)
+        out.append(b"".join([np.int64(len(rows)).tobytes(), rows.astype(np.int32).tobytes(), n[rows].tobytes(), (x[rows] * n[rows][:, None]).astype(np.float32).tobytes()]))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in tk.blocks(batch.column("text"), 2 << 20):
-                h, ending, row = tokens(block)
-                cls = classes(shipped.value, h, ending)
-                gram, n = np.unique(contexts(cls, row) * CLASSES + cls, return_counts=True)
-                yield pa.record_batch([pa.array(gram), pa.array(n.astype(np.int64))], names=["gram", "c"])
 
-    return _texts(docs).transform(shared.arrow, run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+class Sums:
+    """Weighted sums of copies of the parameters."""
 
+    def __init__(self, shapes: list[tuple[int, int]]) -> None:
+        self.weights = [np.zeros(n) for n, _ in shapes]
+        self.values = [np.zeros(s, np.float64) for s in shapes]
 
-def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows by their index."""
-    d = rows.shape[1]
-    flat = (index[:, None] * d + np.arange(d)).ravel()
-    return np.bincount(flat, rows.ravel(), minlength=n * d).reshape(n, d)
+    def add(self, blobs: list[bytes]) -> None:
+        for weight, value, blob in zip(self.weights, self.values, blobs, strict=True):
+            n = int(np.frombuffer(blob, np.int64, 1)[0])
+            rows = np.frombuffer(blob, np.int32, n, 8)
+            weight[rows] += np.frombuffer(blob, np.float64, n, 8 + 4 * n)
+            value[rows] += np.frombuffer(blob, np.float32, -1, 8 + 12 * n).reshape(n, value.shape[1])
 
+    def blobs(self) -> list[bytes]:
+        out = []
+        for weight, value in zip(self.weights, self.values, strict=True):
+            rows = np.flatnonzero(weight)
+            out.append(b"".join([np.int64(len(rows)).tobytes(), rows.astype(np.int32).tobytes(), weight[rows].tobytes(), value[rows].astype(np.float32).tobytes()]))
+        return out
 
-def train(gram: np.ndarray, count: np.ndarray, d: int = 24, steps: int = 1000, batch: int = 4096, noise: int = 32, rate: float = 0.1) -> Parameters:
-    """Noise-contrastive estimation with Adagrad on minibatches drawn by the counts."""
-    rng = np.random.default_rng(11)
-    S = CLASSES + 1
-    p = Parameters((rng.standard_normal((S, d)) * 0.1).astype(np.float32), np.zeros(CLASSES, np.float32), np.stack([np.eye(d, dtype=np.float32)] * 2))
-    if not len(gram):
-        return p
-    w, near, far = gram % CLASSES, gram // CLASSES % S, gram // CLASSES // S
-    unigram = np.bincount(w, count, minlength=CLASSES) + 1.0
-    unigram /= unigram.sum()
-    p.bias[:] = np.log(unigram)
-    ends = np.cumsum(count)
-    log_kq = np.log(noise * unigram).astype(np.float32)
-    squares = [np.full(x.shape, 1e-6, np.float32) for x in (p.embed, p.bias, p.context)]
-    for step in range(steps):
-        i = np.searchsorted(ends, rng.integers(0, ends[-1], batch), side="right")
-        x1, x2, y = near[i], far[i], w[i]
-        e1, e2, ey = p.embed[x1], p.embed[x2], p.embed[y]
-        q = e1 @ p.context[0] + e2 @ p.context[1]
-        drawn = rng.choice(CLASSES, noise, p=unigram)
-        true = 1 / (1 + np.exp(-((q * ey).sum(1) + p.bias[y] - log_kq[y])))
-        fake = 1 / (1 + np.exp(-(q @ p.embed[drawn].T + p.bias[drawn] - log_kq[drawn])))
-        gt, gf = (1 - true).astype(np.float32) / batch, -fake.astype(np.float32) / batch
-        dq = gt[:, None] * ey + gf @ p.embed[drawn]
-        index = np.concatenate([y, drawn, x1, x2])
-        de = _summed(index, np.concatenate([gt[:, None] * q, gf.T @ q, dq @ p.context[0].T, dq @ p.context[1].T]), S)
-        db = np.bincount(y, gt, minlength=CLASSES) + np.bincount(drawn, gf.sum(0), minlength=CLASSES)
-        dc = np.stack([e1.T @ dq, e2.T @ dq])
-        step_rate = rate * (1 - step / steps)
-        for value, grad, square in zip((p.embed, p.bias, p.context), (de, db, dc), squares, strict=True):
-            square += grad * grad
-            value += (step_rate * grad / np.sqrt(square)).astype(np.float32)
-    return p
 
+_COPY = "context binary, words binary, class_vectors binary, mix binary"
 
-def log_probabilities(p: Parameters) -> np.ndarray:
-    """log10 of the normalised probability of each class after each context."""
-    S, out = CLASSES + 1, []
-    near = p.embed @ p.context[0]
-    for far in p.embed @ p.context[1]:
-        z = (near + far) @ p.embed[:CLASSES].T + p.bias
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        out.append((z / np.log(10)).astype(np.float32))
-    return np.concatenate(out).reshape(S * S, CLASSES)
+
+def train(docs: DataFrame, v: Vocabulary) -> Parameters:
+    """Parameters from all rows of ``docs``; see above."""
+    p, squares, seen = start(docs, v)
+    if not v.tokens:
+        return p
+    passes = max(1, round((AIM - seen) / v.tokens))
+    shipped = docs.sparkSession.sparkContext.broadcast((v, p, squares))
+    shapes = [x.shape for x in p.parts()]
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, p, squares = shipped.value
+        trainer = Trainer(v, p.copy(), [s.copy() for s in squares], 5, LATE_RATE)
+        with shared.one_blas_thread():
+            for batch in batches:
+                for block in tk.blocks(batch.column("text")):
+                    for _ in range(passes):
+                        trainer.block(block)
+        if trainer.steps:
+            yield pa.record_batch([pa.array([b], pa.binary()) for b in _packed(trainer.moved, trainer.p.parts())], names=[c.split()[0] for c in _COPY.split(", ")])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, some = Sums(shapes), False
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sums.add([c[i].as_py() for c in batch.columns])
+                some = True
+        if some:
+            yield pa.record_batch([pa.array([b], pa.binary()) for b in sums.blobs()], names=batch.schema.names)
+
+    made = _texts(docs).transform(shared.arrow, copies, _COPY)
+    groups = int(np.ceil(np.sqrt(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    table = made.repartition(groups).transform(shared.arrow, added, _COPY).toArrow()
+    sums = Sums(shapes)
+    for row in zip(*(table[c] for c in table.column_names), strict=True):
+        sums.add([x.as_py() for x in row])
+    for x, weight, value in zip(p.parts(), sums.weights, sums.values, strict=True):
+        rows = np.flatnonzero(weight)
+        x[rows] = value[rows] / weight[rows][:, None]
+    return p
 
 
-_SCORED = "doc_id long, held_out boolean, n_tokens long, n_table long, log_all double, log_shared double, log_slots double, log_classes double, rest array<bigint>, rest_n array<int>"
+def log_normalised(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row of ``z`` at ``y``; ``z`` is used up."""
+    own = z[np.arange(len(z)), y]
+    top = z.max(axis=1)
+    z -= top[:, None]
+    np.exp(z, out=z)
+    return own - top - np.log(z.sum(axis=1))
+
+
+class Scorer:
+    """Normalised log10 probabilities of items after contexts."""
+
+    def __init__(self, v: Vocabulary, p: Parameters) -> None:
+        d = p.mix.shape[1]
+        self.near, self.far = p.context @ p.mix[:d], p.context @ p.mix[d:]
+        self.order, self.bounds = v.classes()
+        self.class_of, self.place = np.empty(v.items, np.int32), np.empty(v.items, np.int32)
+        self.class_of[self.order] = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        self.place[self.order] = np.arange(v.items) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        words = p.words[self.order]
+        self.words, self.word_bias = words[:, :-1].T.copy(), words[:, -1].copy()
+        self.top, self.top_bias = p.class_vectors[:, :-1].T.copy(), p.class_vectors[:, -1].copy()
+
+    def __call__(self, near: np.ndarray, far: np.ndarray, item: np.ndarray) -> np.ndarray:
+        out = np.empty(len(item), np.float64)
+        for i in range(0, len(item), CHUNK):
+            out[i : i + CHUNK] = self._chunk(near[i : i + CHUNK], far[i : i + CHUNK], item[i : i + CHUNK])
+        return out / np.log(10)
+
+    def _chunk(self, near: np.ndarray, far: np.ndarray, item: np.ndarray) -> np.ndarray:
+        of = self.class_of[item]
+        order = np.argsort(of, kind="stable")
+        of, q = of[order], self.near[near[order]] + self.far[far[order]]
+        found = log_normalised(q @ self.top + self.top_bias, of)
+        place = self.place[item[order]]
+        cuts = np.searchsorted(of, np.arange(len(self.bounds)))
+        for c in np.flatnonzero(np.diff(cuts)):
+            here, a, b = slice(cuts[c], cuts[c + 1]), self.bounds[c], self.bounds[c + 1]
+            found[here] += log_normalised(q[here] @ self.words[:, a:b] + self.word_bias[a:b], place[here])
+        out = np.empty(len(item), np.float32)
+        out[order] = found
+        return out
+
+
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_table long, log_all double, log_shared double, log_slots double, log_items double, rest array<bigint>, rest_n array<int>"
 
 
 def score_parts(docs: DataFrame, v: Vocabulary, p: Parameters, held_out: Column) -> DataFrame:
@@ -222,46 +420,61 @@ def score_parts(docs: DataFrame, v: Vocabulary, p: Parameters, held_out: Column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, p = shipped.value
-        table = log_probabilities(p)
-        log_count, log_slot = np.log10(v.counts + 1.0), np.log10(np.maximum(v.class_slots, 1))
-        for batch in batches:
-            for block in tk.blocks(batch.column("text")):
-                h, ending, row = tokens(block)
-                cls, i = classes(v.own, h, ending), find(v.hashes, h)
-                total = lambda x: np.bincount(row, x, minlength=block.rows)  # noqa: B023, E731
-                known = i >= 0
-                logs = np.where(known, log_count[np.maximum(i, 0)] if len(log_count) else 0.0, 0.0)
-                inner = (cls >= OWN) & (cls < END_CLASS)
-                lm = table[contexts(cls, row), cls].astype(np.float64)
-                # distinct tokens outside the table, by row
-                out = np.flatnonzero(~known)
-                order = out[np.lexsort((h[out], row[out]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])
-                begins = np.flatnonzero(new)
-                times = np.diff(np.append(begins, len(order))).astype(np.int32)
-                cuts = pa.array(np.searchsorted(row[order][begins], np.arange(block.rows + 1)).astype(np.int32))
-                rest = pa.ListArray.from_arrays(cuts, pa.array(h[order][begins].view(np.int64)))
-                rest_n = pa.ListArray.from_arrays(cuts, pa.array(times))
-                here = lambda c: batch.column(c).slice(block.first, block.rows)  # noqa: B023, E731
-                sums = [total(logs), total(np.where(inner, logs, 0.0)), total(np.where(inner, log_slot[np.clip(cls - OWN, 0, SHARED - 1)], 0.0)), total(lm)]
-                yield pa.record_batch([here("doc_id"), here("held_out"), pa.array(total(None).astype(np.int64)), pa.array(total(known).astype(np.int64)), *(pa.array(s, pa.float64()) for s in sums), rest, rest_n], names=[x.split()[0] for x in _SCORED.split(", ")])
+        with shared.one_blas_thread():
+            scorer = Scorer(v, p)
+            for batch in batches:
+                for block in tk.blocks(batch.column("text")):
+                    yield scored(v, scorer, batch, block)
+
+    def scored(v: Vocabulary, scorer: Scorer, batch: pa.RecordBatch, block: tk.Block) -> pa.RecordBatch:
+        h, ending, row = tokens(block)
+        item, i = items_of(v, h, ending), find(v.hashes, h)
+        total = lambda x: np.bincount(row, x, minlength=block.rows)
+        ends = ending < 0
+        known = i >= 0
+        counted = v.counts[np.maximum(i, 0)] if len(v.counts) else np.zeros(len(i))
+        logs = np.log10(np.where(ends, v.item_counts[v.end], np.where(known, counted, 0)) + 1.0)
+        known |= ends & bool(v.item_counts[v.end])
+        inner = (item >= len(v.own)) & ~ends
+        slots = np.where(inner, np.log10(v.slots)[np.clip(item - len(v.own), 0, SHARED - 1)], 0.0)
+        lm = scorer(*contexts(v, item, row), item)
+        # distinct tokens outside the table, by row
+        out = np.flatnonzero((i < 0) & ~ends)
+        order = out[np.lexsort((h[out], row[out]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])
+        begins = np.flatnonzero(new)
+        times = np.diff(np.append(begins, len(order))).astype(np.int32)
+        cuts = pa.array(np.searchsorted(row[order][begins], np.arange(block.rows + 1)).astype(np.int32))
+        rest = pa.ListArray.from_arrays(cuts, pa.array(h[order][begins].view(np.int64)))
+        rest_n = pa.ListArray.from_arrays(cuts, pa.array(times))
+        here = lambda c: batch.column(c).slice(block.first, block.rows)
+        sums = [total(logs), total(np.where(inner, logs, 0.0)), total(slots), total(lm)]
+        return pa.record_batch([here("doc_id"), here("held_out"), pa.array(total(None).astype(np.int64)), pa.array(total(known).astype(np.int64)), *(pa.array(s, pa.float64()) for s in sums), rest, rest_n], names=[x.split()[0] for x in _SCORED.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, _SCORED)
 
 
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row; learns from the rows not held out."""
-    training = docs.filter(~held_out)
+@dataclass(frozen=True)
+class Model:
+    counts: DataFrame  # of all training tokens, in the shared folder
+    vocabulary: Vocabulary
+    parameters: Parameters
+
+
+def fit(training: DataFrame) -> Model:
     counts = shared.materialise(count_words(training))
     v = vocabulary(counts)
-    grams = count_trigrams(training, v.own).toArrow().sort_by("gram")
-    with shared.one_blas_thread():
-        p = train(grams["gram"].to_numpy(), grams["c"].to_numpy())
-    parts = shared.materialise(score_parts(docs, v, p, held_out).withColumn("uid", F.monotonically_increasing_id()))
+    return Model(counts, v, train(training, v))
+
+
+def score_with(model: Model, docs: DataFrame, held_out: Column) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
+    v = model.vocabulary
+    parts = shared.materialise(score_parts(docs, v, model.parameters, held_out).withColumn("uid", F.monotonically_increasing_id()))
     rest = parts.select("uid", F.explode(F.arrays_zip("rest", "rest_n")).alias("x")).select("uid", F.col("x.rest").alias("hash"), F.col("x.rest_n").alias("n"))
-    met = rest.join(counts.select("hash", "c"), "hash", "left")
-    sums = met.groupBy("uid").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("rest_log"), F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("rest_known"))
+    met = rest.join(model.counts.select("hash", "c"), "hash")  # a token without a count adds log10(1)
+    sums = met.groupBy("uid").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rest_log"), F.sum("n").alias("rest_known"))
     joined = parts.drop("rest", "rest_n").join(sums, "uid", "left")
     rest_log = F.coalesce("rest_log", F.lit(0.0))
     return joined.select(
@@ -271,10 +484,15 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         (F.col("n_table") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(v.tokens).cast("long").alias("train_tokens"),
         (F.col("log_all") + rest_log - F.col("n_tokens") * F.log10(F.lit(float(v.denominator)))).alias("base_score"),
-        (F.col("log_classes") + F.col("log_shared") + rest_log - F.col("log_slots")).alias("score"),
+        (F.col("log_items") + F.col("log_shared") + rest_log - F.col("log_slots")).alias("score"),
     )
 
 
+def score(docs: DataFrame, held_out: Column) -> DataFrame:
+    """``score_with`` a model of the rows not held out."""
+    return score_with(fit(docs.filter(~held_out)), docs, held_out)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return score(docs, shared.id_remainder("doc_id", 7) == 2)

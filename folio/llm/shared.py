@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast up to this many rows of at most a few hundred bytes.
 BROADCAST_ROWS = 100_000
-#: Rows of an Arrow batch on its way to and from Python.
-ARROW_ROWS = 1000
+#: Bytes of a broadcast side whose rows have no fixed size.
+BROADCAST_BYTES = 16 << 20
+#: Rows and bytes of an Arrow batch on its way to Python; a longer row is a batch of its own.
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
 
 
 def hidden(name: str) -> str:
@@ -26,9 +29,16 @@ def hidden(name: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none, as in tests."""
+    """The folder all executors share; a temporary one only on a local master whose session names none.
+
+    On a cluster a folder of one machine would lose rows without an error, so there a
+    session without ``spark.checkpoint.dir`` raises ValueError.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = getattr(spark, "_folio_folder", None) or tempfile.mkdtemp(prefix="folio-")
         spark._folio_folder = folder
     return folder.rstrip("/")
@@ -65,24 +75,29 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``ARROW_ROWS`` rows.
+    """``mapInArrow`` with batches of at most ``ARROW_ROWS`` rows and about ``ARROW_BYTES``.
 
-    The setting is the session's; it is only ever made smaller.  A batch is held on both
-    sides of the pipe, so documents of tens of kilobytes would else fill an executor.
+    A batch is held on both sides of the pipe, so long documents would else fill an
+    executor.  Both limits are settings of the session, as Spark has no others; they are
+    only ever made smaller, and change no result.
     """
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= ARROW_ROWS:
-        conf.set(name, str(ARROW_ROWS))
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        number, unit = re.match(r"(-?\d+)([kmg]?)", conf.get(f"spark.sql.execution.arrow.{name}").lower()).groups()
+        if not 0 < int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] <= most:
+            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     return df.mapInArrow(run, schema)
 
 
-def checked_broadcast(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, bound: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``bound`` rows, else as it is.
 
-    Counts at most ``bound + 1`` rows, so give a materialised or cheap frame.
+    ``size`` is the bytes of a row where these have no fixed size; their sum must be at
+    most ``BROADCAST_BYTES`` too.  Reads at most ``bound + 1`` rows, so give a
+    materialised or cheap frame.
     """
-    small = df.limit(bound + 1).count() <= bound
-    return F.broadcast(df) if small else df
+    n, total = df.limit(bound + 1).agg(F.count("*"), F.sum(F.lit(0) if size is None else size)).first()
+    return F.broadcast(df) if n <= bound and (total or 0) <= BROADCAST_BYTES else df
 
 
 def let(value: Column, body) -> Column:
@@ -126,14 +141,26 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
 
 
-def sampled(rows: DataFrame, key: str, per_class: dict, column: str, most: int) -> DataFrame:
-    """About ``most`` rows of each class, picked by the hash of ``key``; ``per_class`` holds the classes' counts.
+def sample_texts(rows: DataFrame, most: dict, most_bytes: int, label: str | None = None, key: str = "doc_id") -> pa.Table:
+    """Whole rows ``key, label, text`` in the order of the key: about ``most[label]`` of each label, ``most_bytes`` at most.
 
-    The same rows come out whatever the partitions are; a class with fewer rows is kept whole.
+    Rows are picked by the hash of their key, the same whatever the partitions are; a
+    label with fewer rows is kept whole.  ``most[None]`` holds for labels without an
+    entry.  If the texts picked are too many bytes, all shares shrink alike until they fit.
     """
     scale = 1 << 20
-    share = F.lit(None).cast("long")
-    for value, n in per_class.items():
-        share = F.when(F.col(column) == F.lit(value), F.lit(min(scale, int(scale * most / max(n, 1)) + 1))).otherwise(share)
-    picked = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(scale)) < share
-    return rows.filter(picked)
+    mark = F.lit(None).cast("string") if label is None else F.col(label).cast("string")
+    named = rows.select(F.col(key).alias("key"), mark.alias("label"), F.col("text").cast("string").alias("text")).filter(F.octet_length("text") > 0)
+    counts = {r[0]: r[1] for r in named.groupBy("label").count().collect()}
+    draw = F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(scale))
+    factor = 1.0
+    while True:
+        chosen = F.lit(False)
+        for value, n in counts.items():
+            limit = most.get(value, most.get(None, 0))
+            chosen = chosen | (F.col("label").eqNullSafe(F.lit(value)) & (draw < min(scale, int(scale * limit / n) + 1) * factor))
+        picked = named.filter(chosen)
+        total = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        if total <= most_bytes:
+            return picked.toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
+        factor *= min(0.9, most_bytes / total)

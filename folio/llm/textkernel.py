@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _INV = pow(_BASE, -1, 1 << 64)

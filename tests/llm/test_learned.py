@@ -91,19 +91,79 @@ def shared_held(divisor, remainder):
     return shared.id_remainder("doc_id", divisor) == remainder
 
 
-def test_counts_outside_the_table_are_joined(spark, few_docs, monkeypatch):
-    want = {r.doc_id: (r.n_known, r.base_score) for r in bilinear.score(few_docs, shared_held(7, 2)).collect()}
-    monkeypatch.setattr(bilinear, "TABLE", 150)
-    got = {r.doc_id: (r.n_known, r.base_score) for r in bilinear.score(few_docs, shared_held(7, 2)).collect()}
-    assert {k: v[0] for k, v in want.items()} == {k: v[0] for k, v in got.items()}
-    assert all(got[k][1] == pytest.approx(want[k][1], rel=1e-9) for k in want)
+def brute_score(model, counts, text):
+    """The score of a text by one softmax after the other."""
+    v, p = model.vocabulary, model.parameters
+    order, bounds = v.classes()
+    d = p.mix.shape[1]
+    block = next(tk.blocks(pa.array([text or ""])))
+    hashes, ending, _ = bilinear.tokens(block)
+    words = [*WORD.findall((text or "").translate(LOW)), None]
+    own = {int(h): i for i, h in enumerate(v.own)}
+    near = far = v.start
+    total = 0.0
+    for word, h, e in zip(words, hashes, ending, strict=True):
+        item = v.end if word is None else own.get(int(h), len(own) + int(e))
+        q = p.context[near] @ p.mix[:d] + p.context[far] @ p.mix[d:]
+        k = next(k for k in range(len(bounds) - 1) if item in order[bounds[k] : bounds[k + 1]])
+        z = p.class_vectors[:, :-1] @ q + p.class_vectors[:, -1]
+        total += z[k] - np.logaddexp.reduce(z)
+        inside = order[bounds[k] : bounds[k + 1]]
+        z = p.words[inside, :-1] @ q + p.words[inside, -1]
+        total += z[list(inside).index(item)] - np.logaddexp.reduce(z)
+        if word is not None and int(h) not in own:
+            total += math.log((counts[word] + 1) / v.slots[int(e)])
+        near, far = item, near
+    return total / math.log(10)
+
+
+def test_scores_as_brute_force_whatever_the_table_holds(spark, few_docs, monkeypatch):
+    monkeypatch.setattr(bilinear, "OWN", 120)
+    monkeypatch.setattr(bilinear, "LEAST", 5)
+    held = shared_held(7, 2)
+    model = bilinear.fit(few_docs.filter(~held))
+    assert len(model.vocabulary.own) > 60
+    counts = Counter(t for r in few_docs.collect() if crc(r.doc_id) % 7 != 2 for t in WORD.findall((r.text or "").translate(LOW)))
+    texts = {r.doc_id: r.text for r in few_docs.limit(25).collect()}
+    want = {r.doc_id: r for r in bilinear.score_with(model, few_docs, held).collect()}
+    for i, text in texts.items():
+        assert want[i].score == pytest.approx(brute_score(model, counts, text), rel=1e-4)
+    for table in (0, 150):
+        monkeypatch.setattr(bilinear, "TABLE", table)
+        less = bilinear.Model(model.counts, bilinear.vocabulary(model.counts), model.parameters)
+        got = {r.doc_id: r for r in bilinear.score_with(less, few_docs, held).collect()}
+        for i, r in want.items():
+            assert got[i].n_known == r.n_known
+            assert got[i].base_score == pytest.approx(r.base_score, rel=1e-9) and got[i].score == pytest.approx(r.score, rel=1e-6)
+
+
+def test_words_that_are_equally_frequent_fill_the_table(spark):
+    counts = spark.range(5000).selectExpr("xxhash64(id) AS hash", "CAST(id % 32 AS BYTE) AS ending", "CAST(7 AS BIGINT) AS c")
+    hashes, _, c = bilinear.frequent(counts, 1000)
+    assert 850 < len(hashes) < 1150 and (np.diff(hashes.astype(object)) > 0).all() and (c == 7).all()
+
+
+def test_copies_are_averaged_by_how_often_rows_moved():
+    sums = bilinear.Sums([(4, 2)])
+    for n, x in (([1, 0, 3, 0], [[1, 1], [9, 9], [2, 4], [9, 9]]), ([1, 0, 1, 2], [[3, 5], [9, 9], [6, 8], [7, 7]])):
+        sums.add(bilinear._packed([np.array(n, float)], [np.array(x, np.float32)]))
+    again = bilinear.Sums([(4, 2)])
+    again.add(sums.blobs())
+    assert again.weights[0].tolist() == [2, 0, 4, 2]
+    assert (again.values[0][[0, 2, 3]] / again.weights[0][[0, 2, 3], None]).tolist() == [[2, 3], [3, 5], [7, 7]]
 
 
 def test_probabilities_are_normalised():
+    v = bilinear.Vocabulary(np.zeros(0, np.uint64), np.zeros(0), np.arange(70, dtype=np.uint64), np.arange(103)[::-1].copy(), np.ones(32), 5253, 103)
+    p, squares = bilinear.fresh(v)
+    trainer = bilinear.Trainer(v, p, squares, 1, 0.1)
     rng = np.random.default_rng(0)
-    gram = np.unique(rng.integers(0, (bilinear.CLASSES + 1) ** 2 * bilinear.CLASSES, 500))
-    p = bilinear.train(gram, np.ones(len(gram), np.int64), steps=50)
-    assert np.allclose((10.0 ** bilinear.log_probabilities(p)).sum(axis=1), 1, atol=1e-3)
+    for _ in range(30):
+        trainer.step(*(rng.integers(0, 103, 200) for _ in range(3)))
+    every = np.arange(v.items)
+    for near, far in ((0, 5), (v.start, v.start), (70, 102)):
+        found = bilinear.Scorer(v, p)(np.full(v.items, near), np.full(v.items, far), every)
+        assert (10.0**found).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_language_model_odd_rows(odd_docs, no_docs):
@@ -112,6 +172,7 @@ def test_language_model_odd_rows(odd_docs, no_docs):
     assert all(r.n_tokens == 1 for r in got if r.doc_id in (1, 2, 3))
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
     assert bilinear.score(no_docs, shared_held(7, 2)).count() == 0
+    assert {len({(r.n_tokens, r.score, r.base_score) for r in got if r.doc_id == i}) for i in (7, 8)} == {1}
     alone = bilinear.score(odd_docs, F.lit(True)).collect()
     assert {r.train_tokens for r in alone} == {0} and {r.n_known for r in alone} == {0}
 
