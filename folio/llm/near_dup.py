@@ -6,7 +6,7 @@ A document's set holds its distinct runs of five words.  Steps:
    bands of ``ROWS``, and folds them into an odd sketch: every sample flips one of
    ``BITS`` bits, so the XOR of two sketches counts the samples that differ and
    estimates high similarities well.
-2. Documents with equal sets are one node, their smallest doc_id, from here on.
+2. Rows with equal sets are one node from here on, whatever their ids are.
 3. In each bucket of a band every node is paired with the bucket's first node
    only.  Pairs whose sketches rule the threshold out (by more than five standard
    errors) go; the rest are confirmed on the full sets.  Confirmed links give
@@ -22,9 +22,14 @@ A document's set holds its distinct runs of five words.  Steps:
 Two sets of similarity 0.75 share no bucket with probability (1-0.75^4)^32 = 5e-6.
 
 Defined results: no words (null, empty or blank texts): no shingles, linked with
-nothing, kept; fewer than five words: the whole sequence is the one shingle; rows
-that repeat a doc_id get the component of their own text; a null doc_id has a null
-component and is kept; an empty table gives an empty result.
+nothing, kept; fewer than five words: the whole sequence is the one shingle; a
+similarity of exactly 0.75 links; a text of any length is measured whole, and a task
+holds a block of rows or one longer text; rows that repeat a doc_id get the component
+of their own text, so two texts under one id may be in two; ``keep_one`` keeps of each
+component the row with the smallest doc_id (of several the one whose text has the
+smallest hash), and one of rows that are alike in id and text; a null doc_id has a null
+component and is kept; an empty table gives an empty result; other columns, whatever
+their names, are kept by ``keep_one`` and not looked at.
 """
 
 from __future__ import annotations
@@ -51,7 +56,7 @@ _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 1 << 63, PERMS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 63, PERMS, dtype=np.uint64) | _U(1)
 _SKETCH = [f"k{i}" for i in range(BITS // 64)]
-_STATS = "doc_id long, n_shingles long, s1 long, s2 long, bands array<bigint>, " + ", ".join(f"{k} long" for k in _SKETCH)
+_STATS = "doc_id long, version long, n_shingles long, s1 long, s2 long, bands array<bigint>, " + ", ".join(f"{k} long" for k in _SKETCH)
 
 
 def signatures(block: tk.Block) -> dict[str, np.ndarray]:
@@ -79,7 +84,7 @@ def signatures(block: tk.Block) -> dict[str, np.ndarray]:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """``_STATS`` of every row; ``bands`` is empty for an empty set."""
+    """``_STATS`` of every row: ``version`` is the hash of its text, ``bands`` is empty for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +94,23 @@ def measure(docs: DataFrame) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(x["bands"][x["full"]].ravel().view(np.int64)))
                 longs = [pa.array(a.view(np.int64)) for a in (x["s1"], x["s2"])]
                 sketch = [pa.array(np.ascontiguousarray(x["sketch"][:, i]).view(np.int64)) for i in range(len(_SKETCH))]
-                yield pa.record_batch([batch.column("doc_id").slice(block.first, block.rows), pa.array(x["n"], pa.int64()), *longs, bands, *sketch], names=["doc_id", "n_shingles", "s1", "s2", "bands", *_SKETCH])
+                same = [batch.column(c).slice(block.first, block.rows) for c in ("doc_id", "version")]
+                yield pa.record_batch([*same, pa.array(x["n"], pa.int64()), *longs, bands, *sketch], names=["doc_id", "version", "n_shingles", "s1", "s2", "bands", *_SKETCH])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, _STATS)
+    return versioned(docs).transform(shared.arrow, run, _STATS)
+
+
+def versioned(docs: DataFrame) -> DataFrame:
+    """``doc_id, version, text``."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
+
+
+def node_texts(nodes: DataFrame, wanted: DataFrame, docs: DataFrame, repeats: bool) -> DataFrame:
+    """``node, text`` of the nodes wanted, each once also where its row ``repeats``."""
+    ids = shared.checked_broadcast(shared.materialise(nodes.join(wanted.select("node").distinct(), "node").select("node", "doc_id", "version")))
+    texts = versioned(docs).join(ids, ["doc_id", "version"]).select("node", "text")
+    return texts.dropDuplicates(["node"]) if repeats else texts
 
 
 def flips(left: str, right: str) -> Column:
@@ -112,20 +131,17 @@ def possible(left_n: Column, right_n: Column) -> Column:
     return (high * F.least(left_n, right_n)) >= (low * F.greatest(left_n, right_n))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those pairs ``a, b`` whose full sets have the similarity asked for.
+def confirm(pairs: DataFrame, texts_of) -> DataFrame:
+    """Those pairs ``a, b`` whose full sets have the similarity asked for; ``texts_of`` gives ``node, text``.
 
-    Every pair goes to a copy of the text of its ``b``; copies are dealt out so that
-    each meets about ``FAN`` others, and a task holds the set of one ``b`` at a time.
+    Every pair goes to a copy of the text of its ``b``; copies are dealt out by the size
+    ``m`` of the bucket that the pair is from, so that each meets ``FAN`` others at most,
+    about, and a task holds the set of one ``b`` at a time.
     """
     low, high = THRESHOLD
-    pairs = pairs.join(pairs.groupBy("b").agg(F.ceil(F.count("*") / FAN).alias("copies")), "b")
-    dealt = shared.materialise(pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy")))
+    dealt = shared.materialise(pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("m") / FAN)).alias("copy")))
     wanted = dealt.select(F.col("a").alias("node"), "b", "copy", F.lit(1).alias("role")).unionAll(dealt.select(F.col("b").alias("node"), "b", "copy", F.lit(0).alias("role")).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    ids = shared.checked_broadcast(wanted.select("node").distinct())
-    texts = texts.join(ids, "node", "left_semi")
-    rows = wanted.join(texts, "node").repartition("b", "copy").sortWithinPartitions("b", "copy", "role", "node")
+    rows = wanted.join(texts_of(wanted), "node").repartition("b", "copy").sortWithinPartitions("b", "copy", "role", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sets = None, []
@@ -264,7 +280,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
 
-def outlier_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame | None:
+def outlier_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts_of) -> DataFrame | None:
     """Links of step 4; ``members`` are ``key, band, node, first`` of buckets of three or more.
 
     A bucket's outliers are dealt to parts of about ``LIST``, its members to ``SUB``;
@@ -289,40 +305,65 @@ def outlier_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs:
     active = shared.materialise(rows.repartition(*order).sortWithinPartitions(*order, "role").transform(shared.arrow, _active, _MEMBER_DDL))
     if active.isEmpty():
         return None
-    ids = shared.checked_broadcast(active.select("node").distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(ids, "node", "left_semi")
-    found = active.join(texts, "node").repartition(*order).sortWithinPartitions(*order, "role").select(*_MEMBER, "text").transform(shared.arrow, _linked, "a long, b long")
+    found = active.join(texts_of(active), "node").repartition(*order).sortWithinPartitions(*order, "role").select(*_MEMBER, "text").transform(shared.arrow, _linked, "a long, b long")
     return shared.materialise(found.distinct())
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
-    stats = shared.materialise(measure(docs))
+def grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, version, n_shingles, least`` of every row.
+
+    ``least`` is the smallest ``doc_id, version`` of the row's component; null without a
+    doc_id or shingles.  ``version`` is the hash of the row's text.
+    """
+    stats = shared.materialise(measure(docs).withColumn("uid", F.monotonically_increasing_id()))
     full = stats.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = shared.materialise(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", *_SKETCH))))
+    repeats = not full.groupBy("doc_id", "version").count().filter("count > 1").isEmpty()
+    by_set = full.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "version", "uid")).alias("x"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", *_SKETCH)))
+    nodes = shared.materialise(by_set.select("s1", "s2", F.col("x.uid").alias("node"), "x.doc_id", "x.version", "n_shingles", "bands", *_SKETCH))
+    texts_of = lambda wanted: node_texts(nodes, wanted, docs, repeats)
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     first = buckets.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("m")).filter("m > 1")
     members = shared.materialise(buckets.join(first, "key").select("key", "band", "node", "first", "m"))
-    pairs = members.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    pairs = members.filter("node <> first").groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.max("m").alias("m"))
     likely = pairs.join(_named(nodes, "a"), "a").join(_named(nodes, "b"), "b").filter(possible(F.col("a_n"), F.col("b_n")) & (flips("a", "b") <= MAX_FLIPS))
-    links = confirm(shared.materialise(likely.select("a", "b")), docs)
+    links = confirm(likely.select("a", "b", "m"), texts_of)
     labels = graph.components(links)
     empty = nodes.select("node", F.col("node").alias("component")).limit(0)
-    more = outlier_links(members.filter("m > 2").drop("m"), nodes, empty if labels is None else labels, docs)
+    more = outlier_links(members.filter("m > 2").drop("m"), nodes, empty if labels is None else labels, texts_of)
     if more is not None and not more.isEmpty():
         labels = graph.components(links.unionByName(more))
-    same = nodes.select(F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), "node")
-    joined = stats.select("doc_id", "n_shingles", "s1", "s2").join(same, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left")
-    if labels is not None:
-        joined = joined.join(labels, "node", "left")
-    component = F.coalesce("component", "node", "doc_id") if labels is not None else F.coalesce("node", "doc_id")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), component).otherwise(F.col("doc_id")).alias("component_id"))
+    own = F.struct("doc_id", "version")
+    if labels is None:
+        sets = nodes.select("s1", "s2", own.alias("least"))
+    else:
+        # only nodes that have links are moved to find the smallest id of their component
+        ids = nodes.select("node", own.alias("own"))
+        least = labels.join(ids, "node").groupBy("component").agg(F.min("own").alias("least"))
+        sets = nodes.join(labels.join(shared.checked_broadcast(shared.materialise(least)), "component").select("node", "least"), "node", "left").select("s1", "s2", F.coalesce("least", own).alias("least"))
+    sets = sets.withColumnsRenamed({"s1": "_s1", "s2": "_s2"})
+    joined = stats.join(sets, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left")
+    return joined.select("doc_id", "version", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("least")).alias("least"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row."""
+    return grouped(docs).select("doc_id", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is that of their group; all columns stay."""
-    gone = near_duplicates(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias(shared.hidden("id"))).distinct()
-    return docs.join(shared.checked_broadcast(shared.materialise(gone)), F.col("doc_id") == F.col(shared.hidden("id")), "left_anti")
+    """One row of ``docs`` of each group; all columns stay."""
+    doc, version = shared.hidden("id"), shared.hidden("version")
+    found = shared.materialise(grouped(docs).filter("least IS NOT NULL"))
+    same = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("version") == F.col("least.version"))
+    keys = lambda rows: shared.checked_broadcast(shared.materialise(rows.select(F.col("doc_id").alias(doc), F.col("version").alias(version)).distinct()))
+    here = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64(F.col("text").cast("string")) == F.col(version))
+    out = docs.join(keys(found.filter(~same)), here, "left_anti")
+    again = found.filter(same).groupBy("doc_id", "version").count().filter("count > 1")
+    if again.isEmpty():
+        return out
+    again = keys(again)
+    once = docs.join(again, here).dropDuplicates([doc, version]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return out.join(again, here, "left_anti").unionAll(once)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

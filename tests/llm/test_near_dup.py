@@ -72,6 +72,24 @@ def test_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.filter("doc_id = 8").count() == 0 and kept.filter("doc_id IS NULL").count() == 1
 
 
+def test_texts_that_share_an_id_are_not_lost(spark):
+    a, b = prose(400, 60), prose(401, 60)
+    rows = [(5, a + " x"), (11, a), (11, b), (20, b + " y"), (20, b + " y"), (30, prose(402, 50)), (30, prose(402, 50)), (31, None), (31, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("version", "node", "least", "uid", "m")})
+    got = sorted((r.doc_id, r.component_id) for r in near_dup.near_duplicates(docs).collect())
+    assert got == [(5, 5), (11, 5), (11, 11), (20, 11), (20, 11), (30, 30), (30, 30), (31, 31), (31, 31)]
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(5, a + " x"), (11, b), (30, prose(402, 50)), (31, ""), (31, "")])
+
+
+def test_the_threshold_itself_links(spark):
+    w = [f"w{i}" for i in range(11)]
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:10], "x"])), (3, " ".join([*w[:9], "y", w[10]]))]  # 6 of 8 shingles, 5 of 9
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3} and brute(rows)[2][1] == 1
+
+
 def test_sketches_estimate_similarity():
     rng = random.Random(1)
     for edits in (0, 4, 12):
