@@ -11,9 +11,16 @@ Texts are cut into stretches of ``SPAN`` bytes, each of which is scored, and a
 document's values are the means over its stretches weighted by their letters, so
 the whole of a long text counts and its presence sets do not fill up.
 
+The fit takes about ``PER_LABEL`` whole texts of each language and ``FIT_BYTES`` at
+most, picked by a hash of their id, and of their stretches, wherever they stand in the
+texts, ``STRETCHES`` of each language and ``LANDMARKS`` as landmarks, picked by a hash of
+what they hold.
+
 Defined results: ``und`` with score 0 for a null text or one without a letter, and
 for every text if no label can be learned from; ties go to the label that sorts
-first; a null label is not learned from; further columns are not looked at.
+first; a null label is not learned from; repeated rows are predicted each and alike; a
+text of any length is read whole; an empty table gives an empty result; further
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -31,8 +38,8 @@ from folio.llm import textkernel as tk
 
 BITS = 1 << 12
 SPAN = 4096
-#: Labelled documents of each language that a fit uses at most, about; landmarks of each.
-PER_LABEL, LANDMARKS = 600, 40
+#: Labelled documents of each language that a fit uses, about; bytes of them all; stretches and landmarks of each.
+PER_LABEL, FIT_BYTES, STRETCHES, LANDMARKS = 600, 32 << 20, 2000, 40
 RIDGE = 1e-2
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[np.arange(97, 123)] = np.arange(97, 123)
@@ -78,19 +85,20 @@ def kernel_to(model_landmarks: np.ndarray, sizes: np.ndarray, seen: np.ndarray)
 
 def fit(texts: pa.Array, labels: list[str]) -> Model:
     """Nystroem landmarks and ridge weights from labelled texts."""
-    seen, owner, letters = [], [], []
+    seen, owner = [], []
     for block in tk.blocks(texts):
         s, row, n = presence(block)
-        keep = n > 0
-        # stretches of one text are alike: the first two of it teach enough
-        keep &= (np.arange(len(row)) - np.searchsorted(row, row)) < 2
-        seen.append(np.packbits(s[keep], axis=1))
-        owner.append(row[keep] + block.first)
-    x = np.unpackbits(np.concatenate(seen), axis=1).astype(bool)
-    owner = np.concatenate(owner)
+        seen.append(np.packbits(s[n > 0], axis=1))
+        owner.append(row[n > 0] + block.first)
+    packed, owner = np.concatenate(seen), np.concatenate(owner)
     names = sorted({labels[i] for i in owner})
     y = np.array([names.index(labels[i]) for i in owner])
-    marks = np.concatenate([np.flatnonzero(y == c)[:LANDMARKS] for c in range(len(names))])
+    draw = tk.mix((packed.view(np.uint64) * tk.mix(np.arange(1, packed.shape[1] // 8 + 1, dtype=np.uint64))).sum(axis=1))
+    order = np.lexsort((draw, y))
+    nth = np.arange(len(y)) - np.searchsorted(y[order], y[order])
+    picked = order[nth < STRETCHES]
+    x, y, nth = np.unpackbits(packed[picked], axis=1).astype(bool), y[picked], nth[nth < STRETCHES]
+    marks = np.flatnonzero(nth < LANDMARKS)
     landmarks = x[marks].astype(np.float32).T.copy()
     sizes = np.sqrt(np.maximum(x[marks].sum(axis=1), 1)).astype(np.float32)
     own = kernel_to(landmarks, sizes, x[marks]).astype(np.float64)
@@ -131,16 +139,11 @@ def _doubtful(block: tk.Block) -> np.ndarray:
 
 def train(docs: DataFrame, label: str = "lang", per_label: int = PER_LABEL) -> Model | None:
     """Fit on a bounded, hash-picked sample of the rows with a label."""
-    known = docs.filter(F.col(label).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
-    if not counts:
-        return None
-    picked = shared.sampled(known, "doc_id", counts, label, per_label).select("doc_id", label, F.col("text").cast("string").alias("text"))
-    table = picked.filter(F.length("text") > 0).limit(2 * per_label * len(counts)).toArrow().sort_by([("doc_id", "ascending")])
-    texts, labels = table["text"].cast(pa.large_utf8()), table[label].to_pylist()
-    if not any(c.isalpha() for t in texts.to_pylist() for c in t):
+    table = shared.sample_texts(docs.filter(F.col(label).isNotNull()), {None: per_label}, FIT_BYTES, label)
+    texts = shared.chunk_of(table["text"])
+    if not any((_FOLD[block.data] != 32).any() for block in tk.blocks(texts)):
         return None
-    return fit(pa.concat_arrays(texts.chunks), labels)
+    return fit(texts, table["label"].to_pylist())
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

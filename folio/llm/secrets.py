@@ -2,16 +2,25 @@
 
 Patterns find the base spans.  The field tags the words of each line as begin,
 inside or outside of a secret from their shape, the words around them and features
-of the whole document.  It learns from the base spans of a bounded, hash-picked
-sample of documents (``SAMPLE``) by gradient of the exact conditional likelihood and
-is decoded by Viterbi over every line.  What it tags and no base span meets is added.
+of the whole document, by gradient of the exact conditional likelihood, and is decoded
+by Viterbi over every line.  What it tags and no base span meets is added.
+
+It learns from a bounded, hash-picked sample of documents (``LIKELY`` with and ``OTHER``
+without something like a secret, ``FIT_BYTES`` at most) and of their lines
+(``LINES_WITH``, ``LINES_WITHOUT``, picked by a hash of what they hold, wherever they
+stand).  Two kinds of lines teach it more than the patterns know: lines with a base
+span whose keyword and value are exchanged for others that no pattern meets, and plain
+lines with such a secret planted in them (``planted``); beside them stand lines with
+harmless names and values in the same places.
 
 A line whose words all weigh against any tag, transitions included, has the path
 "outside" as its best one; only other lines are walked through.
 
 Spans are ``kind:start:end`` in code points, end exclusive, ordered by start, then
-by kind (assign, access, hex, crf).  Null and empty texts have none; rows that
-repeat a doc_id are scanned each; an empty table gives an empty result.
+by kind (assign, access, hex, crf).  Null and empty texts have none; a text of any
+length is scanned whole; rows that repeat a doc_id are scanned each; an empty table
+gives an empty result, without documents to learn from the field tags nothing; further
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -39,8 +48,14 @@ _HEX_LONG = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # greedy runs, so the same a
 _KEYWORD_BYTES = re.compile(KEYWORDS.encode(), re.IGNORECASE)
 KINDS = ("assign", "access", "hex", "crf")
 
-#: Documents drawn for a fit, and lines with and without a base span that are learned from, at most.
-SAMPLE, LINES_WITH, LINES_WITHOUT, LINE_WORDS = 20_000, 2000, 2000, 60
+#: Documents of a fit, about, with and without something like a secret, and bytes of them.
+LIKELY, OTHER, FIT_BYTES = 1000, 300, 8 << 20
+#: Lines (or pieces of about ``LINE_WORDS`` words) with and without a base span that are learned from, at most; planted ones.
+LINES_WITH, LINES_WITHOUT, PLANTED, LINE_WORDS = 1500, 2000, 1500, 60
+#: Names and values that planted secrets have; harmless ones.
+NAMES = ("passphrase", "credential", "auth_key", "private_key", "client_key", "access_code", "login_pass", "signing_key", "db_pass", "pin_code")
+PREFIXES = ("", "", "", "sk-", "ghx_", "xoxb-", "ASIA", "pk_live_", "AIza")
+HARMLESS = ("width", "colour", "version", "date", "page", "total", "host", "mode", "size", "name", "lang", "level")
 OUT, BEGIN, INSIDE = 0, 1, 2
 SHAPES, FLAGS = 16 * 7, 24
 #: Cardinalities of the feature slots of a word; neighbours have one more value for none.
@@ -150,33 +165,131 @@ def base_tags(block: tk.Block, w: tk.Words) -> np.ndarray:
     return tags
 
 
-def _lines(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Lines to learn from: with a tagged word, and without, up to the limits."""
-    chosen: tuple[list, list] = ([], [])
+def _pieces(line: np.ndarray, tags: np.ndarray) -> list[tuple[int, int]]:
+    """Lines as word ranges; long ones are cut behind ``LINE_WORDS`` words, but never inside a span."""
+    out = []
+    cuts = np.flatnonzero(np.diff(line, prepend=-1))
+    for a, b in zip(cuts, np.append(cuts[1:], len(line)), strict=True):
+        while a < b:
+            c = min(a + LINE_WORDS, b)
+            while c < b and tags[c] == INSIDE:
+                c += 1
+            out.append((a, c))
+            a = c
+    return out
+
+
+def _lines(texts: pa.Array) -> tuple[list[str], list[str]]:
+    """Pieces of lines with a base span, and without one: those with the smallest hashes, up to the limits."""
+    found: tuple[list, list] = ([], [])
+    most = LINES_WITH, LINES_WITHOUT
     for block in tk.blocks(texts):
-        f, line, w = features(block)
+        w = tk.words(block, lower=False)
+        line_no = np.cumsum(block.data == 10)[w.start] if len(w.start) else np.zeros(0, np.int64)
+        new = np.ones(len(w.start), bool)
+        new[1:] = (line_no[1:] != line_no[:-1]) | (w.row[1:] != w.row[:-1])
         tags = base_tags(block, w)
-        cuts = np.flatnonzero(np.diff(line, prepend=-1))
-        for a, b in zip(cuts, np.append(cuts[1:], len(line)), strict=True):
-            for c in range(a, b, LINE_WORDS):
-                d = min(b, c + LINE_WORDS)
-                plain = not tags[c:d].any()
-                if len(chosen[plain]) < (LINES_WITHOUT if plain else LINES_WITH) and (c == a or tags[c] != INSIDE):
-                    chosen[plain].append((f[c:d], tags[c:d]))
-    both = chosen[0] + chosen[1]
-    return [x for x, _ in both], [y for _, y in both]
+        pieces = _pieces(np.cumsum(new) - 1, tags)
+        if not pieces:
+            continue
+        first, last = (np.array(x) for x in zip(*pieces, strict=True))
+        draw = w.hasher(w.start[first], w.end[last - 1])
+        tagged = np.concatenate([[0], np.cumsum(tags > 0)])
+        for plain in (0, 1):
+            of = np.flatnonzero((tagged[last] == tagged[first]) == bool(plain))
+            for k in of[np.argsort(draw[of], kind="stable")[: most[plain]]]:
+                raw = block.data[w.start[first[k]] : w.end[last[k] - 1]].tobytes()
+                found[plain].append((int(draw[k]), raw.decode("utf-8", "replace")))
+    return tuple([text for _, text in sorted(set(x))[:n]] for x, n in zip(found, most, strict=True))
+
+
+def _value(rng: np.random.Generator) -> str:
+    """A value of chance letters and digits that no pattern meets by itself."""
+    kinds = ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")
+    alphabet = kinds[rng.integers(len(kinds))]
+    body = "".join(alphabet[i] for i in rng.integers(len(alphabet), size=int(rng.integers(14, 44))))
+    if not any(c.isdigit() for c in body) or body.isdigit():
+        body = f"7{body[:6]}3q{body[6:]}"
+    return PREFIXES[rng.integers(len(PREFIXES))] + body
+
+
+def planted(lines: list[str], n: int, seed: int = 9) -> list[tuple[str, int, int]]:
+    """``text, start, end`` (0, 0 for none): lines with a secret that no pattern knows, and with harmless values."""
+    rng, out = np.random.default_rng(seed), []
+    signs = ("=", ": ", " = ", ":", " : ", "=\"", ": '")
+    for i in range(n if lines else 0):
+        words = lines[i % len(lines)].split(" ")
+        at = int(rng.integers(len(words) + 1))
+        before, after = " ".join(words[:at]), " ".join(words[at:])
+        sign, kind = signs[rng.integers(len(signs))], i % 5
+        quote = sign[-1] if sign[-1] in "\"'" else ""
+        if kind < 2:
+            made = f"{NAMES[rng.integers(len(NAMES))]}{sign}{_value(rng)}{quote}"
+        elif kind == 2:
+            made = _value(rng)
+        else:
+            plain = words[int(rng.integers(len(words)))] or "plain"
+            number = str(rng.integers(1, 10 ** int(rng.integers(1, 9))))
+            value = (plain, number, f"{number[:4]}-{number[:2]}", f"v{number[:1]}.{number[:2]}")[rng.integers(4)]
+            made = f"{HARMLESS[rng.integers(len(HARMLESS))]}{sign}{value}{quote}" if kind == 3 else number
+        start = len(before) + 1 if before else 0
+        text = (f"{before} " if before else "") + made + (f" {after}" if after else "")
+        out.append((text, start, start + len(made) if kind < 3 else start))
+    return out
+
+
+def exchanged(lines: list[str], seed: int = 10) -> list[tuple[str, int, int]]:
+    """Lines with one assigned base span, its keyword and value exchanged for others."""
+    rng, out = np.random.default_rng(seed), []
+    for line in lines:
+        m = next((m for m in ASSIGN.finditer(line) if len(m[2]) >= MIN_ASSIGN), None)
+        if m is None:
+            continue
+        text = line[: m.start(1)] + NAMES[rng.integers(len(NAMES))] + line[m.end(1) : m.start(2)]
+        end = len(text) + len(value := _value(rng))
+        text += value + line[m.end(2) :]
+        if not base_spans(text):
+            out.append((text, m.start(), end))
+    return out
+
+
+def _tags(w: tk.Words, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+    """Tags of the words of one line that code point spans meet."""
+    tags = np.zeros(len(w.start), np.int64)
+    for start, end in spans:
+        a, b = len(text[:start].encode()), len(text[:end].encode())
+        i, j = int(np.searchsorted(w.end, a, side="right")), int(np.searchsorted(w.start, b, side="left"))
+        if i < j:
+            tags[i] = max(tags[i], BEGIN)
+            tags[i + 1 : j] = INSIDE
+    return tags
+
+
+def lessons(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Features and tags of all lines to learn from."""
+    tagged, plain = _lines(texts)
+    given = [(t, [(a, b) for a, _, b in base_spans(t)]) for t in tagged + plain]
+    made = planted(plain or tagged, PLANTED) + exchanged(tagged)
+    given += [(t, sorted({(a, b) for a, _, b in base_spans(t)} | ({(start, end)} if end > start else set()))) for t, start, end in made]
+    xs, ys = [], []
+    for text, spans in given:
+        f, _, w = features(next(tk.blocks(pa.array([text.replace("\n", " ")]))))
+        if len(f):
+            xs.append(f.astype(np.int16))
+            ys.append(_tags(w, text, spans))
+    return xs, ys
 
 
 def fit(texts: pa.Array, steps: int = 120, rate: float = 0.15, decay: float = 1e-4) -> Field:
     """Adam on the conditional log-likelihood; forward and backward sums run over all lines at once."""
-    xs, ys = _lines(texts)
+    xs, ys = lessons(texts)
     emit, move, first = np.zeros((_OFFSETS[-1], 3)), np.zeros((3, 3)), np.zeros(3)
     move[OUT, INSIDE] = first[INSIDE] = NEVER
     if not any(y.any() for y in ys):
         emit[:, 1:] = -10.0  # nothing to learn from: tag nothing
         return Field(emit, move, first)
     n, T = len(xs), max(map(len, xs))
-    x, y, live = np.zeros((n, T, len(SLOTS)), np.int64), np.zeros((n, T), np.int64), np.zeros((n, T), bool)
+    x, y, live = np.zeros((n, T, len(SLOTS)), np.int16), np.zeros((n, T), np.int64), np.zeros((n, T), bool)
     for i, (a, b) in enumerate(zip(xs, ys, strict=True)):
         x[i, : len(a)], y[i, : len(a)], live[i, : len(a)] = a, b, True
     one = np.eye(3)[y] * live[:, :, None]
@@ -185,7 +298,7 @@ def fit(texts: pa.Array, steps: int = 120, rate: float = 0.15, decay: float = 1e
     flat = x[live].ravel()
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (emit, move, first)]
     for step in range(1, steps + 1):
-        score = emit[x].sum(axis=2)
+        score = sum(emit[x[:, :, k]] for k in range(len(SLOTS)))
         fore, back = np.zeros((n, T, 3)), np.zeros((n, T, 3))
         fore[:, 0] = first + score[:, 0]
         lse = lambda z, axis: (m := z.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(z - m).sum(axis))
@@ -267,15 +380,11 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def train(docs: DataFrame) -> Field:
-    """Fit on documents picked by a hash of their id, at most about ``SAMPLE``."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.length("text") > 0)
-    total = docs.count()
-    drawn = shared.sampled(texts.withColumn("all", F.lit(1)), "doc_id", {1: total}, "all", SAMPLE).drop("all")
-    order = F.xxhash64(F.lit(5), "doc_id")
-    likely = F.col("text").rlike(rf"(?i)({KEYWORDS})|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}")
-    parts = [drawn.filter(c).orderBy(order, "doc_id").limit(n) for c, n in ((likely, 1000), (~likely, 300))]
-    table = parts[0].unionByName(parts[1]).toArrow().sort_by("doc_id")
-    return fit(pa.concat_arrays(table["text"].cast(pa.large_utf8()).chunks) if table.num_rows else pa.array([], pa.large_utf8()))
+    """Fit on documents picked by a hash of their id, within the limits above."""
+    text = F.col("text").cast("string")
+    likely = F.coalesce(text.rlike(rf"(?i)({KEYWORDS})|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}"), F.lit(False))
+    table = shared.sample_texts(docs.select("doc_id", text.alias("text"), likely.cast("string").alias("likely")), {"true": LIKELY, "false": OTHER}, FIT_BYTES, "likely")
+    return fit(shared.chunk_of(table["text"]))
 
 
 _FOUND = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"

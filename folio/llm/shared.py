@@ -148,19 +148,21 @@ def sample_texts(rows: DataFrame, most: dict, most_bytes: int, label: str | None
     label with fewer rows is kept whole.  ``most[None]`` holds for labels without an
     entry.  If the texts picked are too many bytes, all shares shrink alike until they fit.
     """
-    scale = 1 << 20
-    mark = F.lit(None).cast("string") if label is None else F.col(label).cast("string")
+    mark = F.lit("") if label is None else F.col(label).cast("string")
     named = rows.select(F.col(key).alias("key"), mark.alias("label"), F.col("text").cast("string").alias("text")).filter(F.octet_length("text") > 0)
     counts = {r[0]: r[1] for r in named.groupBy("label").count().collect()}
-    draw = F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(scale))
-    factor = 1.0
-    while True:
-        chosen = F.lit(False)
-        for value, n in counts.items():
-            limit = most.get(value, most.get(None, 0))
-            chosen = chosen | (F.col("label").eqNullSafe(F.lit(value)) & (draw < min(scale, int(scale * limit / n) + 1) * factor))
-        picked = named.filter(chosen)
-        total = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        if total <= most_bytes:
-            return picked.toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
-        factor *= min(0.9, most_bytes / total)
+    # 0 to 1 where a row is within the share of its label
+    place, draw = F.lit(1.0), F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    for value, n in counts.items():
+        share = most.get(value, most.get(None, 0)) / n
+        place = F.when(F.col("label").eqNullSafe(F.lit(value)), draw if share >= 1 else draw / F.lit(max(share, 1e-12))).otherwise(place)
+    picked = materialise(named.withColumn("place", place).filter("place < 1"))
+    within = 1.0
+    while (total := picked.filter(F.col("place") < within).agg(F.sum(F.octet_length("text"))).first()[0] or 0) > most_bytes:
+        within *= min(0.9, most_bytes / total)
+    return picked.filter(F.col("place") < within).drop("place").toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
+
+
+def chunk_of(column: pa.ChunkedArray) -> pa.Array:
+    """All of a text column as one array."""
+    return pa.concat_arrays([pa.array([], pa.large_utf8()), *column.cast(pa.large_utf8()).chunks])

@@ -8,12 +8,14 @@ offends.  Features are the hashes of words and of their first bytes, which also
 meet words that share a stem.
 
 The fit takes at most about ``per_class`` labelled documents of each class, picked
-by a hash of their id (a documented bound); scoring covers whole texts, block by
-block, without a shuffle.
+by a hash of their id, and ``FIT_BYTES`` of whole texts (documented bounds); scoring
+covers whole texts of any length, block by block, without a shuffle.
 
 Defined results: null and empty texts have no sentences and score 0; without
 labels of both classes all scores are 0; of several labels of a document the
-larger counts; further columns of the input are kept or not looked at.
+larger counts; repeated rows are scored each and alike; a score of exactly
+``THRESHOLD`` is toxic; an empty table gives an empty result; further columns of the
+input, whatever their names, are kept or not looked at.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7)
 #: Labelled documents of each class that a fit uses at most, about.
 PER_CLASS = {0: 2000, 1: 1200}
+#: Bytes of text that a fit uses at most.
+FIT_BYTES = 32 << 20
 THRESHOLD = 0.7
 _STOP = np.zeros(256, dtype=np.int64)
 _STOP[[10, 33, 46, 63]] = 1  # newline ! . ?
@@ -130,12 +134,15 @@ def train(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] | None =
     counts = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return Model(np.zeros(BUCKETS, np.float32), -30.0)
-    parts = [shared.sampled(marks.filter(F.col("toxic") == c), "doc_id", {c: counts[c]}, "toxic", per_class[c]).limit(2 * per_class[c]) for c in (0, 1)]
-    chosen = parts[0].unionByName(parts[1])
-    table = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text").toArrow().sort_by("doc_id")
+    # few marks are picked first, so that only their texts are looked for
+    draw = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 20))
+    share = F.when(F.col("toxic") == 1, int((1 << 20) * per_class[1] / counts[1]) + 1).otherwise(int((1 << 20) * per_class[0] / counts[0]) + 1)
+    chosen = shared.checked_broadcast(shared.materialise(marks.filter(draw < share)))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("doc_id", "toxic", "text")
+    table = shared.sample_texts(texts, {None: 2 * max(per_class.values())}, FIT_BYTES, "toxic")
     if table.num_rows == 0:
         return Model(np.zeros(BUCKETS, np.float32), -30.0)
-    return fit(pa.concat_arrays(table["text"].cast(pa.large_utf8()).chunks), table["toxic"].to_numpy())
+    return fit(shared.chunk_of(table["text"]), np.array(table["label"].to_pylist()).astype(int))
 
 
 def score(docs: DataFrame, model: Model, *keep: str, name: str = "score") -> DataFrame:

@@ -154,7 +154,7 @@ def test_copies_are_averaged_by_how_often_rows_moved():
 
 
 def test_probabilities_are_normalised():
-    v = bilinear.Vocabulary(np.zeros(0, np.uint64), np.zeros(0), np.arange(70, dtype=np.uint64), np.arange(103)[::-1].copy(), np.ones(32), 5253, 103)
+    v = bilinear.Vocabulary(np.arange(70, dtype=np.uint64), np.arange(33, 103)[::-1], np.arange(70, dtype=np.uint64), np.arange(103)[::-1].copy(), np.ones(32), 5253, 103)
     p, squares = bilinear.fresh(v)
     trainer = bilinear.Trainer(v, p, squares, 1, 0.1)
     rng = np.random.default_rng(0)
@@ -215,10 +215,35 @@ def test_the_field_agrees_with_patterns_and_finds_more():
         base = secrets.base_tags(block, w) > 0
         hit, wrong, missed = hit + ((tags > 0) & base).sum(), wrong + ((tags > 0) & ~base).sum(), missed + ((tags == 0) & base).sum()
     assert hit > 20 and wrong <= 2 and missed <= 2
-    new = f"{prose(3, 9)} passw0rd=9f3a77bc21de " + prose(4, 9)
-    rows = [secrets.base_spans(new)]
-    secrets.added_spans(field, next(tk.blocks(pa.array([new]))), rows)
-    assert all(new[a:b].strip() for a, _, b in rows[0])
+
+
+def test_the_field_finds_forms_that_no_pattern_knows():
+    """Names and values that are neither in the patterns nor among the planted ones."""
+    rng = random.Random(8)
+    field = secrets.fit(pa.array(secret_texts(120)))
+    some = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    letters = "ABCDEFGHIJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+    forms = [lambda: f"pwd={some(letters + '23456789', 18)}", lambda: f"bearer: {some('ABCDEF0123456789', 32)}", lambda: f"smtp_login = {some('abcdefgh0123456789', 22)}", lambda: f"glpat-{some(letters + '0123456789', 26)}"]
+    harmless = [lambda: "height=12", lambda: f"tel: {some('0123456789', 7)}", lambda: "kind = simple", lambda: "2024-11-26"]
+    hits = wrong = 0
+    for i in range(80):
+        for form, secret in ((forms[i % 4], True), (harmless[i % 4], False)):
+            before, made = prose(900 + i, 8), form()
+            text = f"{before} {made} {prose(1900 + i, 8)}"
+            assert not secrets.base_spans(text)
+            rows = [[]]
+            secrets.added_spans(field, next(tk.blocks(pa.array([text]))), rows)
+            met = any(a < len(before) + 1 + len(made) and b > len(before) + 1 for a, _, b in rows[0])
+            hits, wrong = hits + (secret and met), wrong + len(rows[0]) - (secret and met)
+    assert hits >= 64 and wrong <= 4, (hits, wrong)
+
+
+def test_lines_to_learn_from_stand_anywhere(monkeypatch):
+    monkeypatch.setattr(secrets, "LINES_WITHOUT", 20)
+    text = "\n".join(prose(i, 150) for i in range(200))
+    tagged, plain = secrets._lines(pa.array([text, "password=abcdef123 " + " ".join(["x"] * 70) + " token=zzzzzz99"]))
+    places = [text.index(x) / len(text) for x in plain if x in text]
+    assert len(plain) == 20 and max(places) > 0.7 and min(places) < 0.3 and len(tagged) == 2
 
 
 def test_viterbi_is_the_best_path():
