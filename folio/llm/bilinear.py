@@ -52,8 +52,8 @@ WIDTH, BATCH, NOISE, NOISE_CLASSES = 24, 4096, 32, 16
 #: Documents and bytes of the sample that training starts on, at most about; tokens that training sees at least.
 START_DOCS, START_BYTES, AIM = 2000, 8 << 20, 4_000_000
 RATE, LATE_RATE = 0.1, 0.04
-#: Tokens normalised at a time.
-CHUNK = 8192
+#: Tokens that are dealt to classes at a time, and rows of one product.
+CHUNK, PRODUCT = 1 << 16, 4096
 _U = np.uint64
 END = _U(0x1F83D9ABFB41BD6B)
 
@@ -279,9 +279,8 @@ def fresh(v: Vocabulary, d: int = WIDTH) -> tuple[Parameters, list[np.ndarray]]:
 def start(docs: DataFrame, v: Vocabulary) -> tuple[Parameters, list[np.ndarray], int]:
     """Parameters, Adagrad's sums and tokens seen, after training on a bounded sample of documents."""
     p, squares = fresh(v)
-    texts = shared.sample_texts(docs, {None: START_DOCS}, START_BYTES)["text"].cast(pa.large_utf8())
+    column = shared.chunk_of(shared.sample_texts(docs, {None: START_DOCS}, START_BYTES)["text"])
     trainer, seen = Trainer(v, p, squares, 3, RATE), 0
-    column = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.large_utf8())
     with shared.one_blas_thread():
         while len(column):
             before = seen
@@ -367,13 +366,19 @@ def train(docs: DataFrame, v: Vocabulary) -> Parameters:
     return p
 
 
-def log_normalised(z: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row of ``z`` at ``y``; ``z`` is used up."""
-    own = z[np.arange(len(z)), y]
-    top = z.max(axis=1)
-    z -= top[:, None]
-    np.exp(z, out=z)
-    return own - top - np.log(z.sum(axis=1))
+def log_normalised(q: np.ndarray, vectors: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row of ``q @ vectors`` at ``y``."""
+    out = np.empty(len(q), np.float32)
+    for i in range(0, len(q), PRODUCT):
+        z = q[i : i + PRODUCT] @ vectors
+        own = z[np.arange(len(z)), y[i : i + PRODUCT]]
+        if z.max() > 60:  # else no sum can overflow
+            top = z.max(axis=1)
+            z -= top[:, None]
+            own -= top
+        np.exp(z, out=z)
+        out[i : i + PRODUCT] = own - np.log(z.sum(axis=1))
+    return out
 
 
 class Scorer:
@@ -381,14 +386,18 @@ class Scorer:
 
     def __init__(self, v: Vocabulary, p: Parameters) -> None:
         d = p.mix.shape[1]
-        self.near, self.far = p.context @ p.mix[:d], p.context @ p.mix[d:]
+        # the biases meet a column of ones
+        ones = np.ones((len(p.context), 1), np.float32)
+        self.near = np.concatenate([p.context @ p.mix[:d], ones], axis=1)
+        self.far = np.concatenate([p.context @ p.mix[d:], 0 * ones], axis=1)
         self.order, self.bounds = v.classes()
         self.class_of, self.place = np.empty(v.items, np.int32), np.empty(v.items, np.int32)
         self.class_of[self.order] = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
         self.place[self.order] = np.arange(v.items) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
-        words = p.words[self.order]
-        self.words, self.word_bias = words[:, :-1].T.copy(), words[:, -1].copy()
-        self.top, self.top_bias = p.class_vectors[:, :-1].T.copy(), p.class_vectors[:, -1].copy()
+        self.inside = [p.words[self.order[a:b]].T.copy() for a, b in zip(self.bounds[:-1], self.bounds[1:], strict=True)]
+        self.top = p.class_vectors.T.copy()
+        self.own, self.log_counts = np.full(len(v.hashes), -1, np.int32), np.log10(v.counts + 1.0)
+        self.own[find(v.hashes, v.own)] = np.arange(len(v.own))
 
     def __call__(self, near: np.ndarray, far: np.ndarray, item: np.ndarray) -> np.ndarray:
         out = np.empty(len(item), np.float64)
@@ -398,14 +407,13 @@ class Scorer:
 
     def _chunk(self, near: np.ndarray, far: np.ndarray, item: np.ndarray) -> np.ndarray:
         of = self.class_of[item]
-        order = np.argsort(of, kind="stable")
+        order = np.argsort(of.astype(np.uint16), kind="stable")
         of, q = of[order], self.near[near[order]] + self.far[far[order]]
-        found = log_normalised(q @ self.top + self.top_bias, of)
-        place = self.place[item[order]]
+        found, place = log_normalised(q, self.top, of), self.place[item[order]]
         cuts = np.searchsorted(of, np.arange(len(self.bounds)))
         for c in np.flatnonzero(np.diff(cuts)):
-            here, a, b = slice(cuts[c], cuts[c + 1]), self.bounds[c], self.bounds[c + 1]
-            found[here] += log_normalised(q[here] @ self.words[:, a:b] + self.word_bias[a:b], place[here])
+            here = slice(cuts[c], cuts[c + 1])
+            found[here] += log_normalised(q[here], self.inside[c], place[here])
         out = np.empty(len(item), np.float32)
         out[order] = found
         return out
@@ -428,12 +436,13 @@ def score_parts(docs: DataFrame, v: Vocabulary, p: Parameters, held_out: Column)
 
     def scored(v: Vocabulary, scorer: Scorer, batch: pa.RecordBatch, block: tk.Block) -> pa.RecordBatch:
         h, ending, row = tokens(block)
-        item, i = items_of(v, h, ending), find(v.hashes, h)
+        i = find(v.hashes, h)
+        own = np.append(scorer.own, np.int32(-1))[i]  # the last for words that are not in the table
+        item = np.where(ending < 0, np.int32(v.end), np.where(own >= 0, own, len(v.own) + ending.astype(np.int32)))
         total = lambda x: np.bincount(row, x, minlength=block.rows)
         ends = ending < 0
         known = i >= 0
-        counted = v.counts[np.maximum(i, 0)] if len(v.counts) else np.zeros(len(i))
-        logs = np.log10(np.where(ends, v.item_counts[v.end], np.where(known, counted, 0)) + 1.0)
+        logs = np.where(ends, np.log10(v.item_counts[v.end] + 1.0), np.append(scorer.log_counts, 0.0)[i])
         known |= ends & bool(v.item_counts[v.end])
         inner = (item >= len(v.own)) & ~ends
         slots = np.where(inner, np.log10(v.slots)[np.clip(item - len(v.own), 0, SHARED - 1)], 0.0)
