@@ -3,20 +3,23 @@
 Words are hashed; of every ``WINDOW - K + 1`` consecutive k-gram hashes the least
 is the fingerprint of the window of ``WINDOW`` words that they fill.  Equal
 windows have equal fingerprints, so every shared span of ``WINDOW`` words or more
-shares one.  A document emits one row for each run of windows with the same
-fingerprint, with the word hashes of the run.  Rows are kept if a benchmark window
-has their fingerprint; only these are extended, by comparing the hash of each full
-window of the run with the benchmark's windows.  Neither text nor fingerprints of
-documents are shuffled while the benchmark's windows are few enough to broadcast,
-which is counted; beyond that the same joins shuffle.
+shares one.  The benchmark's fingerprints are folded into a Bloom filter, an array of
+64-bit words of ``BITS_PER_WINDOW`` bits for each (at most ``MOST_BITS``), which is a
+scalar of the plan.  A document is read once: of its runs of windows with the same
+fingerprint only those that the filter lets through are kept, with the word hashes of
+the run.  These few rows are joined with the benchmark's fingerprints and extended, by
+comparing the hash of each full window of the run with the benchmark's windows.  So
+neither text nor fingerprints of documents are shuffled, whatever the benchmark's size;
+beyond ``MOST_BITS`` the filter lets more through and the join still decides.
 
 A benchmark text of fewer words than ``WINDOW`` is one window of its own length.
-Documents are looked up for such lengths at every position whose first word starts
-a short text (if these words are few; else at every position).
+Documents are looked up for such lengths at the positions whose first word passes a
+second filter, that of the first words of the short texts.
 
 Defined results: null and empty texts have no words and no hits; an empty
-benchmark marks nothing; rows that repeat a doc_id are judged each by their text;
-repeated items count by their item_id; further columns are kept or not looked at.
+benchmark marks nothing; a text of any length is read whole; rows that repeat a doc_id
+are judged each by their text; repeated items count by their item_id; an empty table
+gives an empty result; further columns, whatever their names, are kept or not looked at.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from folio.llm import shared
 
 #: Words of a window, and of the k-grams that are winnowed.
 WINDOW, K = 10, 5
-#: Most first words of short items that are compiled into the plan as a set.
-FIRST_WORDS = 5_000
+#: Bits of a filter for each entry, and at most.
+BITS_PER_WINDOW, MOST_BITS = 24, 1 << 26
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -50,26 +53,54 @@ def _least(wh: Column, body) -> Column:
     return shared.let(grams, lambda g: shared.let(least(g), body))
 
 
-def runs(wh: Column) -> Column:
-    """``f, start, len, words``: runs of windows with the same fingerprint and the words they cover."""
+def bloom(hashes: DataFrame) -> DataFrame:
+    """One row ``bits`` for a column of hashes ``f``: an array of 64-bit words with two bits set for each hash.
+
+    The array has as many words as the number of hashes asks for, a power of two.
+    """
+    n = hashes.count()
+    size = 64
+    while size < min(n * BITS_PER_WINDOW, MOST_BITS):
+        size *= 2
+    at = hashes.select(F.explode(F.array(*_places(F.col("f"), F.lit(size)))).alias("p"))
+    words = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("b"))
+    dense = hashes.sparkSession.range(size // 64).withColumnRenamed("id", "w").join(words, "w", "left").select("w", F.coalesce("b", F.lit(0).cast("long")).alias("b"))
+    return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bits"))
+
+
+def _places(f: Column, size: Column) -> tuple[Column, Column]:
+    return F.pmod(f, size), F.pmod(F.shiftright(f, 32), size)
+
+
+def passes(bits: Column, f: Column) -> Column:
+    """Whether the filter may hold the hash: always for one that it was made of."""
+    there = lambda p: F.call_function("shiftright", F.get(bits, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    first, second = _places(f, F.size(bits).cast("long") * 64)
+    return there(first) & there(second)
+
+
+def runs(wh: Column, bits: Column) -> Column:
+    """``f, start, len, words``: runs of windows with the same fingerprint, if the filter lets it through, and the words they cover."""
 
     def cut(least: Column) -> Column:
-        starts = F.filter(_indices(F.size(least) - 1), lambda s: (s == 0) | (F.get(least, s) != F.get(least, s - 1)))
+        begins = lambda s: (s == 0) | (F.get(least, s) != F.get(least, s - 1))
+        starts = F.filter(_indices(F.size(least) - 1), lambda s: begins(s) & passes(bits, F.get(least, s)))
 
-        def one(s: Column, j: Column, all_starts: Column) -> Column:
-            until = F.coalesce(F.get(all_starts, j + 1), F.size(least))
-            return F.struct(F.get(least, s).alias("f"), s.alias("start"), F.lit(WINDOW).alias("len"), F.slice(wh, s + 1, until - s + WINDOW - 1).alias("words"))
+        def one(s: Column) -> Column:
+            # windows from here on that have this fingerprint
+            f = F.get(least, s)
+            after = F.slice(least, s + 1, F.size(least))
+            same = F.coalesce(F.nullif(F.array_position(F.transform(after, lambda x: (x != f).cast("int")), 1), F.lit(0).cast("long")) - 1, F.size(after).cast("long")).cast("int")
+            return F.struct(f.alias("f"), s.alias("start"), F.lit(WINDOW).alias("len"), F.slice(wh, s + 1, same + WINDOW - 1).alias("words"))
 
-        return shared.let(starts, lambda all_starts: F.transform(all_starts, lambda s, j: one(s, j, all_starts)))
+        return F.transform(starts, one)
 
     return _least(wh, cut)
 
 
-def short_runs(wh: Column, length: int, first_words: list[int] | None) -> Column:
-    """The same for windows of a shorter length, at every start or those with one of the first words."""
-    starts = _indices(F.size(wh) - length)
-    if first_words is not None:
-        starts = F.filter(starts, lambda s: F.get(wh, s).isin(first_words))
+def short_runs(wh: Column, length: int, first: Column) -> Column:
+    """The same for windows of a shorter length, at the starts whose first word the filter lets through."""
+    starts = F.filter(_indices(F.size(wh) - length), lambda s: passes(first, F.get(wh, s)))
     window = lambda s: F.slice(wh, s + 1, length)
     return F.transform(starts, lambda s: F.struct(F.xxhash64(F.lit(length), window(s)).alias("f"), s.alias("start"), F.lit(length).alias("len"), window(s).alias("words")))
 
@@ -88,33 +119,30 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, row, n_words, spans, item_ids`` of every row of ``docs``.
 
     ``spans`` are the ``start, stop`` word positions of the windows found, sorted;
-    ``row`` tells rows apart that share a doc_id.
+    ``row`` is the hash of the text.
     """
     windows = shared.materialise(item_windows(benchmark))
-    lengths = [r[0] for r in windows.filter(F.col("len") < WINDOW).select("len").distinct().collect()]
-    first: list[int] | None = None
-    if lengths:
-        found = windows.filter(F.col("len") < WINDOW).select("first").distinct().limit(FIRST_WORDS + 1).collect()
-        first = [r[0] for r in found] if len(found) <= FIRST_WORDS else None
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), word_hashes(F.col("text")).alias("wh"))
-    sentinel = F.struct(F.xxhash64("doc_id", "row").alias("f"), F.lit(-1).alias("start"), F.lit(0).alias("len"), F.array().cast("array<bigint>").alias("words"))
-    rows = lambda wh: F.concat(F.array(sentinel), runs(wh), *(short_runs(wh, n, first) for n in sorted(lengths)))
-    emitted = keyed.select("doc_id", "row", F.size("wh").alias("n"), F.explode(shared.let(F.col("wh"), rows)).alias("x")).select("doc_id", "row", "n", "x.*")
-    known = windows.select("f").distinct().withColumn("known", F.lit(True))
-    near = emitted.join(shared.checked_broadcast(known), "f", "left").filter(F.col("known").isNotNull() | (F.col("start") < 0))
-    # extend: each window of the run by its own hash; sentinels keep one row without a window
-    at = F.explode(F.when(F.col("start") < 0, F.array(F.lit(0))).otherwise(_indices(F.size("words") - F.col("len"))))
-    each = near.select("doc_id", "row", "n", "start", "len", "words", at.alias("j"))
-    each = each.select("doc_id", "row", "n", (F.col("start") + F.col("j")).alias("start"), "len", F.when(F.col("start") < 0, F.xxhash64("doc_id", "row")).otherwise(F.xxhash64(F.slice("words", F.col("j") + 1, F.col("len")))).alias("w"))
-    full = each.join(shared.checked_broadcast(windows.select("len", "w", "items")), ["len", "w"], "left").filter(F.col("items").isNotNull() | (F.col("start") < 0))
-    span = F.when(F.col("start") >= 0, F.struct("start", (F.col("start") + F.col("len")).alias("stop")))
-    grouped = full.groupBy("doc_id", "row").agg(
-        F.max(F.when(F.col("start") < 0, F.col("n"))).cast("long").alias("n_words"),
-        F.count_if(F.col("start") < 0).alias("copies"),
-        F.array_sort(F.collect_set(span)).alias("spans"),
+    lengths = sorted(r[0] for r in windows.filter(F.col("len") < WINDOW).select("len").distinct().collect())
+    full, short = (shared.materialise(bloom(x)).scalar() for x in (windows.filter(F.col("len") == WINDOW).select("f").distinct(), windows.filter("first IS NOT NULL").select(F.col("first").alias("f")).distinct()))
+    text = F.col("text").cast("string")
+    read = lambda wh, b, f: F.struct(F.size(wh).cast("long").alias("n_words"), F.concat(runs(wh, b), *(short_runs(wh, n, f) for n in lengths)).alias("near"))
+    # the hashes and each filter are named once, so that the plan holds the filters as scalars and not as columns of every row
+    found = shared.let(F.col("full"), lambda b: shared.let(F.col("short"), lambda f: shared.let(F.col("wh"), lambda wh: read(wh, b, f))))
+    keyed = docs.select("doc_id", F.xxhash64(text).alias("row"), word_hashes(F.col("text")).alias("wh"), full.alias("full"), short.alias("short"))
+    measured = shared.materialise(keyed.select("doc_id", "row", found.alias("x")).select("doc_id", "row", "x.*"))
+    near = measured.filter(F.size("near") > 0).select("doc_id", "row", F.explode("near").alias("x")).select("doc_id", "row", "x.*").distinct()
+    known = shared.checked_broadcast(windows.select("f").distinct())
+    each = near.join(known, "f").select("doc_id", "row", "start", "len", "words", F.explode(_indices(F.size("words") - F.col("len"))).alias("j"))
+    each = each.select("doc_id", "row", (F.col("start") + F.col("j")).alias("start"), "len", F.xxhash64(F.slice("words", F.col("j") + 1, F.col("len"))).alias("w"))
+    size = F.aggregate("items", F.lit(64), lambda total, x: total + 16 + F.octet_length(x))
+    met = each.join(shared.checked_broadcast(windows.select("len", "w", "items"), size=size), ["len", "w"])
+    found = met.groupBy("doc_id", "row").agg(
+        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("stop")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
     )
-    return grouped.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
+    found = found.withColumnsRenamed({"doc_id": "_doc", "row": "_row"})
+    joined = measured.select("doc_id", "row", "n_words").join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("row").eqNullSafe(F.col("_row")), "left")
+    return joined.select("doc_id", "row", "n_words", *(F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c) for c in ("spans", "item_ids")))
 
 
 def covered(spans: Column) -> Column:
@@ -136,7 +164,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc, row = shared.hidden("id"), shared.hidden("row")
     bad = report(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
     bad = shared.checked_broadcast(shared.materialise(bad))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(row)), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64(F.col("text").cast("string")) == F.col(row)), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

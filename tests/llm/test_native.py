@@ -36,6 +36,34 @@ def test_line_dedup_as_brute_force(spark):
     assert got == brute_lines(rows)
 
 
+def test_line_dedup_of_keys_in_pieces(spark, monkeypatch):
+    """A third of all rows hold one line; with and without its key being dealt to pieces."""
+    common = "this one line is held by very many documents"
+    rows = [(i, "\n".join([prose(i, 6), *([common] * (1 + i % 3)), prose(i + 1, 6)])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.hot_keys(docs, 20).count() >= 1
+    found = []
+    for hot in (1000, 1):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        cut = line_dedup.with_bitmaps(docs)
+        found.append({r.doc_id: (r.n, r.n - r.k, r.h) for r in cut.select("doc_id", F.size(line_dedup.LINES).alias("n"), F.size(line_dedup.KEPT).alias("k"), F.sha2(F.array_join(line_dedup.KEPT, "\n"), 256).alias("h")).collect()})
+    assert found[0] == found[1] == brute_lines(rows)
+
+
+def test_line_dedup_streams_sorted_ranges(spark):
+    """The sliding pass takes the sorted ranges as they are: no exchange between them and it."""
+    docs = spark.createDataFrame([(i, common_line) for i in range(9) for common_line in ["a line of many documents\nand another such line"]], "doc_id long, text string")
+    kept = []
+    line_dedup.shared.materialise, real = lambda df: kept.append(df) or real(df), line_dedup.shared.materialise
+    try:
+        line_dedup.keep_bitmaps(docs)
+    finally:
+        line_dedup.shared.materialise = real
+    plan = kept[-1]._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("rangepartitioning")]
+    assert "Window" in above and above.count("Exchange") == 1 and "hashpartitioning" not in above
+
+
 def test_line_dedup_odd_rows(odd_docs, no_docs):
     done = line_dedup.dedup_lines(odd_docs)
     assert done.columns == odd_docs.columns and done.count() == odd_docs.count()
@@ -67,9 +95,10 @@ def brute_hits(docs, items):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("first_words", [5000, 0])
-def test_decontaminate_as_brute_force(spark, monkeypatch, first_words):
-    monkeypatch.setattr(decontaminate, "FIRST_WORDS", first_words)
+@pytest.mark.parametrize("bits", [24, 1])
+def test_decontaminate_as_brute_force(spark, monkeypatch, bits):
+    """Also with filters that let nearly everything through."""
+    monkeypatch.setattr(decontaminate, "BITS_PER_WINDOW", bits)
     items = [(1, prose(50, 40)), (2, prose(51, 10)), (3, "three Small words"), (4, "one"), (5, None), (6, "--"), (7, prose(50, 40)), (8, "la " * 30), (9, prose(52, 9))]
     a, b = prose(50, 40).split(), prose(52, 9)
     docs = [
@@ -92,12 +121,20 @@ def test_decontaminate_as_brute_force(spark, monkeypatch, first_words):
 
 
 def test_decontaminate_by_shuffled_joins(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate.shared, "checked_broadcast", lambda df, bound=0: df)
+    monkeypatch.setattr(decontaminate.shared, "checked_broadcast", lambda df, bound=0, size=None: df)
     d = spark.createDataFrame([(1, prose(50, 60)), (2, prose(53, 60))], "doc_id long, text string")
     i = spark.createDataFrame([(1, prose(50, 40))], "item_id long, text string")
     assert {r.doc_id: r.n_hit for r in decontaminate.report(d, i).collect()} == {1: 40, 2: 0}
 
 
+def test_filter_holds_what_it_was_made_of_and_little_else(spark):
+    made = spark.range(5000).select(F.xxhash64("id").alias("f"))
+    bits = decontaminate.bloom(made).scalar()
+    tried = spark.range(10_000).select("id", F.xxhash64("id").alias("f")).select("id", decontaminate.passes(bits, F.col("f")).alias("there"))
+    assert tried.filter("there AND id < 5000").count() == 5000 and tried.filter("there AND id >= 5000").count() < 250
+    assert tried.limit(0).count() == 0 and decontaminate.bloom(made.limit(0)).count() == 1
+
+
 def test_decontaminate_odd_rows(odd_docs, no_docs, spark):
     items = spark.createDataFrame([(1, prose(2, 30)), (1, prose(2, 30))], "item_id long, text string")
     got = decontaminate.report(odd_docs, items).collect()
