@@ -1,32 +1,40 @@
 """Removal of lines that many documents share, in DataFrame operations only.
 
-1. Lines become ``(key hash, document, positions)``, one row for each key of a
-   document, so a document's repeats are folded before any shuffle.
-2. These rows are range-partitioned by (hash, document) and sorted within the
-   partitions; partial aggregation then streams the runs of equal hashes.  A
-   key that a third of all documents hold spans many ranges, each of which
-   passes on one row: first and last document and a count.
-3. Frequent keys are joined back (a sort-merge join that Spark may split at hot
-   keys; small sides are broadcast after a count) and the positions to drop are
-   gathered by document as a run-length bitmap: alternating lengths of kept and
-   dropped runs.  Text is not moved up to here.
-4. ``apply_bitmap`` cuts the kept runs out of the lines of a text.
+1. Lines become ``(key hash, document, position)``, one row each.
+2. These rows are range-partitioned by the hash and sorted within the partitions by
+   hash, then document (the largest first), then position.  A sliding pass over the
+   sorted runs needs no look back: the first document of a run keeps its lines, the
+   first occurrence; a row of the third or a later document is dropped, and one of the
+   second if a third follows.  Only rows to drop leave the pass.
+3. Keys so frequent that they would fill a partition (a hash-picked sample of documents
+   tells which; at most ``HOT``) are range-partitioned by hash and piece, a document being
+   in one piece of a key.  The first occurrences of the pieces are carried over: the
+   largest of them is the first occurrence of the key, the others are dropped too.  The
+   sample only decides how rows are dealt out, not which lines go: the pieces are counted
+   whole.
+4. Positions to drop are gathered by document as a run-length bitmap: starts and lengths
+   of the runs of lines kept.  Text is not moved up to here.
+5. ``apply_bitmap`` cuts the kept runs out of the lines of a text.
 
 Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` are never dropped; rows that repeat a doc_id count as one document
 for the number of holders, and each loses the same positions if their texts are
-alike.  Columns of the input other than ``doc_id`` and ``text`` are not looked at.
+alike; a null doc_id counts as one document, the smallest, and loses nothing; a text of
+any length is split whole; an empty table gives an empty result.  Other columns of the
+input, whatever their names, are kept by ``dedup_lines`` and not looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm import shared
 
 #: Stripped from both ends of a line to get its key.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Most keys that are dealt to pieces, pieces of each at least, and documents of the sample that tells which, about.
+HOT, PIECES, SAMPLE = 1000, 64, 10_000
 
 
 def lines_of(text: Column) -> Column:
@@ -46,11 +54,36 @@ def occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     return keyed.select("doc_id", "version", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"), "pos")
 
 
-def frequent_keys(holders: DataFrame, min_docs: int) -> DataFrame:
-    """Keys held by ``min_docs`` documents or more, with the document that keeps them."""
-    docs = holders.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one")) if "version" in holders.columns else holders
-    keys = docs.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
-    return keys.filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
+def hot_keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    """``h1, h2`` of at most ``HOT`` keys that hold more than that share of the lines of a sample of documents."""
+    share = max(1, int((1 << 20) * SAMPLE / max(docs.count(), 1)))
+    lines = occurrences(docs.filter(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < share), min_chars)
+    counts = shared.materialise(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.filter(F.col("n") > max(total / HOT, 10)).select("h1", "h2")
+
+
+def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """``doc_id, version, pos`` of the lines that go."""
+    pieces = max(PIECES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = F.broadcast(hot_keys(docs, min_chars).withColumn("hot", F.lit(True)))  # HOT rows at most, by the way it is made
+    piece = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(pieces))).otherwise(0)
+    keyed = occurrences(docs, min_chars).join(hot, ["h1", "h2"], "left").withColumn("piece", piece).withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
+    runs = keyed.repartitionByRange("h1", "h2", "piece").sortWithinPartitions("h1", "h2", "piece", F.desc("doc"), "pos")
+    run = Window.partitionBy("h1", "h2", "piece")
+    # which document of its run a row is of, the last document at hand, and for pieces how many there are
+    ranked = runs.select("*", F.dense_rank().over(run.orderBy(F.desc("doc"))).alias("nth"))
+    ranked = ranked.select("*", F.max("nth").over(run).alias("docs"))
+    sure = (F.col("piece") == 0) & (F.col("docs") >= min_docs) & (F.col("nth") > 1)
+    kept = ranked.filter(sure | (F.col("piece") > 0)).select("doc_id", "version", "pos", "h1", "h2", "piece", "doc", "nth", "docs")
+    carried = shared.materialise(kept)
+    # one row for each piece: its first occurrence and its documents
+    firsts = carried.filter((F.col("piece") > 0) & (F.col("nth") == 1)).groupBy("h1", "h2", "piece").agg(F.max("doc").alias("doc"), F.max("docs").alias("docs"))
+    keepers = firsts.groupBy("h1", "h2").agg(F.max("doc").alias("keeper"), F.sum("docs").alias("holders"))
+    small = F.broadcast(keepers.filter(F.col("holders") >= min_docs))  # again HOT rows at most
+    split = carried.filter("piece > 0").join(small, ["h1", "h2"]).filter("doc < keeper")
+    gone = carried.filter("piece = 0").select("doc_id", "version", "pos").unionAll(split.select("doc_id", "version", "pos"))
+    return gone.filter("doc_id IS NOT NULL")
 
 
 def kept_runs(dropped: Column) -> Column:
@@ -65,12 +98,7 @@ def kept_runs(dropped: Column) -> Column:
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``doc_id, version, runs``: run-length keep bitmaps of the documents that lose lines."""
-    folded = occurrences(docs, min_chars).groupBy("h1", "h2", "doc_id", "version").agg(F.collect_set("pos").alias("positions"))
-    ranged = folded.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id")
-    holders = shared.materialise(ranged)
-    keys = shared.materialise(frequent_keys(holders, min_docs))
-    hit = holders.join(shared.checked_broadcast(keys), ["h1", "h2"]).filter(F.col("doc_id") < F.col("keeper"))
-    by_doc = hit.groupBy("doc_id", "version").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("dropped"))
+    by_doc = dropped_lines(docs, min_chars, min_docs).groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
     return by_doc.select("doc_id", "version", kept_runs(F.col("dropped")).alias("runs"))
 
 
@@ -88,8 +116,7 @@ def with_bitmaps(docs: DataFrame, **limits: int) -> DataFrame:
     text = F.col("text").cast("string")
     doc, version, runs = (shared.hidden(x) for x in ("id", "version", "runs"))
     bitmaps = keep_bitmaps(docs, **limits).toDF(doc, version, runs)
-    # text is moved once and never sorted: the bitmaps are the build side
-    joined = docs.join(bitmaps.hint("shuffle_hash"), (docs["doc_id"] == bitmaps[doc]) & (F.xxhash64(docs["text"].cast("string")) == bitmaps[version]), "left")
+    joined = docs.join(bitmaps, (docs["doc_id"] == bitmaps[doc]) & (F.xxhash64(docs["text"].cast("string")) == bitmaps[version]), "left")
     cut = joined.withColumn(LINES, lines_of(text)).withColumn(KEPT, apply_bitmap(F.col(LINES), F.col(runs)))
     return cut.drop(doc, version, runs)
 
