@@ -11,7 +11,9 @@ Work for a piece is linear in its bytes times the longest token, whatever the
 text; there is no quadratic case for long runs without white space.
 
 Defined results: a null or empty text has no tokens and decodes to nothing;
-repeated rows are encoded each; further columns of the input are not looked at.
+repeated rows are encoded each; a text of any length is encoded whole; an empty table
+gives an empty result; further columns, whatever their names, are kept where they are
+named and else not looked at.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.llm import shared
 from folio.llm import textkernel as tk
@@ -36,6 +40,8 @@ CACHE_ENTRIES = 250_000
 PREFIXES = (12, 8)
 #: White_Space of Unicode, as patterns of tokenizers understand it.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The pattern whose pieces never have white space behind other characters.
+CUT_BEFORE_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Vocabulary:
@@ -176,16 +182,16 @@ class Encoder:
 
         self.vocabulary, self.cache = vocabulary, cache
         self.split = regex.compile(pattern).findall
-        # no piece of these patterns has white space behind other characters, so a text
-        # may be cut there first; the cheaper cut is what the cache is asked for
-        self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
+        # no piece of that pattern has white space behind other characters, so a text may be
+        # cut there first, and the cheaper cut is what the cache is asked for; else pieces are
+        self.cheaper = pattern == CUT_BEFORE_WHITE
+        self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall if self.cheaper else self.split
         self.begun: dict[bytes, list[int]] = {}
         self.pieces: dict[str, list[int]] = {}
-        # a unit's ids as decimal text; nearly always they decode to the unit itself, which
-        # is checked when they are worked out, and other bytes are held beside it
+        # the ids of units as decimal text, and what the ids of recent units decode to
         self.recent: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self.unlike: dict[str, bytes] = {}
+        self.decoded: dict[str, bytes | str] = {}
 
     def ids_of_piece(self, piece: bytes) -> list[int]:
         """Fill the table from the longest beginning whose entries are known, by exact appends."""
@@ -209,18 +215,22 @@ class Encoder:
         """Ids as decimal text."""
         found = self.older.get(unit)
         if found is None:
-            raw = unit.encode()
             # a space and ASCII letters are one piece
-            ids = self.ids_of_piece(raw) if unit[0] == " " and unit[1:].isalpha() and unit.isascii() else self.encode(unit)
-            found = ",".join(map(str, ids))
-            if (decoded := self.decode(ids)) != raw:
-                self.unlike[unit] = decoded
+            one = not self.cheaper or unit[0] == " " and unit[1:].isalpha() and unit.isascii()
+            found = ",".join(map(str, self.ids_of_piece(unit.encode()) if one else self.encode(unit)))
         if len(unit) <= 64:
             if len(self.recent) >= self.cache:
-                self.recent, self.older = {}, self.recent
+                self.recent, self.older, self.decoded = {}, self.recent, {}
             self.recent[unit] = found
+            # the unit's own object is held if it is what the ids decode to, to save memory
+            text = self.decode_text(found)
+            self.decoded[found] = unit if text == unit else text
         return found
 
+    def decode_text(self, ids: str) -> str:
+        """The text of ids in decimal; bytes that are no UTF-8 come as lone surrogates, so none is lost."""
+        return self.decode(list(map(int, ids.split(",")))).decode("utf-8", "surrogateescape")
+
     def encode(self, text: str) -> list[int]:
         out, pieces = [], self.pieces
         for p in self.split(text):
@@ -240,11 +250,11 @@ class Encoder:
 
     def encode_units(self, text: str) -> tuple[str, bytes]:
         """The ids of a text as decimal text with commas, and the bytes that they decode to."""
-        known, units = self.recent.get, self.units(text)
-        ids = ",".join([known(u) or self.unit(u) for u in units])
-        if self.unlike and any(u in self.unlike for u in units):
-            return ids, b"".join([self.unlike.get(u) or u.encode() for u in units])
-        return ids, "".join(units).encode()
+        known = self.recent.get
+        found = [known(u) or self.unit(u) for u in self.units(text)]
+        decoded = self.decoded.get
+        back = "".join([decoded(ids) or self.decode_text(ids) for ids in found])
+        return ",".join(found), back.encode("utf-8", "surrogateescape")
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -270,23 +280,31 @@ def _uncollected() -> Iterator[None]:
             gc.enable()
 
 
-def _texts(batch: pa.RecordBatch, rows: int = 64) -> Iterator[tuple[int, list[str | None]]]:
-    column = batch.column("text")
+def _texts(batch: pa.RecordBatch, rows: int = 64, column: str = "text") -> Iterator[tuple[int, list[str | None]]]:
+    column = batch.column(column)
     for i in range(0, len(column), rows):
         yield i, column.slice(i, rows).to_pylist()
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, token_ids array<int>`` of every row, in one pass without a shuffle."""
+def encode(docs: DataFrame, path: str, pattern: str, *keep: str) -> DataFrame:
+    """``doc_id`` or the columns named, ``n_tokens`` and ``token_ids array<int>`` of every row, in one pass without a shuffle."""
+    kept = [F.col(f"`{k}`") for k in keep] or [F.col("doc_id").cast("long").alias("doc_id")]
+    own = docs.select(*kept).schema
+    schema = T.StructType([*own, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+    text = shared.hidden("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
-        for batch in batches:
-            for i, texts in _texts(batch):
-                ids = [[int(x) for x in e.encode_units(t or "")[0].split(",") if x] for t in texts]
-                yield pa.record_batch([batch.column("doc_id").slice(i, len(texts)), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "token_ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, "doc_id long, token_ids array<int>")
+        with _uncollected():
+            for batch in batches:
+                for i, texts in _texts(batch, column=text):
+                    ids = [np.fromstring(e.encode_units(t or "")[0], np.int32, sep=",") if t else np.zeros(0, np.int32) for t in texts]
+                    n = np.array([len(x) for x in ids], np.int64)
+                    at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                    lists = pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+                    yield pa.record_batch([*(batch.column(c).slice(i, len(texts)) for c in range(len(own))), pa.array(n), lists], schema=None, names=schema.names)
+
+    return docs.select(*kept, F.col("text").cast("string").alias(text)).transform(shared.arrow, run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

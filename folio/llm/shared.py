@@ -57,8 +57,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCRATCH.remove(made)
         for path in made:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -60,3 +60,30 @@ def test_odd_rows(odd_docs, no_docs):
     assert bpe.digests(no_docs, PATH, PATTERN).count() == 0
     back = bpe.decode(bpe.encode(odd_docs, PATH, PATTERN), PATH).collect()
     assert sorted(str((r.doc_id, r.text or "")) for r in rows) == sorted(str((r.doc_id, r.text)) for r in back)
+
+
+def test_any_pattern(spark):
+    """Also one whose pieces have white space behind other characters."""
+    pattern = r"\p{L}+| ?[^\s\p{L}]+[\r\n]*|\s+"
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=VOCABULARY.ranks, special_tokens={})
+    e = bpe.Encoder(VOCABULARY, pattern)
+    for text in ("a!!\n\n  b -\r\n\nc", "x  y.\n", " \n .\n\n\n"):
+        found, decoded = e.encode_units(text)
+        assert [int(i) for i in found.split(",")] == other.encode_ordinary(text) and decoded == text.encode()
+
+
+def test_bytes_come_from_the_ids():
+    """With a vocabulary whose tokens are renamed, ids decode to what they stand for and not to the input."""
+    e = bpe.Encoder(VOCABULARY, PATTERN)
+    want = REFERENCE.encode_ordinary(" some words")
+    e.vocabulary.bytes_of[want[0]], kept = b"\xff?", e.vocabulary.bytes_of[want[0]]
+    try:
+        assert e.encode_units(" some words")[1] == b"\xff?" + REFERENCE.decode_bytes(want[1:])
+    finally:
+        e.vocabulary.bytes_of[want[0]] = kept
+
+
+def test_kept_columns(odd_docs):
+    got = bpe.encode(odd_docs, PATH, PATTERN, *(c for c in odd_docs.columns if c != "text"))
+    assert got.columns == [*(c for c in odd_docs.columns if c != "text"), "n_tokens", "token_ids"]
+    assert all(r.n_tokens == len(r.token_ids) for r in got.collect()) and got.count() == odd_docs.count()
