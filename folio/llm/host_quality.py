@@ -3,12 +3,15 @@
 Every document is measured once.  Failures are summed by host with partial
 aggregation, so a host with a third of all rows costs each task one row.  The
 rate of a host is shrunk towards a beta prior that is fitted to all hosts by the
-method of moments, and hosts whose shrunk rate is above ``max_host_rate`` lose
-all their documents; elsewhere a document stays unless it breaks a rule itself.
+method of moments: the spread of the raw rates less what chance alone gives hosts of so
+few documents, so that many small hosts do not pass for a wide prior.  Hosts whose
+shrunk rate is above ``max_host_rate`` (not those at it) lose all their documents;
+elsewhere a document stays unless it breaks a rule itself.
 
 Defined results: a null or empty text has no words and so fails; a null host is
 a host of its own; an empty table gives an empty result; repeated rows are
-counted each.
+counted each; a text of any length is measured whole; further columns, whatever their
+names, are not looked at.
 """
 
 from __future__ import annotations
@@ -110,9 +113,11 @@ def host_rates(judged: DataFrame, host: str, rules: Rules = Rules()) -> DataFram
     """``host, n_docs, n_failed, rate`` with the rate shrunk by the beta prior of all hosts."""
     hosts = judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n_docs"), F.count_if("own_failed").alias("n_failed"))
     raw = F.col("n_failed") / F.col("n_docs")
-    m, v = hosts.agg(F.avg(raw), F.var_pop(raw)).first()
+    m, v, a = hosts.agg(F.avg(raw), F.var_pop(raw), F.avg(1.0 / F.col("n_docs"))).first()
     m = min(max(m or 0.0, 1e-6), 1 - 1e-6)
-    weight = min(max(m * (1 - m) / v - 1, 1.0), rules.max_prior_weight) if v else rules.max_prior_weight
+    # a beta prior of variance t gives raw rates the variance t + (m (1 - m) - t) / n
+    spread = (v - m * (1 - m) * a) / (1 - a) if v is not None and a < 1 else 0.0
+    weight = min(max(m * (1 - m) / spread - 1, 1.0), rules.max_prior_weight) if spread > 1e-12 else rules.max_prior_weight
     return hosts.withColumn("rate", (F.col("n_failed") + F.lit(m * weight)) / (F.col("n_docs") + F.lit(weight)))
 
 
@@ -162,9 +167,11 @@ WITH d AS (
 ), h AS (
   SELECT source, count(*) AS n, count(*) FILTER (own_failed) AS f FROM j GROUP BY source
 ), mv AS (
-  SELECT least(greatest(avg(f / n), 1e-6), 1 - 1e-6) AS m, var_pop(f / n) AS v FROM h
+  SELECT least(greatest(avg(f / n), 1e-6), 1 - 1e-6) AS m, var_pop(f / n) AS v, avg(1.0::DOUBLE / n) AS a FROM h
+), sp AS (
+  SELECT m, CASE WHEN a < 1 THEN (v - m * (1 - m) * a) / (1 - a) ELSE 0 END AS s FROM mv
 ), p AS (
-  SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1000.0) ELSE 1000.0 END AS k FROM mv
+  SELECT m, CASE WHEN s > 1e-12 THEN least(greatest(m * (1 - m) / s - 1, 1.0), 1000.0) ELSE 1000.0 END AS k FROM sp
 ), r AS (
   SELECT source, (f + m * k) / (n + k) AS rate FROM h CROSS JOIN p
 )
