@@ -13,19 +13,27 @@ The first writer of a hash is one row for each conversation and hash, found with
 partial aggregation, so neither frequent phrases nor long conversations gather in a
 task: every join has unique rows on one side and keys below the conversation.
 
-Defined results: a null or empty text is an empty message; passages shorter than
-``MIN_CHARS`` are not linked; rows that repeat a turn are formatted each; a null
-role is written as ``user``; further columns of the input are not looked at.
+``position`` numbers the turns of a conversation in reply order from 1.  Turns are
+numbered in pieces of ``PIECE`` turns first, and the pieces' sizes added up, so a
+conversation of any length does not gather in a task.
+
+Defined results: a null or empty text is an empty message; blank lines are no
+passages; rows that repeat a turn are formatted each and share a position; a null
+conversation is one of its own for positions and links nothing; a null turn has no
+position; a null role is written as ``user``; a text of any length is parsed whole; an
+empty table gives an empty result; further columns, whatever their names, are not
+looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm import shared
 
-MIN_CHARS = 8
+#: Turns that are numbered in one task.
+PIECE = 4096
 _MARKS = r"^[ \t]*(?:>[ \t]?)+"
 _BREAK, _AFTER = "\x01", "\x02"
 
@@ -59,12 +67,23 @@ def passages(marked: Column) -> Column:
     runs = F.array_remove(F.split(F.array_join(F.transform(marked, piece), ""), _BREAK), "")
     as_struct = lambda p: F.struct(F.substring_index(p, _AFTER, 1).cast("int").alias("level"), F.substring_index(p, _AFTER, -1).alias("norm"))
     lines = F.transform(marked, lambda x: F.struct(x["level"].cast("int").alias("level"), x["norm"].alias("norm")))
-    long = lambda p: F.length(p["norm"]) >= MIN_CHARS
-    return F.array_distinct(F.filter(F.concat(F.transform(runs, as_struct), lines), long))
+    return F.array_distinct(F.filter(F.concat(F.transform(runs, as_struct), lines), lambda p: p["norm"] != ""))
+
+
+def positions(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, position`` of every distinct turn."""
+    piece = F.floor(F.col("turn") / PIECE)
+    turns = messages.filter("turn IS NOT NULL").select("conv_id", "turn").distinct().withColumn("piece", piece)
+    within = turns.withColumn("nth", F.row_number().over(Window.partitionBy("conv_id", "piece").orderBy("turn")))
+    sizes = turns.groupBy("conv_id", "piece").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select(F.col("conv_id").alias("_conv"), F.col("piece").alias("_piece"), before.alias("offset"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("piece") == F.col("_piece"))
+    return within.join(offsets, same).select("conv_id", "turn", (F.col("offset") + F.col("nth")).cast("long").alias("position"))
 
 
 def link(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text`` (without quotes)``, n_quotes, n_linked, reply_to`` of every row."""
+    """``conv_id, turn, position, role, text`` (without quotes)``, n_quotes, n_linked, reply_to`` of every row."""
     parsed = messages.select("conv_id", "turn", "role", F.xxhash64("text").alias("version"), quote_levels(F.col("text")).alias("marked"))
     units = parsed.select("conv_id", "turn", "version", F.explode(shared.let(F.col("marked"), passages)).alias("p")).select(
         "conv_id", "turn", "version", F.col("p.level").alias("level"), F.length("p.norm").alias("size"), F.xxhash64("p.norm").alias("h1"), F.xxhash64(F.lit(1), "p.norm").alias("h2")
@@ -78,8 +97,10 @@ def link(messages: DataFrame) -> DataFrame:
     earlier = messages.select("conv_id", (F.col("turn") + 1).alias("turn")).distinct().withColumn("follows", F.lit(True))
     texts = parsed.select("conv_id", "turn", "role", "version", without_quotes(F.col("marked")).alias("text"))
     joined = texts.join(replies, ["conv_id", "turn", "version"], "left").join(earlier, ["conv_id", "turn"], "left")
+    places = positions(messages).toDF("_conv", "_turn", "position")
+    joined = joined.join(places, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left")
     before = F.when(F.col("follows"), F.col("turn") - 1)
-    return joined.select("conv_id", "turn", "role", "text", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.coalesce("quoted_turn", before).alias("reply_to"))
+    return joined.select("conv_id", "turn", "position", "role", "text", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.coalesce("quoted_turn", before).alias("reply_to"))
 
 
 def format_messages(linked: DataFrame) -> DataFrame:
@@ -90,7 +111,7 @@ def format_messages(linked: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = format_messages(link(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
-    return done.select("conv_id", "turn", "role", "reply_to", "n_quotes", "n_linked", "message")
+    return done.select("conv_id", "turn", "position", "role", "reply_to", "n_quotes", "n_linked", "message")
 
 
 SQL = r"""
@@ -109,9 +130,9 @@ WITH l AS (
   SELECT *, sum(CASE WHEN norm = '' OR norm_before IS NULL OR norm_before = '' OR level_before <> level THEN 1 ELSE 0 END)
               OVER (PARTITION BY conv_id, turn ORDER BY pos) AS run FROM g
 ), u AS (
-  SELECT conv_id, turn, level, norm FROM m WHERE length(norm) >= 8
+  SELECT conv_id, turn, level, norm FROM m WHERE norm <> ''
   UNION SELECT conv_id, turn, level, norm FROM (
-    SELECT conv_id, turn, level, string_agg(norm, ' ' ORDER BY pos) AS norm FROM r WHERE norm <> '' GROUP BY conv_id, turn, level, run) WHERE length(norm) >= 8
+    SELECT conv_id, turn, level, string_agg(norm, ' ' ORDER BY pos) AS norm FROM r WHERE norm <> '' GROUP BY conv_id, turn, level, run)
 ), o AS (
   SELECT conv_id, norm, min(turn) AS origin FROM u WHERE level = 0 GROUP BY conv_id, norm
 ), q AS (
@@ -127,7 +148,7 @@ WITH l AS (
 ), t AS (
   SELECT conv_id, turn, trim(coalesce(string_agg(body, chr(10) ORDER BY pos) FILTER (level = 0), ''), chr(10)) AS own FROM m GROUP BY conv_id, turn
 )
-SELECT x.conv_id, x.turn, x.role, coalesce(c.origin, p.turn) AS reply_to,
+SELECT x.conv_id, x.turn, dense_rank() OVER (PARTITION BY x.conv_id ORDER BY x.turn) AS position, x.role, coalesce(c.origin, p.turn) AS reply_to,
        CAST(coalesce(n_quotes, 0) AS BIGINT) AS n_quotes, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked,
        '<|' || coalesce(lower(x.role), 'user') || '|>' || chr(10) || own || chr(10) || '<|end|>' AS message
 FROM conversations x JOIN t ON x.conv_id = t.conv_id AND x.turn = t.turn

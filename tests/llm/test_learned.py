@@ -57,6 +57,41 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, model, "doc_id").count() == 0
 
 
+def brute_toxicity(model, text):
+    """Noisy-or over sentences, word by word."""
+    hash_of = lambda raw: int(tk.range_hash(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))[0])
+    mix = lambda x: int(tk.mix(np.array([x % 2**64], np.uint64))[0])
+    clean = 1.0
+    for sentence in re.split(r"[\n!.?]", text or ""):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", sentence.translate(LOW))
+        if not words:
+            continue
+        found = set()
+        for raw in (w.encode() for w in words):
+            found.add(hash_of(raw) % toxicity.BUCKETS)
+            found |= {mix(hash_of(raw[:n]) + n) % toxicity.BUCKETS if len(raw) > n else 0 for n in toxicity.BEGINNINGS}
+        z = model.bias + sum(float(model.weights[f]) for f in found)
+        clean *= 1 - 1 / (1 + math.exp(-z))
+    return 1 - clean
+
+
+def test_toxicity_scores_as_brute_force(spark):
+    rows = [*toxic_rows(300), (5000, "Grobbel! Grobbel? grobbelig.\n\nschnarz " + prose(1, 3000), 1), (5001, None, 0), (5002, "?!.", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows[:300]], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs.unionAll(docs.limit(3)), model, "doc_id").collect()}
+    for i, text, _ in rows[::7] + rows[-3:]:
+        assert got[i] == pytest.approx(brute_toxicity(model, text), abs=1e-5)
+
+
+def test_a_score_at_the_threshold_is_toxic(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(toxic_rows(60), "doc_id long, text string, toxic int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/documents.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    some = sorted(r.score for r in toxicity.query(spark, str(tmp_path)).collect())[30]
+    monkeypatch.setattr(toxicity, "THRESHOLD", some)
+    assert {r.predicted for r in toxicity.query(spark, str(tmp_path)).collect() if r.score == some} == {1}
+
+
 def test_no_held_out_label_is_used(spark):
     rows = toxic_rows(300)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
@@ -281,6 +316,53 @@ def test_language_accuracy_on_held_out_documents(few_docs, spark):
     assert np.mean([got[r.doc_id].lang_pred == r.lang for r in held]) > 0.95
 
 
+def brute_language(model, text):
+    """Presence kernels to all landmarks, stretch by stretch."""
+    raw = (text or "").encode()
+    folded = bytes(int(language._FOLD[b]) for b in raw)
+    total, letters = np.zeros(len(model.labels)), 0
+    for at in range(0, max(len(raw), 1), language.SPAN):
+        part = folded[at : at + language.SPAN]
+        keys = [b << 24 for b in part] + [((a << 8 | b) << 24) + 1 for a, b in itertools.pairwise(part)] + [((part[i] << 8 | part[i + 1]) << 24) + part[i + 2] + 256 for i in range(len(part) - 2)]
+        seen = {(k * 0x9E3779B97F4A7C15 % 2**64) >> 52 for k in keys}
+        kernel = np.array([sum(model.landmarks[b, m] for b in seen) for m in range(model.landmarks.shape[1])]) / (math.sqrt(max(len(seen), 1)) * model.sizes)
+        n = sum(b != 32 for b in part)
+        total += n * (kernel @ model.weights)
+        letters += n
+    return total / max(letters, 1)
+
+
+def test_language_scores_as_brute_force(few_docs):
+    model = language.train(few_docs.filter(~language.is_held_out()))
+    rows = few_docs.limit(30).collect()
+    texts = [r.text for r in rows] + [prose(3, 3000), "é", rows[0].text]
+    got = []
+    for block in tk.blocks(pa.array(texts)):
+        got += list(zip(*language.predict_block(model, block), strict=True))
+    for text, (best, score) in zip(texts, got, strict=True):
+        want = brute_language(model, text)
+        assert best == want.argmax() and score == pytest.approx(float(np.clip(want.max(), 0, 1)), abs=1e-4)
+    assert got[0] == got[-1]
+
+
+def test_languages_that_tie_go_to_the_first_label():
+    texts = [prose(i, 40) for i in range(30)]
+    model = language.fit(pa.array(texts * 2), ["zz"] * 30 + ["aa"] * 30)
+    even = language.Model(model.labels, model.landmarks, model.sizes, np.repeat(model.weights[:, :1], 2, axis=1))
+    best, _ = language.predict_block(even, next(tk.blocks(pa.array(texts[:5]))))
+    assert model.labels == ["aa", "zz"] and set(best.tolist()) == {0}
+
+
+def test_language_learns_from_stretches_anywhere(monkeypatch):
+    """Texts that begin alike in another language are told apart by what follows."""
+    monkeypatch.setattr(language, "STRETCHES", 30)
+    same = "zqx jjv " * 1500
+    texts = [same + " ".join(random.Random(i).choices(words, k=4000)) for i in range(8) for words in (["oui", "mais", "donc"], ["nein", "aber", "doch"])]
+    model = language.fit(pa.array(texts), ["fr", "de"] * 8)
+    best, _ = language.predict_block(model, next(tk.blocks(pa.array(["mais oui donc mais", "aber nein doch aber"]))))
+    assert [model.labels[b] for b in best] == ["fr", "de"]
+
+
 def test_language_odd_rows(spark, odd_docs, no_docs, few_docs):
     model = language.train(few_docs)
     got = [(r.doc_id, r.lang_pred, r.score) for r in language.predict(odd_docs, model).collect()]
@@ -324,6 +406,23 @@ def test_hosts_that_fail_lose_their_documents(spark):
     assert not got[2000].kept and got[2000].host_rate < 0.5 == got[2001].kept - 0.5 and got[2001].kept
 
 
+def test_small_hosts_do_not_widen_the_prior(spark):
+    """Hosts of one page say nothing of how hosts differ, so each is shrunk to nearly the common rate."""
+    rows = [(i, "short" if i % 10 < 3 else prose(i, 80), f"h{i}") for i in range(200)] + [(1000 + i, "short" if i % 10 < 3 else prose(i, 80), "big") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(0) for c in ("host", "rate", "_host", "n_docs", "base_failed")})
+    got = {r.doc_id: r for r in host_quality.apply_rules(docs).collect()}
+    assert all(abs(got[i].host_rate - 0.3) < 0.02 for i in range(200))
+    assert all(r.kept == (i % 10 >= 3) for i, r in got.items())
+
+
+def test_a_host_at_the_limit_stays(spark):
+    judged = spark.createDataFrame([("a", i < 3) for i in range(5)] + [("b", i < 3) for i in range(5)], "host string, own_failed boolean")
+    rates = {r.host: r.rate for r in host_quality.host_rates(judged, "host").collect()}
+    assert rates["a"] == rates["b"] == pytest.approx(0.6)
+    kept = lambda limit: host_quality.apply_rules(spark.createDataFrame([(i, "short" if i < 3 else prose(i, 80), "a") for i in range(5)], "doc_id long, text string, source string"), rules=host_quality.Rules(max_host_rate=limit)).filter("kept").count()
+    assert kept(rates["a"]) == 2 and kept(rates["a"] - 1e-9) == 0
+
+
 def test_quality_odd_rows(odd_docs, no_docs):
     got = host_quality.apply_rules(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r.host_rate is not None for r in got)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -159,6 +160,8 @@ def test_chat_links_quotes(spark):
         (None, None, None, None),
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("version", F.lit(1))
+    places = {(r.conv_id, r.turn, r.position) for r in chat.link(df).collect()}
+    assert places == {(1, 0, 1), (1, 1, 2), (1, 2, 3), (1, 3, 4), (1, 5, 5), (2, 0, 1), (2, 1, 2), (None, None, None)}
     got = sorted(((r.conv_id or 0, r.turn or 0, r.reply_to, r.n_quotes, r.n_linked, r.text) for r in chat.link(df).collect()), key=str)
     assert got == sorted(
         [
@@ -175,3 +178,87 @@ def test_chat_links_quotes(spark):
         key=str,
     )
     assert chat.format_messages(chat.link(df.limit(0))).count() == 0
+
+
+def quoting(n_convs, n_turns, seed):
+    """Conversations whose messages quote earlier ones on up to three levels, short ones too."""
+    rng, rows = random.Random(seed), []
+    for conv in range(n_convs):
+        said = []
+        for turn in range(n_turns):
+            lines = []
+            if said and rng.random() < 0.8:
+                depth, at = rng.randint(1, 3), rng.randrange(len(said))
+                for line in said[at].split("\n"):
+                    lines.append(rng.choice([">", "> ", " > "]) + rng.choice(["", "> ", ">"]) * (depth - 1) + (line.upper() if rng.random() < 0.3 else line))
+                if rng.random() < 0.3:
+                    lines.append("> nobody ever said this " + str(rng.randrange(99)))
+            own = "\n".join(rng.choice(["Why?", "ok", prose(rng.randrange(30), 5), "", prose(rng.randrange(10**6), 7)]) for _ in range(rng.randint(1, 4)))
+            said.append(own)
+            rows.append((conv, turn * 2 if conv % 3 == 0 else turn, rng.choice(["user", "assistant", None]), "\n".join([*lines, own])))
+    return rows
+
+
+def brute_chat(rows):
+    parse = lambda text: [(len(re.sub("[^>]", "", (m := re.match(r"(?:[ \t]*(?:>[ \t]?)+)?", line))[0])), line[m.end() :]) for line in (text or "").split("\n")]
+    normal = lambda body: re.sub(r"[\x00-\x20]+", " ", body.lower()).strip(" ")
+
+    def units(marked):
+        found, run = set(), []
+        for level, body in [*marked, (None, "")]:
+            norm = normal(body)
+            if run and (norm == "" or level != run[0][0]):
+                found.add((run[0][0], " ".join(n for _, n in run)))
+                run = []
+            if norm and level is not None:
+                run.append((level, norm))
+                found.add((level, norm))
+        return found
+
+    marked = {(c, t): parse(text) for c, t, _, text in rows}
+    origin = {}
+    for (c, t), m in marked.items():
+        for level, norm in units(m):
+            if level == 0:
+                origin[c, norm] = min(t, origin.get((c, norm), t))
+    out = []
+    for c, t, role, _ in rows:
+        quotes = [(level, norm) for level, norm in units(marked[c, t]) if level]
+        votes = {}
+        linked = 0
+        for level, norm in quotes:
+            o = origin.get((c, norm))
+            if o is not None and o < t:
+                linked += 1
+                if level == 1:
+                    votes[o] = votes.get(o, 0) + len(norm)
+        best = max(((size, o) for o, size in votes.items()), default=None)
+        reply = best[1] if best else t - 1 if (c, t - 1) in marked else None
+        own = "\n".join(body for level, body in marked[c, t] if level == 0).strip("\n")
+        place = sorted(x for k, x in marked if k == c).index(t) + 1
+        out.append((c, t, place, role, reply, len(quotes), linked, f"<|{(role or 'user').lower()}|>\n{own}\n<|end|>"))
+    return sorted(out, key=str)
+
+
+def test_chat_as_brute_force_and_sql(spark, monkeypatch, tmp_path):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    from compare import assert_same
+
+    monkeypatch.setattr(chat, "PIECE", 4)
+    rows = quoting(12, 11, 3)
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = chat.query(spark, str(tmp_path)).select("conv_id", "turn", "position", "role", "reply_to", "n_quotes", "n_linked", "message").collect()
+    want = brute_chat(rows)
+    assert sum(r[5] > 0 for r in want) > 60 and sum(r[6] > 1 for r in want) > 40
+    assert sorted(map(tuple, got), key=str) == want
+    assert_same(spark, str(tmp_path), chat.query, chat.SQL)
+
+
+def test_chat_odd_rows(odd_docs, no_docs):
+    messages = lambda d: d.withColumns({"conv_id": F.lit(1), "turn": F.col("doc_id"), "role": F.lit("user"), **{c: F.lit(0) for c in ("level", "norm", "origin", "position", "follows", "_conv")}})
+    got = chat.link(messages(odd_docs)).collect()
+    assert len(got) == odd_docs.count() and max(len(r.text) for r in got) > 120_000
+    assert chat.link(messages(no_docs)).count() == 0

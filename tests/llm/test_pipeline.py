@@ -1,5 +1,3 @@
-import hashlib
-
 import pytest
 from conftest import prose
 
@@ -44,8 +42,27 @@ def test_stages_against_brute_force(spark, tables):
             del left[copy]
     left = {i: t for i, t in left.items() if bench not in t}
     enc = bpe.encoder(*bpe.default_vocabulary())
-    want = {i: (len(ids := enc.encode(t)), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()) for i, t in left.items()}
-    assert {r.doc_id: (r.n_tokens, r.ids_sha256) for r in c.run(spark, folder).collect()} == want
+    want = {i: ("en", f"s{i % 5}" if i < 300 else "s1", enc.encode(t)) for i, t in left.items()}
+    got = c.run(spark, folder)
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids"]
+    assert {r.doc_id: (r.lang, r.source, r.token_ids) for r in got.collect()} == want
+
+
+def test_odd_tables(spark, odd_docs, tables, tmp_path):
+    """Repeated rows, nulls, a very long text, further columns with clashing names, and no rows at all."""
+    import corpus_pipeline as c
+
+    labels, bench = (spark.read.parquet(f"{tables[0]}/{t}.parquet") for t in ("labels", "benchmark"))
+    for name, docs in (("odd", odd_docs), ("none", odd_docs.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        bench.write.parquet(f"{folder}/benchmark.parquet")
+        got = c.run(spark, folder)
+        assert got.columns == [*(x for x in odd_docs.columns if x != "text"), "n_tokens", "token_ids"]
+        ids = sorted((r.doc_id is not None, r.doc_id or 0) for r in got.collect())
+        # 7 repeats itself and 8 repeats 7; the rest stays
+        assert ids == ([] if name == "none" else [(False, 0), *((True, i) for i in (1, 2, 3, 4, 5, 6, 7, 9, 10, 11, 11))])
 
 
 def test_stages_keep_the_columns(spark, tables):
