@@ -1,4 +1,10 @@
-"""A corpus cleaned in stages, each written as Parquet and read by the next."""
+"""A corpus cleaned in stages, each written as Parquet and read by the next.
+
+Nulls, empty and very long texts, repeated rows, empty tables and further columns are
+what the operators say of them; the columns of documents pass through all stages, the
+last gives ``n_tokens`` and ``token_ids`` in the place of the text.  Each stage but the
+last written is removed once the next one is written.
+"""
 
 from __future__ import annotations
 
@@ -35,7 +41,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: token ids of what is left, beside the columns of documents but the text."""
-    return bpe.digests(docs, *bpe.default_vocabulary())
+    return bpe.encode(docs, *bpe.default_vocabulary(), *(c for c in docs.columns if c != "text"))
 
 
 STAGES = [
@@ -53,11 +59,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; intermediate tables go to the shared folder."""
     folder = f"{shared.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         with shared.scratch(spark):
             out = stage(spark, docs, sf_dir)
             out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            shared.remove(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return docs
