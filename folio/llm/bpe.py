@@ -37,7 +37,7 @@ from folio.llm import textkernel as tk
 #: Entries of each of the two generations of a worker's cache.
 CACHE_ENTRIES = 250_000
 #: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
-PREFIXES = (12, 8)
+PREFIXES = (12, 9, 7, 5)
 #: White_Space of Unicode, as patterns of tokenizers understand it.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The pattern whose pieces never have white space behind other characters.
@@ -54,13 +54,15 @@ class Vocabulary:
             self.bytes_of[rank] = token
         # a token that its own bytes do not encode to can never appear
         self.usable = {t: r for t, r in ranks.items() if len(t) == 1 or self.merged(t) == [t]}
-        # tokens by their bytes from the last to the first; a token's id is under -1
-        self.from_end: dict[int, dict | int] = {}
-        for token, rank in self.usable.items():
-            node = self.from_end
-            for byte in reversed(token):
-                node = node.setdefault(byte, {})
-            node[-1] = rank
+        # tokens by their bytes from the last to the first: by byte, the id of what is read so far (or -1) and what may come before
+        nodes: dict[bytes, dict] = {b"": {}}
+        for token in sorted(self.usable, key=len):
+            for i in range(len(token) - 1, -1, -1):
+                part, rest = token[i:], token[i + 1 :]
+                if part not in nodes:
+                    nodes[part] = {}
+                    nodes[rest][part[0]] = (self.usable.get(part, -1), nodes[part])
+        self.from_end = nodes[b""]
         self.reach = max(map(len, self.usable), default=0)
         self.pairs: dict[int, bool] = {}
 
@@ -113,11 +115,11 @@ def fill(v: Vocabulary, data: bytes, last: list[int], in_step: tuple[list[int],
         found, node, j = -1, top, i
         while j:
             j -= 1
-            node = node.get(data[j])
-            if node is None:
+            step = node.get(data[j])
+            if step is None:
                 break
-            token = node.get(-1)
-            if token is None:
+            token, node = step
+            if token < 0:
                 continue
             if j:
                 left = last[j]
@@ -191,7 +193,8 @@ class Encoder:
         # the ids of units as decimal text, and what the ids of recent units decode to
         self.recent: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self.decoded: dict[str, bytes | str] = {}
+        self.decoded: dict[str, str] = {}
+        self.decoded_older: dict[str, str] = {}
 
     def ids_of_piece(self, piece: bytes) -> list[int]:
         """Fill the table from the longest beginning whose entries are known, by exact appends."""
@@ -213,17 +216,18 @@ class Encoder:
 
     def unit(self, unit: str) -> str:
         """Ids as decimal text."""
-        found = self.older.get(unit)
+        found, text = self.older.get(unit), None
         if found is None:
             # a space and ASCII letters are one piece
             one = not self.cheaper or unit[0] == " " and unit[1:].isalpha() and unit.isascii()
-            found = ",".join(map(str, self.ids_of_piece(unit.encode()) if one else self.encode(unit)))
+            ids = self.ids_of_piece(unit.encode()) if one else self.encode(unit)
+            found, text = ",".join(map(str, ids)), self.decode(ids).decode("utf-8", "surrogateescape")
         if len(unit) <= 64:
             if len(self.recent) >= self.cache:
-                self.recent, self.older, self.decoded = {}, self.recent, {}
+                self.recent, self.older, self.decoded, self.decoded_older = {}, self.recent, {}, self.decoded
             self.recent[unit] = found
             # the unit's own object is held if it is what the ids decode to, to save memory
-            text = self.decode_text(found)
+            text = text or self.decoded_older.get(found) or self.decode_text(found)
             self.decoded[found] = unit if text == unit else text
         return found
 
