@@ -30,9 +30,9 @@ def within_edits(a: Column, b: Column, least: float) -> Column:
 
 def ngrams(c: Column, n: int = 3) -> Column:
     """Distinct runs of n characters; none for shorter texts."""
-    last = F.length(c) - n
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.substring(c, i + 1, n))
-    return F.when(last >= 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    # one pass that looks ahead from every character: a substring by its number walks from the start of the text
+    runs = F.regexp_extract_all(c, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    return F.coalesce(F.array_distinct(runs), F.array().cast("array<string>"))
 
 
 @F.pandas_udf(T.IntegerType())

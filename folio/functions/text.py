@@ -114,6 +114,35 @@ def rescue(value: Column, text: Column, pattern: str) -> Column:
     return F.when(value.isNull() | (value == ""), F.when(found != "", found)).otherwise(value)
 
 
+def rescued_score(value: Column, text: Column, pattern: str, score: Column) -> Column:
+    """The score that goes with ``rescue``: 10 where the pattern gave the value and there is a score, else as it was."""
+    found = F.regexp_extract(text, f"({pattern})", 1) != ""
+    missing = value.isNull() | (value == "")
+    return F.when(missing & found & score.isNotNull(), F.lit("10")).otherwise(score.cast("string"))
+
+
+#: A malformed token of answers in JSON, and what stands for it.
+BAD_TOKEN, GOOD_TOKEN = r":=[*~\-.:|\\\[\]]", ': "invalid_value"'
+
+
+def sanitized_json(c: Column) -> Column:
+    """JSON text with each malformed token replaced."""
+    return F.regexp_replace(c, BAD_TOKEN, GOOD_TOKEN)
+
+
+def parsed_json(c: Column) -> dict[str, Column]:
+    """``pairs`` (a map of texts) of sanitized JSON, and ``error`` where it is no JSON object."""
+    pairs = F.from_json(sanitized_json(c), "map<string,string>")
+    return {"pairs": pairs, "error": F.when(pairs.isNull(), F.concat(F.lit("Invalid JSON encountered: "), F.coalesce(c, F.lit("null"))))}
+
+
+def pretty_json(pairs: Column) -> Column:
+    """A map of texts as JSON with four spaces before each pair; characters stand for themselves."""
+    quoted = lambda x: F.regexp_extract(F.to_json(F.array(x)), r"(?s)^\[(.*)\]$", 1)
+    lines = F.transform(F.map_entries(pairs), lambda e: F.concat(F.lit("    "), quoted(e["key"]), F.lit(": "), F.when(e["value"].isNull(), "null").otherwise(quoted(e["value"]))))
+    return F.when(F.size(pairs) == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
+
+
 def rotations(path: Column) -> Column:
     """The path and its three rotated variants, ending kept."""
     stem, ending = F.regexp_extract(path, r"^(.*)\.[^./]*$", 1), F.regexp_extract(path, r"(\.[^./]*)$", 1)
@@ -154,7 +183,7 @@ def name_parts(path: Column) -> dict[str, Column]:
     """Customer, item code and item id of ``customer_code_id.ending`` at the end of a path."""
     stem = F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
     parts = F.split(stem, "_")
-    return {"tr_customer_id": F.get(parts, F.lit(0)), "item_code": F.get(parts, F.lit(1)), "item_code_id": F.get(parts, F.lit(2))}
+    return {"account_id": F.get(parts, F.lit(0)), "item_code": F.get(parts, F.lit(1)), "item_code_id": F.get(parts, F.lit(2))}
 
 
 def search_document(*fields: Column) -> Column:

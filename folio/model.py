@@ -25,9 +25,9 @@ FIELD = T.StructType(
     ]
 )
 COLLECTION = T.StructType(
-    [*strings("collection", "send_all_to_opsiq"), T.StructField("load_to_system_of_records", T.BooleanType()), T.StructField("field_list", T.ArrayType(FIELD))]
+    [*strings("collection", "review_all"), T.StructField("load_to_system_of_records", T.BooleanType()), T.StructField("field_list", T.ArrayType(FIELD))]
 )
-CONFIG = T.StructType([*strings("tr_customer_id"), T.StructField("collections", T.ArrayType(COLLECTION))])
+CONFIG = T.StructType([*strings("account_id"), T.StructField("collections", T.ArrayType(COLLECTION))])
 
 
 def flag(value: object) -> object:
@@ -98,11 +98,14 @@ class JobParameters:
 
     @staticmethod
     def parse_filters(text: str | None) -> dict:
-        """JSON text to a dict; anything else to an empty one."""
+        """The dict that a text writes as JSON or as Python literals; anything else gives an empty one."""
+        import ast
         import json
 
-        try:
-            found = json.loads(text or "{}")
-        except ValueError:
-            return {}
-        return found if isinstance(found, dict) else {}
+        for read in (json.loads, ast.literal_eval):
+            try:
+                found = read((text or "{}").strip())
+            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+                continue
+            return found if isinstance(found, dict) else {}
+        return {}

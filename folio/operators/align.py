@@ -28,7 +28,7 @@ def snake_columns(df: DataFrame) -> DataFrame:
 def ingest(df: DataFrame, batch_name: str, transaction_id: str, prefix: str) -> DataFrame:
     """Fills blanks with the marker, adds the batch's constants, rebuilds paths, blanks the item ids."""
     path = F.concat(F.lit(prefix), F.replace(F.col("image_path"), F.lit("\\"), F.lit("/")))
-    constants = {"transaction_id": transaction_id, "batch_name": batch_name, "tr_customer_id": "", "item_code": "", "item_code_id": ""}
+    constants = {"transaction_id": transaction_id, "batch_name": batch_name, "account_id": "", "item_code": "", "item_code_id": ""}
     return df.na.fill("null").withColumns({"image_path": path, **{k: F.lit(v) for k, v in constants.items()}})
 
 
@@ -36,6 +36,14 @@ def override(df: DataFrame, column: str, value: str | None) -> DataFrame:
     return df if value is None else df.withColumn(column, F.lit(value))
 
 
+def override_batches(df: DataFrame, column: str, given: dict[str, str], batch: str = "batch_name") -> DataFrame:
+    """The same for the batches that job parameters give a value; the others keep theirs."""
+    if not given:
+        return df
+    values = F.create_map(*(F.lit(x) for pair in given.items() for x in pair))
+    return df.withColumn(column, F.coalesce(F.try_element_at(values, F.col(batch)), F.col(column)))
+
+
 def reference_id(ref: Column, *parts: Column) -> Column:
     """The reference, or where it is the marker a UUID of the parts joined by ``_``."""
     key = parts[0]

@@ -73,27 +73,74 @@ def template_fields(template: DataFrame, content: str) -> DataFrame:
     return template.select(F.explode(entity["fields"]).alias("f")).select("f.name", "f.ref")
 
 
-def new_item_columns(path: Column, liquid: Column, as_of: Column) -> dict[str, Column]:
-    """Derived columns of a new item."""
-    name = F.substring_index(path, "/", -1)
-    blanks = {c: F.lit("") for c in ("itemCode", "itemCodeId", "parentItemCode", "description", "status", "locationCode")}
-    kind = text.leading_part(name)
-    return {**blanks, "contentType": kind, "typeCode": type_code(kind), "fileName": name, "fullText": text.capped(liquid), "loadedAt": text.minute_text(as_of), "sourcePath": path}
+def apply_template(rows: DataFrame, fields: DataFrame) -> DataFrame:
+    """Rows with a copy of each column that the template gives a reference, under the reference's name.
+
+    ``fields`` are the ``name, ref`` of one entity (``template_fields``): configuration, a
+    few rows by its nature, so they become a dictionary of the plan and no join.  Names
+    without a column and references that are null or no ``REF`` are left out; of several
+    names with one reference the last in order of the names counts.
+    """
+    known = set(rows.columns)
+    found = {r.name: r.ref for r in fields.filter(F.col("ref").contains("REF")).orderBy("name").collect() if r.name in known}
+    return rows.withColumns({ref: F.col(name) for name, ref in found.items()})
+
+
+#: Columns that are blank in every item, and those of the payloads; a loader with other names renames them.
+BLANK = ("Customer File Barcode", "customerFileBarcode", "locationId", "departmentId", "Department", "File Barcode")
+NEW_PAYLOAD = ("customerId", "locationId", "parentId", "attachment", "customerSchemaType", "itemType", "departmentId", "sourcePath", "REF10", "REF30")
+EXISTING_PAYLOAD = ("customerId", "locationId", "customerSchemaType", "itemType", "departmentId", "sourcePath")
+
+
+def new_item_columns(rows: DataFrame, account: str, as_of: Column) -> DataFrame:
+    """``rows`` (``image_filename, image_path, box_barcode, box_id, ocr_liquid_text``) with the 18 columns of a new item."""
+    kind, now = text.leading_part(F.col("image_filename")), text.minute_text(as_of)
+    made = {c: F.lit("") for c in BLANK} | {"customerSchemaType": kind, "itemType": kind, "customerId": F.lit(account), "parentId": F.col("box_id")}
+    made |= {"parentItemCode": F.col("box_barcode"), "Box Barcode": F.col("box_barcode"), "sourcePath": F.col("image_path"), "action": F.lit("4"), "attachment": F.lit("false")}
+    return rows.withColumns(made | {"REF10": text.capped(F.col("ocr_liquid_text")), "Index Date": now, "REF30": now})
+
+
+def batch_part(batch: str, i: int) -> str:
+    """A part of a batch's name in upper case, without an ending."""
+    return batch.split("_")[i].split(".")[0].upper()
 
 
-def existing_item_columns(batch: Column, path: Column, liquid: Column, as_of: Column) -> dict[str, Column]:
-    """Derived columns of an item that exists: type and target column come from the batch's name."""
-    parts = F.split(batch, "_")
-    return {"contentType": F.upper(F.get(parts, F.lit(2))), "targetColumn": F.upper(F.get(parts, F.lit(3))), "fileName": F.substring_index(path, "/", -1), "fullText": text.capped(liquid), "loadedAt": text.minute_text(as_of)}
+def existing_item_columns(rows: DataFrame, batch: str, account: str, as_of: Column) -> DataFrame:
+    """``rows`` (``image_path, ocr_liquid_text, item_code, item_code_id``) with the 15 columns of an item that exists.
+
+    Its type and the column that takes the text are parts 2 and 3 of the batch's name.
+    """
+    kind, now = F.lit(batch_part(batch, 2)), text.minute_text(as_of)
+    made = {c: F.lit("") for c in BLANK} | {"customerSchemaType": kind, "itemType": kind, "customerId": F.lit(account), "sourcePath": F.col("image_path")}
+    made |= {batch_part(batch, 3): text.capped(F.col("ocr_liquid_text")), "Index Date": now, "REF30": now}
+    return rows.withColumns(made | {"ItemCode": F.col("item_code"), "ItemCodeID": F.col("item_code_id")})
+
+
+def new_payload(items: DataFrame) -> DataFrame:
+    """The ten columns that are sent for a new item."""
+    return items.select(*NEW_PAYLOAD)
 
 
-#: What marks the two kinds of source in a key.
-INDEXED, IMAGES = "radix-onboarding-indexed", "tr-image-extract"
+def existing_payload(items: DataFrame, batch: str) -> DataFrame:
+    """The eight columns that are sent for an item that exists."""
+    return items.select(*EXISTING_PAYLOAD, batch_part(batch, 3), "REF30")
+
+
+def with_configuration(rows: DataFrame, collections: DataFrame, key: str = "batch_name") -> DataFrame:
+    """Rows with ``account`` and ``mode`` of the collection that their key names, ``none`` where there is none.
+
+    ``collections`` are rows of ``readers.collections``; of several accounts with a
+    collection of one name the smallest counts.  A configuration that is not small is not
+    broadcast, as nothing here asks for it.
+    """
+    flat = collections.groupBy(F.col("collection").alias(key)).agg(F.min(F.struct(F.col("account_id").alias("account"), F.col("review_all").alias("mode"))).alias("c"))
+    joined = rows.join(flat, key, "left")
+    return joined.withColumns({"account": F.coalesce("c.account", F.lit("none")), "mode": F.coalesce("c.mode", F.lit("none"))}).drop("c")
 
 
-def route(key: Column, has_config: Column, bypass: Column | None = None) -> dict[str, Column]:
-    """The way each stage takes for a key."""
-    indexed, images = F.contains(key, F.lit(INDEXED)), F.contains(key, F.lit(IMAGES))
+def route(key: Column, has_config: Column, bypass: Column | None = None, indexed: str = "indexed", images: str = "image-extract") -> dict[str, Column]:
+    """The way each stage takes for a key; ``indexed`` and ``images`` mark the two kinds of source in it."""
+    indexed, images = F.contains(key, F.lit(indexed)), F.contains(key, F.lit(images))
     source = F.when(indexed, "csv").when(images, "per_image").otherwise("error")
     extract = F.when(indexed | (images & has_config), "run").when(images, "skip").otherwise("error")
     skip = F.lit(False) if bypass is None else bypass

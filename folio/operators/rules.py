@@ -141,9 +141,9 @@ def validate_long(docs: DataFrame, rule_rows: DataFrame, value: str = "value") -
     """Documents by rules as rows: every document meets every rule of its collection.
 
     ``docs`` has ``doc, field, value``; rules have ``field, min_length, max_length, allow_null``.
-    Rules are configuration: a count of them is checked before they are broadcast.
+    Rules are configuration, so Spark's own size estimate decides whether they are broadcast.
     """
-    joined = docs.join(F.broadcast(rule_rows), "field")
+    joined = docs.join(rule_rows, "field")
     v = F.trim(F.coalesce(F.col(value), F.lit("")))
     ok = F.when(v == "", F.col("allow_null")).otherwise((F.length(v) >= F.col("min_length")) & (F.length(v) <= F.col("max_length")))
     return joined.withColumn("is_valid", ok)

@@ -5,26 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folio.functions import similarity
+
 HITS = 210
 
 
 def index(master: DataFrame) -> DataFrame:
-    """``token, id, tf, df, n_docs`` of ``id, document``; written as a table it is the stored index.
+    """``token, id, tf`` of ``id, document``; written as a table it is the stored index.
 
-    A delta is indexed alike and appended; counts of documents are taken at query time.
+    Counts of documents are taken at query time.
     """
     words = master.select("id", F.explode(F.split(F.lower(F.coalesce("document", F.lit(""))), r"\s+")).alias("token")).filter("token <> ''")
     return words.groupBy("token", "id").agg(F.count("*").alias("tf"))
 
 
-def store_index(master: DataFrame, path: str, delta: bool = False) -> None:
-    """Writes the postings, or appends those of a delta."""
-    index(master).write.mode("append" if delta else "overwrite").parquet(path)
+#: Stands in a delta for a document without a word, so that it replaces the older one too.
+_EMPTY = ""
+
+
+def store_index(master: DataFrame, path: str, delta: bool = False, version: int | None = None) -> int:
+    """Writes the postings, or appends those of a delta under the next version; returns the version."""
+    if version is None:
+        version = 0 if not delta else (master.sparkSession.read.parquet(path).agg(F.max("version")).first()[0] or 0) + 1
+    marks = master.select(F.lit(_EMPTY).alias("token"), "id", F.lit(0).cast("long").alias("tf")).distinct()
+    index(master).unionByName(marks).withColumn("version", F.lit(version)).write.mode("append" if delta else "overwrite").parquet(path)
+    return version
 
 
 def open_index(spark: SparkSession, path: str) -> DataFrame:
-    """Stored postings; a document that a delta indexes again counts once."""
-    return spark.read.parquet(path).groupBy("token", "id").agg(F.max("tf").alias("tf"))
+    """Stored postings of the last version of each document: a delta's document replaces the older one whole."""
+    stored = spark.read.parquet(path)
+    last = stored.filter(F.col("token") == _EMPTY).groupBy("id").agg(F.max("version").alias("version"))
+    return stored.filter(F.col("token") != _EMPTY).join(last, ["id", "version"]).groupBy("token", "id").agg(F.max("tf").alias("tf"))
 
 
 def weights(postings: DataFrame, n_docs: int) -> DataFrame:
@@ -35,52 +47,99 @@ def weights(postings: DataFrame, n_docs: int) -> DataFrame:
 def query_tokens(inputs: DataFrame, names: int = 2, boost: float = 2.0) -> DataFrame:
     """``q_id, token, prefix, boost`` of ``q_id, query``: the first tokens are prefixes and count double.
 
-    Prefix tokens lose their dots; those of one character or with a leading digit are left out.
+    Prefix tokens lose their dots; those of one character or with a leading digit are left
+    out.  Where the second token is one of these (or missing), all tokens are searched as
+    they are.  A token counts once for each time it stands in the query.
     """
-    at = inputs.select("q_id", F.posexplode(F.split(F.lower("query"), " ")).alias("pos", "raw")).filter("raw <> ''")
-    clean = F.replace(F.col("raw"), F.lit("."), F.lit(""))
-    head = F.col("pos") < names
-    good = (F.length(clean) > 1) & ~clean.rlike("^[0-9]")
-    tokens = at.select("q_id", F.when(head, clean).otherwise(F.col("raw")).alias("token"), head.alias("prefix"), F.when(head, boost).otherwise(1.0).alias("boost"), (good | ~head).alias("ok"))
+    words = F.split(F.lower("query"), " ")
+    clean = lambda raw: F.replace(raw, F.lit("."), F.lit(""))
+    good = lambda raw: F.coalesce((F.length(clean(raw)) > 1) & ~clean(raw).rlike("^[0-9]"), F.lit(False))
+    at = inputs.select("q_id", good(F.get(words, F.lit(1))).alias("rewritten"), F.posexplode(words).alias("pos", "raw")).filter("raw <> ''")
+    head = F.col("rewritten") & (F.col("pos") < names)
+    tokens = at.select("q_id", F.when(head, clean(F.col("raw"))).otherwise(F.col("raw")).alias("token"), head.alias("prefix"), F.when(head, boost).otherwise(1.0).alias("boost"), (good(F.col("raw")) | ~head).alias("ok"))
     return tokens.filter("ok").drop("ok")
 
 
-def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS) -> DataFrame:
+def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS, coverage: float | None = None) -> DataFrame:
     """``q_id, id, score, rank``: sums of tf * idf * boost, the k best of each query, ties by id.
 
-    Prefix tokens are matched by their first two characters as a join key and a test of
-    the rest, so no cross join is needed.
+    Queries with the same tokens are one from here on, so a frequent token is looked up
+    once for all of them, and hits are ranked once for each distinct query.  Prefix tokens
+    are matched by their first two characters as a join key and a test of the rest, so no
+    cross join is needed.  With ``coverage`` (0 to 1) a score is raised by the share of the
+    query's tokens that a document holds, as short queries are ranked by engines whose
+    terms are joined by "or": (score + (held - 1) / (tokens - coverage)^2) * (tokens - 1) / tokens.
     """
-    weighted = postings.join(weights(postings, n_docs), "token")
-    exact = tokens.filter("NOT prefix").join(weighted, "token").select("q_id", "id", (F.col("tf") * F.col("idf") * F.col("boost")).alias("part"))
-    heads = tokens.filter("prefix").select("q_id", F.col("token").alias("head"), "boost", F.substring("token", 1, 2).alias("start"))
-    vocabulary = weighted.select("token").distinct().withColumn("start", F.substring("token", 1, 2))
-    expanded = heads.join(vocabulary, "start").filter(F.startswith("token", "head")).select("q_id", "token", "boost")
-    begun = expanded.join(weighted, "token").select("q_id", "id", (F.col("tf") * F.col("idf") * F.col("boost")).alias("part"))
-    scores = exact.unionByName(begun).groupBy("q_id", "id").agg(F.sum("part").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc("score"), "id"))
-    return scores.withColumn("rank", rank).filter(F.col("rank") <= k)
-
-
-def hit_outcome(score: Column, model: Column, dob_ratio: Column, phone_first: Column, names_and_ids: Column) -> dict[str, Column]:
-    """What one hit decides: ``accept``, ``found``, ``confidence``.
+    each = F.array_sort(F.collect_list(F.struct("token", "prefix", "boost")))
+    wanted = tokens.groupBy("q_id").agg(each.alias("bag")).withColumn("bag_id", F.md5(F.to_json("bag")))
+    bags = wanted.groupBy("bag_id").agg(F.first("bag").alias("bag"))
+    parts = bags.select("bag_id", F.size("bag").alias("n"), F.posexplode("bag").alias("pos", "t")).select("bag_id", "n", "pos", "t.*")
+    # distinct tokens and prefixes, with the tokens of the vocabulary that they stand for
+    idf = weights(postings, n_docs)
+    asked = parts.select("token", "prefix").distinct()
+    plain = asked.filter("NOT prefix").join(idf, "token").select(F.col("token").alias("asked"), "prefix", "token", "idf")
+    heads = asked.filter("prefix").select(F.col("token").alias("asked"), "prefix", F.substring("token", 1, 2).alias("start"))
+    begun = heads.join(idf.withColumn("start", F.substring("token", 1, 2)), "start").filter(F.startswith("token", "asked")).select("asked", "prefix", "token", "idf")
+    met = plain.unionByName(begun).join(postings, "token").groupBy("asked", "prefix", "id").agg(F.sum(F.col("tf") * F.col("idf")).alias("weight"))
+    met = met.withColumnRenamed("asked", "token")
+    found = parts.join(met, ["token", "prefix"]).groupBy("bag_id", "id").agg(F.sum(F.col("weight") * F.col("boost")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
+    if coverage is not None:
+        n = F.col("n")
+        raised = (F.col("score") + (F.col("held") - 1) / F.pow(n - F.lit(coverage), 2)) * (n - 1) / n
+        found = found.withColumn("score", F.when(n > 1, raised).otherwise(F.col("score")))
+    rank = F.row_number().over(Window.partitionBy("bag_id").orderBy(F.desc(F.round("score", 9)), "id"))
+    best = found.select("bag_id", "id", "score").withColumn("rank", rank).filter(F.col("rank") <= k)
+    return wanted.select("q_id", "bag_id").join(best, "bag_id").select("q_id", "id", "score", "rank")
+
+
+def hit_outcome(score: Column, model: Column, dob_ratio: Column, phone_first: Column, names_and_ids: Column, no_previous: Column | None = None, whole: Column | None = None) -> dict[str, Column]:
+    """What one hit decides: ``accept``, ``stop``, ``found``, ``confidence``, ``note``.
 
     A score of 50 or more accepts with 100.  Below it the model accepts over 0.89 if the
     birth dates are alike (over 66), then agreeing phone and first name, then the rule on
     names and ids; their confidence is the score / 5.5 in percent, 99 if the model is
-    under 0.57.  Else the hit says No with score / 13.5 in percent.
+    under 0.57.  Else the hit says No, with that confidence where neither side has a
+    previous name (``no_previous``) and score / 13.5 in percent where one has.  A hit whose
+    document lacks fields (not ``whole``) says No with 0 and ends the search.
     """
+    no_previous = F.lit(False) if no_previous is None else no_previous
+    whole = F.lit(True) if whole is None else whole
     strong = score >= 50
     by_model = (model > 0.89) & (dob_ratio > 66)
     sure = F.when(model < 0.57, 99).otherwise(F.least(F.lit(100), (score / 5.5 * 100).cast("int")))
-    accept = strong | by_model | phone_first | names_and_ids
-    confidence = F.when(strong | by_model, 100).when(phone_first | names_and_ids, sure).otherwise((score / 13.5 * 100).cast("int"))
-    return {"accept": accept, "found": F.when(accept, "Yes").otherwise("No"), "confidence": confidence}
+    accept = whole & (strong | by_model | phone_first | names_and_ids)
+    confidence = F.when(~whole, 0).when(strong | by_model, 100).when(phone_first | names_and_ids | no_previous, sure).otherwise((score / 13.5 * 100).cast("int"))
+    note = F.when(~whole, "Column mismatched").otherwise("")
+    return {"accept": accept, "stop": accept | ~whole, "found": F.when(accept, "Yes").otherwise("No"), "confidence": confidence, "note": note}
+
+
+def field_outcome(score: Column, model: Column, row: str = "row", master: str = "master", whole: Column | None = None) -> dict[str, Column]:
+    """``hit_outcome`` from the fields of the row and of the hit: structs ``first, last, prev, dob, phone`` of normalised texts.
+
+    Phone and first name agree by the matching-blocks ratio (90 or more), birth dates are
+    alike over 66; names and ids are compared by equality, the previous name only where
+    one side has one (the text ``nan`` or nothing is none).
+    """
+    x, y = (lambda f: F.coalesce(F.col(f"{row}.{f}"), F.lit(""))), (lambda f: F.coalesce(F.col(f"{master}.{f}"), F.lit("")))
+    ratio = lambda f: similarity.sequence_ratio(x(f), y(f))
+    none = lambda c: c.isin("", "nan")
+    same = lambda f: x(f) == y(f)
+    no_previous = none(x("prev")) & none(y("prev"))
+    family = same("last") | (~no_previous & same("prev"))
+    names_and_ids = same("first") & family & (same("dob") | same("phone"))
+    phone_first = (ratio("phone") >= 90) & (ratio("first") >= 90)
+    return hit_outcome(score, model, ratio("dob"), phone_first, names_and_ids, no_previous, whole)
+
+
+def no_hit_error(fields: list[str], code: str) -> str:
+    """The message of a row without any hit: all fields but the last."""
+    return f"{code}: {', '.join(fields[:-1])}"
 
 
 def decide(hits: DataFrame, queries: DataFrame) -> DataFrame:
-    """The first hit of each query that accepts, else the last one's No; no hit at all is No with 0."""
-    first = F.min_by(F.struct("id", "found", "confidence"), F.when(F.col("accept"), F.col("rank")))
+    """The first hit of each query that accepts (or stops the search), else the last one's No; no hit at all is No with 0."""
+    ends = F.col("stop") if "stop" in hits.columns else F.col("accept")
+    first = F.min_by(F.struct("id", "found", "confidence"), F.when(ends, F.col("rank")))
     last = F.max_by(F.struct("id", "found", "confidence"), "rank")
     best = hits.groupBy("q_id").agg(F.coalesce(first, last).alias("b"))
     joined = queries.select("q_id").join(best, "q_id", "left")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio import model
 from folio.functions import text
+from folio.model import JobParameters
 from folio.operators import align, load, rules
 from folio.plans.registry import query
 from folio.plans.views import ENRICHMENT, MANIFEST, enrichment, manifest, table
@@ -34,7 +36,7 @@ def snake_columns(spark: SparkSession, d: str) -> DataFrame:
     return align.snake_columns(c.select(F.col("c_custkey").alias("CustomerKey"), F.col("c_name").alias("Full Name (Auto Extracted)"), F.col("c_mktsegment").alias("market-segment")))
 
 
-@query("q05_ingest", "SELECT 'base/' || replace('Images' || chr(92) || doc_id || '.jpg', chr(92), '/') AS image_path, CASE WHEN doc_id % 4 = 0 THEN 'null' ELSE lang END AS lang, 't1' AS transaction_id, 'b1' AS batch_name, '' AS tr_customer_id, '' AS item_code, '' AS item_code_id FROM documents")
+@query("q05_ingest", "SELECT 'base/' || replace('Images' || chr(92) || doc_id || '.jpg', chr(92), '/') AS image_path, CASE WHEN doc_id % 4 = 0 THEN 'null' ELSE lang END AS lang, 't1' AS transaction_id, 'b1' AS batch_name, '' AS account_id, '' AS item_code, '' AS item_code_id FROM documents")
 def ingest(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "documents").select(F.concat(F.lit("Images\\"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("image_path"), F.when(F.col("doc_id") % 4 != 0, F.col("lang")).alias("lang"))
     return align.ingest(raw, "b1", "t1", "base/")
@@ -42,8 +44,8 @@ def ingest(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q06_override", f"WITH {MANIFEST} SELECT image_path, CASE WHEN batch_name = 'src3' THEN 'BOX-NEW' ELSE box_barcode END AS box_barcode FROM manifest")
 def override(spark: SparkSession, d: str) -> DataFrame:
-    given = spark.createDataFrame([("src3", "BOX-NEW")], "batch_name string, given string")
-    return manifest(spark, d).join(F.broadcast(given), "batch_name", "left").select("image_path", F.coalesce("given", "box_barcode").alias("box_barcode"))
+    given = JobParameters.parse_filters("{'src3': 'BOX-NEW', 'absent': 'BOX-X'}")
+    return align.override_batches(manifest(spark, d), "box_barcode", given).select("image_path", "box_barcode")
 
 
 @query("q07_reference_id", f"WITH {MANIFEST} SELECT image_path, CASE WHEN ref1 = 'null' THEN regexp_replace(md5(batch_name || '_' || image_path || '_' || image_filename), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') ELSE ref1 END AS ref1 FROM manifest")
@@ -57,11 +59,42 @@ def rename_drop(spark: SparkSession, d: str) -> DataFrame:
     return align.drop_matching(align.rename(m, {"batch_name": "Batch", "absent": "Other"}), r"ref\d+$", keep=("ref1",))
 
 
-@query("q09_new_item", f"WITH {ENRICHMENT} SELECT image_path AS \"sourcePath\", upper(split_part(doc_id || '-' || transaction_id || '.jpg', '-', 1)) AS \"contentType\", substr(ocr_liquid_text, 1, 900) AS \"fullText\", '2024-01-02 03:04' AS \"loadedAt\", '' AS \"itemCode\", '' AS status FROM enrichment")
+_NEW_ITEM = """new_item AS (SELECT '' AS "Customer File Barcode", '' AS "customerFileBarcode", '' AS "locationId", '' AS "departmentId", '' AS "Department", '' AS "File Barcode",
+  CAST(doc_id AS VARCHAR) AS "customerSchemaType", CAST(doc_id AS VARCHAR) AS "itemType", 'account-1' AS "customerId", 'G-' || batch_name AS "parentId", 'BOX-' || batch_name AS "parentItemCode", 'BOX-' || batch_name AS "Box Barcode",
+  image_path AS "sourcePath", '4' AS action, 'false' AS attachment, substr(ocr_liquid_text, 1, 900) AS "REF10", '2024-01-02 03:04' AS "Index Date", '2024-01-02 03:04' AS "REF30" FROM enrichment)"""
+_EXISTING_ITEM = """existing_item AS (SELECT '' AS "Customer File Barcode", '' AS "customerFileBarcode", '' AS "locationId", '' AS "departmentId", '' AS "Department", '' AS "File Barcode",
+  'FILE' AS "customerSchemaType", 'FILE' AS "itemType", 'account-1' AS "customerId", image_path AS "sourcePath", substr(ocr_liquid_text, 1, 900) AS "REF5", '2024-01-02 03:04' AS "Index Date", '2024-01-02 03:04' AS "REF30",
+  'c' || doc_id AS "ItemCode", CAST(doc_id AS VARCHAR) AS "ItemCodeID", transaction_id FROM enrichment)"""
+_NEW_COLUMNS = [*load.BLANK, "customerSchemaType", "itemType", "customerId", "parentId", "parentItemCode", "Box Barcode", "sourcePath", "action", "attachment", "REF10", "Index Date", "REF30"]
+_EXISTING_COLUMNS = [*load.BLANK, "customerSchemaType", "itemType", "customerId", "sourcePath", "REF5", "Index Date", "REF30", "ItemCode", "ItemCodeID"]
+_EXISTING_BATCH = "batch_x_file_ref5.zip"
+
+
+def _new_items(spark: SparkSession, d: str) -> DataFrame:
+    name = F.concat(F.col("doc_id").cast("string"), F.lit("-"), F.coalesce("transaction_id", F.lit("")), F.lit(".jpg"))
+    rows = enrichment(spark, d).withColumns({"image_filename": name, "box_barcode": F.concat(F.lit("BOX-"), "batch_name"), "box_id": F.concat(F.lit("G-"), "batch_name")})
+    return load.new_item_columns(rows, "account-1", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+
+
+def _existing_items(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id").cast("string")
+    rows = enrichment(spark, d).withColumns({"item_code": F.concat(F.lit("c"), n), "item_code_id": n})
+    return load.existing_item_columns(rows, _EXISTING_BATCH, "account-1", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+
+
+@query("q09_new_item", f"WITH {ENRICHMENT}, {_NEW_ITEM} SELECT * FROM new_item")
 def new_item(spark: SparkSession, d: str) -> DataFrame:
-    named = F.concat(F.lit("root/"), F.col("doc_id").cast("string"), F.lit("-"), "transaction_id", F.lit(".jpg"))
-    made = load.new_item_columns(named, F.col("ocr_liquid_text"), F.lit("2024-01-02 03:04:05").cast("timestamp"))
-    return enrichment(spark, d).withColumns({k: made[k] for k in ("contentType", "fullText", "loadedAt", "itemCode", "status")}).select(F.col("image_path").alias("sourcePath"), "contentType", "fullText", "loadedAt", "itemCode", "status")
+    return _new_items(spark, d).select(*_NEW_COLUMNS)
+
+
+@query("q68_new_payload", f"WITH {ENRICHMENT}, {_NEW_ITEM} SELECT \"customerId\", \"locationId\", \"parentId\", attachment, \"customerSchemaType\", \"itemType\", \"departmentId\", \"sourcePath\", CASE WHEN \"REF10\" = '' OR \"REF10\" IS NULL THEN 'BLANK' ELSE left(\"REF10\", 2) || '***' || right(\"REF10\", 2) END AS \"REF10\", left(\"REF30\", 2) || '***' || right(\"REF30\", 2) AS \"REF30\" FROM new_item")
+def new_payload(spark: SparkSession, d: str) -> DataFrame:
+    return load.mask_references(load.new_payload(_new_items(spark, d)))
+
+
+@query("q69_existing_payload", f"WITH {ENRICHMENT}, {_EXISTING_ITEM} SELECT \"customerId\", \"locationId\", \"customerSchemaType\", \"itemType\", \"departmentId\", \"sourcePath\", \"REF5\", \"REF30\" FROM existing_item")
+def existing_payload(spark: SparkSession, d: str) -> DataFrame:
+    return load.existing_payload(_existing_items(spark, d), _EXISTING_BATCH)
 
 
 @query("q10_mapping", "SELECT o_orderkey AS \"ID\", o_orderpriority AS \"REF1\", CAST(NULL AS VARCHAR) AS \"REF2\", CASE WHEN o_orderpriority = '5-LOW' THEN 3 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS type_code FROM orders")
@@ -72,7 +105,7 @@ def mapping(spark: SparkSession, d: str) -> DataFrame:
     return load.mapped(typed, [("o_orderkey", "ID"), ("o_orderpriority", "REF1"), ("absent", "REF2"), ("code", "type_code")])
 
 
-@query("q11_reenter", f"WITH {ENRICHMENT}, fixed AS (SELECT lang AS transaction_id, source AS batch_name, doc_id || '.jpg' AS image_filename, 'v' || doc_id AS corrected FROM documents WHERE doc_id % 10 = 0) SELECT e.image_path, f.corrected FROM enrichment e JOIN fixed f ON e.transaction_id = f.transaction_id AND e.batch_name = f.batch_name AND regexp_extract(e.image_path, '.*/(.*)$', 1) = f.image_filename")
+@query("q11_reenter", f"WITH {ENRICHMENT}, fixed AS (SELECT lang AS transaction_id, source AS batch_name, doc_id || '.jpg' AS image_filename, 'v' || doc_id AS corrected FROM documents) SELECT e.image_path, f.corrected FROM enrichment e JOIN fixed f ON e.transaction_id = f.transaction_id AND e.batch_name = f.batch_name AND regexp_extract(e.image_path, '.*/(.*)$', 1) = f.image_filename")
 def reenter(spark: SparkSession, d: str) -> DataFrame:
     m = manifest(spark, d).select("transaction_id", "batch_name", "image_filename", F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("corrected"))
     return load.reenter(enrichment(spark, d), m).select("image_path", "corrected")
@@ -84,25 +117,22 @@ def with_manifest(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("image_path", "batch_name", "data_is_valid", "ref1", "work_order")
 
 
-@query("q13_dimension", "SELECT c_custkey, n_name AS box FROM customer LEFT JOIN (SELECT DISTINCT n_nationkey, n_name FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey")
+@query("q13_dimension", "SELECT c_custkey, n_name AS box FROM customer LEFT JOIN (SELECT DISTINCT n_nationkey, n_name FROM nation) ON c_nationkey = n_nationkey")
 def dimension(spark: SparkSession, d: str) -> DataFrame:
     boxes = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("box"))
     return load.with_dimension(table(spark, d, "customer"), boxes, "c_nationkey").select("c_custkey", "box")
 
 
-@query("q14_map_join", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("q14_map_join", f"WITH {MANIFEST} SELECT image_path, project AS \"REF3\", image_filename AS \"REF4\" FROM manifest")
 def map_join(spark: SparkSession, d: str) -> DataFrame:
-    n, r = table(spark, d, "nation"), table(spark, d, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_name", "r_name")
+    found = load.template_fields(_template(spark, [("Box", [("project", "REF9")]), ("File", [("project", "REF3"), ("image_filename", "REF4"), ("absent", "REF5"), ("collection", None), ("doc_id", "none")])]), "FILE")
+    return load.apply_template(manifest(spark, d), found).select("image_path", "REF3", "REF4")
 
 
 @query("q15_config_lookup", f"WITH {MANIFEST}, config AS (SELECT * FROM (VALUES ('src0', 'c0', 'true'), ('src1', 'c1', 'bypass')) v(batch_name, account, mode)) SELECT image_path, coalesce(account, 'none') AS account, coalesce(mode, 'none') AS mode FROM manifest LEFT JOIN config ON manifest.batch_name = config.batch_name")
 def config_lookup(spark: SparkSession, d: str) -> DataFrame:
-    collections = [[("src0", "true", True, []), ("src1", "bypass", False, [])]]
-    config = spark.createDataFrame([(f"c{i}", [c]) for i, c in enumerate(collections[0])], "tr_customer_id string, collections array<struct<collection:string,send_all_to_opsiq:string,load_to_system_of_records:boolean,field_list:array<string>>>")
-    flat = config.select("tr_customer_id", F.explode("collections").alias("c")).select(F.col("c.collection").alias("batch_name"), F.col("tr_customer_id").alias("account"), F.col("c.send_all_to_opsiq").alias("mode"))
-    joined = manifest(spark, d).join(F.broadcast(flat), "batch_name", "left")
-    return joined.select("image_path", F.coalesce("account", F.lit("none")).alias("account"), F.coalesce("mode", F.lit("none")).alias("mode"))
+    config = spark.createDataFrame([("c0", [("src0", "true", True, [])]), ("c1", [("src1", "bypass", False, []), ("other", "true", False, [])])], model.CONFIG)
+    return load.with_configuration(manifest(spark, d), readers.collections(config)).select("image_path", "account", "mode")
 
 
 @query("q16_counts", f"WITH {ENRICHMENT} SELECT count(*) FILTER (data_is_valid = 'True') AS valid, count(*) FILTER (data_is_valid = 'False') AS invalid, count(*) AS total FROM enrichment")
@@ -178,15 +208,15 @@ def filters(spark: SparkSession, d: str) -> DataFrame:
     return p.select("url", F.when(text.is_image(F.col("url")), 1).otherwise(0).alias("image"))
 
 
-@query("q60_existing_item", f"WITH {ENRICHMENT}, m AS (SELECT * FROM (VALUES ('en', 'REF1'), ('fr', 'REF2')) v(transaction_id, ref)) SELECT e.image_path, 'FILE' AS \"contentType\", 'REF5' AS \"targetColumn\", substr(ocr_liquid_text, 1, 900) AS \"fullText\", m.ref FROM enrichment e JOIN m ON e.transaction_id = m.transaction_id")
+def _template(spark: SparkSession, entities: list) -> DataFrame:
+    return spark.createDataFrame([(entities,)], "entities array<struct<entity:string, fields:array<struct<name:string, ref:string>>>>")
+
+
+@query("q60_existing_item", f"WITH {ENRICHMENT}, {_EXISTING_ITEM}, m AS (SELECT * FROM (VALUES ('en', 'REF1'), ('fr', 'REF2')) v(transaction_id, ref)) SELECT e.* EXCLUDE (transaction_id), m.ref FROM existing_item e JOIN m ON e.transaction_id = m.transaction_id")
 def existing_item(spark: SparkSession, d: str) -> DataFrame:
-    fields = "entity string, fields array<struct<name:string,ref:string>>"
-    entities = [("Box", [("x", "REF9")]), ("File", [("en", "REF1"), ("fr", "REF2"), ("de", None)])]
-    template = spark.createDataFrame([(entities,)], f"entities array<struct<{fields.replace(' string', ':string').replace(' array', ':array')}>>")
+    template = _template(spark, [("Box", [("x", "REF9")]), ("File", [("en", "REF1"), ("fr", "REF2"), ("de", None)])])
     found = load.template_fields(template, "FILE").filter(F.col("ref").isNotNull())
-    made = load.existing_item_columns(F.concat("batch_name", F.lit("_x_file_ref5")), F.col("image_path"), F.col("ocr_liquid_text"), F.current_timestamp())
-    rows = enrichment(spark, d).withColumns({k: made[k] for k in ("contentType", "targetColumn", "fullText")})
-    return rows.join(F.broadcast(found), rows.transaction_id == found.name).select("image_path", "contentType", "targetColumn", "fullText", "ref")
+    return _existing_items(spark, d).join(found, F.col("transaction_id") == F.col("name")).select(*_EXISTING_COLUMNS, "ref")
 
 
 @query("q61_any_first_labels", "SELECT o_custkey, bool_or(o_orderstatus = 'F') AS any_f, min(o_orderkey) AS first_key, concat_ws(', ', CASE WHEN count(*) FILTER (o_orderstatus = 'O') = 0 THEN 'O' END, CASE WHEN count(*) FILTER (o_orderstatus = 'P') = 0 THEN 'P' END) AS missing FROM orders GROUP BY o_custkey")
@@ -201,9 +231,9 @@ def sorted_first(spark: SparkSession, d: str) -> DataFrame:
     return manifest(spark, d).select("image_path", "doc_id").orderBy("image_path", "doc_id").limit(50)
 
 
-@query("q67_routes", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'csv' WHEN page_id % 3 = 1 THEN 'per_image' ELSE 'error' END AS connect, CASE WHEN page_id % 3 = 0 OR (page_id % 3 = 1 AND page_id % 2 = 0) THEN 'run' WHEN page_id % 3 = 1 THEN 'skip' ELSE 'error' END AS extract, CASE WHEN page_id % 3 = 0 AND page_id % 2 = 0 THEN 'new_items' WHEN page_id % 3 = 1 AND page_id % 2 = 0 THEN 'existing_items' ELSE 'partial_update' END AS load FROM pages")
+@query("q67_routes", "WITH r AS (SELECT page_id, page_id % 3 AS k, page_id % 2 = 0 AS conf, page_id % 5 = 0 AS skip FROM pages), e AS (SELECT *, CASE WHEN k = 0 OR (k = 1 AND conf) THEN 'run' WHEN k = 1 THEN 'skip' ELSE 'error' END AS extract FROM r) SELECT page_id, CASE k WHEN 0 THEN 'csv' WHEN 1 THEN 'per_image' ELSE 'error' END AS connect, extract, CASE WHEN skip THEN 'skip' ELSE extract END AS validate, CASE WHEN k = 0 AND conf THEN 'new_items' WHEN k = 1 AND conf THEN 'existing_items' ELSE 'partial_update' END AS load FROM e")
 def routes(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "pages")
-    key = F.when(F.col("page_id") % 3 == 0, f"{load.INDEXED}/a.zip").when(F.col("page_id") % 3 == 1, f"{load.IMAGES}/a.zip").otherwise("else/a.zip")
-    made = load.route(key, F.col("page_id") % 2 == 0)
-    return p.select("page_id", *(made[k].alias(k) for k in ("connect", "extract", "load")))
+    key = F.when(F.col("page_id") % 3 == 0, "indexed/a.zip").when(F.col("page_id") % 3 == 1, "image-extract/a.zip").otherwise("else/a.zip")
+    made = load.route(key, F.col("page_id") % 2 == 0, F.col("page_id") % 5 == 0)
+    return p.select("page_id", *(made[k].alias(k) for k in ("connect", "extract", "validate", "load")))
\ No newline at end of file

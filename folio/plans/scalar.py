@@ -64,10 +64,11 @@ def remove(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", text.remove_pattern(F.col("p_brand"), "[aeiou#]").alias("brand"))
 
 
-@query("q30_rescue", "SELECT doc_id, coalesce(CASE WHEN doc_id % 5 <> 0 THEN lang END, nullif(regexp_extract(text, '[A-Z][a-z]{5,}'), '')) AS word FROM documents")
+@query("q30_rescue", "WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN lang END AS given, CASE WHEN doc_id % 2 = 0 THEN '77' END AS score, nullif(regexp_extract(text, '[A-Z][a-z]{5,}'), '') AS found FROM documents) SELECT doc_id, coalesce(nullif(given, ''), found, given) AS word, CASE WHEN (given IS NULL OR given = '') AND found IS NOT NULL AND score IS NOT NULL THEN '10' ELSE score END AS score FROM r")
 def rescue(spark: SparkSession, d: str) -> DataFrame:
-    given = F.when(F.col("doc_id") % 5 != 0, F.col("lang"))
-    return table(spark, d, "documents").select("doc_id", text.rescue(given, F.col("text"), "[A-Z][a-z]{5,}").alias("word"))
+    given, score = F.when(F.col("doc_id") % 5 != 0, F.col("lang")), F.when(F.col("doc_id") % 2 == 0, "77")
+    word = text.rescue(given, F.col("text"), "[A-Z][a-z]{5,}")
+    return table(spark, d, "documents").select("doc_id", word.alias("word"), text.rescued_score(given, F.col("text"), "[A-Z][a-z]{5,}", score).alias("score"))
 
 
 @query("q31_rotations", "SELECT doc_id, 'root/' || doc_id || t.turn || '.png' AS path FROM documents, (VALUES (''), ('_rot90'), ('_rot180'), ('_rot270')) t(turn)")
@@ -184,3 +185,16 @@ def review_flags(spark: SparkSession, d: str) -> DataFrame:
 @query("q65_european", "SELECT c_custkey, translate(format('{:,.2f}', c_acctbal), ',.', '.,') AS balance FROM customer")
 def european(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", costs.european(F.col("c_acctbal")).alias("balance"))
+
+
+@query("q70_sanitized_json", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'invalid_value' WHEN 1 THEN event_type END AS k, CASE WHEN event_id % 3 = 2 THEN 'Invalid JSON encountered: {broken ' || event_type END AS error FROM events")
+def sanitized_json(spark: SparkSession, d: str) -> DataFrame:
+    raw = F.when(F.col("event_id") % 3 == 0, F.lit('{"k":=*}')).when(F.col("event_id") % 3 == 1, F.to_json(F.struct(F.col("event_type").alias("k")))).otherwise(F.concat(F.lit("{broken "), "event_type"))
+    found = text.parsed_json(raw)
+    return table(spark, d, "events").select("event_id", F.try_element_at(found["pairs"], F.lit("k")).alias("k"), found["error"].alias("error"))
+
+
+@query("q71_pretty_json", """SELECT p_partkey, '{' || chr(10) || '    "name": "' || p_name || '",' || chr(10) || '    "size": ' || CASE WHEN p_partkey % 2 = 0 THEN '"' || p_size || '"' ELSE 'null' END || chr(10) || '}' AS pairs FROM part""")
+def pretty_json(spark: SparkSession, d: str) -> DataFrame:
+    pairs = F.create_map(F.lit("name"), F.col("p_name"), F.lit("size"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_size").cast("string")))
+    return table(spark, d, "part").select("p_partkey", text.pretty_json(pairs).alias("pairs"))

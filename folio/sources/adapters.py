@@ -52,6 +52,18 @@ def lookup(rows: DataFrame, answers: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(answers, on, "left")
 
 
+def append_lookup(rows: DataFrame, request: str, service: Callable[[list[str]], list[str]], fields: dict[str, str], batch: int = 50) -> DataFrame:
+    """``rows`` with one column for each field of the service's JSON answer, beside them.
+
+    ``fields`` names the columns and the answer's keys; a call that fails gives its error
+    in every field and is that row's only.
+    """
+    called = call_service(rows, request, service, "_answer", batch)
+    parsed = called.withColumn("_fields", F.from_json("_answer", "map<string,string>"))
+    failed = F.when(F.col("error").isNotNull(), F.concat(F.lit("Error: "), "error"))
+    return parsed.withColumns({c: F.coalesce(failed, F.try_element_at("_fields", F.lit(k))) for c, k in fields.items()}).drop("_answer", "_fields", "error")
+
+
 def unzip(spark: SparkSession, path: str) -> DataFrame:
     """``archive, name, content`` of all files in archives, names sorted within each."""
 

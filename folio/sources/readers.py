@@ -42,12 +42,15 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     header's, and lines with more cells are left out.  Raises ValueError if no row is
     left.  Lines are parsed in the executors by one expression each.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     header = lines.first()
     if header is None:
         raise ValueError("the manifest is empty")
     names = [text.snake_case(h.strip().strip('"')) for h in re.split(r"\|", header[0].lstrip("\ufeff"))]
-    rows = lines.filter(F.trim("value") != "").filter(F.col("value") != header[0])
+    # a header is the first line of its file; an equal line further down is a row
+    numbered = lines.withColumn("n", F.monotonically_increasing_id())
+    heads = numbered.filter("start = 0").groupBy("file").agg(F.min("n").alias("n"))
+    rows = numbered.join(F.broadcast(heads.select("n")), "n", "left_anti").filter(F.trim("value") != "")
     cells = _cells(F.col("value"))
     parsed = rows.select(cells.alias("cells")).filter(F.size("cells") <= len(names))
     out = parsed.select(*(_present(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(names)))
@@ -88,10 +91,21 @@ def image_manifest(paths: DataFrame, batch: str, transaction_id: str) -> DataFra
     )
 
 
-def configuration(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each account and collection of JSON configuration files."""
-    found = spark.read.schema(model.CONFIG).option("multiLine", "true").json(path)
-    return found.select("tr_customer_id", F.explode("collections").alias("c")).select("tr_customer_id", "c.*")
+def configuration(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:
+    """One row for each account and collection of JSON configuration files.
+
+    ``names`` says what the files call ``account_id`` and ``review_all`` if not so.
+    """
+    called = lambda schema: T.StructType([T.StructField((names or {}).get(f.name, f.name), f.dataType) for f in schema])
+    inner = T.ArrayType(called(model.COLLECTION))
+    schema = T.StructType([T.StructField(f.name, inner if f.name == "collections" else f.dataType) for f in called(model.CONFIG)])
+    found = spark.read.schema(schema).option("multiLine", "true").json(path)
+    return collections(found.select(*(F.col(a).cast(f.dataType).alias(f.name) for a, f in zip(found.columns, model.CONFIG, strict=True))))
+
+
+def collections(config: DataFrame) -> DataFrame:
+    """``account_id`` and the columns of a collection, a row for each, of configuration rows."""
+    return config.select("account_id", F.explode("collections").alias("c")).select("account_id", "c.*")
 
 
 def collection(config: DataFrame, name: str) -> DataFrame:

@@ -37,6 +37,18 @@ def csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", "true").option("sep", sep).csv(path)
 
 
+def put_properties(df: DataFrame, path: str, *columns: str) -> dict[str, str]:
+    """Writes the one value that each column has in a batch as a JSON row for later stages, and returns them."""
+    found = {c: align.single_value(df, c) for c in columns}
+    df.sparkSession.createDataFrame([tuple(found.values())], ", ".join(f"`{c}` string" for c in found)).write.mode("overwrite").json(path)
+    return found
+
+
+def properties(spark: SparkSession, path: str, *columns: str) -> dict[str, str]:
+    """What ``put_properties`` wrote."""
+    return spark.read.schema(", ".join(f"`{c}` string" for c in columns)).json(path).first().asDict()
+
+
 def preview(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 

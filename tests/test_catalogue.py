@@ -16,11 +16,23 @@ def test_runs(spark, smallest, name):
 
 
 def test_lsh_finds_close_pairs_and_hardly_others(spark, smallest):
-    left, right = linkage.keys(spark, smallest, 0), linkage.keys(spark, smallest, 1)
-    exact = {(r.l_id, r.r_id): r.distance for r in matching.gram_pairs(left, right, 0.85).collect()}
+    left, right = linkage.listed_keys(spark, smallest), linkage.whole_keys(spark, smallest)
+    copies = left.selectExpr("id + 100000 AS id", "concat(key, ' xyz') AS key")
+    right = right.unionAll(copies)
+    exact = {(r.l_id, r.r_id): r.distance for r in matching.block_pairs(left, right, 0.85).collect()}
     lsh = {(r.l_id, r.r_id) for r in matching.lsh_pairs(left, right, tables=5).collect()}
     assert lsh <= set(exact)  # its distance is that of hashed sets, so the bound is met but for collisions
-    assert {p for p, distance in exact.items() if distance <= 0.1} <= lsh
+    close = {p for p, distance in exact.items() if distance <= 0.1}
+    assert len(close) >= 30 and close <= lsh
+
+
+def test_only_absence_is_caught(monkeypatch):
+    import importlib.util
+
+    import __spark_entry__ as e
+
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name: None)
+    assert not any(name.startswith("op") or name == "pipeline" for name in e.queries()) and len(e.queries()) > 60
 
 
 def test_entry(spark):

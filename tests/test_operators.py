@@ -1,9 +1,11 @@
+import json
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from folio import model
+from folio.functions import text
 from folio.model import FieldRule, JobParameters
 from folio.operators import align, events, load, matching, rules, search
 from folio.sources import adapters, readers, sinks
@@ -55,7 +57,7 @@ def test_validate_documents(spark):
 
 
 def test_rules_from_configuration(spark, tmp_path):
-    (tmp_path / "c.json").write_text('{"tr_customer_id": "1", "collections": [{"collection": "p", "field_list": [{"FieldName": "a", "Type": "date", "Validation": {"AllowNull": "true", "AllowSpecialChars": "#", "MinLength": "2"}}]}]}')
+    (tmp_path / "c.json").write_text('{"account_id": "1", "collections": [{"collection": "p", "field_list": [{"FieldName": "a", "Type": "date", "Validation": {"AllowNull": "true", "AllowSpecialChars": "#", "MinLength": "2"}}]}]}')
     config = readers.configuration(spark, str(tmp_path / "c.json"))
     (rule,) = readers.field_rules(readers.collection(config, "p"))
     assert (rule.name, rule.kind, rule.allow_null, rule.special, rule.min_length) == ("a", "date", True, "#", "2")
@@ -82,7 +84,7 @@ def test_listing_archives_and_image_names(spark, tmp_path):
     (tmp_path / "i" / "notes.txt").write_bytes(b"x")
     assert [(r.name, bytes(r.content)) for r in adapters.unzip(spark, str(tmp_path / "a.zip")).collect()] == [("a/1.txt", b"one"), ("b/2.txt", b"two")]
     (row,) = readers.image_manifest(readers.listing(spark, str(tmp_path / "i")), "b_coll_proj_REF5", "t").collect()
-    assert (row.tr_customer_id, row.item_code, row.item_code_id, row.collection, row.project) == ("c1", "code", "7", "coll", "proj")
+    assert (row.account_id, row.item_code, row.item_code_id, row.collection, row.project) == ("c1", "code", "7", "coll", "proj")
 
 
 def test_service_errors_stay_with_their_row(spark):
@@ -227,3 +229,154 @@ def test_grouped_text(spark):
     rows = [(None, 2, "b"), (None, 1, "a"), ("x", 1, None), ("y", 2, "long " * 300), ("y", 1, "first"), ("y", 1, "earlier")] + [("z", i, "w") for i in range(2000)]
     got = {r.k: (r.text, r.first_path) for r in load.grouped_text(spark.createDataFrame(rows, "k string, o int, t string"), ["k"], "o", "t").collect()}
     assert got == {None: ("a b", 1), "x": ("", 1), "y": (("earlier first " + "long " * 300)[:900], 1), "z": (("w " * 2000)[:900], 0)}
+
+
+def test_parameters_as_literals():
+    parse = model.JobParameters.parse_filters
+    assert parse("{'k': 'v', 'n': 3, 'on': True, 'none': None}") == {"k": "v", "n": 3, "on": True, "none": None}
+    assert parse('{"k": true}') == {"k": True} and parse(None) == parse("") == parse("[1]") == parse("{broken") == parse("f(1)") == {}
+
+
+def test_overrides_of_batches(spark):
+    df = spark.createDataFrame([("a", "1"), ("b", "2"), (None, "3")], "batch_name string, box string")
+    assert sorted(r.box for r in align.override_batches(df, "box", {"a": "X"}).collect()) == ["2", "3", "X"]
+    assert align.override_batches(df, "box", {}) is df
+
+
+def test_manifest_keeps_rows_that_equal_its_header(spark, tmp_path):
+    (tmp_path / "one.txt").write_text("Image Path|Ref\nImage Path|Ref\na|1\n")
+    (tmp_path / "two.txt").write_text("Image Path|Ref\nb|2\n")
+    got = readers.manifest(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("Image Path", "Ref"), ("a", "1"), ("b", "2")]
+
+
+def test_configuration_under_other_names(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"owner": "1", "collections": [{"collection": "p", "check": "true", "field_list": []}, {"collection": "q"}]}')
+    got = readers.configuration(spark, str(tmp_path / "c.json"), {"account_id": "owner", "review_all": "check"})
+    assert sorted((r.account_id, r.collection, r.review_all) for r in got.collect()) == [("1", "p", "true"), ("1", "q", None)]
+
+
+def test_json_text_functions(spark):
+    df = spark.createDataFrame([('{"a":=*, "b": "x"}',), ('{"a": "1"',), ("{}",), (None,)], "t string")
+    found = text.parsed_json(F.col("t"))
+    got = [(r.p, r.e) for r in df.select(found["pairs"].alias("p"), found["error"].alias("e")).collect()]
+    assert got[0] == ({"a": "invalid_value", "b": "x"}, None) and got[2] == ({}, None)
+    assert got[1] == (None, 'Invalid JSON encountered: {"a": "1"') and got[3] == (None, "Invalid JSON encountered: null")
+    for pairs in ({}, {"a": 'é "q" \\ \n', "b": None, "c": "[1]"}):
+        (row,) = spark.createDataFrame([(pairs,)], "m map<string,string>").select(text.pretty_json(F.col("m")).alias("j")).collect()
+        assert row.j == json.dumps(pairs, indent=4, ensure_ascii=False)
+
+
+def test_rescued_scores(spark):
+    df = spark.createDataFrame([("", "no 7", "80"), (None, "no 7", None), ("x", "no 7", "80"), (None, "none", "80")], "v string, t string, s string")
+    got = [r[0] for r in df.select(text.rescued_score(F.col("v"), F.col("t"), r"\d", F.col("s"))).collect()]
+    assert got == ["10", None, "80", "80"]
+
+
+def test_lookups_beside_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "bad")], "id long, k string")
+
+    def service(asked):
+        if "bad" in asked:
+            raise RuntimeError("500")
+        return [json.dumps({"code": f"C-{k}", "id": f"{k}1"}) for k in asked]
+
+    got = adapters.append_lookup(rows, "k", service, {"ItemCode": "code", "ItemCodeID": "id"})
+    assert got.columns == ["id", "k", "ItemCode", "ItemCodeID"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a", "C-a", "a1"), (2, "b", "C-b", "b1"), (3, "bad", "Error: RuntimeError: 500", "Error: RuntimeError: 500")]
+
+
+def test_batch_properties(spark, tmp_path):
+    df = spark.createDataFrame([("acc", "p"), ("acc", "p")], "account string, project string")
+    assert sinks.put_properties(df, str(tmp_path / "x"), "account", "project") == {"account": "acc", "project": "p"}
+    assert sinks.properties(spark, str(tmp_path / "x"), "account", "project") == {"account": "acc", "project": "p"}
+    with pytest.raises(ValueError):
+        sinks.put_properties(spark.createDataFrame([("a",), ("b",)], "account string"), str(tmp_path / "y"), "account")
+
+
+def test_template_becomes_a_dictionary(spark):
+    rows = spark.createDataFrame([("1", "2")], "a string, b string")
+    fields = spark.createDataFrame([("a", "REF3"), ("b", None), ("b", "other"), ("absent", "REF4")], "name string, ref string")
+    assert load.apply_template(rows, fields).columns == ["a", "b", "REF3"]
+
+
+def test_items_and_payloads(spark):
+    rows = spark.createDataFrame([("file-1.jpg", "p/file-1.jpg", "BOX", "G", "t" * 950, "c", "7")], "image_filename string, image_path string, box_barcode string, box_id string, ocr_liquid_text string, item_code string, item_code_id string")
+    now = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    new, old = load.new_item_columns(rows, "acc", now), load.existing_item_columns(rows, "b_x_File.zip_ref5.zip", "acc", now)
+    assert len(new.columns) - len(rows.columns) == 18 and len(old.columns) - len(rows.columns) == 15
+    assert len(load.new_payload(new).columns) == 10 and len(load.existing_payload(old, "b_x_File.zip_ref5.zip").columns) == 8
+    a, b = new.first(), old.first()
+    assert (a.itemType, a.parentId, len(a.REF10), a.REF30) == ("FILE", "G", 900, "2024-01-02 03:04") and (b.itemType, len(b.REF5), b.ItemCodeID) == ("FILE", 900, "7")
+
+
+def test_master_is_cleaned(spark):
+    row = ("Ann Types", "O(x)", None, "e@x", "(555) 1-2", "01/02/1980", 3.0)
+    df = spark.createDataFrame([row, row], "FirstName string, LastName string, PrevLastName string, Email string, Phone1 string, DOB string, n double")
+    (got,) = matching.clean_master(df).collect()
+    assert (got.FirstName, got.LastName, got.PrevLastName, got.Email, got.NORMALIZED_PHONE, got.NORMALIZED_DOB) == ("ann", "ox", "", "", "55512", "010280")
+
+
+def test_discovery_as_the_library_of_sequences(spark):
+    import difflib
+
+    cases = [("anna", "annas"), ("12.0", "12"), ("stone", "zebra"), ("", "x"), ("same", "same"), ("x", None)]
+    got = matching.discover(spark.createDataFrame(cases, "f string, m_f string"), ["f"]).collect()
+    for (own, other), r in zip(cases, got, strict=True):
+        other, clean = other or "", own.replace(".0", "")
+        alike = bool(clean and other) and int(difflib.SequenceMatcher(None, clean.lower(), other.lower()).ratio() * 100) > 61
+        assert r.machine_f == (clean if clean != other else "") and r.machine_f_simm == int(alike)
+        assert r.machine_f_diff == (abs(len(own) - len(other)) if clean != other else 0) and r.f == (other if alike and clean != other else own)
+
+
+def test_weighted_matches_are_routed(spark):
+    rows = [("anna", "anna", "1", "1"), ("anna", "anne", "1", "1"), ("anna", "zed", "1", "1")]
+    df = spark.createDataFrame(rows, "l_name string, r_name string, l_phone string, r_phone string")
+    got = matching.weighted_match(df, {"name": (0.6, "sequence_matcher"), "phone": (0.4, "exact")}).collect()
+    assert [(round(r.score, 2), r.is_match, r.route) for r in got] == [(1.0, True, "route_downstream"), (0.85, True, "route_downstream"), (0.4, False, "route_to_review")]
+
+
+def outcome(spark, row, hit, score, model_score, whole=True):
+    fields = "struct<first:string,last:string,prev:string,dob:string,phone:string>"
+    df = spark.createDataFrame([(row, hit)], f"row {fields}, master {fields}")
+    made = search.field_outcome(F.lit(score), F.lit(model_score), whole=F.lit(whole))
+    r = df.select(*(c.alias(n) for n, c in made.items())).first()
+    return r.accept, r.stop, r.confidence, r.note
+
+
+def test_decision_tree_of_one_hit(spark):
+    me = ("anna", "stone", "nan", "010280", "5551234")
+    assert outcome(spark, me, ("zed", "x", "nan", "1", "2"), 60.0, 0.1) == (True, True, 100, "")
+    assert outcome(spark, me, ("zed", "x", "nan", "1", "2"), 60.0, 0.1, whole=False) == (False, True, 0, "Column mismatched")
+    assert outcome(spark, me, ("zed", "x", "nan", "010280", "2"), 3.0, 0.95) == (True, True, 100, "")  # the model, dates alike
+    assert outcome(spark, me, ("anna", "x", "nan", "1", "5551234"), 3.0, 0.8) == (True, True, 54, "")  # phone and first name
+    assert outcome(spark, me, ("anna", "stone", "nan", "010280", "2"), 3.0, 0.3) == (True, True, 99, "")  # names and date
+    assert outcome(spark, me, ("anna", "x", "nan", "010280", "2"), 3.0, 0.8) == (False, False, 54, "")  # no previous names
+    assert outcome(spark, me, ("anna", "x", "smith", "010280", "2"), 3.0, 0.8) == (False, False, 22, "")
+    was = ("anna", "new", "stone", "010280", "5551234")
+    assert outcome(spark, was, ("anna", "old", "stone", "010280", "2"), 3.0, 0.8) == (True, True, 54, "")  # previous name
+    assert search.no_hit_error(["FirstName", "LastName", "DOB"], "E1") == "E1: FirstName, LastName"
+
+
+def test_queries_without_a_second_name_stay_as_they_are(spark):
+    df = spark.createDataFrame([(1, "An. Stone x"), (2, "An. 7th x"), (3, "An.")], "q_id long, query string")
+    got = sorted((r.q_id, r.token, r.prefix, r.boost) for r in search.query_tokens(df).collect())
+    assert got == [(1, "an", True, 2.0), (1, "stone", True, 2.0), (1, "x", False, 1.0), (2, "7th", False, 1.0), (2, "an.", False, 1.0), (2, "x", False, 1.0), (3, "an.", False, 1.0)]
+
+
+def test_coverage_raises_what_holds_more_of_a_query(spark):
+    docs = spark.createDataFrame([(1, "red red red red red"), (2, "red bolt"), (3, "blue ring")], "id long, document string")
+    queries = spark.createDataFrame([(1, "4 red bolt"), (2, "4 red bolt")], "q_id long, query string")
+    ranked = lambda c: [(r.q_id, r.id) for r in search.top_hits(search.index(docs), search.query_tokens(queries), 3, 5, c).orderBy("q_id", "rank").collect()]
+    assert ranked(None) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    scores = {r.id: r.score for r in search.top_hits(search.index(docs), search.query_tokens(queries), 3, 5, 0.9).filter("q_id = 1").collect()}
+    plain = {r.id: r.score for r in search.top_hits(search.index(docs), search.query_tokens(queries), 3, 5).filter("q_id = 1").collect()}
+    assert scores[2] == pytest.approx((plain[2] + 1 / (2 - 0.9) ** 2) / 2) and scores[1] == pytest.approx(plain[1] / 2)
+
+
+def test_a_delta_replaces_documents_whole(spark, tmp_path):
+    path = str(tmp_path / "index")
+    make = lambda rows: spark.createDataFrame(rows, "id long, document string")
+    assert search.store_index(make([(1, "old words"), (2, "kept"), (3, "gone")]), path) == 0
+    assert search.store_index(make([(1, "new words"), (3, "")]), path, delta=True) == 1
+    assert sorted((r.token, r.id) for r in search.open_index(spark, path).collect()) == [("kept", 2), ("new", 1), ("words", 1)]
