@@ -35,7 +35,7 @@ from folio.llm import shared
 from folio.llm import textkernel as tk
 
 #: Entries of each of the two generations of a worker's cache.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 350_000
 #: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
 PREFIXES = (12, 9, 7, 5)
 #: White_Space of Unicode, as patterns of tokenizers understand it.
