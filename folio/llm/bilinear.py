@@ -502,6 +502,32 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     return score_with(fit(docs.filter(~held_out)), docs, held_out)
 
 
+def base_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and base scores alone, learned from all documents: the part that SQL can say."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    counts = shared.materialise(count_words(docs))
+    v = vocabulary(counts)
+    found = score_with(Model(counts, v, fresh(v)[0]), docs, F.lit(False))
+    return found.select("doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+BASE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_append(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), chr(10)) AS ws
+  FROM documents
+), t AS (
+  SELECT doc_id, unnest(ws) AS w FROM d
+), c AS (
+  SELECT w, count(*) AS c FROM t GROUP BY w
+), n AS (
+  SELECT sum(c) AS n, count(*) AS v FROM c
+)
+SELECT doc_id, count(*) AS n_tokens, count(*) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
+       round(sum(log10((c + 1) / (n + v + 1))), 6) AS base_score
+FROM t JOIN c ON t.w = c.w CROSS JOIN n GROUP BY doc_id
+"""
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return score(docs, shared.id_remainder("doc_id", 7) == 2)

@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": decontaminate.query,
     "op9_language": language.query,
     "op10_host_quality": host_quality.query,
+    # the parts of learned operators that SQL can say
+    "lm_base_scores": bilinear.base_query,
+    "secret_base_counts": secrets.base_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +30,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op10_host_quality": host_quality.SQL,
+    "lm_base_scores": bilinear.BASE_SQL,
+    "secret_base_counts": secrets.BASE_SQL,
 }

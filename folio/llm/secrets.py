@@ -5,8 +5,8 @@ inside or outside of a secret from their shape, the words around them and featur
 of the whole document, by gradient of the exact conditional likelihood, and is decoded
 by Viterbi over every line.  What it tags and no base span meets is added.
 
-It learns from a bounded, hash-picked sample of documents (``LIKELY`` with and ``OTHER``
-without something like a secret, ``FIT_BYTES`` at most) and of their lines
+It learns from a bounded, hash-picked sample of documents (of ``SAMPLE`` documents,
+``LIKELY`` with and ``OTHER`` without something like a secret, ``FIT_BYTES`` at most) and of their lines
 (``LINES_WITH``, ``LINES_WITHOUT``, picked by a hash of what they hold, wherever they
 stand).  Two kinds of lines teach it more than the patterns know: lines with a base
 span whose keyword and value are exchanged for others that no pattern meets, and plain
@@ -48,8 +48,8 @@ _HEX_LONG = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # greedy runs, so the same a
 _KEYWORD_BYTES = re.compile(KEYWORDS.encode(), re.IGNORECASE)
 KINDS = ("assign", "access", "hex", "crf")
 
-#: Documents of a fit, about, with and without something like a secret, and bytes of them.
-LIKELY, OTHER, FIT_BYTES = 1000, 300, 8 << 20
+#: Documents that are looked through for a fit, about; documents of it with and without something like a secret, and bytes of them.
+SAMPLE, LIKELY, OTHER, FIT_BYTES = 20_000, 1000, 300, 8 << 20
 #: Lines (or pieces of about ``LINE_WORDS`` words) with and without a base span that are learned from, at most; planted ones.
 LINES_WITH, LINES_WITHOUT, PLANTED, LINE_WORDS = 1500, 2000, 1500, 60
 #: Names and values that planted secrets have; harmless ones.
@@ -280,7 +280,7 @@ def lessons(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return xs, ys
 
 
-def fit(texts: pa.Array, steps: int = 120, rate: float = 0.15, decay: float = 1e-4) -> Field:
+def fit(texts: pa.Array, steps: int = 80, rate: float = 0.2, decay: float = 1e-4) -> Field:
     """Adam on the conditional log-likelihood; forward and backward sums run over all lines at once."""
     xs, ys = lessons(texts)
     emit, move, first = np.zeros((_OFFSETS[-1], 3)), np.zeros((3, 3)), np.zeros(3)
@@ -288,7 +288,11 @@ def fit(texts: pa.Array, steps: int = 120, rate: float = 0.15, decay: float = 1e
     if not any(y.any() for y in ys):
         emit[:, 1:] = -10.0  # nothing to learn from: tag nothing
         return Field(emit, move, first)
-    n, T = len(xs), max(map(len, xs))
+    order = sorted(range(len(xs)), key=lambda i: -len(xs[i]))  # so that the lines that reach a place come first
+    xs, ys = [xs[i] for i in order], [ys[i] for i in order]
+    n, T = len(xs), len(xs[0])
+    last = np.array([len(x) - 1 for x in xs])
+    reach = np.searchsorted(-last, -np.arange(T), side="right")
     x, y, live = np.zeros((n, T, len(SLOTS)), np.int16), np.zeros((n, T), np.int64), np.zeros((n, T), bool)
     for i, (a, b) in enumerate(zip(xs, ys, strict=True)):
         x[i, : len(a)], y[i, : len(a)], live[i, : len(a)] = a, b, True
@@ -303,12 +307,12 @@ def fit(texts: pa.Array, steps: int = 120, rate: float = 0.15, decay: float = 1e
         fore[:, 0] = first + score[:, 0]
         lse = lambda z, axis: (m := z.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(z - m).sum(axis))
         for t in range(1, T):
-            step_on = lse(fore[:, t - 1][:, :, None] + move[None], 1) + score[:, t]
-            fore[:, t] = np.where(live[:, t, None], step_on, fore[:, t - 1])
-        z = lse(fore[:, -1], 1)
+            m = reach[t]
+            fore[:m, t] = lse(fore[:m, t - 1][:, :, None] + move[None], 1) + score[:m, t]
+        z = lse(fore[np.arange(n), last], 1)
         for t in range(T - 2, -1, -1):
-            step_on = lse(move[None] + (score[:, t + 1] + back[:, t + 1])[:, None, :], 2)
-            back[:, t] = np.where(live[:, t + 1, None], step_on, back[:, t + 1])
+            m = reach[t + 1]
+            back[:m, t] = lse(move[None] + (score[:m, t + 1] + back[:m, t + 1])[:, None, :], 2)
         mass = np.exp(fore + back - z[:, None, None]) * live[:, :, None]
         pair = np.exp(np.clip(fore[:, :-1, :, None] + move + (score + back)[:, 1:, None, :] - z[:, None, None, None], -700, 50)) * live[:, 1:, None, None]
         left = (one - mass)[live]
@@ -383,7 +387,10 @@ def train(docs: DataFrame) -> Field:
     """Fit on documents picked by a hash of their id, within the limits above."""
     text = F.col("text").cast("string")
     likely = F.coalesce(text.rlike(rf"(?i)({KEYWORDS})|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}"), F.lit(False))
-    table = shared.sample_texts(docs.select("doc_id", text.alias("text"), likely.cast("string").alias("likely")), {"true": LIKELY, "false": OTHER}, FIT_BYTES, "likely")
+    share = max(1, int((1 << 20) * SAMPLE / max(docs.count(), 1)))
+    some = docs.filter(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 20)) < share)
+    looked = shared.materialise(some.select("doc_id", text.alias("text"), likely.cast("string").alias("likely")))
+    table = shared.sample_texts(looked, {"true": LIKELY, "false": OTHER}, FIT_BYTES, "likely")
     return fit(shared.chunk_of(table["text"]))
 
 
@@ -407,6 +414,21 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, _FOUND)
 
 
+def base_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of base spans alone: the part that SQL can say."""
+    nothing = Field(np.zeros((_OFFSETS[-1], 3)) - [0.0, 10.0, 10.0], np.zeros((3, 3)), np.zeros(3))
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), nothing).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+BASE_SQL = r"""
+SELECT doc_id,
+       CAST(len(list_filter(regexp_extract_all(t, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 6)) AS BIGINT) AS n_assign,
+       CAST(len(list_filter(regexp_extract_all(t, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)) AS BIGINT) AS n_access,
+       CAST(len(list_filter(regexp_extract_all(t, '[0-9a-f]+'), lambda x: length(x) >= 24)) AS BIGINT) AS n_hex
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+"""
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return scan(docs, train(docs))
