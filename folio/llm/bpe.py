@@ -34,8 +34,10 @@ from pyspark.sql import types as T
 from folio.llm import shared
 from folio.llm import textkernel as tk
 
-#: Entries of each of the two generations of a worker's cache.
-CACHE_ENTRIES = 350_000
+#: Entries of each of the two generations of a worker's cache; fewer where the worker's executor is full of other things.
+CACHE_ENTRIES, SMALL_CACHE = 350_000, 100_000
+#: Neighbours that a worker remembers.
+PAIRS = 500_000
 #: Lengths in bytes at which the table of a longer piece is kept for others that begin alike.
 PREFIXES = (12, 9, 7, 5)
 #: White_Space of Unicode, as patterns of tokenizers understand it.
@@ -95,7 +97,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
             known = self.pairs[key] = self.merged(a + b) == [a, b]
@@ -190,11 +192,12 @@ class Encoder:
         self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall if self.cheaper else self.split
         self.begun: dict[bytes, list[int]] = {}
         self.pieces: dict[str, list[int]] = {}
-        # the ids of units as decimal text, and what the ids of recent units decode to
+        # the ids of units as decimal text
         self.recent: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
-        self.decoded_older: dict[str, str] = {}
+        # all tokens' bytes in a row, for decoding whole arrays of ids
+        sizes = np.array([len(t) for t in vocabulary.bytes_of], np.int64)
+        self.flat, self.sizes, self.starts = np.frombuffer(b"".join(vocabulary.bytes_of), np.uint8), sizes, np.cumsum(sizes) - sizes
 
     def ids_of_piece(self, piece: bytes) -> list[int]:
         """Fill the table from the longest beginning whose entries are known, by exact appends."""
@@ -216,25 +219,17 @@ class Encoder:
 
     def unit(self, unit: str) -> str:
         """Ids as decimal text."""
-        found, text = self.older.get(unit), None
+        found = self.older.get(unit)
         if found is None:
             # a space and ASCII letters are one piece
             one = not self.cheaper or unit[0] == " " and unit[1:].isalpha() and unit.isascii()
-            ids = self.ids_of_piece(unit.encode()) if one else self.encode(unit)
-            found, text = ",".join(map(str, ids)), self.decode(ids).decode("utf-8", "surrogateescape")
+            found = ",".join(map(str, self.ids_of_piece(unit.encode()) if one else self.encode(unit)))
         if len(unit) <= 64:
             if len(self.recent) >= self.cache:
-                self.recent, self.older, self.decoded, self.decoded_older = {}, self.recent, {}, self.decoded
+                self.recent, self.older = {}, self.recent
             self.recent[unit] = found
-            # the unit's own object is held if it is what the ids decode to, to save memory
-            text = text or self.decoded_older.get(found) or self.decode_text(found)
-            self.decoded[found] = unit if text == unit else text
         return found
 
-    def decode_text(self, ids: str) -> str:
-        """The text of ids in decimal; bytes that are no UTF-8 come as lone surrogates, so none is lost."""
-        return self.decode(list(map(int, ids.split(",")))).decode("utf-8", "surrogateescape")
-
     def encode(self, text: str) -> list[int]:
         out, pieces = [], self.pieces
         for p in self.split(text):
@@ -248,28 +243,37 @@ class Encoder:
             out += ids
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        bytes_of = self.vocabulary.bytes_of
-        return b"".join([bytes_of[i] for i in ids])
-
-    def encode_units(self, text: str) -> tuple[str, bytes]:
-        """The ids of a text as decimal text with commas, and the bytes that they decode to."""
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
+        """The bytes of all ids, copied from where their tokens stand in the row of all tokens."""
+        ids = np.asarray(ids, np.int64)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids):
+            return b""
+        return self.flat[np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(ends[-1])].tobytes()
+
+    def encode_text(self, text: str) -> str:
+        """The ids of a text in decimal, with commas."""
         known = self.recent.get
-        found = [known(u) or self.unit(u) for u in self.units(text)]
-        decoded = self.decoded.get
-        back = "".join([decoded(ids) or self.decode_text(ids) for ids in found])
-        return ",".join(found), back.encode("utf-8", "surrogateescape")
+        return ",".join([known(u) or self.unit(u) for u in self.units(text)])
+
 
+def numbers(ids: str) -> np.ndarray:
+    """Ids from their decimal text."""
+    return np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32)
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+_ENCODERS: dict[tuple[str, str, int], Encoder] = {}
 tk.KEPT.append(_ENCODERS)
 
 
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, cache: int = CACHE_ENTRIES) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(Vocabulary.load(path), pattern)
-    return _ENCODERS[path, pattern]
+    key = path, pattern, cache
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(Vocabulary.load(path), pattern, cache)
+    return _ENCODERS[key]
 
 
 @contextlib.contextmanager
@@ -290,7 +294,7 @@ def _texts(batch: pa.RecordBatch, rows: int = 64, column: str = "text") -> Itera
         yield i, column.slice(i, rows).to_pylist()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, *keep: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, *keep: str, cache: int = CACHE_ENTRIES) -> DataFrame:
     """``doc_id`` or the columns named, ``n_tokens`` and ``token_ids array<int>`` of every row, in one pass without a shuffle."""
     kept = [F.col(f"`{k}`") for k in keep] or [F.col("doc_id").cast("long").alias("doc_id")]
     own = docs.select(*kept).schema
@@ -298,15 +302,15 @@ def encode(docs: DataFrame, path: str, pattern: str, *keep: str) -> DataFrame:
     text = shared.hidden("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, pattern)
+        e = encoder(path, pattern, cache)
         with _uncollected():
             for batch in batches:
                 for i, texts in _texts(batch, column=text):
-                    ids = [np.fromstring(e.encode_units(t or "")[0], np.int32, sep=",") if t else np.zeros(0, np.int32) for t in texts]
+                    ids = [numbers(e.encode_text(t or "")) for t in texts]
                     n = np.array([len(x) for x in ids], np.int64)
                     at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
                     lists = pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
-                    yield pa.record_batch([*(batch.column(c).slice(i, len(texts)) for c in range(len(own))), pa.array(n), lists], schema=None, names=schema.names)
+                    yield pa.record_batch([*(batch.column(c).slice(i, len(texts)) for c in range(len(own))), pa.array(n), lists], names=schema.names)
 
     return docs.select(*kept, F.col("text").cast("string").alias(text)).transform(shared.arrow, run, schema)
 
@@ -337,10 +341,10 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             counts, ids, back = [], [], []
             for _, texts in _texts(batch):
                 for text in texts:
-                    found, decoded = e.encode_units(text or "")
+                    found = e.encode_text(text or "")
                     counts.append(found.count(",") + 1 if found else 0)
                     ids.append(sha(found.encode()))
-                    back.append(sha(decoded))
+                    back.append(sha(e.decode(numbers(found))))
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(shared.arrow, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
