@@ -41,7 +41,9 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: token ids of what is left, beside the columns of documents but the text."""
-    return bpe.encode(docs, *bpe.default_vocabulary(), *(c for c in docs.columns if c != "text"))
+    kept = [c for c in docs.columns if c != "text"]
+    # executors still hold what earlier stages needed, so the workers get less
+    return bpe.encode(docs, *bpe.default_vocabulary(), *kept, cache=bpe.SMALL_CACHE)
 
 
 STAGES = [
