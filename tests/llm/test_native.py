@@ -262,3 +262,55 @@ def test_chat_odd_rows(odd_docs, no_docs):
     got = chat.link(messages(odd_docs)).collect()
     assert len(got) == odd_docs.count() and max(len(r.text) for r in got) > 120_000
     assert chat.link(messages(no_docs)).count() == 0
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from folio.llm import shared
+
+    nowhere = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.shared_folder(nowhere)
+    nowhere.sparkContext.master = "local[2]"
+    assert shared.shared_folder(nowhere) == shared.shared_folder(nowhere)
+
+
+def test_samples_hold_their_bounds(spark):
+    from folio.llm import shared
+
+    rows = [(i, "a" if i % 3 else None, "x" * (100 if i % 50 else 5000)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, label string, text string")
+    some = shared.sample_texts(df, {None: 300}, 1 << 20, "label")
+    counts = {v: some["label"].to_pylist().count(v) for v in ("a", None)}
+    assert 220 < counts["a"] < 380 and 220 < counts[None] < 380
+    tight = shared.sample_texts(df, {None: 300}, 20_000, "label")
+    assert 0 < sum(map(len, tight["text"].to_pylist())) <= 20_000
+    assert shared.sample_texts(df.repartition(7), {None: 300}, 20_000, "label").equals(tight)
+    assert shared.sample_texts(df.limit(0), {None: 300}, 20_000).num_rows == 0
+
+
+def test_broadcasts_are_checked_by_rows_and_bytes(spark):
+    from folio.llm import shared
+
+    hinted = lambda df, **k: "ResolvedHint" in shared.checked_broadcast(df, **k)._jdf.queryExecution().analyzed().toString()
+    df = spark.range(50).withColumn("items", F.array(F.lit("x")))
+    assert hinted(df) and not hinted(df, bound=10) and not hinted(df, size=F.lit(1 << 20))
+
+
+def test_a_large_benchmark_is_joined_by_what_passes(spark):
+    """Only rows that the filter lets through leave the pass over documents; the rest is not shuffled."""
+    kept = []
+    real = decontaminate.shared.materialise
+    decontaminate.shared.materialise = lambda df: kept.append(df) or real(df)
+    try:
+        docs = spark.createDataFrame([(i, prose(3000 + i, 60)) for i in range(80)] + [(100, prose(50, 60))], "doc_id long, text string")
+        items = spark.createDataFrame([(i, prose(5000 + i, 80)) for i in range(400)] + [(999, prose(50, 40))], "item_id long, text string")
+        assert {r.doc_id for r in decontaminate.report(docs, items).filter("contaminated").collect()} == {100}
+    finally:
+        decontaminate.shared.materialise = real
+    measured = next(df for df in kept if "near" in df.columns)
+    plan = measured._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Exchange hashpartitioning" not in plan and "Subquery" in plan
+    # 80 documents of 50 windows and more in runs, of which the filter stops nearly all
+    assert measured.select(F.sum(F.size("near"))).first()[0] < 200
