@@ -108,8 +108,6 @@ def field_errors(value: Column, score: Column, rule: FieldRule, today: str, thre
     return out.otherwise(rest)
 
 
-
-
 def field_result(value: Column, errors: Column, name: str) -> Column:
     return F.struct(F.lit(name).alias("FieldName"), value.alias("ValueScanned"), (F.size(errors) == 0).alias("IsValid"), errors.alias("ValidationErrors"))
 

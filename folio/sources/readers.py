@@ -35,6 +35,11 @@ def typed_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: s
     return spark.read.csv(path, schema=schema, header=True, sep=sep)
 
 
+def inferred_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """The same with types worked out of the rows, which reads the files twice."""
+    return spark.read.csv(path, header=True, inferSchema=True, sep=sep)
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """A pipe-separated batch manifest with quoted cells, all strings.
 

@@ -380,3 +380,10 @@ def test_a_delta_replaces_documents_whole(spark, tmp_path):
     assert search.store_index(make([(1, "old words"), (2, "kept"), (3, "gone")]), path) == 0
     assert search.store_index(make([(1, "new words"), (3, "")]), path, delta=True) == 1
     assert sorted((r.token, r.id) for r in search.open_index(spark, path).collect()) == [("kept", 2), ("new", 1), ("words", 1)]
+
+
+def test_types_are_inferred(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name,score\n1,x,0.5\n2,,1\n")
+    got = readers.inferred_csv(spark, str(tmp_path / "a.csv"))
+    assert got.dtypes == [("id", "int"), ("name", "string"), ("score", "double")]
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, "x", 0.5), (2, None, 1.0)]
