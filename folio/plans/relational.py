@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folio import model
 from folio.functions import text
 from folio.model import JobParameters
-from folio.operators import align, load, rules
+from folio.operators import align, batches, load, rules
 from folio.plans.registry import query
 from folio.plans.views import ENRICHMENT, MANIFEST, enrichment, manifest, table
 from folio.sources import readers
@@ -147,14 +147,14 @@ def grouped_concat(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q18_distinct", f"WITH {MANIFEST} SELECT batch_name, count(DISTINCT box_barcode) AS n_boxes, min(box_barcode) AS box, count(DISTINCT project) AS n_projects FROM manifest GROUP BY batch_name")
 def distinct(spark: SparkSession, d: str) -> DataFrame:
-    pairs = manifest(spark, d).groupBy("batch_name")
-    return pairs.agg(F.count_distinct("box_barcode").alias("n_boxes"), F.min("box_barcode").alias("box"), F.count_distinct("project").alias("n_projects"))
+    found = batches.distinct_values(manifest(spark, d), ["batch_name"], "box_barcode", "project")
+    return found.select("batch_name", F.col("n_box_barcode").alias("n_boxes"), F.col("box_barcode").alias("box"), F.col("n_project").alias("n_projects"))
 
 
 @query("q19_status", "SELECT user_id, bool_and(event_type = 'error') AS all_failed, bool_or(event_type = 'error') AS any_failed, count(*) FILTER (event_type = 'purchase') AS n_done, count(*) AS n FROM events GROUP BY user_id")
 def status(spark: SparkSession, d: str) -> DataFrame:
-    bad = F.col("event_type") == "error"
-    return table(spark, d, "events").groupBy("user_id").agg(F.bool_and(bad).alias("all_failed"), F.bool_or(bad).alias("any_failed"), F.count_if(F.col("event_type") == "purchase").alias("n_done"), F.count("*").alias("n"))
+    kind = F.col("event_type")
+    return batches.outcomes(table(spark, d, "events"), ["user_id"], kind == "error", kind == "purchase")
 
 
 @query("q20_union", "SELECT 'name' AS matched_on_field, c_name AS v FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'segment', c_mktsegment FROM customer WHERE c_custkey % 2 = 1")
@@ -167,9 +167,7 @@ def union(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q53_distinct_lines", "SELECT conv_id, string_agg(role, ' ' ORDER BY first) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY conv_id, role) GROUP BY conv_id")
 def distinct_lines(spark: SparkSession, d: str) -> DataFrame:
-    once = table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.min("turn").alias("first"))
-    roles = F.transform(F.array_sort(F.collect_list(F.struct("first", "role"))), lambda x: x["role"])
-    return once.groupBy("conv_id").agg(F.array_join(roles, " ").alias("roles"))
+    return batches.distinct_text(table(spark, d, "conversations"), ["conv_id"], "turn", "role", "roles")
 
 
 @query("q54_centroids", "SELECT l_orderkey, l_linenumber, round((l_quantity + l_tax + l_discount + l_quantity * 2) / 4, 4) AS x, round((l_tax * 3 + l_discount) / 4, 4) AS y FROM lineitem")
@@ -228,7 +226,18 @@ def any_first_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q62_sorted_first", f"WITH {MANIFEST} SELECT image_path, doc_id FROM manifest ORDER BY image_path, doc_id LIMIT 50")
 def sorted_first(spark: SparkSession, d: str) -> DataFrame:
-    return manifest(spark, d).select("image_path", "doc_id").orderBy("image_path", "doc_id").limit(50)
+    return batches.in_path_order(manifest(spark, d).select("image_path", "doc_id"), "doc_id").limit(50)
+
+
+@query("q85_sorted_names", f"WITH {MANIFEST} SELECT image_filename, doc_id FROM manifest ORDER BY image_filename, doc_id LIMIT 50")
+def sorted_names(spark: SparkSession, d: str) -> DataFrame:
+    return batches.in_path_order(manifest(spark, d), "doc_id", by_name=True).select("image_filename", "doc_id").limit(50)
+
+
+@query("q86_first_row", "SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
+def first_row(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus", "o_totalprice")
+    return batches.first_row(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query("q67_routes", "WITH r AS (SELECT page_id, page_id % 3 AS k, page_id % 2 = 0 AS conf, page_id % 5 = 0 AS skip FROM pages), e AS (SELECT *, CASE WHEN k = 0 OR (k = 1 AND conf) THEN 'run' WHEN k = 1 THEN 'skip' ELSE 'error' END AS extract FROM r) SELECT page_id, CASE k WHEN 0 THEN 'csv' WHEN 1 THEN 'per_image' ELSE 'error' END AS connect, extract, CASE WHEN skip THEN 'skip' ELSE extract END AS validate, CASE WHEN k = 0 AND conf THEN 'new_items' WHEN k = 1 AND conf THEN 'existing_items' ELSE 'partial_update' END AS load FROM e")

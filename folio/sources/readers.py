@@ -55,7 +55,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     # a header is the first line of its file; an equal line further down is a row
     numbered = lines.withColumn("n", F.monotonically_increasing_id())
     heads = numbered.filter("start = 0").groupBy("file").agg(F.min("n").alias("n"))
-    rows = numbered.join(F.broadcast(heads.select("n")), "n", "left_anti").filter(F.trim("value") != "")
+    rows = numbered.join(heads.select("n"), "n", "left_anti").filter(F.trim("value") != "")
     cells = _cells(F.col("value"))
     parsed = rows.select(cells.alias("cells")).filter(F.size("cells") <= len(names))
     out = parsed.select(*(_present(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(names)))

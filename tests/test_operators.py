@@ -387,3 +387,21 @@ def test_types_are_inferred(spark, tmp_path):
     got = readers.inferred_csv(spark, str(tmp_path / "a.csv"))
     assert got.dtypes == [("id", "int"), ("name", "string"), ("score", "double")]
     assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, "x", 0.5), (2, None, 1.0)]
+
+
+def test_facts_of_batches(spark):
+    from folio.operators import batches
+
+    rows = spark.createDataFrame([(1, 2, "b/y"), (1, 1, "c/x"), (1, 3, "c/x"), (1, 4, None), (2, 1, None), (None, 1, "a/z")], "k int, at int, v string")
+    texts = {r.k: r.text for r in batches.distinct_text(rows, ["k"], "at", "v").collect()}
+    assert texts == {1: "c/x b/y", 2: "", None: "a/z"}
+    first = {r.k: (r.at, r.v) for r in batches.first_row(rows, ["k"], ["at"]).collect()}
+    assert first == {1: (1, "c/x"), 2: (1, None), None: (1, "a/z")}
+    values = {r.k: (r.n_v, r.v) for r in batches.distinct_values(rows, ["k"], "v").collect()}
+    assert values == {1: (2, "b/y"), 2: (0, None), None: (1, "a/z")}
+    out = {r.k: tuple(r)[1:] for r in batches.outcomes(rows, ["k"], F.col("v") == "c/x", F.col("at") > 2).collect()}
+    assert out == {1: (False, True, 2, 4), 2: (None, None, 0, 1), None: (False, False, 0, 1)}
+    named = rows.filter("v IS NOT NULL")
+    assert [r.v for r in batches.in_path_order(named, path="v", by_name=True).collect()] == ["c/x", "c/x", "b/y", "a/z"]
+    assert [r.v for r in batches.in_path_order(named, path="v").collect()] == ["a/z", "b/y", "c/x", "c/x"]
+    assert batches.distinct_text(rows.limit(0), ["k"], "at", "v").count() == 0
