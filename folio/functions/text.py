@@ -180,9 +180,8 @@ def is_image(path: Column) -> Column:
 
 
 def name_parts(path: Column) -> dict[str, Column]:
-    """Customer, item code and item id of ``customer_code_id.ending`` at the end of a path."""
-    stem = F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
-    parts = F.split(stem, "_")
+    """Customer, item code and item id of ``customer_code_id`` at the end of a path; an ending stays with the last part."""
+    parts = F.split(F.substring_index(path, "/", -1), "_")
     return {"account_id": F.get(parts, F.lit(0)), "item_code": F.get(parts, F.lit(1)), "item_code_id": F.get(parts, F.lit(2))}
 
 

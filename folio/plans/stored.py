@@ -14,7 +14,7 @@ from folio.operators import load, matching, search
 from folio.plans.linkage import listed_keys
 from folio.plans.registry import query
 from folio.plans.views import ENRICHMENT, MANIFEST, enrichment, manifest, table
-from folio.sources import readers, sinks
+from folio.sources import adapters, readers, sinks
 
 
 def folder(spark: SparkSession) -> str:
@@ -114,7 +114,7 @@ def inline(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "q82_image_names",
-    "SELECT 'x/acc_code_' || page_id || '.TIF' AS image_path, 'acc' AS account_id, 'code' AS item_code, CAST(page_id AS VARCHAR) AS item_code_id, 'acc_code_' || page_id || '.TIF' AS image_filename, 'coll' AS collection, 'proj' AS project, '_coll_proj_R1' AS batch_name, 't1' AS transaction_id FROM pages WHERE page_id % 3 <> 0",
+    "SELECT 'x/acc_code_' || page_id || '.TIF' AS image_path, 'acc' AS account_id, 'code' AS item_code, page_id || '.TIF' AS item_code_id, 'acc_code_' || page_id || '.TIF' AS image_filename, 'coll' AS collection, 'proj' AS project, '_coll_proj_R1' AS batch_name, 't1' AS transaction_id FROM pages WHERE page_id % 3 <> 0",
 )
 def image_names(spark: SparkSession, d: str) -> DataFrame:
     ending = F.when(F.col("page_id") % 3 == 0, ".pdf").otherwise(".TIF")
@@ -134,3 +134,39 @@ def parquet(spark: SparkSession, d: str) -> DataFrame:
 @query("q84_proper_case", "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS name FROM part")
 def proper_case(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", text.force_case(F.col("p_name"), "PROPER").alias("name"))
+
+
+_LINES = "CASE WHEN c_custkey % 7 = 0 THEN 'Could Not be Processed' ELSE {} END"
+_TEXT = _LINES.format("c_custkey || '.png same ' || c_custkey || '_rot90.png ' || c_custkey || '_rot180.png ' || c_custkey || '_rot270.png'")
+_SPOT = """'["' || c_custkey || '{}.png", [2.5, 0.25]], ["same", [2.5, 0.25]]'"""
+_SPOTS = _LINES.format("'[' || " + " || ', ' || ".join(_SPOT.format(t) for t in ("", "_rot90", "_rot180", "_rot270")) + " || ']'")
+
+
+@query("q87_read_images", f"SELECT c_custkey, {_TEXT} AS ocr_liquid_text, {_SPOTS} AS ocr_spatial_info FROM customer")
+def read_images(spark: SparkSession, d: str) -> DataFrame:
+    def service(paths: list[str]) -> list[str]:
+        import json
+
+        out, corners = [], [{"x": x, "y": y} for x, y in ((1, 0), (4, 0), (4, 0.5), (1, 0.5))]
+        for path in paths:
+            name = path.rsplit("/", 1)[-1]
+            if int(name.split(".")[0].split("_")[0]) % 7 == 0:
+                raise RuntimeError("unreadable")
+            words = [{"type": "WORD", "text": "word", "corners": corners}]
+            out.append(json.dumps(words + [{"type": "LINE", "text": t, "corners": corners} for t in (name, "same")]))
+        return out
+
+    images = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("root/"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("image_path"))
+    return adapters.read_images(images, service, rotated=True).drop("image_path")
+
+
+_IMAGE_ROW = [f"c{i:02}" for i in range(15)]
+
+
+@query(
+    "q88_image_rows",
+    "SELECT '' AS c00, 'x/acc_code_' || page_id || '.TIF' AS c01, 'acc_code_' || page_id || '.TIF' AS c02, 't1' AS c03, 'proj' AS c04, 'coll' AS c05, '' AS c06, '3/9/24 08:05' AS c07, '' AS c08, '' AS c09, '' AS c10, 'code' AS c11, page_id || '.TIF' AS c12, 'acc' AS c13, '_coll_proj_R1' AS c14 FROM pages",
+)
+def image_rows(spark: SparkSession, d: str) -> DataFrame:
+    paths = table(spark, d, "pages").select(F.concat(F.lit("x/acc_code_"), F.col("page_id").cast("string"), F.lit(".TIF")).alias("path"))
+    return readers.image_rows(paths, "_coll_proj_R1", "t1", _IMAGE_ROW, F.lit("2024-03-09 08:05:00").cast("timestamp"))

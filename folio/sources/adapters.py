@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.functions import text
+
 FAILED = "Could Not be Processed"
 
 
@@ -85,10 +87,40 @@ def ocr_lines(blocks: Column) -> Column:
     return F.transform(lines, lambda b: F.struct(b["text"].alias("text"), F.array(mean(b, "x"), mean(b, "y")).alias("center")))
 
 
-def prompt(keys: list[str], text: Column) -> Column:
+#: What a reading service answers, as JSON.
+BLOCKS = "array<struct<type string, text string, corners array<struct<x double, y double>>>>"
+
+
+def read_images(rows: DataFrame, service: Callable[[list[str]], list[str]], path: str = "image_path", rotated: bool = False, batch: int = 50) -> DataFrame:
+    """``rows`` with ``ocr_liquid_text``, the distinct lines of an image in order, and ``ocr_spatial_info``, all lines with their centers as JSON.
+
+    The service answers each path with its blocks (``BLOCKS``).  With ``rotated`` the three
+    turned variants are read too, and their lines follow.  All variants of an image are
+    read in one task, so nothing is shuffled; an image of which one variant fails has
+    ``FAILED`` in both columns.
+    """
+
+    def read(requests: list[str]) -> list[str]:
+        wanted = [json.loads(r) for r in requests]
+        answers = iter(service([p for paths in wanted for p in paths]))
+        return [json.dumps([block for _ in paths for block in json.loads(next(answers))]) for paths in wanted]
+
+    paths = text.rotations(F.col(path)) if rotated else F.array(path)
+    called = call_service(rows.withColumn("_paths", F.to_json(paths)), "_paths", read, "_blocks", batch)
+    lines = called.withColumn("_lines", ocr_lines(F.from_json("_blocks", BLOCKS)))
+    found = F.filter(F.transform("_lines", lambda line: line["text"]), lambda t: t != "")
+    quoted = lambda t: F.regexp_extract(F.to_json(F.array(t)), r"(?s)^\[(.*)\]$", 1)
+    center = lambda c: F.concat(F.lit("["), F.array_join(c.cast("array<string>"), ", "), F.lit("]"))
+    pairs = F.transform("_lines", lambda line: F.concat(F.lit("["), quoted(line["text"]), F.lit(", "), center(line["center"]), F.lit("]")))
+    failed = F.col("error").isNotNull() | F.col("_lines").isNull()
+    made = {"ocr_liquid_text": F.array_join(F.array_distinct(found), " "), "ocr_spatial_info": F.concat(F.lit("["), F.array_join(pairs, ", "), F.lit("]"))}
+    return lines.withColumns({n: F.when(failed, FAILED).otherwise(c) for n, c in made.items()}).drop("_paths", "_blocks", "_lines", "error")
+
+
+def prompt(keys: list[str], about: Column) -> Column:
     """The request of an extraction: keys with confidence keys, then the text."""
     wanted = json.dumps([k for key in keys for k in (key, f"{key}_s")])
-    return F.concat_ws("\n", F.lit(f"Return one JSON object with these keys: {wanted}. Missing values are null."), F.coalesce(text, F.lit("")))
+    return F.concat_ws("\n", F.lit(f"Return one JSON object with these keys: {wanted}. Missing values are null."), F.coalesce(about, F.lit("")))
 
 
 def payloads(rows: DataFrame, *columns: str) -> DataFrame:

@@ -81,17 +81,33 @@ def listing(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return found.select("path", "length")
 
 
-def image_manifest(paths: DataFrame, batch: str, transaction_id: str) -> DataFrame:
-    """Manifest rows from image names ``customer_code_id.ending`` and a batch name ``_collection_project_REF``."""
+def _batch_part(batch: str, i: int) -> Column:
     parts = batch.split("_")
-    part = lambda i: F.lit(parts[i] if i < len(parts) else "null")
+    return F.lit(parts[i] if i < len(parts) else "null")
+
+
+def image_rows(paths: DataFrame, batch: str, transaction_id: str, columns: list[str], as_of: Column) -> DataFrame:
+    """The whole table row of each image, 15 texts under the table's own ``columns`` in their order.
+
+    What neither name nor batch tell is the empty text; ``as_of`` is written like ``3/9/24 08:05``.
+    """
+    if len(columns) != 15:
+        raise ValueError("an image's row has 15 columns")
+    path, blank, names = F.col("path"), F.lit(""), text.name_parts(F.col("path"))
+    about = [path, F.substring_index(path, "/", -1), F.lit(transaction_id), _batch_part(batch, 2), _batch_part(batch, 1)]
+    cells = [blank, *about, blank, F.date_format(as_of, "M/d/yy HH:mm"), blank, blank, blank, names["item_code"], names["item_code_id"], names["account_id"], F.lit(batch)]
+    return paths.filter(text.is_image(path)).select(*(c.alias(n) for c, n in zip(cells, columns, strict=True)))
+
+
+def image_manifest(paths: DataFrame, batch: str, transaction_id: str) -> DataFrame:
+    """Manifest rows from image names ``customer_code_id`` and a batch name ``_collection_project_REF``."""
     return paths.filter(text.is_image(F.col("path"))).select(
         F.col("path").alias("image_path"),
         F.lit(batch).alias("batch_name"),
         F.lit(transaction_id).alias("transaction_id"),
         F.substring_index("path", "/", -1).alias("image_filename"),
-        part(1).alias("collection"),
-        part(2).alias("project"),
+        _batch_part(batch, 1).alias("collection"),
+        _batch_part(batch, 2).alias("project"),
         *(c.alias(n) for n, c in text.name_parts(F.col("path")).items()),
     )
 

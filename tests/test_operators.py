@@ -84,7 +84,7 @@ def test_listing_archives_and_image_names(spark, tmp_path):
     (tmp_path / "i" / "notes.txt").write_bytes(b"x")
     assert [(r.name, bytes(r.content)) for r in adapters.unzip(spark, str(tmp_path / "a.zip")).collect()] == [("a/1.txt", b"one"), ("b/2.txt", b"two")]
     (row,) = readers.image_manifest(readers.listing(spark, str(tmp_path / "i")), "b_coll_proj_REF5", "t").collect()
-    assert (row.account_id, row.item_code, row.item_code_id, row.collection, row.project) == ("c1", "code", "7", "coll", "proj")
+    assert (row.account_id, row.item_code, row.item_code_id, row.collection, row.project) == ("c1", "code", "7.JPG", "coll", "proj")
 
 
 def test_service_errors_stay_with_their_row(spark):
@@ -405,3 +405,31 @@ def test_facts_of_batches(spark):
     assert [r.v for r in batches.in_path_order(named, path="v", by_name=True).collect()] == ["c/x", "c/x", "b/y", "a/z"]
     assert [r.v for r in batches.in_path_order(named, path="v").collect()] == ["a/z", "b/y", "c/x", "c/x"]
     assert batches.distinct_text(rows.limit(0), ["k"], "at", "v").count() == 0
+
+
+def test_images_are_read_with_their_variants(spark):
+    def service(paths):
+        if any("bad" in p for p in paths):
+            raise RuntimeError("no")
+        line = lambda t: {"type": "LINE", "text": t, "corners": [{"x": 0, "y": 0}] * 4}
+        return ["no json" if "odd" in p else json.dumps([] if "blank" in p else [line('a "b" ü'), line(""), line('a "b" ü'), line("c")]) for p in paths]
+
+    rows = spark.createDataFrame([("x/1.png", "k"), ("x/bad.png", "k"), ("x/odd.png", "k"), ("x/blank.png", "k")], "image_path string, other string")
+    got = {r.image_path: r for r in adapters.read_images(rows, service).collect()}
+    good = got["x/1.png"]
+    assert good.ocr_liquid_text == 'a "b" ü c' and good.other == "k"
+    assert json.loads(good.ocr_spatial_info) == [['a "b" ü', [0, 0]], ["", [0, 0]], ['a "b" ü', [0, 0]], ["c", [0, 0]]]
+    assert all(got[f"x/{p}.png"].ocr_liquid_text == got[f"x/{p}.png"].ocr_spatial_info == adapters.FAILED for p in ("bad", "odd"))
+    assert (got["x/blank.png"].ocr_liquid_text, got["x/blank.png"].ocr_spatial_info) == ("", "[]")
+    turned = adapters.read_images(rows.limit(1), service, rotated=True).first()
+    assert turned.ocr_liquid_text == good.ocr_liquid_text and len(json.loads(turned.ocr_spatial_info)) == 16
+
+
+def test_rows_of_images_have_the_tables_columns(spark):
+    paths = spark.createDataFrame([("a/c_i_7_x.png",), ("a/c.jpg",), ("a/n.txt",)], "path string")
+    names = [f"n{i}" for i in range(15)]
+    found = {r.n2: tuple(r) for r in readers.image_rows(paths, "b", "t", names, F.lit("2024-12-01 00:00:00").cast("timestamp")).collect()}
+    assert found["c_i_7_x.png"] == ("", "a/c_i_7_x.png", "c_i_7_x.png", "t", "null", "null", "", "12/1/24 00:00", "", "", "", "i", "7", "c", "b")
+    assert set(found) == {"c_i_7_x.png", "c.jpg"} and found["c.jpg"][11:14] == (None, None, "c.jpg")
+    with pytest.raises(ValueError):
+        readers.image_rows(paths, "b", "t", names[:3], F.current_timestamp())
