@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import bilinear, bpe, chat, decontaminate, host_quality, language, line_dedup, near_dup, secrets, toxicity
+from folio.llm import bilinear, bpe, chat, decontaminate, fill_middle, host_quality, language, line_dedup, near_dup, secrets, tiered_search, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": decontaminate.query,
     "op9_language": language.query,
     "op10_host_quality": host_quality.query,
+    "op11_fill_middle": fill_middle.query,
+    "op12_url_filter": url_filter.query,
+    "op13_tiered_search": tiered_search.query,
     # the parts of learned operators that SQL can say
     "lm_base_scores": bilinear.base_query,
     "secret_base_counts": secrets.base_query,
@@ -30,6 +33,9 @@ ORACLE_SQL: dict[str, str] = {
     "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op10_host_quality": host_quality.SQL,
+    "op11_fill_middle": fill_middle.SQL,
+    "op12_url_filter": url_filter.SQL,
+    "op13_tiered_search": tiered_search.SQL,
     "lm_base_scores": bilinear.BASE_SQL,
     "secret_base_counts": secrets.BASE_SQL,
 }
