@@ -34,7 +34,8 @@ from folio.llm import shared
 
 #: Turns that are numbered in one task.
 PIECE = 4096
-_MARKS = r"^[ \t]*(?:>[ \t]?)+"
+#: Possessive, so that Java's matcher takes marks one after the other in a loop and not by recursion.
+_MARKS = r"^[ \t]*+(?:>[ \t]?+)++"
 _BREAK, _AFTER = "\x01", "\x02"
 
 
@@ -56,7 +57,7 @@ def without_quotes(marked: Column) -> Column:
 
 
 def passages(marked: Column) -> Column:
-    """Distinct ``level, norm`` of all passages and lines."""
+    """Distinct passages and lines as texts ``level, _AFTER, norm``: texts are told apart by hashing, structs by comparing all pairs."""
 
     def piece(x: Column, i: Column) -> Column:
         before = F.get(marked, i - 1)
@@ -64,10 +65,10 @@ def passages(marked: Column) -> Column:
         start = F.concat(F.lit(_BREAK), x["level"].cast("string"), F.lit(_AFTER))
         return F.when(x["norm"] == "", "").otherwise(F.concat(F.when(goes_on, " ").otherwise(start), x["norm"]))
 
-    runs = F.array_remove(F.split(F.array_join(F.transform(marked, piece), ""), _BREAK), "")
-    as_struct = lambda p: F.struct(F.substring_index(p, _AFTER, 1).cast("int").alias("level"), F.substring_index(p, _AFTER, -1).alias("norm"))
-    lines = F.transform(marked, lambda x: F.struct(x["level"].cast("int").alias("level"), x["norm"].alias("norm")))
-    return F.array_distinct(F.filter(F.concat(F.transform(runs, as_struct), lines), lambda p: p["norm"] != ""))
+    # blank lines leave no text; a normalised text holds no control characters
+    runs = F.split(F.array_join(F.transform(marked, piece), ""), _BREAK)
+    lines = F.transform(F.filter(marked, lambda x: x["norm"] != ""), lambda x: F.concat(x["level"].cast("string"), F.lit(_AFTER), x["norm"]))
+    return F.array_distinct(F.array_remove(F.concat(runs, lines), ""))
 
 
 def positions(messages: DataFrame) -> DataFrame:
@@ -85,9 +86,9 @@ def positions(messages: DataFrame) -> DataFrame:
 def link(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, position, role, text`` (without quotes)``, n_quotes, n_linked, reply_to`` of every row."""
     parsed = messages.select("conv_id", "turn", "role", F.xxhash64("text").alias("version"), quote_levels(F.col("text")).alias("marked"))
-    units = parsed.select("conv_id", "turn", "version", F.explode(shared.let(F.col("marked"), passages)).alias("p")).select(
-        "conv_id", "turn", "version", F.col("p.level").alias("level"), F.length("p.norm").alias("size"), F.xxhash64("p.norm").alias("h1"), F.xxhash64(F.lit(1), "p.norm").alias("h2")
-    )
+    units = parsed.select("conv_id", "turn", "version", F.explode(shared.let(F.col("marked"), passages)).alias("p"))
+    units = units.select("conv_id", "turn", "version", F.substring_index("p", _AFTER, 1).cast("int").alias("level"), F.substring_index("p", _AFTER, -1).alias("norm"))
+    units = units.select("conv_id", "turn", "version", "level", F.length("norm").alias("size"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"))
     writers = units.filter("level = 0").groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("origin"))
     quoted = units.filter("level > 0").distinct()
     found = quoted.join(writers, ["conv_id", "h1", "h2"], "left").withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin")))
@@ -109,9 +110,29 @@ def format_messages(linked: DataFrame) -> DataFrame:
     return linked.withColumn("message", F.concat(F.lit("<|"), role, F.lit("|>\n"), F.col("text"), F.lit("\n<|end|>")))
 
 
+COLUMNS = ["conv_id", "turn", "position", "role", "reply_to", "n_quotes", "n_linked", "message"]
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = format_messages(link(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
-    return done.select("conv_id", "turn", "position", "role", "reply_to", "n_quotes", "n_linked", "message")
+    return format_messages(link(spark.read.parquet(f"{sf_dir}/conversations.parquet"))).select(*COLUMNS)
+
+
+def with_quotes(messages: DataFrame) -> DataFrame:
+    """Each message with the text of the turn before it quoted on top, and of the turn before that quoted twice."""
+    key = ["conv_id", "turn"]
+
+    def earlier(by: int, mark: str) -> DataFrame:
+        lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.concat(F.lit(mark), x))
+        return messages.select("conv_id", (F.col("turn") + by).alias("turn"), F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias(f"quote{by}"))
+
+    joined = messages.join(earlier(1, "> "), key, "left").join(earlier(2, ">> "), key, "left")
+    text = F.concat(F.coalesce("quote2", F.lit("")), F.coalesce("quote1", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")))
+    return joined.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def quoted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator over all messages with quotes written into them: the table's own hold none."""
+    return format_messages(link(with_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet")))).select(*COLUMNS)
 
 
 SQL = r"""
@@ -155,3 +176,14 @@ FROM conversations x JOIN t ON x.conv_id = t.conv_id AND x.turn = t.turn
 LEFT JOIN b ON x.conv_id = b.conv_id AND x.turn = b.turn LEFT JOIN c ON x.conv_id = c.conv_id AND x.turn = c.turn
 LEFT JOIN conversations p ON x.conv_id = p.conv_id AND p.turn = x.turn - 1
 """
+
+_QUOTED = r"""
+WITH quoted AS (
+  SELECT c.conv_id, c.turn, c.role,
+         coalesce('>> ' || replace(b.text, chr(10), chr(10) || '>> ') || chr(10), '') || coalesce('> ' || replace(a.text, chr(10), chr(10) || '> ') || chr(10), '')
+         || chr(10) || coalesce(c.text, '') AS text
+  FROM conversations c
+  LEFT JOIN (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations) a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1
+  LEFT JOIN (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations) b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
+), l AS ("""
+QUOTED_SQL = _QUOTED + SQL.split("WITH l AS (", 1)[1].replace("conversations", "quoted")

@@ -5,12 +5,12 @@ is the fingerprint of the window of ``WINDOW`` words that they fill.  Equal
 windows have equal fingerprints, so every shared span of ``WINDOW`` words or more
 shares one.  The benchmark's fingerprints are folded into a Bloom filter, an array of
 64-bit words of ``BITS_PER_WINDOW`` bits for each (at most ``MOST_BITS``), which is a
-scalar of the plan.  A document is read once: of its runs of windows with the same
+scalar of the plan.  A benchmark whose windows ask for more bits is dealt by hash to
+several filters, and the documents are read once for each, so a filter never fills.  Of a document's runs of windows with the same
 fingerprint only those that the filter lets through are kept, with the word hashes of
 the run.  These few rows are joined with the benchmark's fingerprints and extended, by
 comparing the hash of each full window of the run with the benchmark's windows.  So
-neither text nor fingerprints of documents are shuffled, whatever the benchmark's size;
-beyond ``MOST_BITS`` the filter lets more through and the join still decides.
+neither text nor fingerprints of documents are shuffled, whatever the benchmark's size.
 
 A benchmark text of fewer words than ``WINDOW`` is one window of its own length.
 Documents are looked up for such lengths at the positions whose first word passes a
@@ -24,6 +24,8 @@ gives an empty result; further columns, whatever their names, are kept or not lo
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,17 +85,16 @@ def runs(wh: Column, bits: Column) -> Column:
     """``f, start, len, words``: runs of windows with the same fingerprint, if the filter lets it through, and the words they cover."""
 
     def cut(least: Column) -> Column:
-        begins = lambda s: (s == 0) | (F.get(least, s) != F.get(least, s - 1))
-        starts = F.filter(_indices(F.size(least) - 1), lambda s: begins(s) & passes(bits, F.get(least, s)))
+        n = F.size(least)
+        begins = F.filter(_indices(n - 1), lambda s: (s == 0) | (F.get(least, s) != F.get(least, s - 1)))
 
-        def one(s: Column) -> Column:
-            # windows from here on that have this fingerprint
-            f = F.get(least, s)
-            after = F.slice(least, s + 1, F.size(least))
-            same = F.coalesce(F.nullif(F.array_position(F.transform(after, lambda x: (x != f).cast("int")), 1), F.lit(0).cast("long")) - 1, F.size(after).cast("long")).cast("int")
-            return F.struct(f.alias("f"), s.alias("start"), F.lit(WINDOW).alias("len"), F.slice(wh, s + 1, same + WINDOW - 1).alias("words"))
+        def between(b: Column) -> Column:
+            # a run ends where the next one begins
+            each = F.transform(b, lambda s, i: F.struct(s.alias("s"), (F.coalesce(F.get(b, i + 1), n) - s).alias("n")))
+            one = lambda r: F.struct(F.get(least, r["s"]).alias("f"), r["s"].alias("start"), F.lit(WINDOW).alias("len"), F.slice(wh, r["s"] + 1, r["n"] + WINDOW - 1).alias("words"))
+            return F.transform(F.filter(each, lambda r: passes(bits, F.get(least, r["s"]))), one)
 
-        return F.transform(starts, one)
+        return shared.let(begins, between)
 
     return _least(wh, cut)
 
@@ -123,14 +124,25 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     windows = shared.materialise(item_windows(benchmark))
     lengths = sorted(r[0] for r in windows.filter(F.col("len") < WINDOW).select("len").distinct().collect())
-    full, short = (shared.materialise(bloom(x)).scalar() for x in (windows.filter(F.col("len") == WINDOW).select("f").distinct(), windows.filter("first IS NOT NULL").select(F.col("first").alias("f")).distinct()))
+    hashes = shared.materialise(windows.filter(F.col("len") == WINDOW).select("f").distinct())
+    parts = max(1, -(-hashes.count() * BITS_PER_WINDOW // MOST_BITS))
     text = F.col("text").cast("string")
-    read = lambda wh, b, f: F.struct(F.size(wh).cast("long").alias("n_words"), F.concat(runs(wh, b), *(short_runs(wh, n, f) for n in lengths)).alias("near"))
-    # the hashes and each filter are named once, so that the plan holds the filters as scalars and not as columns of every row
-    found = shared.let(F.col("full"), lambda b: shared.let(F.col("short"), lambda f: shared.let(F.col("wh"), lambda wh: read(wh, b, f))))
-    keyed = docs.select("doc_id", F.xxhash64(text).alias("row"), word_hashes(F.col("text")).alias("wh"), full.alias("full"), short.alias("short"))
-    measured = shared.materialise(keyed.select("doc_id", "row", found.alias("x")).select("doc_id", "row", "x.*"))
-    near = measured.filter(F.size("near") > 0).select("doc_id", "row", F.explode("near").alias("x")).select("doc_id", "row", "x.*").distinct()
+
+    def read(full: DataFrame, short: DataFrame | None) -> DataFrame:
+        """``doc_id, row, n_words, near``: what one filter lets through; windows of fewer words only with their filter."""
+        near = lambda wh, b, f: F.concat(runs(wh, b), *(short_runs(wh, n, f) for n in (lengths if short is not None else [])))
+        both = lambda wh, b, f: F.struct(F.size(wh).cast("long").alias("n_words"), near(wh, b, f).alias("near"))
+        # the hashes and each filter are named once, so that the plan holds the filters as scalars and not as columns of every row
+        found = shared.let(F.col("full"), lambda b: shared.let(F.col("short"), lambda f: shared.let(F.col("wh"), lambda wh: both(wh, b, f))))
+        bits = [F.array().cast("array<bigint>") if x is None else shared.materialise(bloom(x)).scalar() for x in (full, short)]
+        keyed = docs.select("doc_id", F.xxhash64(text).alias("row"), word_hashes(F.col("text")).alias("wh"), bits[0].alias("full"), bits[1].alias("short"))
+        return shared.materialise(keyed.select("doc_id", "row", found.alias("x")).select("doc_id", "row", "x.*"))
+
+    part = F.pmod(F.xxhash64(F.lit(5), "f"), F.lit(parts))
+    first = windows.filter("first IS NOT NULL").select(F.col("first").alias("f")).distinct()
+    every = [read(hashes.filter(part == k), None if k else first) for k in range(parts)]
+    measured = every[0]
+    near = reduce(DataFrame.unionAll, every).filter(F.size("near") > 0).select("doc_id", "row", F.explode("near").alias("x")).select("doc_id", "row", "x.*").distinct()
     known = shared.checked_broadcast(windows.select("f").distinct())
     each = near.join(known, "f").select("doc_id", "row", "start", "len", "words", F.explode(_indices(F.size("words") - F.col("len"))).alias("j"))
     each = each.select("doc_id", "row", (F.col("start") + F.col("j")).alias("start"), "len", F.xxhash64(F.slice("words", F.col("j") + 1, F.col("len"))).alias("w"))

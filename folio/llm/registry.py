@@ -22,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_fill_middle": fill_middle.query,
     "op12_url_filter": url_filter.query,
     "op13_tiered_search": tiered_search.query,
+    # quotes written into all messages
+    "chat_quoted": chat.quoted_query,
     # the parts of learned operators that SQL can say
     "lm_base_scores": bilinear.base_query,
     "secret_base_counts": secrets.base_query,
@@ -36,6 +38,7 @@ ORACLE_SQL: dict[str, str] = {
     "op11_fill_middle": fill_middle.SQL,
     "op12_url_filter": url_filter.SQL,
     "op13_tiered_search": tiered_search.SQL,
+    "chat_quoted": chat.QUOTED_SQL,
     "lm_base_scores": bilinear.BASE_SQL,
     "secret_base_counts": secrets.BASE_SQL,
 }

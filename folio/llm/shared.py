@@ -149,9 +149,11 @@ def ascii_lower(text: Column) -> Column:
 def sample_texts(rows: DataFrame, most: dict, most_bytes: int, label: str | None = None, key: str = "doc_id") -> pa.Table:
     """Whole rows ``key, label, text`` in the order of the key: about ``most[label]`` of each label, ``most_bytes`` at most.
 
-    Rows are picked by the hash of their key, the same whatever the partitions are; a
-    label with fewer rows is kept whole.  ``most[None]`` holds for labels without an
-    entry.  If the texts picked are too many bytes, all shares shrink alike until they fit.
+    Rows are picked by the hash of their key and text, the same whatever the partitions
+    are; a label with fewer rows is kept whole, and rows that are alike are one.
+    ``most[None]`` holds for labels without an entry.  Texts are taken in the order of
+    their draw, and one that does not fit into what is left of ``most_bytes`` is left out
+    alone; so a text above the bound, however early it is drawn, costs no other its place.
     """
     mark = F.lit("") if label is None else F.col(label).cast("string")
     named = rows.select(F.col(key).alias("key"), mark.alias("label"), F.col("text").cast("string").alias("text")).filter(F.octet_length("text") > 0)
@@ -161,11 +163,20 @@ def sample_texts(rows: DataFrame, most: dict, most_bytes: int, label: str | None
     for value, n in counts.items():
         share = most.get(value, most.get(None, 0)) / n
         place = F.when(F.col("label").eqNullSafe(F.lit(value)), draw if share >= 1 else draw / F.lit(max(share, 1e-12))).otherwise(place)
-    picked = materialise(named.withColumn("place", place).filter("place < 1"))
-    within = 1.0
-    while (total := picked.filter(F.col("place") < within).agg(F.sum(F.octet_length("text"))).first()[0] or 0) > most_bytes:
-        within *= min(0.9, most_bytes / total)
-    return picked.filter(F.col("place") < within).drop("place").toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
+    drawn = named.withColumns({"place": place, "version": F.xxhash64("text"), "bytes": F.octet_length("text").cast("long")}).filter("place < 1")
+    picked = materialise(drawn.dropDuplicates(["key", "label", "version"]))
+    order = ["place", "key", "version"]
+    if (picked.agg(F.sum("bytes")).first()[0] or 0) > most_bytes:
+        # as many rows as the shares allow, about; of these only sizes come to the driver
+        sizes = picked.filter(F.col("bytes") <= most_bytes).select("bytes", *order, "label").toArrow().sort_by([(c, "ascending") for c in order])
+        left, fits = most_bytes, []
+        for size in sizes["bytes"].to_pylist():
+            fits.append(size <= left)
+            left -= size if fits[-1] else 0
+        kept = picked.sparkSession.createDataFrame(sizes.filter(pa.array(fits, pa.bool_())).drop_columns(["bytes", "place"]))
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("key", "version", "label")]
+        picked = picked.alias("a").join(F.broadcast(kept.alias("b")), same, "left_semi")
+    return picked.select("key", "label", "text").toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
 
 
 def chunk_of(column: pa.ChunkedArray) -> pa.Array:

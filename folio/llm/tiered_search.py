@@ -321,7 +321,7 @@ def search(index: Index, items: DataFrame, top: int = TOP) -> DataFrame:
         raise ValueError(f"tasks keep {TOP} documents")
     terms = shared.materialise(item_terms(items))
     asked = terms.join(shared.checked_broadcast(index.terms), "term")
-    residual = index.bounds.groupBy("term").agg(*(F.max(F.when(F.col("tier") == k, F.col("impact"))).alias(f"below{k}") for k in range(index.tiers - 1)))
+    residual = index.bounds.groupBy("term").agg(F.count("*").alias("bounds"), *(F.max(F.when(F.col("tier") == k, F.col("impact"))).alias(f"below{k}") for k in range(index.tiers - 1)))
     asked = shared.materialise(asked.join(residual, "term", "left"))
     names = terms.select("item", "item_id").distinct()
     blocks = max(1, -(-names.count() // ITEMS))

@@ -1,12 +1,18 @@
 import hashlib
 import random
 import re
+import sys
+import time
+from pathlib import Path
 
 import pytest
 from conftest import prose
 from pyspark.sql import functions as F
 
-from folio.llm import chat, decontaminate, line_dedup
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+from compare import assert_same
+
+from folio.llm import chat, decontaminate, line_dedup, shared
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -241,12 +247,6 @@ def brute_chat(rows):
 
 
 def test_chat_as_brute_force_and_sql(spark, monkeypatch, tmp_path):
-    import sys
-    from pathlib import Path
-
-    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-    from compare import assert_same
-
     monkeypatch.setattr(chat, "PIECE", 4)
     rows = quoting(12, 11, 3)
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
@@ -267,8 +267,6 @@ def test_chat_odd_rows(odd_docs, no_docs):
 def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
     from types import SimpleNamespace
 
-    from folio.llm import shared
-
     nowhere = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="checkpoint"):
         shared.shared_folder(nowhere)
@@ -277,8 +275,6 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 
 
 def test_samples_hold_their_bounds(spark):
-    from folio.llm import shared
-
     rows = [(i, "a" if i % 3 else None, "x" * (100 if i % 50 else 5000)) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, label string, text string")
     some = shared.sample_texts(df, {None: 300}, 1 << 20, "label")
@@ -291,8 +287,6 @@ def test_samples_hold_their_bounds(spark):
 
 
 def test_broadcasts_are_checked_by_rows_and_bytes(spark):
-    from folio.llm import shared
-
     hinted = lambda df, **k: "ResolvedHint" in shared.checked_broadcast(df, **k)._jdf.queryExecution().analyzed().toString()
     df = spark.range(50).withColumn("items", F.array(F.lit("x")))
     assert hinted(df) and not hinted(df, bound=10) and not hinted(df, size=F.lit(1 << 20))
@@ -314,3 +308,76 @@ def test_a_large_benchmark_is_joined_by_what_passes(spark):
     assert "rangepartitioning" not in plan and "Exchange hashpartitioning" not in plan and "Subquery" in plan
     # 80 documents of 50 windows and more in runs, of which the filter stops nearly all
     assert measured.select(F.sum(F.size("near"))).first()[0] < 200
+
+
+def test_chat_of_a_line_with_a_million_marks(spark):
+    rows = [(1, 1, "user", "first words"), (1, 2, "user", ">" * 1_000_000 + " first words\n> first words"), (1, 3, "user", "> " * 500_000 + "x"), (1, 4, "user", " \t" * 500_000 + ">y")]
+    got = {r.turn: r for r in chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[2].reply_to == 1 and got[2].n_quotes == 2 and got[2].n_linked == 2 and got[2].text == ""
+    assert got[3].n_quotes == 1 and got[4].n_quotes == 1
+
+
+def test_chat_of_a_message_with_many_lines(spark):
+    lines = [f"line number {i % 150_000}" for i in range(200_000)]
+    rows = [(1, 1, "user", "\n".join(lines)), (1, 2, "user", "\n".join("> " + x for x in lines) + "\nand so?")]
+    began = time.perf_counter()
+    got = {r.turn: r for r in chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    # the lines and the whole
+    assert got[2].reply_to == 1 and got[2].n_quotes == got[2].n_linked == 150_001 and got[2].text == "and so?"
+    assert time.perf_counter() - began < 60
+
+
+def test_marks_as_greedy_ones(spark):
+    draw = random.Random(3)
+    lines = ["".join(draw.choices(["> ", ">", " ", "\t", "a", ">>", "> > "], k=draw.randint(0, 9))) for _ in range(400)]
+    got = spark.createDataFrame([("\n".join(lines),)], "text string").select(chat.quote_levels(F.col("text")).alias("m")).first()[0]
+    for line, mark in zip(lines, got, strict=True):
+        found = re.match(r"[ \t]*(?:>[ \t]?)+", line)
+        assert (mark.level, mark.body) == ((found.group().count(">"), line[found.end() :]) if found else (0, line))
+
+
+def test_chat_over_written_quotes_as_sql(spark, smallest):
+    found = chat.quoted_query(spark, smallest)
+    assert found.filter("n_linked > 0").count() > 50
+    assert_same(spark, smallest, chat.quoted_query, chat.QUOTED_SQL)
+
+
+def test_long_contaminated_text_in_one_pass(spark):
+    text, took = prose(60, 40_000), []
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    for n in (20_000, 40_000):
+        d = spark.createDataFrame([(1, " ".join(text.split()[:n]))], "doc_id long, text string")
+        decontaminate.report(d.limit(0), items).collect()
+        began = time.perf_counter()
+        got = decontaminate.report(d, items).collect()
+        took.append(time.perf_counter() - began)
+        assert [(r.n_words, r.n_hit, r.item_ids) for r in got] == [(n, n, ["1"])]
+    assert took[1] < 3 * took[0]
+
+
+def test_filters_in_parts_find_the_same(spark, monkeypatch):
+    items = spark.createDataFrame([(i, prose(50 + i, 60)) for i in range(8)] + [(20, "four small words here")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join([prose(200 + i, 30), prose(50 + i % 9, 60)[10 : 60 + 20 * (i % 9)], "four small words here" if i % 2 else "", prose(300 + i, 30)])) for i in range(40)] + [(99, None)], "doc_id long, text string")
+    row = lambda r: (r.doc_id or -1, r.n_words, r.n_hit, r.item_ids, [tuple(s) for s in r.spans])
+    whole = sorted(map(row, decontaminate.report(docs, items).collect()))
+    made = []
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 512)
+    monkeypatch.setattr(decontaminate, "bloom", lambda h, real=decontaminate.bloom: made.append(h) or real(h))
+    assert sorted(map(row, decontaminate.report(docs, items).collect())) == whole
+    assert len(made) > 4 and sum(r[2] > 0 for r in whole) > 20
+
+
+def test_a_text_above_the_bound_costs_no_other_its_place(spark):
+    """The first drawn, the last drawn and all but one too large; copies count once."""
+    small = [(i, f"text number {i} of some length") for i in range(100)]
+    draws = spark.createDataFrame(small, "doc_id long, text string").select("doc_id", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 20)).alias("d")).orderBy("d").collect()
+    for large in ([draws[0].doc_id], [draws[-1].doc_id], [r.doc_id for r in draws[1:]]):
+        rows = [(i, "x" * 50_000 if i in large else t) for i, t in small]
+        got = shared.sample_texts(spark.createDataFrame(rows, "doc_id long, text string"), {None: 1000}, 40_000)
+        assert got["key"].to_pylist() == [i for i, _ in small if i not in large]
+    alike = spark.createDataFrame(small[:3] * 500, "doc_id long, text string")
+    assert shared.sample_texts(alike, {None: 5000}, 40_000).num_rows == 3
+    # the bytes are filled up by the texts drawn next that fit
+    mixed = spark.createDataFrame([(i, "y" * (900 if i % 2 else 40)) for i in range(200)], "doc_id long, text string")
+    total = sum(len(t) for t in shared.sample_texts(mixed, {None: 1000}, 9000)["text"].to_pylist())
+    assert 8900 < total <= 9000
