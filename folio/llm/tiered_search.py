@@ -16,11 +16,12 @@ times the mean number of distinct terms of a document, and ``RARE`` is halved un
 are ``MOST_FREQUENT`` or fewer (this only moves postings between tiers).  With each task's
 rows go the largest impacts that it put below each tier, the residual bounds of terms.
 
-*A search* reads tier 0 for all items.  A document's score so far and the residual
-bounds of the item's terms that it has not shown bound its score from both sides.  A
-task keeps the documents that can still be among the best; the best 10 of all tasks' lower
-bounds then rule out others.  If few enough are left everywhere (``CANDIDATES``), the
-item's result is proven to be among them, and these documents alone are scored by all
+*A search* reads tier 0 for all items.  Each task hands on the 10 best scores so far of an item, and the
+10th best of all tasks is its floor.  If the residual bounds of an item's terms add up to less
+than the floor, no document that has not been seen can be among the best.  For such items
+the tier is read once more for the documents whose score so far, with the residual bounds of the
+terms they have not shown, reaches the floor.  If these are few in every task
+(``CANDIDATES``), the result is proven to be among them, and they alone are scored by all
 their tiers.  An item without that proof falls through to the next tier; with the last tier
 all scores are exact.  So results never depend on tiers, cuts or bounds.
 
@@ -216,11 +217,17 @@ class Asked:
         residual = np.stack([heft * column(f"below{k}") for k in range(tiers - 1)] + [np.zeros(len(heft), np.int64)])
         return Asked(terms, np.append(first, len(heft)), np.searchsorted(items, column("item")), heft, residual)
 
+    def unseen(self, n: int, tier: int) -> np.ndarray:
+        """The most that a document without any posting in the tiers up to ``tier`` can score, for each of ``n`` items."""
+        total = np.zeros(n, np.int64)
+        np.add.at(total, self.item, self.residual[tier])
+        return total
 
-def bounds_of(asked: Asked, n: int, tier: int, lists: list[pa.ListArray]) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the scores: documents by ``n`` items, from the tiers given."""
+
+def bounds_of(asked: Asked, n: int, tier: int, lists: list[pa.ListArray], upper: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and, if asked for, upper bounds of the scores: documents by ``n`` items, from the tiers given."""
     documents = len(lists[0])
-    low, shown = np.zeros(documents * n, np.int64), np.zeros(documents * n, np.int64)
+    low, shown = (np.zeros(documents * n, np.int64) for _ in range(2))
     for each in lists:
         values, doc = each.flatten(), np.repeat(np.arange(documents), each.value_lengths().to_numpy(zero_copy_only=False))
         term, impact = values.field(0).to_numpy(), values.field(1).to_numpy().astype(np.int64)
@@ -231,65 +238,67 @@ def bounds_of(asked: Asked, n: int, tier: int, lists: list[pa.ListArray]) -> tup
         entry = np.repeat(asked.first[at] - np.cumsum(times) + times, times) + np.arange(times.sum())
         cell = np.repeat(doc, times) * n + asked.item[entry]
         np.add.at(low, cell, asked.weight[entry] * np.repeat(impact, times))
-        if asked.residual[tier].any():
+        if upper:
             np.add.at(shown, cell, asked.residual[tier][entry])
     low, shown = low.reshape(documents, n), shown.reshape(documents, n)
-    rest = np.zeros(n, np.int64)
-    np.add.at(rest, asked.item, asked.residual[tier])
-    return low, low + (rest - shown)
+    return low, low + (asked.unseen(n, tier) - shown) if upper else low
 
 
 class Best:
-    """The documents of a task that can be among the best of each item."""
+    """What a task hands on of each item: its best documents, or those whose bound reaches the floor."""
 
-    def __init__(self, floor: np.ndarray, last: bool) -> None:
-        self.floor, self.last = floor.copy(), last
-        self.open = np.zeros(len(floor), bool)  # items with too many such documents
-        self.held = [np.zeros(0, np.int64) for _ in range(5)]  # item, row, doc_id (nulls highest), score, bound
+    def __init__(self, floor: np.ndarray, reaching: bool) -> None:
+        self.floor, self.reaching = floor.copy(), reaching
+        self.open = np.zeros(len(floor), bool)  # items that too many documents reach
+        self.held = [np.zeros(0, np.int64) for _ in range(4)]  # item, row, doc_id (nulls highest), score
 
     def add(self, row: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        if len(row) >= TOP:
+        if not self.reaching and len(row) >= TOP:
             self.floor = np.maximum(self.floor, np.partition(low, len(row) - TOP, axis=0)[len(row) - TOP])
         d, i = np.nonzero((high >= self.floor) & (high > 0) & ~self.open)
-        new = [i, row[d], doc[d], low[d, i], high[d, i]]
-        held = [np.concatenate([a, b]) for a, b in zip(self.held, new, strict=True)]
-        order = np.lexsort((held[1], held[2], -held[3], held[0]))
-        held = [a[order] for a in held]
-        item = held[0]
-        nth = np.arange(len(item)) - np.searchsorted(item, item)
-        tenth = nth == TOP - 1
-        self.floor[item[tenth]] = np.maximum(self.floor[item[tenth]], held[3][tenth])
-        keep = nth < TOP if self.last else held[4] >= self.floor[item]
-        if not self.last:
-            self.open |= np.bincount(item[keep], minlength=len(self.open)) > CANDIDATES
-            keep &= ~self.open[item]
+        held = [np.concatenate([a, b]) for a, b in zip(self.held, [i, row[d], doc[d], low[d, i]], strict=True)]
+        if self.reaching:
+            self.open |= np.bincount(held[0], minlength=len(self.open)) > CANDIDATES
+            keep = ~self.open[held[0]]
+        else:
+            order = np.lexsort((held[1], held[2], -held[3], held[0]))
+            held = [a[order] for a in held]
+            item = held[0]
+            nth = np.arange(len(item)) - np.searchsorted(item, item)
+            tenth = nth == TOP - 1
+            self.floor[item[tenth]] = np.maximum(self.floor[item[tenth]], held[3][tenth])
+            keep = nth < TOP
         self.held = [a[keep] for a in held]
 
 
-FOUND = "item int, row long, doc_id long, score long, bound long"
+FOUND = "item int, row long, doc_id long, score long"
+
 
+def scan(index: Index, asked: Asked, floor: np.ndarray, tier: int, reaching: bool = False) -> DataFrame:
+    """``FOUND``: by the tiers up to ``tier``, the best documents of each item in every task that reach the floor.
 
-def scan(index: Index, asked: Asked, floor: np.ndarray, tier: int) -> DataFrame:
-    """``FOUND`` of the documents that may be among the best by tiers up to ``tier``; a null row for items with too many."""
-    n, last = len(floor), tier == index.tiers - 1
+    With ``reaching`` all documents whose upper bound reaches the floor, and a null row for
+    an item that too many do.
+    """
+    n = len(floor)
     columns = [f"tier{k}" for k in range(tier + 1)]
     most = max(1, CELLS // max(n, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(floor, last)
+        best = Best(floor, reaching)
         for batch in batches:
             for first in range(0, batch.num_rows, most):
                 part = batch.slice(first, most)
                 row = part.column(0).to_numpy()
                 doc = part.column(1).fill_null(2**63 - 1).to_numpy()
-                best.add(row, doc, *bounds_of(asked, n, tier, part.columns[2:]))
-        item, row, doc, low, high = best.held
+                best.add(row, doc, *bounds_of(asked, n, tier, part.columns[2:], reaching))
+        item, row, doc, low = best.held
         more = np.flatnonzero(best.open)
         gone = np.append(np.zeros(len(item), bool), np.ones(len(more), bool))
         fill = lambda a: pa.array(np.append(a, np.zeros(len(more), np.int64)), mask=gone)
         # a null id sorts as the largest number, and comes out as null
         doc = pa.array(np.append(doc, np.zeros(len(more), np.int64)), mask=gone | (np.append(doc, more) == 2**63 - 1))
-        yield pa.record_batch([pa.array(np.append(item, more).astype(np.int32)), fill(row), doc, fill(low), fill(high)], names=["item", "row", "doc_id", "score", "bound"])
+        yield pa.record_batch([pa.array(np.append(item, more).astype(np.int32)), fill(row), doc, fill(low)], names=["item", "row", "doc_id", "score"])
 
     return index.documents.select("row", "doc_id", *columns).transform(shared.arrow, run, FOUND)
 
@@ -345,28 +354,36 @@ def _block(index: Index, rows: pa.Table) -> Iterator[DataFrame]:
         if not len(items):
             return
         asked = Asked.of(rows, items, index.n_docs, index.tiers)
+        number = F.element_at(F.lit(items.tolist()), F.col("item") + 1).alias("item")
         found = shared.materialise(scan(index, asked, floor, tier))
-        spark = found.sparkSession
-        number = F.element_at(F.lit(items), F.col("item") + 1).alias("item")
         if tier == index.tiers - 1:
             yield found.select(number, "row", "doc_id", "score", F.lit(tier + 1).alias("tiers"))
             return
         nth = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))
-        tenth = found.filter("row IS NOT NULL").withColumn("nth", nth).filter(F.col("nth") == TOP).select("item", F.col("score").alias("floor"))
-        floors = {r[0]: r[1] for r in tenth.collect()}
-        floor = np.array([max(floors.get(i, 0), f) for i, f in enumerate(floor.tolist())], np.int64)
-        open_items = {r[0] for r in found.filter("row IS NULL").select("item").distinct().collect()}
-        # an item none of whose documents can be seen from here would be proven by nothing
-        proven = [i for i in range(len(items)) if i not in open_items and floor[i] > 0]
+        tenth = found.withColumn("nth", nth).filter(F.col("nth") == TOP).select("item", "score")
+        for item, score in tenth.collect():
+            floor[item] = max(floor[item], score)
+        closed = np.flatnonzero(asked.unseen(len(items), tier) < floor)
+        if not len(closed):
+            continue
+        mine, own = _only(rows, items, closed)
+        near = Asked.of(mine, own, index.n_docs, index.tiers)
+        reached = shared.materialise(scan(index, near, floor[closed], tier, reaching=True))
+        too_many = {r[0] for r in reached.filter("row IS NULL").select("item").distinct().collect()}
+        proven = [i for i in range(len(own)) if i not in too_many]
         if proven:
-            least = spark.createDataFrame([(i, int(floor[i])) for i in proven], "item int, floor long")
-            wanted = found.filter("row IS NOT NULL").join(F.broadcast(least), "item").filter("bound >= floor").select("item", "row")
-            wanted = shared.materialise(wanted)
-            scores = shared.materialise(exact_scores(index, asked, len(items), wanted).join(wanted, ["item", "row"], "left_semi"))
-            yield scores.select(number, "row", "doc_id", "score", F.lit(tier + 1).alias("tiers"))
-        left = np.array([i for i in range(len(items)) if i not in set(proven)], np.int64)
-        keep = np.isin(rows["item"].combine_chunks().to_numpy(), items[left])
-        rows, items, floor = rows.filter(pa.array(keep)), items[left], floor[left]
+            wanted = shared.materialise(reached.filter(F.col("row").isNotNull() & ~F.col("item").isin(list(too_many))).select("item", "row"))
+            scores = exact_scores(index, near, len(own), wanted).join(wanted, ["item", "row"], "left_semi")
+            named = F.element_at(F.lit(own.tolist()), F.col("item") + 1).alias("item")
+            yield shared.materialise(scores.select(named, "row", "doc_id", "score", F.lit(tier + 1).alias("tiers")))
+        left = np.setdiff1d(np.arange(len(items)), closed[proven])
+        rows, items = _only(rows, items, left)
+        floor = floor[left]
+
+
+def _only(rows: pa.Table, items: np.ndarray, places: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """The terms and numbers of some items."""
+    return rows.filter(pa.array(np.isin(rows["item"].combine_chunks().to_numpy(), items[places]))), items[places]
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
