@@ -35,6 +35,11 @@ def ngrams(c: Column, n: int = 3) -> Column:
     return F.coalesce(F.array_distinct(runs), F.array().cast("array<string>"))
 
 
+def ratio(x: str | None, y: str | None) -> int:
+    """100 times the matching-blocks ratio of two texts in lower case, cut; 0 if one is empty."""
+    return int(difflib.SequenceMatcher(None, x.lower(), y.lower()).ratio() * 100) if x and y else 0
+
+
 @F.pandas_udf(T.IntegerType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """100 times the matching-blocks ratio of the texts in lower case, cut; 0 if one is empty.
@@ -44,12 +49,9 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     memo: dict[tuple, int] = {}
 
     def one(x, y) -> int:
-        if not x or not y:
-            return 0
-        key = (x.lower(), y.lower())
-        if key not in memo:
-            memo[key] = int(difflib.SequenceMatcher(None, *key).ratio() * 100)
-        return memo[key]
+        if (x, y) not in memo:
+            memo[x, y] = ratio(x, y)
+        return memo[x, y]
 
     return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
 

@@ -47,13 +47,13 @@ def ngrams(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q45_gram_pairs", f"WITH {PAIRS} SELECT l_id, r_id, round(distance, 6) AS distance FROM j")
 def gram_pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.block_pairs(listed_keys(spark, d), whole_keys(spark, d))
+    found = matching.block_pairs(listed_keys(spark, d), whole_keys(spark, d), texts=False)
     return found.select("l_id", "r_id", F.round("distance", 6).alias("distance"))
 
 
 @query("q46_match_keys", f"WITH {PAIRS}, s AS (SELECT *, 1 - levenshtein(l_key, r_key) / greatest(length(l_key), length(r_key)) AS score FROM j WHERE least(length(l_key), length(r_key)) >= 0.34 * greatest(length(l_key), length(r_key))) SELECT l_id AS ref_id, r_id AS transaction_id, l_key AS ref_value, r_key AS input_value, 'text' AS matched_on_field, round(score, 6) AS score, round(distance, 6) AS distance FROM s WHERE score >= 0.35")
 def match_keys(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.match_pairs(matching.block_pairs(listed_keys(spark, d), whole_keys(spark, d)), "text", 0.35)
+    found = matching.match_pairs(matching.block_pairs(listed_keys(spark, d), whole_keys(spark, d), threshold=0.35), "text", 0.35)
     return found.withColumns({"score": F.round("score", 6), "distance": F.round("distance", 6)})
 
 
@@ -116,7 +116,7 @@ def person_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q49_lsh_pairs")
 def lsh_pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.lsh_pairs(listed_keys(spark, d), whole_keys(spark, d), tables=5)
+    found = matching.banded_pairs(listed_keys(spark, d), whole_keys(spark, d), recall=0.98)
     return found.select("l_id", "r_id", F.round("distance", 6).alias("distance"))
 
 
