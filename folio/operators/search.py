@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.functions import similarity
+from folio.sources import staging
 
 HITS = 210
 
@@ -44,6 +49,36 @@ def weights(postings: DataFrame, n_docs: int) -> DataFrame:
     return postings.groupBy("token").agg((1.0 + F.log(F.lit(float(n_docs)) / (F.count("*") + 1.0))).alias("idf"))
 
 
+#: Documents of a block; times the hits asked for that are scored before blocks are skipped.
+BLOCK, SURE = 32, 4
+
+
+@dataclass
+class BlockIndex:
+    """Postings in blocks of ``BLOCK`` documents of about one length.
+
+    ``postings`` are ``block, token, id, tf``, sorted by block; ``bounds`` are ``token, block, n, most``:
+    the postings of a token in a block and its largest frequency there.
+    """
+
+    postings: DataFrame
+    bounds: DataFrame
+    n_docs: int
+
+
+def block_index(master: DataFrame) -> BlockIndex:
+    """The index of ``id, document`` for searches that skip blocks; its tables go to the shared folder."""
+    words = F.filter(F.split(F.lower(F.coalesce("document", F.lit(""))), r"\s+"), lambda w: w != "")
+    sized = master.select("id", words.alias("words")).filter(F.size("words") > 0).withColumn("n", F.size("words"))
+    # documents from the shortest to the longest, cut into blocks where the ranges end too
+    in_order = sized.repartitionByRange("n", "id").sortWithinPartitions("n", "id").select("id", "words", F.floor(F.monotonically_increasing_id() / BLOCK).alias("block"))
+    each = in_order.select("id", "block", F.explode("words").alias("token"))
+    counted = each.groupBy("block", "token", "id").agg(F.count("*").alias("tf"))
+    postings = staging.materialise(counted.repartitionByRange("block", "token").sortWithinPartitions("block", "token"))
+    bounds = staging.materialise(postings.groupBy("token", "block").agg(F.count("*").alias("n"), F.max("tf").alias("most")))
+    return BlockIndex(postings, bounds, master.count())
+
+
 def query_tokens(inputs: DataFrame, names: int = 2, boost: float = 2.0) -> DataFrame:
     """``q_id, token, prefix, boost`` of ``q_id, query``: the first tokens are prefixes and count double.
 
@@ -60,36 +95,107 @@ def query_tokens(inputs: DataFrame, names: int = 2, boost: float = 2.0) -> DataF
     return tokens.filter("ok").drop("ok")
 
 
-def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS, coverage: float | None = None) -> DataFrame:
-    """``q_id, id, score, rank``: sums of tf * idf * boost, the k best of each query, ties by id.
+def _bags(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``q_id, bag_id`` and, for each bag of tokens, its parts ``bag_id, n, pos, token, prefix, boost``.
 
-    Queries with the same tokens are one from here on, so a frequent token is looked up
-    once for all of them, and hits are ranked once for each distinct query.  Prefix tokens
-    are matched by their first two characters as a join key and a test of the rest, so no
-    cross join is needed.  With ``coverage`` (0 to 1) a score is raised by the share of the
-    query's tokens that a document holds, as short queries are ranked by engines whose
-    terms are joined by "or": (score + (held - 1) / (tokens - coverage)^2) * (tokens - 1) / tokens.
+    Queries with the same tokens are one bag, so they are searched once.
     """
     each = F.array_sort(F.collect_list(F.struct("token", "prefix", "boost")))
     wanted = tokens.groupBy("q_id").agg(each.alias("bag")).withColumn("bag_id", F.md5(F.to_json("bag")))
     bags = wanted.groupBy("bag_id").agg(F.first("bag").alias("bag"))
-    parts = bags.select("bag_id", F.size("bag").alias("n"), F.posexplode("bag").alias("pos", "t")).select("bag_id", "n", "pos", "t.*")
-    # distinct tokens and prefixes, with the tokens of the vocabulary that they stand for
-    idf = weights(postings, n_docs)
+    return wanted.select("q_id", "bag_id"), bags.select("bag_id", F.size("bag").alias("n"), F.posexplode("bag").alias("pos", "t")).select("bag_id", "n", "pos", "t.*")
+
+
+def _meant(parts: DataFrame, idf: DataFrame) -> DataFrame:
+    """``asked, prefix, token, idf``: the tokens of the vocabulary that those asked for stand for.
+
+    Prefixes are matched by their first two characters as a join key and a test of the
+    rest, so no cross join is needed.
+    """
     asked = parts.select("token", "prefix").distinct()
     plain = asked.filter("NOT prefix").join(idf, "token").select(F.col("token").alias("asked"), "prefix", "token", "idf")
     heads = asked.filter("prefix").select(F.col("token").alias("asked"), "prefix", F.substring("token", 1, 2).alias("start"))
     begun = heads.join(idf.withColumn("start", F.substring("token", 1, 2)), "start").filter(F.startswith("token", "asked")).select("asked", "prefix", "token", "idf")
-    met = plain.unionByName(begun).join(postings, "token").groupBy("asked", "prefix", "id").agg(F.sum(F.col("tf") * F.col("idf")).alias("weight"))
+    return plain.unionByName(begun)
+
+
+def _raised(score: Column, held: Column, n: Column, coverage: float | None) -> Column:
+    """A score raised by the share of the query's tokens that a document holds."""
+    if coverage is None:
+        return score
+    return F.when(n > 1, (score + (held - 1) / F.pow(n - F.lit(coverage), 2)) * (n - 1) / n).otherwise(score)
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("bag_id").orderBy(F.desc(F.round("score", 9)), "id"))
+    return scored.select("bag_id", "id", "score").withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS, coverage: float | None = None) -> DataFrame:
+    """``q_id, id, score, rank``: sums of tf * idf * boost, the k best of each query, ties by id.
+
+    All postings of the tokens asked for are read; a frequent token is looked up once for
+    all queries.  With ``coverage`` (0 to 1) a score is raised by the share of the
+    query's tokens that a document holds, as short queries are ranked by engines whose
+    terms are joined by "or": (score + (held - 1) / (tokens - coverage)^2) * (tokens - 1) / tokens.
+    """
+    wanted, parts = _bags(tokens)
+    met = _meant(parts, weights(postings, n_docs)).join(postings, "token").groupBy("asked", "prefix", "id").agg(F.sum(F.col("tf") * F.col("idf")).alias("weight"))
     met = met.withColumnRenamed("asked", "token")
     found = parts.join(met, ["token", "prefix"]).groupBy("bag_id", "id").agg(F.sum(F.col("weight") * F.col("boost")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
-    if coverage is not None:
-        n = F.col("n")
-        raised = (F.col("score") + (F.col("held") - 1) / F.pow(n - F.lit(coverage), 2)) * (n - 1) / n
-        found = found.withColumn("score", F.when(n > 1, raised).otherwise(F.col("score")))
-    rank = F.row_number().over(Window.partitionBy("bag_id").orderBy(F.desc(F.round("score", 9)), "id"))
-    best = found.select("bag_id", "id", "score").withColumn("rank", rank).filter(F.col("rank") <= k)
-    return wanted.select("q_id", "bag_id").join(best, "bag_id").select("q_id", "id", "score", "rank")
+    best = _ranked(found.withColumn("score", _raised(F.col("score"), F.col("held"), F.col("n"), coverage)), k)
+    return wanted.join(best, "bag_id").select("q_id", "id", "score", "rank")
+
+
+@dataclass
+class Search:
+    """The hits, and how many postings of the tokens asked for there are and were read."""
+
+    hits: DataFrame
+    asked: int
+    read: int
+
+
+def best_hits(index: BlockIndex, tokens: DataFrame, k: int = HITS, coverage: float | None = None) -> Search:
+    """The rows of ``top_hits``, worked out without the blocks that cannot hold any of them.
+
+    The largest contributions of a query's tokens in a block bound all scores in it.  The
+    blocks of the highest bounds that hold ``SURE`` times k documents are scored first; the k-th best score found is
+    the floor.  Of the other blocks only those whose bound reaches it are read and scored.
+    """
+    wanted, parts = _bags(tokens)
+    parts = staging.materialise(parts)
+    spread = index.bounds.groupBy("token").agg(F.sum("n").alias("df"))
+    idf = spread.select("token", (1.0 + F.log(F.lit(float(index.n_docs)) / (F.col("df") + 1.0))).alias("idf"))
+    meant = _meant(parts, idf).withColumnRenamed("token", "meant").withColumnRenamed("asked", "token")
+    each = parts.join(meant, ["token", "prefix"]).select("bag_id", "n", "pos", F.col("meant").alias("token"), (F.col("boost") * F.col("idf")).alias("heft"))
+    each = staging.checked_broadcast(staging.materialise(each), F.lit(100) + F.octet_length("token"))
+    near = index.bounds.withColumnRenamed("n", "postings").join(each, "token")
+    blocks = near.groupBy("bag_id", "block").agg(F.sum(F.col("heft") * F.col("most")).alias("all"), F.count_distinct("pos").alias("parts"), F.max("postings").alias("documents"), F.sum("postings").alias("postings"), F.first("n").alias("n"))
+    blocks = staging.materialise(blocks.select("bag_id", "block", _raised(F.col("all"), F.col("parts"), F.col("n"), coverage).alias("bound"), "documents", "postings"))
+    # the blocks that hold several times k documents for sure, from the highest bound on: the k-th best of them is a high floor
+    so_far = F.sum("documents").over(Window.partitionBy("bag_id").orderBy(F.desc("bound"), F.desc("block")).rowsBetween(Window.unboundedPreceding, -1))
+    blocks = staging.materialise(blocks.withColumn("first", F.coalesce(so_far, F.lit(0)) < SURE * k))
+    at_once = blocks.filter("first")
+    score = lambda some: staging.materialise(_scores(index, each, some, coverage))
+    found = score(at_once)
+    floor = _ranked(found, k).filter(F.col("rank") == k).select("bag_id", F.col("score").alias("floor"))
+    # sums of doubles differ a little by their order
+    later = staging.materialise(blocks.filter("NOT first").join(floor, "bag_id", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0.0)) - 1e-6))
+    best = _ranked(found.unionAll(score(later)), k)
+    count = lambda some: some.agg(F.sum("postings")).first()[0] or 0
+    return Search(wanted.join(best, "bag_id").select("q_id", "id", "score", "rank"), count(blocks), count(at_once) + count(later))
+
+
+def _scores(index: BlockIndex, each: DataFrame, blocks: DataFrame, coverage: float | None) -> DataFrame:
+    """``bag_id, id, score`` of the documents in the blocks given for each bag."""
+    low, high = blocks.agg(F.min("block"), F.max("block")).first()
+    # files and row groups of other lengths are left out by their bounds
+    postings = index.postings.filter(F.col("block").between(low, high) if low is not None else F.lit(False))
+    asked = blocks.select("bag_id", "block").join(each, "bag_id")
+    met = postings.join(asked, ["block", "token"])
+    found = met.groupBy("bag_id", "id").agg(F.sum(F.col("tf") * F.col("heft")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
+    return found.select("bag_id", "id", _raised(F.col("score"), F.col("held"), F.col("n"), coverage).alias("score"))
 
 
 def hit_outcome(score: Column, model: Column, dob_ratio: Column, phone_first: Column, names_and_ids: Column, no_previous: Column | None = None, whole: Column | None = None) -> dict[str, Column]:
@@ -131,6 +237,101 @@ def field_outcome(score: Column, model: Column, row: str = "row", master: str =
     return hit_outcome(score, model, ratio("dob"), phone_first, names_and_ids, no_previous, whole)
 
 
+#: Fields of the two sides that ``first_accepted`` compares.
+FIELDS = ("first", "last", "prev", "dob", "phone")
+DECIDED = "id long, found string, confidence int, hits_read int, ratios int"
+
+
+def first_accepted(hits: DataFrame, queries: DataFrame, row: str = "row", master: str = "master", model: str = "model_score") -> DataFrame:
+    """``q_id, id, found, confidence, hits_read, ratios``: the rows of ``decide`` over ``field_outcome``, by a scan that stops.
+
+    ``hits`` are ``q_id, id, rank, score``, the model's score and the structs of both sides.
+    The hits of a query are read in the order of their rank up to the first that accepts,
+    and a matching-blocks ratio is worked out only where equality and the scores leave the
+    decision open: that of birth dates only for a sure model, that of first names only for
+    alike phones.  A hit whose column ``whole`` (if there is one) is false ends the search with No and 0.  ``hits_read`` and ``ratios`` say how many were.  A query's hits are one
+    sorted run of a partition, so a task holds one hit at a time.
+    """
+    x, y = (lambda f: F.coalesce(F.col(f"{row}.{f}"), F.lit(""))), (lambda f: F.coalesce(F.col(f"{master}.{f}"), F.lit("")))
+    texts = [c.alias(f"{side}_{f}") for f in FIELDS for side, c in (("x", x(f)), ("y", y(f)))]
+    whole = F.coalesce(F.col("whole"), F.lit(False)) if "whole" in hits.columns else F.lit(True)
+    flat = hits.select("q_id", whole.alias("whole"), F.col("id").cast("long").alias("id"), "rank", F.col("score").cast("double").alias("score"), F.col(model).cast("double").alias("model"), *texts)
+    runs = flat.repartition("q_id").sortWithinPartitions("q_id", "rank").drop("rank")
+    kind = hits.schema["q_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = _Walk()
+        for batch in batches:
+            walk.kind = batch.schema.field("q_id").type
+            for hit in batch.to_pylist():
+                walk.step(hit)
+            if walk.done:
+                yield walk.flush()
+        walk.end()
+        if walk.done:
+            yield walk.flush()
+
+    found = runs.mapInArrow(run, f"q_id {kind}, {DECIDED}")
+    out = queries.select("q_id").join(found, "q_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select("q_id", "id", F.coalesce("found", F.lit("No")).alias("found"), zero("confidence"), zero("hits_read"), zero("ratios"))
+
+
+class _Walk:
+    """The hits of one query after the other, in the order of their rank."""
+
+    def __init__(self) -> None:
+        self.done: list[tuple] = []
+        self.begun, self.kind = False, pa.int64()
+        self.start(None)
+
+    def start(self, query: object) -> None:
+        self.query, self.accepted, self.ended, self.last, self.read, self.ratios = query, None, False, 0, 0, 0
+
+    def ratio(self, hit: dict, field: str) -> int:
+        self.ratios += 1
+        return similarity.ratio(hit[f"x_{field}"], hit[f"y_{field}"])
+
+    def end(self) -> None:
+        if self.begun:
+            found, confidence = ("No", self.last) if self.accepted is None else ("Yes", self.last)
+            self.done.append((self.query, self.accepted, found, confidence, self.read, self.ratios))
+
+    def step(self, hit: dict) -> None:
+        if not self.begun or hit["q_id"] != self.query:
+            self.end()
+            self.start(hit["q_id"])
+            self.begun = True
+        elif self.ended:
+            return
+        self.read += 1
+        accept, self.last = self.judge(hit) if hit["whole"] else (False, 0)
+        self.ended = accept or not hit["whole"]
+        if accept:
+            self.accepted = hit["id"]
+
+    def judge(self, hit: dict) -> tuple[bool, int]:
+        score, model = hit["score"], hit["model"]
+        if score >= 50 or (model > 0.89 and self.ratio(hit, "dob") > 66):
+            return True, 100
+        sure = 99 if model < 0.57 else min(100, int(score / 5.5 * 100))
+        same = {f: hit[f"x_{f}"] == hit[f"y_{f}"] for f in FIELDS}
+        no_previous = all(hit[f"{side}_prev"] in ("", "nan") for side in "xy")
+        family = same["last"] or (not no_previous and same["prev"])
+        if same["first"] and family and (same["dob"] or same["phone"]):
+            return True, sure
+        if self.ratio(hit, "phone") >= similarity.EXACT_FROM and self.ratio(hit, "first") >= similarity.EXACT_FROM:
+            return True, sure
+        return False, sure if no_previous else int(score / 13.5 * 100)
+
+    def flush(self) -> pa.RecordBatch:
+        names = ["q_id", *(c.split()[0] for c in DECIDED.split(", "))]
+        kinds = [None, pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+        columns = [pa.array([r[i] for r in self.done], kinds[i] or self.kind) for i in range(6)]
+        self.done = []
+        return pa.record_batch(columns, names=names)
+
+
 def no_hit_error(fields: list[str], code: str) -> str:
     """The message of a row without any hit: all fields but the last."""
     return f"{code}: {', '.join(fields[:-1])}"
