@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from folio.functions import dates
 from folio.model import FieldRule
+from folio.sources import staging
 
 #: Fixed value: the characters that count as special; a space stands for any white space.
 SPECIAL = "!@#$%^&*()-_=+[]{};:'\",.’<>/? "
 THRESHOLD = 80.0
+_READ = staging.hidden("pairs")
 
 
 def _messages(*checks: Column) -> Column:
@@ -124,15 +126,15 @@ def validate(docs: DataFrame, rules: list[FieldRule], today: str, pairs: str = "
     documents are to be reviewed, so the first flag is False while the second tells
     the outcome.
     """
-    parsed = docs.withColumn("_pairs", parse_pairs(F.col(pairs)))
-    get = lambda k: F.try_element_at(F.col("_pairs"), F.lit(k))
+    parsed = docs.withColumn(_READ, parse_pairs(F.col(pairs)))
+    get = lambda k: F.try_element_at(F.col(_READ), F.lit(k))
     results = [field_result(get(r.name), field_errors(get(r.name), get(f"{r.name}_s"), r, today, threshold), r.name) for r in rules]
     kind = "array<struct<FieldName:string,ValueScanned:string,IsValid:boolean,ValidationErrors:array<string>>>"
     out = parsed.withColumn("results", (F.array(*results) if results else F.array()).cast(kind))
     broken = get("error").isNotNull() | F.col(pairs).isNull() | F.from_json(F.col(pairs), "map<string,string>").isNull()
     passed = ~F.exists("results", lambda r: ~r["IsValid"]) & ~F.coalesce(broken, F.lit(False))
     text = F.when(passed, "True").otherwise("False")
-    return out.withColumn("validation_passed", text).withColumn("data_is_valid", F.lit("False") if audit else text).drop("_pairs")
+    return out.withColumn("validation_passed", text).withColumn("data_is_valid", F.lit("False") if audit else text).drop(_READ)
 
 
 def validate_long(docs: DataFrame, rule_rows: DataFrame, value: str = "value") -> DataFrame:
@@ -147,6 +149,104 @@ def validate_long(docs: DataFrame, rule_rows: DataFrame, value: str = "value") -
     return joined.withColumn("is_valid", ok)
 
 
+def rule_rows(collections: DataFrame) -> DataFrame:
+    """``collection, audit, rules``: the rules of each collection's fields in their order, as data.
+
+    ``collections`` are rows of configuration.  Flags may be texts in any case; a kind,
+    limit, pattern, format or date that is empty is none.
+    """
+    known = lambda c: F.lower(F.trim(c))
+    some = lambda c: F.when(c != "", c)
+
+    def rule(f: Column) -> Column:
+        v = lambda name: f["Validation"][name]
+        special = v("AllowSpecialChars")
+        return F.struct(
+            f["FieldName"].alias("field"),
+            F.coalesce(some(f["Type"]), F.lit("string")).alias("kind"),
+            v("MinLength").alias("min_length"),
+            v("MaxLength").alias("max_length"),
+            some(v("Pattern")).alias("pattern"),
+            (known(special) == "true").alias("any_special"),
+            F.when(special.isNotNull() & (known(special) != "false"), special).otherwise("").alias("special"),
+            (F.coalesce(v("AllowNull"), F.lit("")).isin("") | (known(v("AllowNull")) == "false")).alias("no_null"),
+            F.coalesce(some(v("Format")), F.lit("mm/dd/yyyy")).alias("date_format"),
+            some(v("MinDate")).alias("min_date"),
+            some(v("MaxDate")).alias("max_date"),
+        )
+
+    audit = F.coalesce(known(F.col("review_all")) == "true", F.lit(False))
+    return collections.select("collection", audit.alias("audit"), F.transform(F.coalesce("field_list", F.array()), rule).alias("rules"))
+
+
+def _limit_by(v: Column, rule: Column, name: str) -> Column:
+    number = F.replace(F.trim(rule), F.lit("_"), F.lit("")).try_cast("long")
+    wrong, sign = (F.length(v) < number, "<") if name == "MinLength" else (F.length(v) > number, ">")
+    said = F.concat(F.lit("Length '"), F.length(v).cast("string"), F.lit(f"' {sign} {name} '"), number.cast("string"), F.lit("'"))
+    is_number = rule.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$")
+    return F.when(F.coalesce(rule, F.lit("")) == "", None).when(~is_number, F.lit(f"Invalid {name} configuration")).when(wrong, said)
+
+
+def _special_by(v: Column, rule: Column) -> Column:
+    """The characters that are special, not allowed by the rule, and there."""
+    allowed = rule["special"]
+    bad = lambda c: (F.contains(F.lit(SPECIAL), c) & ~F.contains(allowed, c)) | (c.rlike(r"^\s$") & ~F.contains(allowed, F.lit(" ")))
+    found = F.array_distinct(F.filter(F.split(v, ""), lambda c: (c != "") & bad(c)))
+    return F.when(~F.coalesce(rule["any_special"], F.lit(False)) & (F.size(found) > 0), F.concat(F.lit("Special characters not allowed: "), F.array_join(found, ", ")))
+
+
+def _date_by(c: Column, date_format: Column) -> Column:
+    """The date in the format that a column names; an unknown one is the first."""
+    first, *others = dates.RULE_FORMATS
+    out = dates.parse_rule_date(c, first)
+    for name in others:
+        out = F.when(date_format == name, dates.parse_rule_date(c, name)).otherwise(out)
+    return out
+
+
+def errors_by(value: Column, score: Column, rule: Column, today: str, threshold: float = THRESHOLD) -> Column:
+    """``field_errors`` of a rule that is a row: a struct as ``rule_rows`` makes it."""
+    none = F.array().cast("array<string>")
+    v, day = F.trim(value), F.lit(today).cast("date")
+    strings = _messages(_limit_by(v, rule["min_length"], "MinLength"), _limit_by(v, rule["max_length"], "MaxLength"), F.when(~F.rlike(v, F.concat(F.lit("^(?:"), rule["pattern"], F.lit(")"))), "Pattern validation failed"), _special_by(v, rule))
+    parsed = _date_by(v, rule["date_format"])
+    bound = lambda c: F.when(F.lower(c) == "today", day).otherwise(_date_by(c, rule["date_format"]))
+    low = F.when(parsed < bound(rule["min_date"]), F.concat(F.lit("Date before MinDate '"), rule["min_date"], F.lit("'")))
+    high = F.when(parsed > bound(rule["max_date"]), F.concat(F.lit("Date after MaxDate "), rule["max_date"]))
+    unread = F.concat(F.lit("Invalid date format. Expected: '"), rule["date_format"], F.lit("', got: '"), v, F.lit("'"))
+    of_kind = F.when(rule["kind"] != "date", strings).when(parsed.isNull(), F.array(unread)).otherwise(_messages(low, high))
+    checked = F.when(_blank(value), F.when(rule["no_null"], F.array(F.lit("Null value not allowed"))).otherwise(none)).otherwise(of_kind)
+    sure = F.coalesce(score.try_cast("double"), F.lit(0.0))
+    unsure = F.concat(F.lit("Not null value has a score '"), sure.cast("string"), F.lit(f"' below threshold '{threshold}'"))
+    return F.when((sure < threshold) & value.isNotNull(), F.array(unsure)).when(rule["no_null"] & value.isNull(), F.array(F.lit("Null values are not allowed for this field"))).otherwise(checked)
+
+
+def validate_by(docs: DataFrame, rules: DataFrame, today: str, pairs: str = "key_value_pairs", threshold: float = THRESHOLD) -> DataFrame:
+    """``validate`` for documents of any collections in one plan: the rules are rows and not part of the plan.
+
+    ``docs`` have ``collection``; ``rules`` are as ``rule_rows`` makes them, one row for each
+    collection, broadcast if they are few enough.  A document is parsed once and meets the rules of its collection
+    within its row, so nothing is exploded or grouped.  One of a collection without
+    rules has no results and fails only if it cannot be read.
+    """
+    kind = "array<struct<FieldName:string,ValueScanned:string,IsValid:boolean,ValidationErrors:array<string>>>"
+    read, mine, audit = (staging.hidden(c) for c in ("read", "rules", "audit"))
+    few = staging.checked_broadcast(rules.select(F.col("collection"), F.col("rules").alias(mine), F.col("audit").alias(audit)), F.lit(1000) * (1 + F.size(mine)))
+    joined = docs.withColumn(read, F.from_json(F.col(pairs), "map<string,string>")).join(few, "collection", "left")
+    get = lambda k: F.try_element_at(F.col(read), k)
+
+    def result(rule: Column) -> Column:
+        value = get(rule["field"])
+        errors = errors_by(value, get(F.concat(rule["field"], F.lit("_s"))), rule, today, threshold)
+        return F.struct(rule["field"].alias("FieldName"), value.alias("ValueScanned"), (F.size(errors) == 0).alias("IsValid"), errors.alias("ValidationErrors"))
+
+    out = joined.withColumn("results", F.coalesce(F.transform(F.col(mine), result), F.array()).cast(kind))
+    broken = F.col(read).isNull() | get(F.lit("error")).isNotNull()
+    text = F.when(~F.exists("results", lambda r: ~r["IsValid"]) & ~broken, "True").otherwise("False")
+    out = out.withColumn("validation_passed", text).withColumn("data_is_valid", F.when(F.col(audit), "False").otherwise(F.col("validation_passed")))
+    return out.select(*(f"`{c}`" for c in docs.columns if c not in ("results", "validation_passed", "data_is_valid")), "results", "validation_passed", "data_is_valid")
+
+
 def review_status(passed: Column) -> dict[str, Column]:
     """What a review item says of a document."""
     return {"Status": F.when(passed, "Complete").otherwise("Failed"), "Error": F.when(passed, "").otherwise("Validation Error"), "ErrorCode": F.when(passed, "").otherwise("1")}

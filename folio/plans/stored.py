@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,16 +12,7 @@ from folio.plans.linkage import listed_keys
 from folio.plans.registry import query
 from folio.plans.views import ENRICHMENT, MANIFEST, enrichment, manifest, table
 from folio.sources import adapters, readers, sinks
-
-
-def folder(spark: SparkSession) -> str:
-    """A new folder of the storage that all executors share; a local one only on a local master."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="folio-")
-    return f"{shared.rstrip('/')}/stored-{uuid.uuid4().hex}"
+from folio.sources.staging import new_folder as folder
 
 
 @query("q74_csv", "SELECT p_partkey, p_name || '; \"' || p_brand || '\"' AS p_name, p_retailprice FROM part")

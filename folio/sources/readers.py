@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio import model
 from folio.functions import text
+from folio.sources import staging
 
 #: Cells of a manifest that mean "missing".
 MISSING = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "n/a", "#N/A")
@@ -40,35 +39,102 @@ def inferred_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True, sep=sep)
 
 
+#: Lines that one record may have; a quote that stays open for longer makes a bad record.
+RECORD_LINES = 1000
+_OPEN = r'(?s)(^|\|)"(?:[^"~]|~.|"")*+"(?:[^|~]|~.)*+'
+
+
+def _opens(line: Column) -> Column:
+    """Whether a quoted cell is open at the end of a line that begins outside of one."""
+    # whole quoted cells go; what is left of a quote at a cell's start is open
+    return F.regexp_replace(line, _OPEN, "$1").rlike(r'(^|\|)"')
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, nth, value``: the records of pipe-separated files, of which quoted cells may hold line breaks.
+
+    Files are read in splits, and whether a line begins inside a quoted cell depends on
+    all lines before it.  So each line is first seen both ways: it leaves the state as it
+    is, turns it, or sets it, whatever it was.  The splits' sums of that, a row for each, give
+    the state that a split begins in; within splits the same sums give the state of each
+    line.  Lines that begin outside begin a record.  Only lines of records that have
+    several are grouped, at most ``RECORD_LINES``; a record of more is a quote that was never closed, and left out.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), "value")
+    if_out, if_in = _opens(F.col("value")), _opens(F.concat(F.lit('"x'), F.col("value")))
+    seen = lines.withColumns({"sets": F.when(if_out == if_in, if_out.cast("int")), "turns": (if_out & ~if_in).cast("int")})
+    seen = staging.materialise(seen)
+    split, in_split = ["file", "start"], Window.partitionBy("file", "start").orderBy("n")
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+
+    def state(window: WindowSpec, sets: str, turns: str) -> tuple[Column, Column]:
+        """What the rows before set last, and whether those since then turn it."""
+        turned = F.coalesce(F.sum(turns).over(window), F.lit(0))
+        at = F.last(F.when(F.col(sets).isNotNull(), F.struct(F.col(sets).alias("to"), F.col("_turned").alias("turned"))), ignorenulls=True).over(window)
+        return at["to"], F.pmod(turned - F.coalesce(at["turned"], F.lit(0)), F.lit(2))
+
+    counted = seen.withColumn("_turned", F.sum("turns").over(in_split))
+    last = F.max_by(F.struct(F.col("sets").alias("to"), F.col("_turned").alias("turned")), F.when(F.col("sets").isNotNull(), F.col("n")))
+    sums = counted.groupBy(*split).agg(last.alias("last"), F.sum("turns").alias("all"))
+    sums = sums.select(*split, F.pmod(F.coalesce("last.to", F.lit(0)) + F.col("all") - F.coalesce("last.turned", F.lit(0)), F.lit(2)).alias("end"), F.col("last").isNull().alias("relative"))
+    in_file = Window.partitionBy("file").orderBy("start")
+    # a split that sets nothing turns what it finds if its end is 1
+    splits = sums.withColumns({"sets": F.when(~F.col("relative"), F.col("end").cast("int")), "turns": F.when(F.col("relative"), F.col("end")).otherwise(0)})
+    splits = splits.withColumn("_turned", F.sum("turns").over(in_file))
+    to, turned = state(in_file.rowsBetween(Window.unboundedPreceding, -1), "sets", "turns")
+    begins = splits.select(*split, F.pmod(F.coalesce(to, F.lit(0)) + turned, F.lit(2)).alias("begin"))
+    to, turned = state(before, "sets", "turns")
+    placed = counted.join(begins, split).withColumn("inside", F.pmod(F.coalesce(to, F.col("begin")) + turned, F.lit(2)) == 1)
+    placed = staging.materialise(placed.select(*split, "n", "value", "inside", F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(in_split).alias("at")))
+    sizes = placed.groupBy(*split).agg(F.count_if(~F.col("inside")).alias("k"))
+    offsets = sizes.select(*split, F.coalesce(F.sum("k").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    numbered = placed.join(offsets, split).select("file", "start", "n", "value", (F.col("at") + F.col("offset")).alias("nth"), "inside")
+    many = staging.materialise(numbered.filter("inside").groupBy("file", "nth").agg(F.count("*").alias("more")))
+    single = numbered.filter("NOT inside").join(many, ["file", "nth"], "left_anti").select("file", "nth", "value")
+    parts = numbered.join(many.filter(F.col("more") < RECORD_LINES).select("file", "nth"), ["file", "nth"])
+    whole = parts.groupBy("file", "nth").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "n", "value"))), lambda x: x["value"]), "\n").alias("value"))
+    # the last record of a file may be open at its end: its quote was never closed
+    return single.unionAll(whole).filter(~_opens(F.col("value")))
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A pipe-separated batch manifest with quoted cells, all strings.
+    """Pipe-separated batch manifests with quoted cells, all strings.
 
-    Quotes inside cells may be doubled or behind ``~``; the number of columns is the
-    header's, and lines with more cells are left out.  Raises ValueError if no row is
-    left.  Lines are parsed in the executors by one expression each.
+    Quotes inside cells may be doubled or behind ``~``, which takes any character as it is; quoted cells may hold separators and
+    line breaks.  Each file begins with its own header; the columns are those of all headers,
+    in the order in which they appear by file name, and null where a file has none.  Records with more cells than
+    their header and records whose quote is not closed are left out.  Raises ValueError if no row is left.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    header = lines.first()
-    if header is None:
+    found = staging.materialise(records(spark, path).filter(F.trim("value") != ""))
+    first = found.groupBy("file").agg(F.min_by("value", "nth").alias("head"), F.min("nth").alias("nth"))
+    # distinct headers are configuration: a few, whatever the number of files
+    heads = [r[0] for r in first.groupBy("head").agg(F.min("file").alias("file")).orderBy("file").select("head").collect()]
+    if not heads:
         raise ValueError("the manifest is empty")
-    names = [text.snake_case(h.strip().strip('"')) for h in re.split(r"\|", header[0].lstrip("\ufeff"))]
-    # a header is the first line of its file; an equal line further down is a row
-    numbered = lines.withColumn("n", F.monotonically_increasing_id())
-    heads = numbered.filter("start = 0").groupBy("file").agg(F.min("n").alias("n"))
-    rows = numbered.join(heads.select("n"), "n", "left_anti").filter(F.trim("value") != "")
-    cells = _cells(F.col("value"))
-    parsed = rows.select(cells.alias("cells")).filter(F.size("cells") <= len(names))
-    out = parsed.select(*(_present(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(names)))
+    called = lambda cell: text.snake_case(cell.strip().strip('"').strip())
+    names = {h: [called(c) for c in h.lstrip("\ufeff").split("|")] for h in heads}
+    columns = list(dict.fromkeys(n for h in heads for n in names[h]))
+    of_file = first.select("file", F.col("nth").alias("_nth"), "head")
+    rows = found.join(staging.checked_broadcast(of_file, F.lit(200) + F.octet_length("head")), "file").filter(F.col("nth") > F.col("_nth")).select("head", _cells(F.col("value")).alias("cells"))
+    out = None
+    for head in heads:
+        at = {n: i for i, n in reversed(list(enumerate(names[head])))}
+        mine = rows.filter((F.col("head") == head) & (F.size("cells") <= len(names[head])))
+        cells = mine.select(*((_present(F.get("cells", F.lit(at[c]))) if c in at else F.lit(None).cast("string")).alias(c) for c in columns))
+        out = cells if out is None else out.unionAll(cells)
     if out.isEmpty():
         raise ValueError("the manifest has no row")
     return out
 
 
-def _cells(line: Column) -> Column:
-    """Cells of a line: quoted ones keep separators; escaped and doubled quotes become plain ones."""
-    safe = F.regexp_replace(F.regexp_replace(line, '~"', "\x01"), '(?<=[^|])""(?=[^|])', "\x01")
-    found = F.regexp_extract_all(safe, F.lit(r'(?:^|\|)("[^"]*"|[^|"]*)'), F.lit(1))
-    return F.transform(found, lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit("\x01"), F.lit('"')))
+_CELL = r'(?s)\|("(?:[^"~]|~.|"")*+"(?:[^|~]|~.)*+|(?:[^|~]|~.)*+)'
+
+
+def _cells(record: Column) -> Column:
+    """Cells of a record: quoted ones keep separators; escaped and doubled quotes become plain ones."""
+    found = F.regexp_extract_all(F.concat(F.lit("|"), record), F.lit(_CELL), F.lit(1))
+    inside = lambda c: F.regexp_replace(F.regexp_replace(c, r'(?s)^"((?:[^"~]|~.|"")*+)"', "$1"), r'(?s)(?:"(?=")|~)(.)', "$1")
+    return F.transform(found, lambda c: F.when(F.startswith(c, F.lit('"')), inside(c)).otherwise(F.regexp_replace(c, "(?s)~(.)", "$1")))
 
 
 def _present(c: Column) -> Column:
