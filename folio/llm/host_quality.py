@@ -41,6 +41,8 @@ class Rules:
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+#: Hosts that hold more than a share of one in so many rows are joined apart where hosts are too many to send.
+HOT = 1000
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -125,8 +127,17 @@ def apply_rules(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -
     """``doc_id, host``, the measures, ``base_failed, own_failed, host_rate, kept`` of every row."""
     judged = with_failures(measures(docs.select(F.col("doc_id"), F.col(host).alias("host"), "text"), "doc_id", "host"), rules)
     judged = shared.materialise(judged)
-    hosts = host_rates(judged, "host", rules).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate"))
-    joined = judged.join(shared.checked_broadcast(hosts), F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
+    hosts = host_rates(judged, "host", rules).select(F.col("host").alias("_host"), "n_docs", F.col("rate").alias("host_rate"))
+    same = F.col("host").eqNullSafe(F.col("_host"))
+    few = shared.checked_broadcast(hosts)
+    if few is hosts:
+        # too many hosts to send: those with a thousandth of all rows are, the others' rows are shuffled
+        hot = F.broadcast(hosts.filter(F.col("n_docs") * HOT > judged.count()))  # HOT rows at most, by the way it is made
+        rest = judged.join(hot.select("_host"), same, "left_anti")
+        joined = judged.join(hot, same).unionByName(rest.join(hosts, same, "left"))
+    else:
+        joined = judged.join(few, same, "left")
+    joined = joined.drop("_host", "n_docs")
     return joined.withColumn("kept", ~F.col("own_failed") & (F.col("host_rate") <= rules.max_host_rate))
 
 

@@ -1,6 +1,6 @@
 """Removal of lines that many documents share, in DataFrame operations only.
 
-1. Lines become ``(key hash, document, position)``, one row each.
+1. Lines become ``(key hash, document, position)``, one row each, written once.
 2. These rows are range-partitioned by the hash and sorted within the partitions by
    hash, then document (the largest first), then position.  A sliding pass over the
    sorted runs needs no look back: the first document of a run keeps its lines, the
@@ -55,20 +55,30 @@ def occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
 
 
 def hot_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``h1, h2`` of at most ``HOT`` keys that hold more than that share of the lines of a sample of documents."""
-    share = max(1, int((1 << 20) * SAMPLE / max(docs.count(), 1)))
-    lines = occurrences(docs.filter(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < share), min_chars)
-    counts = shared.materialise(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")))
+    """``h1, h2`` of at most ``HOT`` keys that hold more than that share of the lines of a sample of documents.
+
+    With more shuffle partitions than ``HOT`` it is a partition's share, and as many keys.
+    """
+    return _hot(occurrences(docs, min_chars), docs.count())
+
+
+def _hot(lines: DataFrame, n_docs: int) -> DataFrame:
+    share = max(1, int((1 << 20) * SAMPLE / max(n_docs, 1)))
+    drawn = lines.filter(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < share)
+    counts = shared.materialise(drawn.groupBy("h1", "h2").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.filter(F.col("n") > max(total / HOT, 10)).select("h1", "h2")
+    partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counts.filter(F.col("n") > max(total / max(HOT, partitions), 10)).select("h1", "h2")
 
 
 def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """``doc_id, version, pos`` of the lines that go."""
     pieces = max(PIECES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(hot_keys(docs, min_chars).withColumn("hot", F.lit(True)))  # HOT rows at most, by the way it is made
+    # texts are split and hashed once: the sample, the bounds of the ranges and the pass read what comes of it
+    lines = shared.materialise(occurrences(docs, min_chars))
+    hot = F.broadcast(_hot(lines, docs.count()).withColumn("hot", F.lit(True)))  # HOT rows at most, by the way it is made
     piece = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(pieces))).otherwise(0)
-    keyed = occurrences(docs, min_chars).join(hot, ["h1", "h2"], "left").withColumn("piece", piece).withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
+    keyed = lines.join(hot, ["h1", "h2"], "left").withColumn("piece", piece).withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
     runs = keyed.repartitionByRange("h1", "h2", "piece").sortWithinPartitions("h1", "h2", "piece", F.desc("doc"), "pos")
     run = Window.partitionBy("h1", "h2", "piece")
     # which document of its run a row is of, the last document at hand, and for pieces how many there are

@@ -406,6 +406,20 @@ def test_hosts_that_fail_lose_their_documents(spark):
     assert not got[2000].kept and got[2000].host_rate < 0.5 == got[2001].kept - 0.5 and got[2001].kept
 
 
+def test_hosts_too_many_to_send(spark, monkeypatch):
+    """A host of a third of all rows, many small ones and the null host: the same verdicts by a split join."""
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 31 == 0 else f"h{i % 40}", prose(i, 60) if i % 4 else "short") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    row = lambda r: (r.doc_id, r.host or "", r.kept, round(r.host_rate, 9))
+    want = sorted(map(row, host_quality.apply_rules(docs).collect()))
+    monkeypatch.setattr(host_quality.shared, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(host_quality.shared, "checked_broadcast", lambda df, bound=1, size=None: df)
+    monkeypatch.setattr(host_quality, "HOT", 5)
+    found = host_quality.apply_rules(docs)
+    assert sorted(map(row, found.collect())) == want and len(want) == 300
+    assert found.columns == host_quality.apply_rules(docs.limit(1)).columns
+
+
 def test_small_hosts_do_not_widen_the_prior(spark):
     """Hosts of one page say nothing of how hosts differ, so each is shrunk to nearly the common rate."""
     rows = [(i, "short" if i % 10 < 3 else prose(i, 80), f"h{i}") for i in range(200)] + [(1000 + i, "short" if i % 10 < 3 else prose(i, 80), "big") for i in range(100)]
