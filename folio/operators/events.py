@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.sources import staging
+
+_PARTS = staging.hidden("parts")
+
 STATES = ("Ready", "Complete", "Failed", "NoOp")
 REQUIRED = ("Source", "PipelineName", "TransactionId", "BatchName")
 
@@ -34,7 +38,7 @@ def review_messages(items: DataFrame, batch: str = "BatchId") -> DataFrame:
     Parts keep a batch of any size from gathering in one task.
     """
     columns = [c for c in items.columns if c != batch]
-    sizes = items.groupBy(batch).agg(F.ceil(F.count("*") / 1000).alias("_parts"))
-    dealt = items.join(sizes, batch).withColumn("part", F.pmod(F.xxhash64(*columns[:1]), F.col("_parts")))
+    sizes = items.groupBy(batch).agg(F.ceil(F.count("*") / 1000).alias(_PARTS))
+    dealt = items.join(sizes, batch).withColumn("part", F.pmod(F.xxhash64(*columns[:1]), F.col(_PARTS)))
     got = dealt.groupBy(batch, "part").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("Items"))
     return got.select(batch, "part", F.size("Items").cast("long").alias("n_items"), F.to_json(F.struct(F.col(batch), F.col("Items"))).alias("message"))

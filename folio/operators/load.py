@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.functions import text
+from folio.sources import staging
+
+_READ, _ORDER, _TEXT, _RANK = (staging.hidden(c) for c in ("read", "order", "text", "rank"))
 
 
 def reenter(items: DataFrame, corrected: DataFrame) -> DataFrame:
@@ -26,11 +30,24 @@ def with_dimension(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame
     return rows.join(dimension.dropDuplicates([key]), key, "left")
 
 
+def as_variant(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with a JSON column parsed once, to be stored; a text that is no JSON is null."""
+    return rows.withColumn(column, F.try_parse_json(column))
+
+
 def explode_fields(rows: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:
-    """One typed column for each field of a JSON column; texts of numbers count as numbers."""
-    parsed = rows.withColumn("_p", F.from_json(column, ", ".join(f"`{f}` string" for f in fields)))
+    """One typed column for each field of a JSON column; texts of numbers count as numbers.
+
+    Of a variant column the paths of the fields are read, and nothing is parsed.
+    """
+    if isinstance(rows.schema[column].dataType, T.VariantType):
+        # a path takes a name between quotes of the kind that it does not hold
+        path = lambda f: f"$['{f}']" if "'" not in f else f'$["{f}"]'
+        cast = {"integer": "int", "date": "string", "string": "string"}
+        return rows.select("*", *(F.try_variant_get(F.col(column), path(f), "string").try_cast(cast.get(k, k)).alias(f) for f, k in fields.items()))
+    parsed = rows.withColumn(_READ, F.from_json(column, ", ".join(f"`{f}` string" for f in fields)))
     cast = {"integer": "int", "date": "string", "string": "string"}
-    return parsed.select("*", *(F.col(f"_p.`{f}`").try_cast(cast.get(k, k)).alias(f) for f, k in fields.items())).drop("_p")
+    return parsed.select("*", *(F.col(f"{_READ}.`{f}`").try_cast(cast.get(k, k)).alias(f) for f, k in fields.items())).drop(_READ)
 
 
 def grouped_text(rows: DataFrame, keys: list[str], order: str, value: str, most: int = 900) -> DataFrame:
@@ -40,12 +57,12 @@ def grouped_text(rows: DataFrame, keys: list[str], order: str, value: str, most:
     the cap's worth of each, can count: the rank limit runs before the shuffle too, and
     no group of any size is gathered.
     """
-    ranked = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(order).alias("_o"), F.left(F.col(value), F.lit(most)).alias("_t"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_o", "_t"))
-    few = ranked.withColumn("_rank", rank).filter(F.col("_rank") <= most)
-    pieces = F.array_sort(F.collect_list(F.struct("_rank", "_t")))
-    joined = F.array_join(F.transform(pieces, lambda p: p["_t"]), " ")
-    own = [f"_key{i}" for i in range(len(keys))]
+    ranked = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(order).alias(_ORDER), F.left(F.col(value), F.lit(most)).alias(_TEXT))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(_ORDER, _TEXT))
+    few = ranked.withColumn(_RANK, rank).filter(F.col(_RANK) <= most)
+    pieces = F.array_sort(F.collect_list(F.struct(_RANK, _TEXT)))
+    joined = F.array_join(F.transform(pieces, lambda p: p[_TEXT]), " ")
+    own = [staging.hidden(f"key{i}") for i in range(len(keys))]
     texts = few.groupBy(*keys).agg(text.capped(joined, most).alias("text")).toDF(*own, "text")
     first = rows.groupBy(*keys).agg(F.min(order).alias("first_path"))
     same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.functions import dates
 from folio.model import FieldRule
@@ -114,8 +115,14 @@ def field_result(value: Column, errors: Column, name: str) -> Column:
     return F.struct(F.lit(name).alias("FieldName"), value.alias("ValueScanned"), (F.size(errors) == 0).alias("IsValid"), errors.alias("ValidationErrors"))
 
 
+def read_pairs(docs: DataFrame, column: str) -> Column:
+    """Key/value JSON as a map of strings, null for anything else; a variant column is not parsed again."""
+    c = F.col(f"`{column}`")
+    return c.try_cast("map<string,string>") if isinstance(docs.schema[column].dataType, T.VariantType) else F.from_json(c, "map<string,string>")
+
+
 def parse_pairs(c: Column) -> Column:
-    """Key/value JSON as a map of strings; empty for anything else."""
+    """The same of a text column, empty for anything else."""
     return F.coalesce(F.from_json(c, "map<string,string>"), F.create_map().cast("map<string,string>"))
 
 
@@ -126,12 +133,12 @@ def validate(docs: DataFrame, rules: list[FieldRule], today: str, pairs: str = "
     documents are to be reviewed, so the first flag is False while the second tells
     the outcome.
     """
-    parsed = docs.withColumn(_READ, parse_pairs(F.col(pairs)))
+    parsed = docs.withColumn(_READ, read_pairs(docs, pairs))
     get = lambda k: F.try_element_at(F.col(_READ), F.lit(k))
     results = [field_result(get(r.name), field_errors(get(r.name), get(f"{r.name}_s"), r, today, threshold), r.name) for r in rules]
     kind = "array<struct<FieldName:string,ValueScanned:string,IsValid:boolean,ValidationErrors:array<string>>>"
     out = parsed.withColumn("results", (F.array(*results) if results else F.array()).cast(kind))
-    broken = get("error").isNotNull() | F.col(pairs).isNull() | F.from_json(F.col(pairs), "map<string,string>").isNull()
+    broken = get("error").isNotNull() | F.col(_READ).isNull()
     passed = ~F.exists("results", lambda r: ~r["IsValid"]) & ~F.coalesce(broken, F.lit(False))
     text = F.when(passed, "True").otherwise("False")
     return out.withColumn("validation_passed", text).withColumn("data_is_valid", F.lit("False") if audit else text).drop(_READ)
@@ -232,7 +239,7 @@ def validate_by(docs: DataFrame, rules: DataFrame, today: str, pairs: str = "key
     kind = "array<struct<FieldName:string,ValueScanned:string,IsValid:boolean,ValidationErrors:array<string>>>"
     read, mine, audit = (staging.hidden(c) for c in ("read", "rules", "audit"))
     few = staging.checked_broadcast(rules.select(F.col("collection"), F.col("rules").alias(mine), F.col("audit").alias(audit)), F.lit(1000) * (1 + F.size(mine)))
-    joined = docs.withColumn(read, F.from_json(F.col(pairs), "map<string,string>")).join(few, "collection", "left")
+    joined = docs.withColumn(read, read_pairs(docs, pairs)).join(few, "collection", "left")
     get = lambda k: F.try_element_at(F.col(read), k)
 
     def result(rule: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio import model
-from folio.operators import align, events, matching, rules, search, segments
+from folio.operators import align, events, load, matching, rules, search, segments
 from folio.plans.linkage import PAIRS, listed_keys, whole_keys
 from folio.plans.registry import query
 from folio.plans.views import ENRICHMENT, enrichment, table
@@ -56,7 +56,9 @@ def first_accepted(spark: SparkSession, d: str) -> DataFrame:
     if some[0] == some[1]:  # nothing to learn from
         scored = met.withColumn("model_score", F.lit(0.0))
     else:
-        scored = matching.rescore(met, columns, matching.fit_rescorer(met, columns, "agree"))
+        path = new_folder(spark)
+        matching.fit_rescorer(met, columns, "agree").write().save(path)
+        scored = matching.rescore(met, columns, path)
     return search.first_accepted(scored, table(spark, d, "supplier").select(F.col("s_suppkey").alias("q_id")))
 
 
@@ -181,3 +183,51 @@ def column_differences(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer")
     missing, _ = align.column_changes(rows.select("c_custkey", "c_name", "c_nationkey").columns, rows.columns)
     return rows.agg(F.count("*").alias("n")).select(F.explode(F.lit(missing)).alias("missing"), "n")
+
+
+@query("q100_variant_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS missing FROM events")
+def variant_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of documents that were parsed once, when they were stored."""
+    stored = materialise(load.as_variant(table(spark, d, "events").select("event_id", "props"), "props"))
+    return load.explode_fields(stored, "props", {"k": "integer", "missing": "string"}).select("event_id", "k", "missing")
+
+
+@query("q101_variant_documents", "SELECT p_partkey, CASE WHEN p_size >= 8 AND length(p_name) >= 9 AND p_partkey % 7 <> 0 THEN 'True' ELSE 'False' END AS validation_passed, 'False' AS data_is_valid FROM part")
+def variant_documents(spark: SparkSession, d: str) -> DataFrame:
+    pairs = F.when(F.col("p_partkey") % 7 == 0, F.lit('{"error": "x"}')).otherwise(F.to_json(F.struct(F.col("p_name").alias("name"), (F.col("p_size") * 10).alias("name_s"))))
+    stored = materialise(load.as_variant(table(spark, d, "part").select("p_partkey", pairs.alias("key_value_pairs")), "key_value_pairs"))
+    checked = rules.validate(stored, [model.FieldRule("name", min_length=9, special=" "), model.FieldRule("other", allow_null=True)], "2024-01-01", audit=True)
+    return checked.select("p_partkey", "validation_passed", "data_is_valid")
+
+
+@query("q102_listing", "SELECT DISTINCT replace(p_brand, '#', '') AS brand FROM part")
+def listing(spark: SparkSession, d: str) -> DataFrame:
+    """The folders of a written table, from the names of its files."""
+    path = new_folder(spark)
+    table(spark, d, "part").withColumn("brand", F.replace("p_brand", F.lit("#"), F.lit(""))).write.partitionBy("brand").parquet(path)
+    found = readers.listing(spark, path, "*.parquet").filter("length > 0")
+    return found.select(F.regexp_extract("path", "brand=([^/]+)/", 1).alias("brand")).distinct()
+
+
+@query("q103_archives", "SELECT coalesce(source, 'none') || '-' || doc_id % 8 || '.zip' AS archive, doc_id || '.txt' AS name, sha256(coalesce(text, '')) AS digest FROM documents")
+def archives(spark: SparkSession, d: str) -> DataFrame:
+    """All texts written into archives and expanded again, member by member, in pieces."""
+    path, n = new_folder(spark), F.col("doc_id")
+    archive = F.concat_ws("-", F.coalesce("source", F.lit("none")), F.concat((n % 8).cast("string"), F.lit(".zip")))
+    adapters.pack(table(spark, d, "documents").select(archive.alias("archive"), F.concat(n.cast("string"), F.lit(".txt")).alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("content")), path)
+    pieces = adapters.expand(spark, path).groupBy("archive", "name").agg(F.array_sort(F.collect_list(F.struct("part", "content"))).alias("pieces"))
+    whole = F.aggregate("pieces", F.lit(b""), lambda x, p: F.concat(x, p["content"]))
+    return pieces.select(F.substring_index("archive", "/", -1).alias("archive"), "name", F.sha2(whole, 256).alias("digest"))
+
+
+@query("q104_table_columns", "SELECT * FROM (VALUES (0, 'n_nationkey', false), (1, 'n_name', false), (2, 'n_regionkey', true)) v(place, name, partitioned), (SELECT count(*) AS n FROM nation)")
+def table_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of a catalogue table, and the rows read by its name."""
+    path = new_folder(spark)
+    name = f"folio_{path[-12:]}"
+    table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").write.partitionBy("n_regionkey").option("path", path).saveAsTable(name)
+    columns, partitions = readers.table_columns(spark, name)
+    n = readers.table(spark, name).count()
+    spark.sql(f"DROP TABLE {name}")
+    listed = spark.createDataFrame([(i, c, c in partitions) for i, c in enumerate(columns)], "place int, name string, partitioned boolean")
+    return listed.withColumn("n", F.lit(n))

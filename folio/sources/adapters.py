@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import json
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.functions import text
+from folio.sources import staging
 
+_ANSWER, _FIELDS, _PATHS, _LINES = (staging.hidden(c) for c in ("answer", "fields", "paths", "lines"))
 FAILED = "Could Not be Processed"
 
 
@@ -60,10 +63,10 @@ def append_lookup(rows: DataFrame, request: str, service: Callable[[list[str]],
     ``fields`` names the columns and the answer's keys; a call that fails gives its error
     in every field and is that row's only.
     """
-    called = call_service(rows, request, service, "_answer", batch)
-    parsed = called.withColumn("_fields", F.from_json("_answer", "map<string,string>"))
+    called = call_service(rows, request, service, _ANSWER, batch)
+    parsed = called.withColumn(_FIELDS, F.from_json(_ANSWER, "map<string,string>"))
     failed = F.when(F.col("error").isNotNull(), F.concat(F.lit("Error: "), "error"))
-    return parsed.withColumns({c: F.coalesce(failed, F.try_element_at("_fields", F.lit(k))) for c, k in fields.items()}).drop("_answer", "_fields", "error")
+    return parsed.withColumns({c: F.coalesce(failed, F.try_element_at(_FIELDS, F.lit(k))) for c, k in fields.items()}).drop(_ANSWER, _FIELDS, "error")
 
 
 def unzip(spark: SparkSession, path: str) -> DataFrame:
@@ -80,6 +83,93 @@ def unzip(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, name string, content binary")
 
 
+#: Bytes of a member that come out in one row.
+PIECE = 4 << 20
+
+
+def _place(path: str):
+    """The file system of a path, of those that Arrow knows, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
+
+
+def _opened(path: str):
+    """A file that can be read from any place."""
+    storage, place = _place(path)
+    return storage.open_input_file(place)
+
+
+def pack(rows: DataFrame, folder: str) -> int:
+    """Writes ``archive, name, content`` as archives in a shared folder, names sorted within each; returns how many.
+
+    An archive is written by one task, a file at a time, beside its place and then moved
+    there, so one that is written again after a lost executor replaces itself.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        storage, root = _place(folder)
+        storage.create_dir(root, recursive=True)
+        mine, z, out, begun = uuid.uuid4().hex, None, None, None
+
+        def end() -> pd.DataFrame:
+            z.close()
+            out.close()
+            storage.move(f"{root}/{begun}.{mine}", f"{root}/{begun}")
+            return pd.DataFrame({"archive": [begun]})
+
+        for frame in frames:
+            for archive, name, content in zip(frame["archive"], frame["name"], frame["content"], strict=True):
+                if archive != begun:
+                    if z:
+                        yield end()
+                    out = storage.open_output_stream(f"{root}/{archive}.{mine}")
+                    z, begun = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED), archive
+                z.writestr(zipfile.ZipInfo(name), content or b"", zipfile.ZIP_DEFLATED)
+        if z:
+            yield end()
+
+    dealt = rows.select("archive", "name", "content").repartition("archive").sortWithinPartitions("archive", "name")
+    return dealt.mapInPandas(run, "archive string").count()
+
+
+def members(spark: SparkSession, path: str) -> DataFrame:
+    """``archive, name, packed, size``: the files in archives, of which only the directories at their ends are read."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for archive in frame["path"]:
+                with _opened(archive) as file, zipfile.ZipFile(file) as z:
+                    found = [(archive, i.filename, i.compress_size, i.file_size) for i in z.infolist() if not i.is_dir()]
+                yield pd.DataFrame(found, columns=["archive", "name", "packed", "size"])
+
+    return spark.read.format("binaryFile").load(path).select("path").mapInPandas(run, "archive string, name string, packed long, size long")
+
+
+def expand(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """``archive, name, part, content``: the files in archives of any size, in pieces of ``PIECE`` bytes.
+
+    An index of members is made first and dealt to tasks by member, so one large archive is
+    expanded by many tasks; each reads only the ranges of its members, and holds one piece.
+    A file without bytes has one empty piece.
+    """
+    found = staging.materialise(members(spark, path))
+    n = tasks or max(1, min(found.count(), spark.sparkContext.defaultParallelism * 4))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for archive, mine in frame.groupby("archive"):
+                with _opened(archive) as file, zipfile.ZipFile(file) as z:
+                    for name in mine["name"]:
+                        with z.open(name) as member:
+                            part, content = 0, member.read(PIECE)
+                            while content or not part:
+                                yield pd.DataFrame({"archive": [archive], "name": [name], "part": [part], "content": [content]})
+                                part, content = part + 1, member.read(PIECE)
+
+    return found.select("archive", "name").repartition(n, "archive", "name").mapInPandas(run, "archive string, name string, part int, content binary")
+
+
 def ocr_lines(blocks: Column) -> Column:
     """``text, center`` of LINE blocks with four corners; the center is their mean to four places."""
     lines = F.filter(blocks, lambda b: (b["type"] == "LINE") & (F.size(b["corners"]) == 4))
@@ -106,15 +196,15 @@ def read_images(rows: DataFrame, service: Callable[[list[str]], list[str]], path
         return [json.dumps([block for _ in paths for block in json.loads(next(answers))]) for paths in wanted]
 
     paths = text.rotations(F.col(path)) if rotated else F.array(path)
-    called = call_service(rows.withColumn("_paths", F.to_json(paths)), "_paths", read, "_blocks", batch)
-    lines = called.withColumn("_lines", ocr_lines(F.from_json("_blocks", BLOCKS)))
-    found = F.filter(F.transform("_lines", lambda line: line["text"]), lambda t: t != "")
+    called = call_service(rows.withColumn(_PATHS, F.to_json(paths)), _PATHS, read, _ANSWER, batch)
+    lines = called.withColumn(_LINES, ocr_lines(F.from_json(_ANSWER, BLOCKS)))
+    found = F.filter(F.transform(_LINES, lambda line: line["text"]), lambda t: t != "")
     quoted = lambda t: F.regexp_extract(F.to_json(F.array(t)), r"(?s)^\[(.*)\]$", 1)
     center = lambda c: F.concat(F.lit("["), F.array_join(c.cast("array<string>"), ", "), F.lit("]"))
-    pairs = F.transform("_lines", lambda line: F.concat(F.lit("["), quoted(line["text"]), F.lit(", "), center(line["center"]), F.lit("]")))
-    failed = F.col("error").isNotNull() | F.col("_lines").isNull()
+    pairs = F.transform(_LINES, lambda line: F.concat(F.lit("["), quoted(line["text"]), F.lit(", "), center(line["center"]), F.lit("]")))
+    failed = F.col("error").isNotNull() | F.col(_LINES).isNull()
     made = {"ocr_liquid_text": F.array_join(F.array_distinct(found), " "), "ocr_spatial_info": F.concat(F.lit("["), F.array_join(pairs, ", "), F.lit("]"))}
-    return lines.withColumns({n: F.when(failed, FAILED).otherwise(c) for n, c in made.items()}).drop("_paths", "_blocks", "_lines", "error")
+    return lines.withColumns({n: F.when(failed, FAILED).otherwise(c) for n, c in made.items()}).drop(_PATHS, _ANSWER, _LINES, "error")
 
 
 def prompt(keys: list[str], about: Column) -> Column:

@@ -3,14 +3,15 @@
 import csv
 import io
 import random
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from folio import model
 from folio.functions import similarity
-from folio.operators import rules, search
-from folio.sources import readers, staging
+from folio.operators import events, load, matching, rules, search
+from folio.sources import adapters, readers, staging
 
 
 # --- search
@@ -192,3 +193,49 @@ def test_shared_folder_of_a_cluster(spark):
         nowhere = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: None), sparkContext=SimpleNamespace(master=master))
         with pytest.raises(ValueError):
             staging.shared_folder(nowhere)
+
+
+def test_variants_are_read_and_not_parsed(spark):
+    texts = ['{"k": "5", "n": 7, "it\'s": "x", "deep": {"a": 1}}', '{"k": "x"}', "{}", "no json", None, "[1]", '{"k": null, "error": "E"}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, v string").withColumn("_p", F.lit("kept"))
+    fields = {"k": "integer", "n": "integer", "it's": "string"}
+    parsed, variant = load.explode_fields(rows, "v", fields), load.explode_fields(load.as_variant(rows, "v"), "v", fields)
+    pick = lambda df: sorted(tuple(r) for r in df.select("i", "_p", "k", "n", "`it's`").fillna(-1).fillna("").collect())
+    assert pick(parsed) == pick(variant) and pick(parsed)[0] == (0, "kept", 5, 7, "x")
+    stored = staging.materialise(load.as_variant(rows, "v"))
+    plan = load.explode_fields(stored, "v", fields)._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "from_json" not in plan
+    for docs in (rows, stored):
+        got = rules.validate(docs, [model.FieldRule("k", allow_null=True)], "2024-01-01", pairs="v", threshold=0).select("i", "validation_passed").collect()
+        assert [r[1] for r in sorted(got)] == ["True", "True", "True", "False", "False", "False", "False"]
+
+
+def test_archives_larger_than_a_piece(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapters, "PIECE", 1000)
+    draw, want = random.Random(2), {}
+    for a in ("one", "two"):
+        with zipfile.ZipFile(tmp_path / f"{a}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("folder/", b"")
+            for i in range(12):
+                want[a, f"folder/m{i}.bin"] = draw.randbytes(draw.choice([0, 1, 999, 1000, 1001, 25_000]))
+                z.writestr(f"folder/m{i}.bin", want[a, f"folder/m{i}.bin"])
+    found = adapters.members(spark, str(tmp_path)).collect()
+    assert {(r.archive.split("/")[-1][:3], r.name): r.size for r in found} == {k: len(v) for k, v in want.items()}
+    got = {}
+    for r in sorted(adapters.expand(spark, str(tmp_path), tasks=5).collect(), key=lambda r: r.part):
+        assert len(r.content) <= 1000
+        got.setdefault((r.archive.split("/")[-1][:3], r.name), []).append((r.part, bytes(r.content)))
+    assert {k: b"".join(c for _, c in v) for k, v in got.items()} == want
+    assert all([p for p, _ in v] == list(range(len(v))) for v in got.values())
+
+
+def test_clashing_names_are_kept(spark):
+    odd = {c: F.lit("kept") for c in ("_p", "_o", "_t", "_rank", "_parts", "_paths", "_blocks", "_lines", "_answer", "_fields", "_parsed")}
+    rows = spark.createDataFrame([(1, "b", '{"k": "5"}'), (2, "b", '{"k": "6"}')], "i int, b string, v string").withColumns(odd)
+    kept = lambda df: df.select(*odd).distinct().collect() == [tuple(["kept"] * len(odd))]
+    assert kept(load.explode_fields(rows, "v", {"k": "integer"})) and kept(matching.extract_json(rows, "v", ["k"]))
+    assert kept(adapters.append_lookup(rows, "v", lambda asked: asked, {"k": "k"}))
+    assert kept(adapters.read_images(rows.withColumn("image_path", F.lit("x")), lambda asked: ["[]"] * len(asked)))
+    (message,) = events.review_messages(rows.withColumn("BatchId", F.lit("x"))).collect()
+    assert message.message.count('"_parts":"kept"') == 2
+    assert load.grouped_text(rows, ["b", "_o"], "i", "v").first()["_o"] == "kept"
