@@ -281,7 +281,7 @@ def lessons(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 
 def fit(texts: pa.Array, steps: int = 80, rate: float = 0.2, decay: float = 1e-4) -> Field:
-    """Adam on the conditional log-likelihood; forward and backward sums run over all lines at once."""
+    """Adam on the conditional log-likelihood; forward and backward sums run over all lines at once, scaled at every word."""
     xs, ys = lessons(texts)
     emit, move, first = np.zeros((_OFFSETS[-1], 3)), np.zeros((3, 3)), np.zeros(3)
     move[OUT, INSIDE] = first[INSIDE] = NEVER
@@ -293,31 +293,37 @@ def fit(texts: pa.Array, steps: int = 80, rate: float = 0.2, decay: float = 1e-4
     n, T = len(xs), len(xs[0])
     last = np.array([len(x) - 1 for x in xs])
     reach = np.searchsorted(-last, -np.arange(T), side="right")
-    x, y, live = np.zeros((n, T, len(SLOTS)), np.int16), np.zeros((n, T), np.int64), np.zeros((n, T), bool)
-    for i, (a, b) in enumerate(zip(xs, ys, strict=True)):
-        x[i, : len(a)], y[i, : len(a)], live[i, : len(a)] = a, b, True
-    one = np.eye(3)[y] * live[:, :, None]
-    seen_move = np.einsum("nti,ntj->ij", one[:, :-1], one[:, 1:])
-    seen_first = one[:, 0].sum(0)
-    flat = x[live].ravel()
+    # words by place and then by line: all lines that have a word at a place lie side by side
+    place = np.repeat(np.arange(T), reach)
+    row = np.concatenate([np.arange(m) for m in reach])
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in xs])])
+    at = starts[row] + place
+    words, tags = np.concatenate(xs)[at], np.concatenate(ys)[at]
+    one, flat = np.eye(3)[tags], words.ravel()
+    next_place, next_row = place[place > 0], row[place > 0]
+    before = np.eye(3)[np.concatenate(ys)[starts[next_row] + next_place - 1]]
+    seen_move, seen_first = before.T @ one[place > 0], one[place == 0].sum(0)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (emit, move, first)]
+    likely, fore, back = np.zeros((T, n, 3)), np.zeros((T, n, 3)), np.ones((T, n, 3))
+    scaled = lambda z: z / (z.sum(axis=-1, keepdims=True) + 1e-300)
     for step in range(1, steps + 1):
-        score = sum(emit[x[:, :, k]] for k in range(len(SLOTS)))
-        fore, back = np.zeros((n, T, 3)), np.zeros((n, T, 3))
-        fore[:, 0] = first + score[:, 0]
-        lse = lambda z, axis: (m := z.max(axis, keepdims=True)).squeeze(axis) + np.log(np.exp(z - m).sum(axis))
+        score = sum(emit[words[:, k]] for k in range(len(SLOTS)))
+        likely[place, row] = np.exp(score - score.max(axis=1, keepdims=True))
+        through = np.exp(move)
+        fore[0] = scaled(np.exp(first - first.max()) * likely[0])
         for t in range(1, T):
             m = reach[t]
-            fore[:m, t] = lse(fore[:m, t - 1][:, :, None] + move[None], 1) + score[:m, t]
-        z = lse(fore[np.arange(n), last], 1)
+            fore[t, :m] = scaled((fore[t - 1, :m] @ through) * likely[t, :m])
         for t in range(T - 2, -1, -1):
             m = reach[t + 1]
-            back[:m, t] = lse(move[None] + (score[:m, t + 1] + back[:m, t + 1])[:, None, :], 2)
-        mass = np.exp(fore + back - z[:, None, None]) * live[:, :, None]
-        pair = np.exp(np.clip(fore[:, :-1, :, None] + move + (score + back)[:, 1:, None, :] - z[:, None, None, None], -700, 50)) * live[:, 1:, None, None]
-        left = (one - mass)[live]
+            back[t, :m] = scaled((likely[t + 1, :m] * back[t + 1, :m]) @ through.T)
+        mass = scaled(fore[place, row] * back[place, row])
+        after = likely[next_place, next_row] * back[next_place, next_row]
+        pair = fore[next_place - 1, next_row][:, :, None] * through * after[:, None, :]
+        pair /= pair.sum((1, 2), keepdims=True) + 1e-300
+        left = one - mass
         ge = np.stack([np.bincount(flat, np.repeat(left[:, k], len(SLOTS)), minlength=len(emit)) for k in range(3)], axis=1)
-        grads = [ge / n - decay * emit, (seen_move - pair.sum((0, 1))) / n, (seen_first - mass[:, 0].sum(0)) / n]
+        grads = [ge / n - decay * emit, (seen_move - pair.sum(0)) / n, (seen_first - mass[place == 0].sum(0)) / n]
         for p, g, (m, v) in zip((emit, move, first), grads, state, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
