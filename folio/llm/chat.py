@@ -34,6 +34,8 @@ from folio.llm import shared
 
 #: Turns that are numbered in one task.
 PIECE = 4096
+#: Positions of a conversation that are written into one row.
+PART = 64
 #: Possessive, so that Java's matcher takes marks one after the other in a loop and not by recursion.
 _MARKS = r"^[ \t]*+(?:>[ \t]?+)++"
 _BREAK, _AFTER = "\x01", "\x02"
@@ -110,6 +112,17 @@ def format_messages(linked: DataFrame) -> DataFrame:
     return linked.withColumn("message", F.concat(F.lit("<|"), role, F.lit("|>\n"), F.col("text"), F.lit("\n<|end|>")))
 
 
+def transcripts(messages: DataFrame) -> DataFrame:
+    """``conv_id, part, n_messages, conversation``: the messages in reply order, ``PART`` positions in a row.
+
+    Rows that repeat are one; a message without a position is in no conversation.  Parts keep
+    a conversation of any length from gathering in one task.
+    """
+    placed = messages.filter("position IS NOT NULL").select("conv_id", "position", "message").distinct()
+    pieces = placed.groupBy("conv_id", F.floor((F.col("position") - 1) / PART).cast("long").alias("part")).agg(F.array_sort(F.collect_list(F.struct("position", "message"))).alias("m"))
+    return pieces.select("conv_id", "part", F.size("m").cast("long").alias("n_messages"), F.array_join(F.transform("m", lambda x: x["message"]), "\n").alias("conversation"))
+
+
 COLUMNS = ["conv_id", "turn", "position", "role", "reply_to", "n_quotes", "n_linked", "message"]
 
 
@@ -135,6 +148,11 @@ def quoted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_messages(link(with_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet")))).select(*COLUMNS)
 
 
+def transcript_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations, without the quotes that were written into them."""
+    return transcripts(format_messages(link(with_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet")))))
+
+
 SQL = r"""
 WITH l AS (
   SELECT conv_id, turn, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
@@ -187,3 +205,8 @@ WITH quoted AS (
   LEFT JOIN (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations) b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
 ), l AS ("""
 QUOTED_SQL = _QUOTED + SQL.split("WITH l AS (", 1)[1].replace("conversations", "quoted")
+
+TRANSCRIPT_SQL = f"""
+SELECT conv_id, CAST((position - 1) // 64 AS BIGINT) AS part, count(*) AS n_messages, string_agg(message, chr(10) ORDER BY position, message) AS conversation
+FROM (SELECT DISTINCT conv_id, position, message FROM ({QUOTED_SQL}) x) GROUP BY 1, 2
+"""

@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_tiered_search": tiered_search.query,
     # quotes written into all messages
     "chat_quoted": chat.quoted_query,
+    "chat_conversations": chat.transcript_query,
     # the parts of learned operators that SQL can say
     "lm_base_scores": bilinear.base_query,
     "secret_base_counts": secrets.base_query,
@@ -39,6 +40,7 @@ ORACLE_SQL: dict[str, str] = {
     "op12_url_filter": url_filter.SQL,
     "op13_tiered_search": tiered_search.SQL,
     "chat_quoted": chat.QUOTED_SQL,
+    "chat_conversations": chat.TRANSCRIPT_SQL,
     "lm_base_scores": bilinear.BASE_SQL,
     "secret_base_counts": secrets.BASE_SQL,
 }

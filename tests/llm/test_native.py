@@ -381,3 +381,13 @@ def test_a_text_above_the_bound_costs_no_other_its_place(spark):
     mixed = spark.createDataFrame([(i, "y" * (900 if i % 2 else 40)) for i in range(200)], "doc_id long, text string")
     total = sum(len(t) for t in shared.sample_texts(mixed, {None: 1000}, 9000)["text"].to_pylist())
     assert 8900 < total <= 9000
+
+
+def test_conversations_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART", 3)
+    rows = [(1, t, "user" if t % 2 else None, f"> m{t - 1}\nm{t}") for t in range(1, 9)] + [(1, 4, None, "> m3\nm4"), (1, None, "user", "lost"), (None, 5, "user", "alone")]
+    done = chat.format_messages(chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    got = {(r.conv_id, r.part): (r.n_messages, r.conversation) for r in chat.transcripts(done).collect()}
+    say = lambda t: f"<|user|>\nm{t}\n<|end|>"
+    assert got == {(1, p): (len(ts), "\n".join(map(say, ts))) for p, ts in enumerate(([1, 2, 3], [4, 5, 6], [7, 8]))} | {(None, 0): (1, "<|user|>\nalone\n<|end|>")}
+    assert chat.transcripts(done.limit(0)).count() == 0
