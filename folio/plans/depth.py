@@ -231,3 +231,21 @@ def table_columns(spark: SparkSession, d: str) -> DataFrame:
     spark.sql(f"DROP TABLE {name}")
     listed = spark.createDataFrame([(i, c, c in partitions) for i, c in enumerate(columns)], "place int, name string, partitioned boolean")
     return listed.withColumn("n", F.lit(n))
+
+
+@query("q105_prompts", """SELECT c_custkey, 'Return one JSON object with these keys: ["name", "name_s", "segment", "segment_s"]. Missing values are null.' || chr(10) || c_name || ' ' || c_mktsegment AS request FROM customer""")
+def prompts(spark: SparkSession, d: str) -> DataFrame:
+    """The request of an extraction for every row."""
+    return table(spark, d, "customer").select("c_custkey", adapters.prompt(["name", "segment"], F.concat_ws(" ", "c_name", "c_mktsegment")).alias("request"))
+
+
+@query("q106_inferred_csv", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
+def inferred_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Types worked out of written rows: whole numbers, decimals and texts."""
+    path = new_folder(spark)
+    sinks.csv(table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice"), path, sep=";")
+    found = readers.inferred_csv(spark, path, sep=";")
+    kinds = {f.name: f.dataType.simpleString() for f in found.schema}
+    if kinds["p_name"] != "string" or kinds["p_retailprice"] != "double" or kinds["p_size"] not in ("int", "bigint"):
+        raise TypeError(f"types that were not inferred: {kinds}")
+    return found.select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", F.col("p_size").cast("int").alias("p_size"), "p_retailprice")
