@@ -57,6 +57,24 @@ def match_keys(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumns({"score": F.round("score", 6), "distance": F.round("distance", 6)})
 
 
+_NAMES = """m AS (SELECT s_suppkey AS id, lower('supplier ' || s_suppkey % 40) AS name FROM supplier),
+i AS (SELECT c_custkey AS id, lower('suplier ' || c_custkey % 90) AS name FROM customer),
+lg AS (SELECT DISTINCT name, substr(name, x, 3) AS gram FROM (SELECT name, unnest(range(1, length(name) - 1)) AS x FROM m)),
+rg AS (SELECT DISTINCT name, substr(name, x, 3) AS gram FROM (SELECT name, unnest(range(1, length(name) - 1)) AS x FROM i)),
+pairs AS (SELECT lg.name AS l, rg.name AS r, count(*) AS c FROM lg JOIN rg ON lg.gram = rg.gram GROUP BY 1, 2),
+good AS (SELECT l, r, 1 - levenshtein(l, r) / greatest(length(l), length(r)) AS score, 1.0 - c::DOUBLE / ((SELECT count(*) FROM lg WHERE name = l) + (SELECT count(*) FROM rg WHERE name = r) - c) AS distance FROM pairs)"""
+
+
+@query("q47_match_columns", f"WITH {_NAMES}, f AS (SELECT 'name' AS c UNION ALL SELECT 'title') SELECT m.id AS ref_id, i.id AS transaction_id, l AS ref_value, r AS input_value, f.c AS matched_on_field, round(score, 6) AS score FROM good JOIN m ON m.name = l JOIN i ON i.name = r, f WHERE score >= 0.85 AND distance <= 0.8 + 1e-9")
+def match_columns(spark: SparkSession, d: str) -> DataFrame:
+    s, c = table(spark, d, "supplier"), table(spark, d, "customer")
+    name = lambda word, col, n: F.concat(F.lit(f"{word} "), (F.col(col) % n).cast("string"))
+    m = s.select(F.col("s_suppkey").alias("id"), name("Supplier", "s_suppkey", 40).alias("name")).withColumn("title", F.col("name"))
+    i = c.select(F.col("c_custkey").alias("id"), name("Suplier", "c_custkey", 90).alias("name")).withColumn("title", F.col("name"))
+    found = matching.match_columns(m, i, ["name", "title"], 0.85)
+    return found.select("ref_id", "transaction_id", "ref_value", "input_value", "matched_on_field", F.round("score", 6).alias("score"))
+
+
 def _letters(number: Column) -> Column:
     return F.translate(F.lpad(number.cast("string"), 6, "0"), "0123456789", "abcdefghij")
 
@@ -73,14 +91,14 @@ def _named_sql(name: str, key: str, source: str, end: str) -> str:
 {name}n AS (SELECT c, id, count(*) AS n FROM {name}g GROUP BY 1, 2)"""
 
 
-_NAMES = f"""{_named_sql("m", "s_suppkey", "supplier", "''")}, {_named_sql("u", "c_custkey", "customer", "CASE WHEN c_custkey % 3 = 1 THEN 'x' ELSE '' END")},
+_OWN_NAMES = f"""{_named_sql("m", "s_suppkey", "supplier", "''")}, {_named_sql("u", "c_custkey", "customer", "CASE WHEN c_custkey % 3 = 1 THEN 'x' ELSE '' END")},
 pairs AS (SELECT mg.c, mg.id AS l, ug.id AS r, count(*) AS met FROM mg JOIN ug ON mg.c = ug.c AND mg.gram = ug.gram GROUP BY 1, 2, 3),
 good AS (SELECT pairs.c, l, r, m.k AS lk, u.k AS rk, 1 - levenshtein(m.k, u.k) / greatest(length(m.k), length(u.k)) AS score, 1.0 - met::DOUBLE / (mn.n + un.n - met) AS distance
   FROM pairs JOIN mn ON mn.c = pairs.c AND mn.id = l JOIN un ON un.c = pairs.c AND un.id = r JOIN m ON m.c = pairs.c AND m.id = l JOIN u ON u.c = pairs.c AND u.id = r)"""
 
 
-@query("q47_match_columns", f"WITH {_NAMES} SELECT l AS ref_id, r AS transaction_id, lk AS ref_value, rk AS input_value, c AS matched_on_field, round(score, 6) AS score FROM good WHERE score >= 0.7 AND distance <= 0.8 + 1e-9")
-def match_columns(spark: SparkSession, d: str) -> DataFrame:
+@query("q107_match_own_names", f"WITH {_OWN_NAMES} SELECT l AS ref_id, r AS transaction_id, lk AS ref_value, rk AS input_value, c AS matched_on_field, round(score, 6) AS score FROM good WHERE score >= 0.7 AND distance <= 0.8 + 1e-9")
+def match_own_names(spark: SparkSession, d: str) -> DataFrame:
     """Two columns of names that every key has its own of; a third of the customers' have an edit."""
 
     def named(rows: DataFrame, key: str, end: Column) -> DataFrame:
