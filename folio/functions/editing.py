@@ -22,6 +22,9 @@ def codes(text: str) -> np.ndarray:
 
 def edit_distances(patterns: list[np.ndarray], texts: list[np.ndarray], p: np.ndarray, t: np.ndarray) -> np.ndarray:
     """The edit distance of ``patterns[p[i]]`` and ``texts[t[i]]`` for every i; both are code points."""
+    # a list may be much longer than what a few texts are compared with
+    used, p = np.unique(p, return_inverse=True)
+    patterns = [patterns[k] for k in used.tolist()]
     size_p, size_t = (np.array([len(x) for x in side], np.int64) for side in (patterns, texts))
     out = np.where(size_p[p] == 0, size_t[t], size_p[p]) if len(p) else np.zeros(0, np.int64)
     alphabet = np.unique(np.concatenate([*patterns, np.zeros(0, np.uint32)]))
@@ -44,9 +47,10 @@ def _distances(patterns, classes, n_classes, alphabet, p, t, size_p, size_t, n_w
     """The same for pairs sorted by the length of the text, whose patterns fill ``n_words`` words."""
     used, row = np.unique(p, return_inverse=True)
     masks = np.zeros((n_words, len(used), n_classes + 1), _U)
-    for i, k in enumerate(used.tolist()):
-        place = np.arange(size_p[k])
-        np.bitwise_or.at(masks, (place // 64, i, np.searchsorted(alphabet, patterns[k]) + 1), _ONE << (place % 64).astype(_U))
+    some = size_p[used]
+    place = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+    letters = np.searchsorted(alphabet, np.concatenate([patterns[k] for k in used.tolist()])) + 1
+    np.bitwise_or.at(masks, (place // 64, np.repeat(np.arange(len(used)), some), letters), _ONE << (place % 64).astype(_U))
     masks = masks.reshape(n_words, -1)
     kept, where = np.unique(t, return_inverse=True)
     flat = np.concatenate([classes[k] for k in kept.tolist()])

@@ -100,3 +100,32 @@ def test_keys_without_a_partner(spark):
     boxes = spark.createDataFrame([("a", "box a")], "k string, box string")
     found = load.with_dimension(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"), boxes, "k").collect()
     assert {(r.id, r.box) for r in found} == {(1, "box a"), (2, None)}
+
+
+def test_names_are_searched_as_a_list_and_copies_once(spark, monkeypatch):
+    """Copies on both sides come out whole; no joined n-grams, and no table of a size unknown is sent to all tasks."""
+    rng = random.Random(3)
+    words = ["anna", "annas", "maria", "mario", "stone", "stones"]
+    keys = [" ".join(rng.choices(words, k=2)) for _ in range(12)]
+    rows = [(i, rng.choice(keys)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, name string")
+    grams = {i: {k[x : x + 3] for x in range(len(k) - 2)} for i, k in rows}
+    near = {(i, j) for i, a in grams.items() for j, b in grams.items() if i < 40 <= j and 1 - len(a & b) / len(a | b) <= 0.8 + 1e-9}
+    for most in (1 << 16, 4):
+        monkeypatch.setattr(matching, "BLOCK_KEYS", most)
+        monkeypatch.setattr(matching, "TEXT_BYTES", 1000)  # rows of copies come out in several batches
+        found = matching.match_columns(df.filter("id < 40"), df.filter("id >= 40"), ["name"], 0.0)
+        got = [(r.ref_id, r.transaction_id) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == near
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "ngrams" not in plan and "SortMergeJoin" not in plan
+
+
+def test_longer_lists_than_are_broadcast_are_merged(spark, monkeypatch):
+    from folio.sources import staging
+
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", 2)
+    people = spark.createDataFrame([(i, f"Ann{'abcdefgh'[i]}", "Stone") for i in range(8)], "id long, FirstName string, LastName string")
+    found = matching.match_persons(people, people)
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.m_id, r.i_id) for r in found.collect()} == {(i, j) for i in range(8) for j in range(8)}
