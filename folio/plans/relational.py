@@ -11,7 +11,7 @@ from folio.model import JobParameters
 from folio.operators import align, batches, load, rules
 from folio.plans.registry import query
 from folio.plans.views import ENRICHMENT, MANIFEST, enrichment, manifest, table
-from folio.sources import readers
+from folio.sources import readers, staging
 
 
 @query("q01_batch_scan", f"WITH {ENRICHMENT} SELECT image_path, batch_name, transaction_id, data_is_valid FROM enrichment WHERE batch_name = 'src1' AND transaction_id = 'en' AND data_is_valid = 'True'")
@@ -214,7 +214,9 @@ def _template(spark: SparkSession, entities: list) -> DataFrame:
 def existing_item(spark: SparkSession, d: str) -> DataFrame:
     template = _template(spark, [("Box", [("x", "REF9")]), ("File", [("en", "REF1"), ("fr", "REF2"), ("de", None)])])
     found = load.template_fields(template, "FILE").filter(F.col("ref").isNotNull())
-    return _existing_items(spark, d).join(found, F.col("transaction_id") == F.col("name")).select(*_EXISTING_COLUMNS, "ref")
+    # few names and as few languages: a shuffle by them would put all texts of a language in one task
+    few = staging.checked_broadcast(found, F.octet_length("name") + F.octet_length("ref"))
+    return _existing_items(spark, d).join(few, F.col("transaction_id") == F.col("name")).select(*_EXISTING_COLUMNS, "ref")
 
 
 @query("q61_any_first_labels", "SELECT o_custkey, bool_or(o_orderstatus = 'F') AS any_f, min(o_orderkey) AS first_key, concat_ws(', ', CASE WHEN count(*) FILTER (o_orderstatus = 'O') = 0 THEN 'O' END, CASE WHEN count(*) FILTER (o_orderstatus = 'P') = 0 THEN 'P' END) AS missing FROM orders GROUP BY o_custkey")

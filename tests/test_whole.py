@@ -141,3 +141,8 @@ def test_edit_pairs_look_up_the_rarest_segments(spark, monkeypatch):
     assert found == {(i, j) for i, a in texts.items() for j, b in texts.items() if sum(x != y for x, y in zip(a, b, strict=True)) <= 2}
     (segments,) = stored
     assert {r["count"] for r in segments.groupBy("l_hash", "bucket").count().collect()} == {3}
+
+
+def test_items_of_a_language_are_not_put_in_one_task(spark, smallest):
+    plan = catalogue.QUERIES["q60_existing_item"](spark, smallest)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(transaction_id" not in plan and "hashpartitioning(lang" not in plan and "BroadcastHashJoin" in plan
