@@ -148,7 +148,7 @@ def person_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query("q49_lsh_pairs")
 def lsh_pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = matching.banded_pairs(listed_keys(spark, d), whole_keys(spark, d), recall=0.98)
+    found = matching.banded_pairs(listed_keys(spark, d), whole_keys(spark, d), recall=0.98, texts=False)
     return found.select("l_id", "r_id", F.round("distance", 6).alias("distance"))
 
 

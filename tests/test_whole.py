@@ -146,3 +146,16 @@ def test_edit_pairs_look_up_the_rarest_segments(spark, monkeypatch):
 def test_items_of_a_language_are_not_put_in_one_task(spark, smallest):
     plan = catalogue.QUERIES["q60_existing_item"](spark, smallest)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(transaction_id" not in plan and "hashpartitioning(lang" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_banded_pairs_move_no_text_and_keep_copies(spark, smallest, monkeypatch):
+    left, right = linkage.listed_keys(spark, smallest), linkage.whole_keys(spark, smallest)
+    right = right.unionAll(left.selectExpr("id + 100000 AS id", "key")).unionAll(left.selectExpr("id + 200000 AS id", "key"))
+    exact = {(r.l_id, r.r_id): round(r.distance, 9) for r in matching.block_pairs(left, right, 0.7, texts=False).collect()}
+    for most in (2 << 20, 2000):
+        monkeypatch.setattr(matching, "BLOCK_BYTES", most)
+        found = matching.banded_pairs(left, right, 0.7, recall=1 - 1e-6, texts=False)
+        assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {(r.l_id, r.r_id): round(r.distance, 9) for r in found.collect()} == exact
+    whole = matching.banded_pairs(left, right, 0.7).filter("l_key = r_key AND r_id >= 100000").select("l_id", "r_id").distinct().count()
+    assert whole >= 2 * left.count() and matching.banded_pairs(left.limit(0), right).count() == 0
