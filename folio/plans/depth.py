@@ -75,7 +75,7 @@ def edit_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query("q92_banded_pairs", f"WITH {PAIRS} SELECT l_id, r_id, round(distance, 6) AS distance FROM j WHERE distance <= 0.7 + 1e-9")
 def banded_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Bands so many that a pair at the distance is missed with a probability of one in a million."""
-    found = matching.banded_pairs(listed_keys(spark, d), whole_keys(spark, d), 0.7, recall=1 - 1e-6)
+    found = matching.banded_pairs(listed_keys(spark, d), whole_keys(spark, d), 0.7, recall=1 - 1e-6, texts=False)
     return found.select("l_id", "r_id", F.round("distance", 6).alias("distance"))
 
 
