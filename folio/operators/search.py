@@ -119,6 +119,22 @@ def _meant(parts: DataFrame, idf: DataFrame) -> DataFrame:
     return plain.unionByName(begun)
 
 
+#: Binary places of the two whole numbers that a term is cut into.
+_HIGH, _LOW = 26, 27
+
+
+def _exact_sum(value: Column, times: Column | None = None) -> Column:
+    """The sum of ``times * value``, the same in any order: whole multiples of 2^-53 are summed and rounded once.
+
+    Sums of doubles differ by their order, so documents of one score would part at a rounded place.
+    """
+    scaled = value.cast("double") * F.lit(float(1 << _HIGH))
+    high = F.floor(scaled)
+    low = F.floor((scaled - high) * F.lit(float(1 << _LOW)))
+    total = lambda c: F.sum(c if times is None else c * times).cast("double")
+    return total(high) / F.lit(float(1 << _HIGH)) + total(low) / F.lit(float(1 << _HIGH + _LOW))
+
+
 def _raised(score: Column, held: Column, n: Column, coverage: float | None) -> Column:
     """A score raised by the share of the query's tokens that a document holds."""
     if coverage is None:
@@ -140,9 +156,9 @@ def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS,
     terms are joined by "or": (score + (held - 1) / (tokens - coverage)^2) * (tokens - 1) / tokens.
     """
     wanted, parts = _bags(tokens)
-    met = _meant(parts, weights(postings, n_docs)).join(postings, "token").groupBy("asked", "prefix", "id").agg(F.sum(F.col("tf") * F.col("idf")).alias("weight"))
+    met = _meant(parts, weights(postings, n_docs)).join(postings, "token").groupBy("asked", "prefix", "id").agg(_exact_sum(F.col("idf"), F.col("tf")).alias("weight"))
     met = met.withColumnRenamed("asked", "token")
-    found = parts.join(met, ["token", "prefix"]).groupBy("bag_id", "id").agg(F.sum(F.col("weight") * F.col("boost")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
+    found = parts.join(met, ["token", "prefix"]).groupBy("bag_id", "id").agg(_exact_sum(F.col("weight") * F.col("boost")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
     best = _ranked(found.withColumn("score", _raised(F.col("score"), F.col("held"), F.col("n"), coverage)), k)
     return wanted.join(best, "bag_id").select("q_id", "id", "score", "rank")
 
@@ -180,7 +196,7 @@ def best_hits(index: BlockIndex, tokens: DataFrame, k: int = HITS, coverage: flo
     score = lambda some: staging.materialise(_scores(index, each, some, coverage))
     found = score(at_once)
     floor = _ranked(found, k).filter(F.col("rank") == k).select("bag_id", F.col("score").alias("floor"))
-    # sums of doubles differ a little by their order
+    # bounds are sums of doubles, which differ a little by their order
     later = staging.materialise(blocks.filter("NOT first").join(floor, "bag_id", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0.0)) - 1e-6))
     best = _ranked(found.unionAll(score(later)), k)
     count = lambda some: some.agg(F.sum("postings")).first()[0] or 0
@@ -194,7 +210,7 @@ def _scores(index: BlockIndex, each: DataFrame, blocks: DataFrame, coverage: flo
     postings = index.postings.filter(F.col("block").between(low, high) if low is not None else F.lit(False))
     asked = blocks.select("bag_id", "block").join(each, "bag_id")
     met = postings.join(asked, ["block", "token"])
-    found = met.groupBy("bag_id", "id").agg(F.sum(F.col("tf") * F.col("heft")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
+    found = met.groupBy("bag_id", "id").agg(_exact_sum(F.col("heft"), F.col("tf")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
     return found.select("bag_id", "id", _raised(F.col("score"), F.col("held"), F.col("n"), coverage).alias("score"))
 
 

@@ -4,6 +4,8 @@ import csv
 import io
 import random
 import zipfile
+from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +43,23 @@ def test_best_hits_as_plain_ones(spark, k, coverage):
     assert 0 < found.read <= found.asked
 
 
+def test_scores_are_exact_sums(spark):
+    """Sums of doubles depend on their order: a score is the exact sum of its terms, rounded once, in any partitioning."""
+    texts = corpus(120)
+    docs = spark.createDataFrame(texts, "id long, document string")
+    words = [w for i in range(40) for w in [f"w{i}"] * (1 + i % 3)]
+    tokens = search.query_tokens(spark.createDataFrame([(0, " ".join(words))], "q_id long, query string"), names=0)
+    idf = {r.token: Fraction(r.idf) for r in search.weights(search.index(docs), docs.count()).collect()}
+    bags = {i: Counter((t or "").lower().split()) for i, t in texts}
+    exact = {i: float(sum(bag[w] * idf[w] for w in words if w in bag)) for i, bag in bags.items() if set(bag) & set(words)}
+    for rows in (docs, docs.repartition(7, "id")):
+        assert {r.id: r.score for r in search.best_hits(search.block_index(rows), tokens, 500).hits.collect()} == exact
+    # here a word's repeats are multiplied by its sum, which is rounded before
+    plain = {r.id: r.score for r in search.top_hits(search.index(docs), tokens, docs.count(), 500).collect()}
+    assert plain.keys() == exact.keys() and all(abs(plain[i] - exact[i]) < 1e-11 for i in exact)
+    assert len({plain[i] for i in (5, 122, 123)}) == 1
+
+
 def test_blocks_are_skipped(spark):
     """Of the postings of all tokens asked for, less than half are read."""
     draw = random.Random(5)
