@@ -2,7 +2,8 @@
 
 A column of the edit matrix is kept as two bits for each character of the pattern: where
 it goes up and where it goes down (Myers 1999; words are chained by the step that
-leaves the one below).  One step takes a character of all texts of a chunk.
+leaves the one below).  One step takes a character of all texts of a chunk, in all words at
+once: a word is one character behind the one below, so what leaves that is known by then.
 """
 
 from __future__ import annotations
@@ -33,49 +34,85 @@ def edit_distances(patterns: list[np.ndarray], texts: list[np.ndarray], p: np.nd
     at = {k: np.minimum(np.searchsorted(alphabet, texts[k]), len(alphabet) - 1) for k in np.unique(t).tolist()}
     classes = {k: np.where(alphabet[i] == texts[k], i + 1, 0) for k, i in at.items()}
     words = -(-size_p // 64)
-    for n_words in np.unique(words[p][size_p[p] > 0]).tolist():
-        mine = np.flatnonzero((words[p] == n_words) & (size_t[t] > 0))
-        mine = mine[np.argsort(-size_t[t[mine]], kind="stable")]
-        step = max(1, CHUNK // n_words)
-        for first in range(0, len(mine), step):
-            chunk = mine[first : first + step]
-            out[chunk] = _distances(patterns, classes, len(alphabet), alphabet, p[chunk], t[chunk], size_p, size_t, n_words)
+    mine = np.flatnonzero((size_p[p] > 0) & (size_t[t] > 0))
+    # those that take the most steps come first
+    mine = mine[np.argsort(-(size_t[t[mine]] + words[p[mine]]), kind="stable")]
+    state = np.cumsum(words[p[mine]])
+    first = 0
+    while first < len(mine):
+        held = state[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(state, held + CHUNK, side="right")))
+        chunk = mine[first:last]
+        out[chunk] = _distances(patterns, classes, alphabet, p[chunk], t[chunk], size_p, size_t)
+        first = last
     return out
 
 
-def _distances(patterns, classes, n_classes, alphabet, p, t, size_p, size_t, n_words) -> np.ndarray:
-    """The same for pairs sorted by the length of the text, whose patterns fill ``n_words`` words."""
-    used, row = np.unique(p, return_inverse=True)
-    masks = np.zeros((n_words, len(used), n_classes + 1), _U)
-    some = size_p[used]
+def _masks(patterns: list[np.ndarray], alphabet: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of the patterns, the places of each character of the alphabet, and none for others; the first word of each pattern."""
+    words = -(-some // 64)
+    start = np.cumsum(words) - words
     place = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
-    letters = np.searchsorted(alphabet, np.concatenate([patterns[k] for k in used.tolist()])) + 1
-    np.bitwise_or.at(masks, (place // 64, np.repeat(np.arange(len(used)), some), letters), _ONE << (place % 64).astype(_U))
-    masks = masks.reshape(n_words, -1)
+    masks = np.zeros((words.sum(), len(alphabet) + 1), _U)
+    letters = np.searchsorted(alphabet, np.concatenate(patterns)) + 1
+    np.bitwise_or.at(masks, (np.repeat(start, some) + place // 64, letters), _ONE << (place % 64).astype(_U))
+    return masks.ravel(), start
+
+
+def _distances(patterns, classes, alphabet, p, t, size_p, size_t) -> np.ndarray:
+    """The same for pairs sorted by the steps they take."""
+    used, row = np.unique(p, return_inverse=True)
+    masks, start = _masks([patterns[k] for k in used.tolist()], alphabet, size_p[used])
+    n_words = -(-size_p[p] // 64)
+    end = np.cumsum(n_words)  # words of state lie pair by pair
+    pair = np.repeat(np.arange(len(p)), n_words)
+    word = np.arange(end[-1]) - np.repeat(end - n_words, n_words)
+    # a word reads nothing before its turn: texts stand between characters that no pattern has
+    around = np.zeros(int(n_words.max()), np.int64)
     kept, where = np.unique(t, return_inverse=True)
-    flat = np.concatenate([classes[k] for k in kept.tolist()])
-    begin = (np.cumsum(size_t[kept]) - size_t[kept])[where]
-    length, score = size_t[t], size_p[p].copy()
-    last = ((size_p[p] - 1) % 64).astype(_U)
-    up, down = np.full((n_words, len(p)), ~_U(0)), np.zeros((n_words, len(p)), _U)
-    base = row * (n_classes + 1)
-    reading = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")
+    flat = np.concatenate([x for k in kept.tolist() for x in (around, classes[k])] + [around])
+    begin = np.cumsum(size_t[kept] + len(around)) - size_t[kept]
+    reads = begin[where][pair] - word
+    base = (start[row][pair] + word) * (len(alphabet) + 1)
+    up, down = np.full(len(pair), ~_U(0)), np.zeros(len(pair), _U)
+    bottom, top = end - n_words, end - 1
+    # the first row goes up by one with every character
+    rise, fall = np.zeros(len(pair), _U), np.zeros(len(pair), _U)
+    rise[bottom] = _ONE
+    score, cell = size_p[p].copy(), np.empty(len(pair), np.int64)
+    shift = ((size_p[p] - 1) % 64).astype(_U)
+    steps = size_t[t] + n_words - 1
+    reading = np.searchsorted(-steps, -np.arange(1, steps[0] + 1), side="right")
     for j, n in enumerate(reading.tolist()):
-        cell = base[:n] + flat[begin[:n] + j]
-        rise, fall = np.ones(n, _U), np.zeros(n, _U)  # the first row goes up by one with every character
-        for w in range(n_words):
-            u, d, same = up[w, :n], down[w, :n], masks[w][cell]
-            vertical = same | d
-            same |= fall
-            horizontal = (((same & u) + u) ^ u) | same
-            h_up = d | ~(horizontal | u)
-            h_down = u & horizontal
-            if w == n_words - 1:
-                score[:n] += ((h_up >> last[:n]) & _ONE).astype(np.int64) - ((h_down >> last[:n]) & _ONE).astype(np.int64)
-            next_rise, next_fall = h_up >> _TOP, h_down >> _TOP
-            h_up = (h_up << _ONE) | rise
-            h_down = (h_down << _ONE) | fall
-            up[w, :n] = h_down | ~(vertical | h_up)
-            down[w, :n] = h_up & vertical
-            rise, fall = next_rise, next_fall
+        b = end[n - 1]
+        u, d, into, away = up[:b], down[:b], rise[:b], fall[:b]
+        np.take(flat[j:], reads[:b], out=cell[:b], mode="clip")
+        cell[:b] += base[:b]
+        same = np.take(masks, cell[:b], mode="clip")
+        vertical = same | d
+        same |= away
+        h_up = same & u
+        h_up += u
+        h_up ^= u
+        h_up |= same
+        h_down = u & h_up
+        h_up |= u
+        np.invert(h_up, out=h_up)
+        h_up |= d
+        last = top[:n]
+        score[:n] += ((h_up[last] >> shift[:n]) & _ONE).astype(np.int64) - ((h_down[last] >> shift[:n]) & _ONE).astype(np.int64)
+        next_rise, next_fall = h_up >> _TOP, h_down >> _TOP
+        h_up <<= _ONE
+        h_up |= into
+        h_down <<= _ONE
+        h_down |= away
+        np.bitwise_and(h_up, vertical, out=d)
+        vertical |= h_up
+        np.invert(vertical, out=vertical)
+        np.bitwise_or(h_down, vertical, out=u)
+        # what leaves a word goes into the one above at its next step
+        into[1:] = next_rise[:-1]
+        away[1:] = next_fall[:-1]
+        into[bottom[:n]] = _ONE
+        away[bottom[:n]] = 0
     return score

@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from folio.functions import editing
 from folio.operators import load, matching
 from folio.plans import catalogue, linkage
 
@@ -121,6 +123,26 @@ def test_names_are_searched_as_a_list_and_copies_once(spark, monkeypatch):
         assert "MapInArrow" in plan and "ngrams" not in plan and "SortMergeJoin" not in plan
 
 
+def test_words_of_state_go_together_and_texts_are_cleaned_once(spark, smallest, monkeypatch):
+    """Patterns of several lengths are one chunk; no text is cleaned for a filter too."""
+    calls, one = [], editing._distances
+    monkeypatch.setattr(editing, "_distances", lambda *given: calls.append(1) or one(*given))
+    keys = [editing.codes("ab " * n) for n in (1, 20, 40, 70, 100)]
+    p, t = (x.ravel() for x in np.meshgrid(range(5), range(5)))
+    got = editing.edit_distances(keys, keys, p, t)
+    assert got.tolist() == [abs(len(keys[i]) - len(keys[j])) for i, j in zip(p, t, strict=True)] and len(calls) == 1
+    plan = linkage.whole_keys(spark, smallest)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace(regexp_replace") == 1
+
+
+def test_texts_at_the_edge_of_a_threshold(spark):
+    """Only texts out of reach of every key are left out beforehand."""
+    left = spark.createDataFrame([(1, "abcd" * 5), (2, "abcd" * 10)], "id long, key string")
+    right = spark.createDataFrame([(n, "abcd" * n) for n in range(1, 24)], "id long, key string")
+    got = {(r.l_id, r.r_id): r.score for r in matching.block_pairs(left, right, threshold=0.5).collect()}
+    assert got == {(i, n): 1 - abs(n - m) / max(n, m) for i, m in ((1, 5), (2, 10)) for n in range(1, 24) if 1 - abs(n - m) / max(n, m) >= 0.5}
+
+
 def test_longer_lists_than_are_broadcast_are_merged(spark, monkeypatch):
     from folio.sources import staging
 
