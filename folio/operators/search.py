@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import namedtuple
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -165,11 +167,29 @@ def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS,
 
 @dataclass
 class Search:
-    """The hits, and how many postings of the tokens asked for there are and were read."""
+    """The hits, and how many postings of the tokens asked for there are and were read.
+
+    ``bags`` are ``q_id, bag_id`` and ``best`` the hits of each bag: queries with the same tokens are one.
+    """
 
     hits: DataFrame
     asked: int
     read: int
+    bags: DataFrame
+    best: DataFrame
+
+    def beside(self, master: DataFrame, rows: DataFrame) -> DataFrame:
+        """The hits with the columns of their documents (``id``) and of their queries (``q_id``).
+
+        Documents are put to the hits of distinct queries, before these are multiplied by the queries
+        that ask for the same; the queries are dealt evenly to tasks, as each has many hits.
+        """
+        best = staging.checked_broadcast(staging.materialise(self.best), F.lit(100)).join(master, "id")
+        best = staging.materialise(best)
+        few = staging.checked_broadcast(best, F.lit(50) + F.octet_length(F.to_json(F.struct(*best.columns))))
+        tasks = 4 * best.sparkSession.sparkContext.defaultParallelism
+        asked = self.bags.join(rows, "q_id").repartition(tasks, "q_id")
+        return asked.join(few if few is not best else best.hint("merge"), "bag_id").drop("bag_id")
 
 
 def best_hits(index: BlockIndex, tokens: DataFrame, k: int = HITS, coverage: float | None = None) -> Search:
@@ -200,7 +220,7 @@ def best_hits(index: BlockIndex, tokens: DataFrame, k: int = HITS, coverage: flo
     later = staging.materialise(blocks.filter("NOT first").join(floor, "bag_id", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0.0)) - 1e-6))
     best = _ranked(found.unionAll(score(later)), k)
     count = lambda some: some.agg(F.sum("postings")).first()[0] or 0
-    return Search(wanted.join(best, "bag_id").select("q_id", "id", "score", "rank"), count(blocks), count(at_once) + count(later))
+    return Search(wanted.join(best, "bag_id").select("q_id", "id", "score", "rank"), count(blocks), count(at_once) + count(later), wanted, best)
 
 
 def _scores(index: BlockIndex, each: DataFrame, blocks: DataFrame, coverage: float | None) -> DataFrame:
@@ -235,6 +255,15 @@ def hit_outcome(score: Column, model: Column, dob_ratio: Column, phone_first: Co
     return {"accept": accept, "stop": accept | ~whole, "found": F.when(accept, "Yes").otherwise("No"), "confidence": confidence, "note": note}
 
 
+def _by_equality(x: Callable[[str], Column], y: Callable[[str], Column]) -> tuple[Column, Column]:
+    """Whether no side has a previous name, and whether names and ids agree."""
+    none = lambda c: c.isin("", "nan")
+    same = lambda f: x(f) == y(f)
+    no_previous = none(x("prev")) & none(y("prev"))
+    family = same("last") | (~no_previous & same("prev"))
+    return no_previous, same("first") & family & (same("dob") | same("phone"))
+
+
 def field_outcome(score: Column, model: Column, row: str = "row", master: str = "master", whole: Column | None = None) -> dict[str, Column]:
     """``hit_outcome`` from the fields of the row and of the hit: structs ``first, last, prev, dob, phone`` of normalised texts.
 
@@ -244,17 +273,15 @@ def field_outcome(score: Column, model: Column, row: str = "row", master: str =
     """
     x, y = (lambda f: F.coalesce(F.col(f"{row}.{f}"), F.lit(""))), (lambda f: F.coalesce(F.col(f"{master}.{f}"), F.lit("")))
     ratio = lambda f: similarity.sequence_ratio(x(f), y(f))
-    none = lambda c: c.isin("", "nan")
-    same = lambda f: x(f) == y(f)
-    no_previous = none(x("prev")) & none(y("prev"))
-    family = same("last") | (~no_previous & same("prev"))
-    names_and_ids = same("first") & family & (same("dob") | same("phone"))
+    no_previous, names_and_ids = _by_equality(x, y)
     phone_first = (ratio("phone") >= 90) & (ratio("first") >= 90)
     return hit_outcome(score, model, ratio("dob"), phone_first, names_and_ids, no_previous, whole)
 
 
 #: Fields of the two sides that ``first_accepted`` compares.
 FIELDS = ("first", "last", "prev", "dob", "phone")
+#: Those of them that may need a ratio, and ratios that a task remembers.
+RATIOS, REMEMBERED = ("dob", "phone", "first"), 1 << 16
 DECIDED = "id long, found string, confidence int, hits_read int, ratios int"
 
 
@@ -265,13 +292,14 @@ def first_accepted(hits: DataFrame, queries: DataFrame, row: str = "row", master
     The hits of a query are read in the order of their rank up to the first that accepts,
     and a matching-blocks ratio is worked out only where equality and the scores leave the
     decision open: that of birth dates only for a sure model, that of first names only for
-    alike phones.  A hit whose column ``whole`` (if there is one) is false ends the search with No and 0.  ``hits_read`` and ``ratios`` say how many were.  A query's hits are one
+    alike phones; what equality says is worked out before, and a ratio of two texts that a task has had lately is not worked out again.  A hit whose column ``whole`` (if there is one) is false ends the search with No and 0.  ``hits_read`` and ``ratios`` say how many were.  A query's hits are one
     sorted run of a partition, so a task holds one hit at a time.
     """
     x, y = (lambda f: F.coalesce(F.col(f"{row}.{f}"), F.lit(""))), (lambda f: F.coalesce(F.col(f"{master}.{f}"), F.lit("")))
-    texts = [c.alias(f"{side}_{f}") for f in FIELDS for side, c in (("x", x(f)), ("y", y(f)))]
+    texts = [c.alias(f"{side}_{f}") for f in RATIOS for side, c in (("x", x(f)), ("y", y(f)))]
+    no_previous, named = _by_equality(x, y)
     whole = F.coalesce(F.col("whole"), F.lit(False)) if "whole" in hits.columns else F.lit(True)
-    flat = hits.select("q_id", whole.alias("whole"), F.col("id").cast("long").alias("id"), "rank", F.col("score").cast("double").alias("score"), F.col(model).cast("double").alias("model"), *texts)
+    flat = hits.select("q_id", whole.alias("whole"), F.col("id").cast("long").alias("id"), "rank", F.col("score").cast("double").alias("score"), F.col(model).cast("double").alias("model"), no_previous.alias("no_previous"), named.alias("named"), *texts)
     runs = flat.repartition("q_id").sortWithinPartitions("q_id", "rank").drop("rank")
     kind = hits.schema["q_id"].dataType.simpleString()
 
@@ -279,8 +307,8 @@ def first_accepted(hits: DataFrame, queries: DataFrame, row: str = "row", master
         walk = _Walk()
         for batch in batches:
             walk.kind = batch.schema.field("q_id").type
-            for hit in batch.to_pylist():
-                walk.step(hit)
+            for hit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                walk.step(_Hit._make(hit))
             if walk.done:
                 yield walk.flush()
         walk.end()
@@ -293,52 +321,52 @@ def first_accepted(hits: DataFrame, queries: DataFrame, row: str = "row", master
     return out.select("q_id", "id", F.coalesce("found", F.lit("No")).alias("found"), zero("confidence"), zero("hits_read"), zero("ratios"))
 
 
+_Hit = namedtuple("_Hit", ["q_id", "whole", "id", "score", "model", "no_previous", "named", *(f"{side}_{f}" for f in RATIOS for side in "xy")])
+
+
 class _Walk:
     """The hits of one query after the other, in the order of their rank."""
 
     def __init__(self) -> None:
         self.done: list[tuple] = []
-        self.begun, self.kind = False, pa.int64()
+        self.begun, self.kind, self.alike = False, pa.int64(), lru_cache(REMEMBERED)(similarity.ratio)
         self.start(None)
 
     def start(self, query: object) -> None:
         self.query, self.accepted, self.ended, self.last, self.read, self.ratios = query, None, False, 0, 0, 0
 
-    def ratio(self, hit: dict, field: str) -> int:
+    def ratio(self, x: str, y: str) -> int:
         self.ratios += 1
-        return similarity.ratio(hit[f"x_{field}"], hit[f"y_{field}"])
+        return self.alike(x, y)
 
     def end(self) -> None:
         if self.begun:
             found, confidence = ("No", self.last) if self.accepted is None else ("Yes", self.last)
             self.done.append((self.query, self.accepted, found, confidence, self.read, self.ratios))
 
-    def step(self, hit: dict) -> None:
-        if not self.begun or hit["q_id"] != self.query:
+    def step(self, hit: _Hit) -> None:
+        if not self.begun or hit.q_id != self.query:
             self.end()
-            self.start(hit["q_id"])
+            self.start(hit.q_id)
             self.begun = True
         elif self.ended:
             return
         self.read += 1
-        accept, self.last = self.judge(hit) if hit["whole"] else (False, 0)
-        self.ended = accept or not hit["whole"]
+        accept, self.last = self.judge(hit) if hit.whole else (False, 0)
+        self.ended = accept or not hit.whole
         if accept:
-            self.accepted = hit["id"]
+            self.accepted = hit.id
 
-    def judge(self, hit: dict) -> tuple[bool, int]:
-        score, model = hit["score"], hit["model"]
-        if score >= 50 or (model > 0.89 and self.ratio(hit, "dob") > 66):
+    def judge(self, hit: _Hit) -> tuple[bool, int]:
+        score, model = hit.score, hit.model
+        if score >= 50 or (model > 0.89 and self.ratio(hit.x_dob, hit.y_dob) > 66):
             return True, 100
         sure = 99 if model < 0.57 else min(100, int(score / 5.5 * 100))
-        same = {f: hit[f"x_{f}"] == hit[f"y_{f}"] for f in FIELDS}
-        no_previous = all(hit[f"{side}_prev"] in ("", "nan") for side in "xy")
-        family = same["last"] or (not no_previous and same["prev"])
-        if same["first"] and family and (same["dob"] or same["phone"]):
+        if hit.named:
             return True, sure
-        if self.ratio(hit, "phone") >= similarity.EXACT_FROM and self.ratio(hit, "first") >= similarity.EXACT_FROM:
+        if self.ratio(hit.x_phone, hit.y_phone) >= similarity.EXACT_FROM and self.ratio(hit.x_first, hit.y_first) >= similarity.EXACT_FROM:
             return True, sure
-        return False, sure if no_previous else int(score / 13.5 * 100)
+        return False, sure if hit.no_previous else int(score / 13.5 * 100)
 
     def flush(self) -> pa.RecordBatch:
         names = ["q_id", *(c.split()[0] for c in DECIDED.split(", "))]

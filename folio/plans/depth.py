@@ -46,10 +46,10 @@ def first_accepted(spark: SparkSession, d: str) -> DataFrame:
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("document"))
     names = table(spark, d, "part").select("p_partkey", "p_name")
     asked = table(spark, d, "supplier").join(names, F.col("s_suppkey") == F.col("p_partkey")).select(F.col("s_suppkey").alias("q_id"), F.concat("p_name", F.lit(" small")).alias("query"))
-    hits = search.best_hits(search.block_index(parts), search.query_tokens(asked), search.HITS, 0.9).hits
+    found = search.best_hits(search.block_index(parts), search.query_tokens(asked), search.HITS, 0.9)
     master, rows = _decision_sides(spark, d)
     same = lambda f: (F.col(f"row.{f}") == F.col(f"master.{f}")).cast("int")
-    made = hits.join(master, "id").join(rows, "q_id").withColumns({"first_same": same("first"), "last_same": same("last"), "phone_same": same("phone"), "dob_same": same("dob")})
+    made = found.beside(master, rows).withColumns({"first_same": same("first"), "last_same": same("last"), "phone_same": same("phone"), "dob_same": same("dob")})
     met = materialise(made.withColumn("agree", F.col("first_same") * F.greatest("dob_same", "phone_same")))
     columns = ["first_same", "last_same", "phone_same", "dob_same", "score"]
     some = met.agg(F.min("agree"), F.max("agree")).first()

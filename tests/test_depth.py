@@ -8,6 +8,8 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from folio import model
@@ -111,6 +113,36 @@ def test_the_scan_stops_at_the_first_acceptance(spark, whole):
     assert got.filter("q_id = 62").first()["hits_read"] == 0
 
 
+def test_equal_rows_are_fitted_once_and_documents_put_to_distinct_queries(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = [(a := draw.randint(0, 1), draw.choice([1.5, 2.5, 7.0]), float(draw.random() < 0.2 + 0.5 * a)) for _ in range(3000)]
+    pairs = spark.createDataFrame(rows, "a int, b double, y double")
+    vector = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(pairs)
+    plain = LogisticRegression(featuresCol="v", labelCol="y", maxIter=25, regParam=1e-4).fit(vector)
+    given, one = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df: given.append(df.count()) or one(self, df))
+    monkeypatch.setattr(matching, "SHARES", 500)
+    model = matching.fit_rescorer(pairs, ["a", "b"], "y")
+    assert given[0] <= 500 + 12
+    assert model.coefficients.toArray().tolist() == pytest.approx(plain.coefficients.toArray().tolist(), rel=1e-4)
+    docs = spark.createDataFrame([(i, f"{draw.choice('ab')} {draw.choice('cde')}") for i in range(60)], "id long, document string")
+    asked = spark.createDataFrame([(i, ["c a", "b d"][i % 2]) for i in range(30)], "q_id long, query string")
+    found = search.best_hits(search.block_index(docs), search.query_tokens(asked, names=0), 5)
+    assert found.best.count() == 10
+    sides = found.beside(docs, asked).select("q_id", "id", "score", "rank", "document", "query")
+    assert sorted(sides.collect()) == sorted(found.hits.join(docs, "id").join(asked, "q_id").select(*sides.columns).collect())
+
+
+def test_a_ratio_is_remembered(monkeypatch):
+    calls = []
+    monkeypatch.setattr(similarity, "ratio", lambda x, y: calls.append(1) or 0)
+    walk = search._Walk()
+    for i in range(20):
+        walk.step(search._Hit(1, True, i, 1.0, 0.1, True, False, "", "", "555", "556", "ann", "bob"))
+    walk.end()
+    assert len(calls) == 1 and walk.done == [(1, None, "No", 99, 20, 20)]
+
+
 def test_ratio_of_one_pair(spark):
     pairs = [("abc", "abd"), ("", "x"), (None, "x"), ("ABC", "abc"), ("a b c", "c b a")]
     got = spark.createDataFrame(pairs, "a string, b string").select(similarity.sequence_ratio("a", "b")).collect()
