@@ -73,8 +73,8 @@ def match_columns(spark: SparkSession, d: str) -> DataFrame:
     name = lambda word, col, n: F.concat(F.lit(f"{word} "), (F.col(col) % n).cast("string"))
     m = s.select(F.col("s_suppkey").alias("id"), name("Supplier", "s_suppkey", 40).alias("name")).withColumn("title", F.col("name"))
     i = c.select(F.col("c_custkey").alias("id"), name("Suplier", "c_custkey", 90).alias("name")).withColumn("title", F.col("name"))
-    found = matching.match_columns(m, i, ["name", "title"], 0.85)
-    return found.select("ref_id", "transaction_id", "ref_value", "input_value", "matched_on_field", F.round("score", 6).alias("score"))
+    found = matching.match_columns(m, i, ["name", "title"], 0.85, digits=6)
+    return found.select("ref_id", "transaction_id", "ref_value", "input_value", "matched_on_field", "score")
 
 
 def _letters(number: Column) -> Column:
@@ -110,8 +110,8 @@ def match_own_names(spark: SparkSession, d: str) -> DataFrame:
 
     m = named(table(spark, d, "supplier"), "s_suppkey", F.lit(""))
     i = named(table(spark, d, "customer"), "c_custkey", F.when(F.col("c_custkey") % 3 == 1, "x").otherwise(""))
-    found = matching.match_columns(m, i, ["name", "title"], 0.7)
-    return found.select("ref_id", "transaction_id", "ref_value", "input_value", "matched_on_field", F.round("score", 6).alias("score"))
+    found = matching.match_columns(m, i, ["name", "title"], 0.7, digits=6)
+    return found.select("ref_id", "transaction_id", "ref_value", "input_value", "matched_on_field", "score")
 
 
 _SCORE = "CASE WHEN {a} = '' AND {b} = '' THEN 0 ELSE 100 * (1 - levenshtein({a}, {b}) / greatest(length({a}), length({b}))) END"

@@ -123,6 +123,17 @@ def test_names_are_searched_as_a_list_and_copies_once(spark, monkeypatch):
         assert "MapInArrow" in plan and "ngrams" not in plan and "SortMergeJoin" not in plan
 
 
+def test_ids_are_laid_out_after_keys_have_met(spark):
+    """A key meets its pairs once, whatever its copies; scores are rounded before that and compared as they are."""
+    left = spark.createDataFrame([(i, "abcdef") for i in range(50)] + [(50, "uvwxyz")], "id long, name string")
+    right = spark.createDataFrame([(i, "abcdex") for i in range(70)] + [(70, "uvwxyz"), (71, "abcdxx")], "id long, name string")
+    found = matching.match_columns(left, right, ["name"], 5 / 6, digits=6)
+    got = [(r.ref_id, r.transaction_id, r.ref_value, r.input_value, r.score) for r in found.collect()]
+    assert sorted(got) == [(i, j, "abcdef", "abcdex", 0.833333) for i in range(50) for j in range(70)] + [(50, 70, "uvwxyz", "uvwxyz", 1.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode(ids") < plan.index("BroadcastHashJoin") < plan.index("round(score")
+
+
 def test_words_of_state_go_together_and_texts_are_cleaned_once(spark, smallest, monkeypatch):
     """Patterns of several lengths are one chunk; no text is cleaned for a filter too."""
     calls, one = [], editing._distances
