@@ -51,34 +51,39 @@ def weights(postings: DataFrame, n_docs: int) -> DataFrame:
     return postings.groupBy("token").agg((1.0 + F.log(F.lit(float(n_docs)) / (F.count("*") + 1.0))).alias("idf"))
 
 
-#: Documents of a block; times the hits asked for that are scored before blocks are skipped.
-BLOCK, SURE = 32, 4
+#: Documents of a block; times the hits asked for that are scored before blocks are skipped; bytes of the texts of a part.
+BLOCK, SURE, PART_BYTES = 32, 4, 4 << 20
 
 
 @dataclass
 class BlockIndex:
     """Postings in blocks of ``BLOCK`` documents of about one length.
 
-    ``postings`` are ``block, token, id, tf``, sorted by block; ``bounds`` are ``token, block, n, most``:
-    the postings of a token in a block and its largest frequency there.
+    ``lists`` are ``block, token, n, most, hits``: how many postings a token has in a block, its largest
+    frequency there, and the postings themselves, ``id, tf``.  Each file is sorted by block.
     """
 
-    postings: DataFrame
-    bounds: DataFrame
+    lists: DataFrame
     n_docs: int
 
 
 def block_index(master: DataFrame) -> BlockIndex:
-    """The index of ``id, document`` for searches that skip blocks; its tables go to the shared folder."""
-    words = F.filter(F.split(F.lower(F.coalesce("document", F.lit(""))), r"\s+"), lambda w: w != "")
-    sized = master.select("id", words.alias("words")).filter(F.size("words") > 0).withColumn("n", F.size("words"))
-    # documents from the shortest to the longest, cut into blocks where the ranges end too
-    in_order = sized.repartitionByRange("n", "id").sortWithinPartitions("n", "id").select("id", "words", F.floor(F.monotonically_increasing_id() / BLOCK).alias("block"))
-    each = in_order.select("id", "block", F.explode("words").alias("token"))
-    counted = each.groupBy("block", "token", "id").agg(F.count("*").alias("tf"))
-    postings = staging.materialise(counted.repartitionByRange("block", "token").sortWithinPartitions("block", "token"))
-    bounds = staging.materialise(postings.groupBy("token", "block").agg(F.count("*").alias("n"), F.max("tf").alias("most")))
-    return BlockIndex(postings, bounds, master.count())
+    """The index of ``id, document`` for searches that skip blocks; its table goes to the shared folder.
+
+    Texts are dealt to parts of about ``PART_BYTES``, and there cut into blocks from the longest to the shortest;
+    all that follows is done where a part lies, so nothing but the texts is shuffled.
+    """
+    text = F.lower(F.coalesce("document", F.lit("")))
+    n_docs, size = master.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("document")), F.lit(0))).first()
+    parts = max(master.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    dealt = master.select("id", "document", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part")).repartitionByRange(parts, "part")
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc(F.length(text)), "id")) - 1
+    # the first blocks of all parts have the lowest numbers, so files and row groups can be left out by their bounds
+    blocks = dealt.select("part", "id", text.alias("text"), (F.floor(place / BLOCK) * parts + F.col("part")).alias("block"))
+    each = blocks.select("part", "block", "id", F.explode(F.split("text", r"\s+")).alias("token")).filter("token <> ''")
+    counted = each.groupBy("part", "block", "token", "id").agg(F.count("*").alias("tf"))
+    lists = counted.groupBy("part", "block", "token").agg(F.count("*").alias("n"), F.max("tf").alias("most"), F.collect_list(F.struct("id", "tf")).alias("hits"))
+    return BlockIndex(staging.materialise(lists.drop("part").sortWithinPartitions("block", "token")), n_docs)
 
 
 def query_tokens(inputs: DataFrame, names: int = 2, boost: float = 2.0) -> DataFrame:
@@ -144,9 +149,9 @@ def _raised(score: Column, held: Column, n: Column, coverage: float | None) -> C
     return F.when(n > 1, (score + (held - 1) / F.pow(n - F.lit(coverage), 2)) * (n - 1) / n).otherwise(score)
 
 
-def _ranked(scored: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("bag_id").orderBy(F.desc(F.round("score", 9)), "id"))
-    return scored.select("bag_id", "id", "score").withColumn("rank", rank).filter(F.col("rank") <= k)
+def _ranked(scored: DataFrame, k: int, bag: str = "bag_id") -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(bag).orderBy(F.desc(F.round("score", 9)), "id"))
+    return scored.select(bag, "id", "score").withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def top_hits(postings: DataFrame, tokens: DataFrame, n_docs: int, k: int = HITS, coverage: float | None = None) -> DataFrame:
@@ -198,40 +203,61 @@ def best_hits(index: BlockIndex, tokens: DataFrame, k: int = HITS, coverage: flo
     The largest contributions of a query's tokens in a block bound all scores in it.  The
     blocks of the highest bounds that hold ``SURE`` times k documents are scored first; the k-th best score found is
     the floor.  Of the other blocks only those whose bound reaches it are read and scored.
+    Bounds and scores are summed where the blocks lie: a row for a bag and a block, or a bag and a document, is what is shuffled.
     """
     wanted, parts = _bags(tokens)
     parts = staging.materialise(parts)
-    spread = index.bounds.groupBy("token").agg(F.sum("n").alias("df"))
+    bags = staging.materialise(parts.select("bag_id").distinct().withColumn("bag", F.monotonically_increasing_id()))
+    prefixes, last = parts.agg(F.count_if("prefix"), F.coalesce(F.max("pos"), F.lit(0))).first()
+    asked = staging.checked_broadcast(parts.select("token").distinct(), F.lit(50) + F.octet_length("token"))
+    known = index.lists.select("token", "n") if prefixes else index.lists.select("token", "n").join(asked, "token", "left_semi")
+    spread = known.groupBy("token").agg(F.sum("n").alias("df"))
     idf = spread.select("token", (1.0 + F.log(F.lit(float(index.n_docs)) / (F.col("df") + 1.0))).alias("idf"))
     meant = _meant(parts, idf).withColumnRenamed("token", "meant").withColumnRenamed("asked", "token")
-    each = parts.join(meant, ["token", "prefix"]).select("bag_id", "n", "pos", F.col("meant").alias("token"), (F.col("boost") * F.col("idf")).alias("heft"))
+    each = parts.join(meant, ["token", "prefix"]).join(bags, "bag_id").select("bag", F.col("n").alias("size"), "pos", F.col("meant").alias("token"), (F.col("boost") * F.col("idf")).alias("heft"))
+    if not prefixes:  # a token that stands in a query several times is looked up once
+        each = each.groupBy("bag", "size", "token", "heft").agg(F.count("*").alias("times"))
+    else:
+        each = each.withColumn("times", F.lit(1).cast("long"))
+    held = _positions(last) if prefixes else F.sum("times")
     each = staging.checked_broadcast(staging.materialise(each), F.lit(100) + F.octet_length("token"))
-    near = index.bounds.withColumnRenamed("n", "postings").join(each, "token")
-    blocks = near.groupBy("bag_id", "block").agg(F.sum(F.col("heft") * F.col("most")).alias("all"), F.count_distinct("pos").alias("parts"), F.max("postings").alias("documents"), F.sum("postings").alias("postings"), F.first("n").alias("n"))
-    blocks = staging.materialise(blocks.select("bag_id", "block", _raised(F.col("all"), F.col("parts"), F.col("n"), coverage).alias("bound"), "documents", "postings"))
+    near = index.lists.select("block", "token", F.col("n").alias("postings"), "most").join(each, "token")
+    blocks = near.groupBy("bag", "block").agg(F.sum(F.col("heft") * F.col("most") * F.col("times")).alias("all"), held.alias("held"), F.max("postings").alias("documents"), F.sum(F.col("postings") * F.col("times")).alias("postings"), F.first("size").alias("size"))
+    blocks = blocks.select("bag", "block", _raised(F.col("all"), F.col("held"), F.col("size"), coverage).alias("bound"), "documents", "postings")
     # the blocks that hold several times k documents for sure, from the highest bound on: the k-th best of them is a high floor
-    so_far = F.sum("documents").over(Window.partitionBy("bag_id").orderBy(F.desc("bound"), F.desc("block")).rowsBetween(Window.unboundedPreceding, -1))
-    blocks = staging.materialise(blocks.withColumn("first", F.coalesce(so_far, F.lit(0)) < SURE * k))
+    so_far = F.sum("documents").over(Window.partitionBy("bag").orderBy(F.desc("bound"), "block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = staging.materialise(blocks.withColumn("first", F.coalesce(so_far, F.lit(0)) < SURE * k).drop("documents"))
     at_once = blocks.filter("first")
-    score = lambda some: staging.materialise(_scores(index, each, some, coverage))
+    score = lambda some: staging.materialise(_scores(index, each, some, held, coverage))
     found = score(at_once)
-    floor = _ranked(found, k).filter(F.col("rank") == k).select("bag_id", F.col("score").alias("floor"))
+    floor = _ranked(found, k, "bag").filter(F.col("rank") == k).select("bag", F.col("score").alias("floor"))
     # bounds are sums of doubles, which differ a little by their order
-    later = staging.materialise(blocks.filter("NOT first").join(floor, "bag_id", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0.0)) - 1e-6))
-    best = _ranked(found.unionAll(score(later)), k)
+    later = staging.materialise(blocks.filter("NOT first").join(floor, "bag", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0.0)) - 1e-6).select("bag", "block", "postings"))
+    best = _ranked(found.unionAll(score(later)), k, "bag").join(bags, "bag").select("bag_id", "id", "score", "rank")
     count = lambda some: some.agg(F.sum("postings")).first()[0] or 0
     return Search(wanted.join(best, "bag_id").select("q_id", "id", "score", "rank"), count(blocks), count(at_once) + count(later), wanted, best)
 
 
-def _scores(index: BlockIndex, each: DataFrame, blocks: DataFrame, coverage: float | None) -> DataFrame:
-    """``bag_id, id, score`` of the documents in the blocks given for each bag."""
+#: Positions of a word of bits.
+_BITS = 62
+
+
+def _positions(last: int) -> Column:
+    """How many different ``pos`` (up to ``last``) a group has, as bits, so that rows of a group are one before a shuffle."""
+    words = [F.when(F.floor(F.col("pos") / _BITS) == w, F.expr(f"shiftleft(1L, CAST(pos % {_BITS} AS INT))")).otherwise(F.lit(0).cast("long")) for w in range(last // _BITS + 1)]
+    counts = [F.bit_count(F.bit_or(w)) for w in words]
+    return sum(counts[1:], counts[0]).cast("long")
+
+
+def _scores(index: BlockIndex, each: DataFrame, blocks: DataFrame, held: Column, coverage: float | None) -> DataFrame:
+    """``bag, id, score`` of the documents in the blocks given for each bag."""
     low, high = blocks.agg(F.min("block"), F.max("block")).first()
-    # files and row groups of other lengths are left out by their bounds
-    postings = index.postings.filter(F.col("block").between(low, high) if low is not None else F.lit(False))
-    asked = blocks.select("bag_id", "block").join(each, "bag_id")
-    met = postings.join(asked, ["block", "token"])
-    found = met.groupBy("bag_id", "id").agg(_exact_sum(F.col("heft"), F.col("tf")).alias("score"), F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
-    return found.select("bag_id", "id", _raised(F.col("score"), F.col("held"), F.col("n"), coverage).alias("score"))
+    lists = index.lists.filter(F.col("block").between(low, high) if low is not None else F.lit(False)).select("block", "token", "hits")
+    some = staging.checked_broadcast(blocks.select("block").distinct(), F.lit(20))
+    met = lists.join(some, "block", "left_semi").join(each, "token").join(staging.checked_broadcast(blocks.select("bag", "block"), F.lit(30)), ["bag", "block"])
+    met = met.select("bag", "heft", "times", "size", *(["pos"] if "pos" in each.columns else []), F.explode("hits").alias("hit"))
+    found = met.groupBy("bag", F.col("hit.id").alias("id")).agg(_exact_sum(F.col("heft"), F.col("hit.tf") * F.col("times")).alias("score"), held.alias("held"), F.first("size").alias("size"))
+    return found.select("bag", "id", _raised(F.col("score"), F.col("held"), F.col("size"), coverage).alias("score"))
 
 
 def hit_outcome(score: Column, model: Column, dob_ratio: Column, phone_first: Column, names_and_ids: Column, no_previous: Column | None = None, whole: Column | None = None) -> dict[str, Column]:

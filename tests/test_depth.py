@@ -76,6 +76,20 @@ def test_blocks_are_skipped(spark):
     assert rows(found.hits) == rows(plain) and found.read < 0.5 * found.asked
 
 
+def test_only_texts_and_sums_are_shuffled(spark, monkeypatch):
+    """Postings stay where their texts were dealt to, and no place of a query's word is part of a shuffle's key."""
+    plans, one = [], staging.materialise
+    monkeypatch.setattr(staging, "materialise", lambda df, *by: plans.append(df._jdf.queryExecution().executedPlan().toString()) or one(df, *by))
+    docs = spark.createDataFrame(corpus(40), "id long, document string")
+    index = search.block_index(docs)
+    assert len(plans) == 1 or "Generate" not in plans[1]
+    assert sum("Exchange " in line for line in plans[0].splitlines()) == 1
+    tokens = search.query_tokens(spark.createDataFrame([(0, "w1 w2 w2 w9")], "q_id long, query string"), names=0)
+    assert search.best_hits(index, tokens, 3, 0.9).hits.count() == 3
+    keys = [line[line.index("partitioning(") :] for plan in plans for line in plan.splitlines() if "Exchange " in line and "partitioning(" in line]
+    assert len(keys) > 3 and not any(name in key for key in keys for name in ("pos#", "md5"))
+
+
 def test_searches_of_nothing(spark):
     none = spark.createDataFrame([], "id long, document string")
     some = spark.createDataFrame([(1, "a b")], "id long, document string")
